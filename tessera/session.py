@@ -21,10 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # The feature table is ~140 columns wide; the default (100) would switch
-    # whole-stage code generation off for every operator that touches it.
-    "spark.sql.codegen.maxFields": "400",
     "spark.ui.enabled": "false",
+    # only takes effect when this call starts the JVM (scripts, tests, bench)
+    "spark.driver.memory": "16g",
     "spark.ui.showConsoleProgress": "false",
 }
 
