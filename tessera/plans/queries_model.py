@@ -1 +1,432 @@
-"""Registered queries."""
+"""Queries over losses (L1-L7), array layers and activations (L8-L12,
+H8-H13), scoring and fitting (M1-M7), model reports (K21, C5) and the
+submission path (K22, C3, C4, G1-G3)."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessera.functions import scalar as H
+from tessera.operators import fit as Fit
+from tessera.operators import layers as Ly
+from tessera.operators import losses as Lo
+from tessera.operators import metrics as M
+from tessera.operators import scaling as S
+from tessera.operators import scoring as Sc
+from tessera.operators import sequences as Q
+from tessera.operators import submission as Sub
+from tessera.plans.catalog import register
+from tessera.plans.oracle_sql import BARS, PANEL_CTES, feature_sql, with_
+from tessera.plans.queries_eval import P, predictions
+from tessera.plans.queries_features import features_table
+from tessera.plans.queries_panel import panel
+from tessera.sources.bars import load_bars, scoring_requests
+from tessera.sources.tables import read_table
+
+
+def _r(c, d=12):
+    return (F.round(F.col(c) if isinstance(c, str) else c, d) + F.lit(0.0)).alias(c if isinstance(c, str) else "v")
+
+
+# ---- losses over the prediction table ------------------------------------------
+
+@register("loss_mse", P + """
+SELECT split, round(avg(("Probability" - "Actual") * ("Probability" - "Actual")), 12) + 0.0 AS mse FROM pred GROUP BY split""")
+def q_mse(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    return p.groupBy("split").agg(Lo.mse("Probability", F.col("Actual").cast("double")).alias("mse")).select(
+        "split", _r("mse"))
+
+
+_CLIP = "greatest(least(greatest(least(\"Probability\", 1 - 1e-8), 1e-8), 1 - 1e-8), 1e-8)"
+
+
+@register("loss_bce", P + f"""
+SELECT split, round(avg(-("Actual" * ln({_CLIP}) + (1 - "Actual") * ln(1 - {_CLIP}))), 12) + 0.0 AS bce
+FROM pred GROUP BY split""")
+def q_bce(spark, sf_dir):
+    p = predictions(spark, sf_dir)
+    return p.groupBy("split").agg(Lo.bce("Probability", F.col("Actual").cast("double")).alias("bce")).select(
+        "split", _r("bce"))
+
+
+_WCLIP = "greatest(least(\"Probability\", 1 - 1e-7), 1e-7)"
+
+
+@register("loss_weighted_focal", P + f"""
+, cw AS (SELECT count_if("Actual" = 0) AS n0, count_if("Actual" = 1) AS n1, count(*) AS n FROM pred WHERE split = 'train'),
+t AS (SELECT split, "Actual" AS y, {_WCLIP} AS p FROM pred),
+u AS (SELECT split, CASE WHEN y = 0 THEN n / (2.0 * n0) * 1.2 ELSE n / (2.0 * n1) END AS w,
+             pow(1 - CASE WHEN y = 1 THEN p ELSE 1 - p END, 1.0) * -(y * ln(p) + (1 - y) * ln(1 - p)) AS b FROM t, cw)
+SELECT split, round(avg(w * b), 12) + 0.0 AS weighted_focal_bce FROM u GROUP BY split""")
+def q_weighted(spark, sf_dir):
+    p = predictions(spark, sf_dir).cache()
+    c = p.where(F.col("split") == "train").agg(F.count_if(F.col("Actual") == 0).alias("n0"),
+                                              F.count_if(F.col("Actual") == 1).alias("n1"),
+                                              F.count(F.lit(1)).alias("n")).first()
+    w0 = c["n"] / (2.0 * c["n0"]) * 1.2
+    w1 = c["n"] / (2.0 * c["n1"])
+    loss = Lo.weighted_focal_bce("Probability", F.col("Actual").cast("double"), w0, w1, gamma=1.0)
+    return p.groupBy("split").agg(loss.alias("weighted_focal_bce")).select("split", _r("weighted_focal_bce"))
+
+
+@register("loss_gradients", P + f"""
+, v AS (SELECT * FROM pred WHERE split = 'val')
+SELECT "Ticker", "Date", round(-("Actual" / {_CLIP} - (1 - "Actual") / (1 - {_CLIP})) / (SELECT count(*) FROM v), 15) + 0.0 AS grad
+FROM v""")
+def q_gradients(spark, sf_dir):
+    v = predictions(spark, sf_dir).where(F.col("split") == "val").cache()
+    g = Lo.gradients(v.withColumn("y", F.col("Actual").cast("double")), "Probability", "y", "bce")
+    return g.select("Ticker", "Date", _r("grad", 15))
+
+
+def _emb(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+
+
+_EMB = "emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
+
+
+@register("loss_softmax_ce", "WITH " + _EMB + """,
+sm AS (SELECT vec_id, label, list_transform(x[1:10], lambda v: exp(v - list_max(x[1:10]))) AS e FROM emb),
+pr AS (SELECT vec_id, label, list_transform(e, lambda v: v / list_sum(e)) AS s FROM sm)
+SELECT round(sum(-ln(greatest(least(s[label + 1], 1.0), 1e-8))) / count(*), 9) + 0.0 AS softmax_ce FROM pr""")
+def q_softmax_ce(spark, sf_dir):
+    e = _emb(spark, sf_dir).select("label", F.slice("x", 1, 10).alias("logits"))
+    return e.agg(Lo.softmax_ce("logits", "label", 10).alias("softmax_ce")).select(_r("softmax_ce", 9))
+
+
+# ---- array layers and activations over embedding vectors ----------------------
+
+_RNG = np.random.default_rng(20240923)
+CONV_W = np.round(_RNG.normal(0, 0.5, (3, 2)), 6).tolist()   # model parameters (seeded)
+CONV_B = [0.1, -0.2]
+DENSE_W = np.round(_RNG.normal(0, 0.2, (64, 4)), 6).tolist()
+DENSE_B = [0.0, 0.5, -0.5, 1.0]
+
+
+def _conv_sql(padding: str) -> str:
+    n, k, s = 64, 3, 1
+    pad = Ly.same_padding(n, k, s) if padding == "same" else 0
+    xp = "x" if pad == 0 else f"list_concat(list_resize([]::DOUBLE[], {pad}, 0.0), x, list_resize([]::DOUBLE[], {pad}, 0.0))"
+    out_len = (n + 2 * pad - k) // s + 1
+    per_f = []
+    for f in range(2):
+        terms = " + ".join(f"xp[i * {s} + {j + 1}] * {CONV_W[j][f]!r}" for j in range(k))
+        per_f.append(f"{terms} + {float(CONV_B[f])!r}")
+    return (f"SELECT vec_id, list_transform(range({out_len}), lambda i: [{', '.join(per_f)}]) AS conv "
+            f"FROM (SELECT vec_id, {xp} AS xp FROM emb)")
+
+
+@register("layer_conv1d_valid", "WITH " + _EMB + "\n" + _conv_sql("valid"))
+def q_conv_valid(spark, sf_dir):
+    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", 64, CONV_W, CONV_B, 1, "valid").alias("conv"))
+
+
+@register("layer_conv1d_same", "WITH " + _EMB + "\n" + _conv_sql("same"))
+def q_conv_same(spark, sf_dir):
+    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", 64, CONV_W, CONV_B, 1, "same").alias("conv"))
+
+
+@register("layer_pooling", "WITH " + _EMB + """
+SELECT vec_id, list_transform(range(31), lambda i: list_max(x[i * 2 + 1: i * 2 + 3])) AS max_pool,
+       list_transform(range(31), lambda i: (x[i * 2 + 1] + x[i * 2 + 2] + x[i * 2 + 3]) / 3.0) AS avg_pool FROM emb""")
+def q_pooling(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    return e.select("vec_id", Ly.max_pool("x", 3, 2).alias("max_pool"), Ly.avg_pool("x", 3, 2).alias("avg_pool"))
+
+
+@register("layer_dense", "WITH " + _EMB + "\nSELECT vec_id, [" + ", ".join(
+    "0.0 + " + " + ".join(f"x[{i + 1}] * {DENSE_W[i][o]!r}" for i in range(64)) + f" + {float(DENSE_B[o])!r}"
+    for o in range(4)) + "] AS dense FROM emb")
+def q_dense(spark, sf_dir):
+    return _emb(spark, sf_dir).select("vec_id", Ly.dense("x", DENSE_W, DENSE_B).alias("dense"))
+
+
+@register("layer_embedding_lookup", """
+SELECT d.doc_id, CAST(e.embedding AS DOUBLE[]) AS embedding FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id""")
+def q_lookup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return Ly.embedding_lookup(docs, "doc_id", emb, "vec_id", "v")
+
+
+@register("activations", "WITH " + _EMB + """
+SELECT vec_id,
+  list_transform(x, lambda v: round(1.0 / (1.0 + exp(-greatest(least(v * 10, 500.0), -500.0))), 9) + 0.0) AS sigmoid,
+  list_transform(x, lambda v: greatest(v, 0.0)) AS relu,
+  list_transform(x, lambda v: round(tanh(v * 10), 9) + 0.0) AS tanh,
+  list_transform(x, lambda v: greatest(least(v, 0.2), -0.2)) AS clipped,
+  list_transform(range(10), lambda i: CAST(i = label AS DOUBLE)) AS one_hot,
+  CAST(list_position(x, list_max(x)) - 1 AS INTEGER) AS argmax
+FROM emb""")
+def q_activations(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    return e.select("vec_id",
+                    F.transform("x", lambda v: F.round(H.sigmoid(v * 10), 9) + 0.0).alias("sigmoid"),
+                    F.transform("x", lambda v: H.relu(v)).alias("relu"),
+                    F.transform("x", lambda v: F.round(H.tanh(v * 10), 9) + 0.0).alias("tanh"),
+                    F.transform("x", lambda v: H.clip(v, -0.2, 0.2)).alias("clipped"),
+                    H.one_hot("label", 10).alias("one_hot"), H.argmax("x").alias("argmax"))
+
+
+@register("activation_softmax", "WITH " + _EMB + """,
+sm AS (SELECT vec_id, list_transform(x, lambda v: exp(v - list_max(x))) AS e FROM emb)
+SELECT vec_id, list_transform(e, lambda v: round(v / list_sum(e), 9) + 0.0) AS softmax FROM sm""")
+def q_softmax(spark, sf_dir):
+    e = _emb(spark, sf_dir)
+    return e.select("vec_id", F.transform(H.softmax("x"), lambda v: F.round(v, 9) + 0.0).alias("softmax"))
+
+
+# ---- normalisation -------------------------------------------------------------
+
+@register("batchnorm_batches", with_(BARS) + """
+SELECT "Date", feature, CAST(avg(x) AS FLOAT) AS mean, CAST(var_pop(x) AS FLOAT) AS var, count(*) AS n FROM (
+  UNPIVOT (SELECT "Date", "Close", "Volume" FROM bars) ON "Close", "Volume" INTO NAME feature VALUE x)
+GROUP BY ALL""")
+def q_bn_batches(spark, sf_dir):
+    st = Lo.batch_statistics(load_bars(spark, sf_dir), "Date", ["Close", "Volume"])
+    return st.select("Date", "feature", F.col("mean").cast("float").alias("mean"),
+                     F.col("var").cast("float").alias("var"), "n")
+
+
+@register("batchnorm_running", with_(BARS) + """,
+st AS (SELECT "Date", feature, avg(x) AS mean, var_pop(x) AS var FROM (
+  UNPIVOT (SELECT "Date", "Close", "Volume" FROM bars) ON "Close", "Volume" INTO NAME feature VALUE x) GROUP BY ALL),
+w AS (SELECT feature, mean, var, count(*) OVER (PARTITION BY feature) AS k,
+             row_number() OVER (PARTITION BY feature ORDER BY "Date") AS i FROM st)
+SELECT feature, round(pow(0.9, any_value(k)) * 0.0 + sum(0.1 * pow(0.9, k - i) * mean), 6) + 0.0 AS running_mean,
+       round(pow(0.9, any_value(k)) * 1.0 + sum(0.1 * pow(0.9, k - i) * var), 2) + 0.0 AS running_var
+FROM w GROUP BY feature""")
+def q_bn_running(spark, sf_dir):
+    st = Lo.batch_statistics(load_bars(spark, sf_dir), "Date", ["Close", "Volume"])
+    r = Lo.running_statistics(st, "Date")
+    return r.select("feature", _r("running_mean", 6), _r("running_var", 2))
+
+
+@register("batchnorm_apply", "WITH " + _EMB + """,
+st AS (SELECT list_transform(range(8), lambda j: 0) AS z),
+s AS (SELECT [""" + ", ".join(f"avg(x[{j + 1}])" for j in range(8)) + "] AS m, [" + ", ".join(
+    f"var_pop(x[{j + 1}])" for j in range(8)) + """] AS v FROM emb WHERE label = 0)
+SELECT vec_id, list_transform(range(8), lambda j: round((x[j + 1] - m[j + 1]) / sqrt(v[j + 1] + 1e-5) * 1.5 + 0.25, 9) + 0.0) AS normalised
+FROM emb, s""")
+def q_bn_apply(spark, sf_dir):
+    e = _emb(spark, sf_dir).select("vec_id", "label", F.slice("x", 1, 8).alias("x8")).cache()
+    cols = [F.col("x8")[j].alias(f"d{j}") for j in range(8)]
+    fit = S.fit_scaler(e.where(F.col("label") == 0).select(*cols), [f"d{j}" for j in range(8)])
+    means = [fit[f"d{j}"][0] for j in range(8)]
+    variances = [fit[f"d{j}"][1] ** 2 for j in range(8)]
+    out = Lo.batchnorm_apply("x8", means, variances, [1.5] * 8, [0.25] * 8)
+    return e.select("vec_id", F.transform(out, lambda v: F.round(v, 9) + 0.0).alias("normalised"))
+
+
+# ---- scoring (M1, M2) ----------------------------------------------------------
+
+OHLCV = ["Open", "High", "Low", "Close", "Volume"]
+
+
+def scaled_sequences(spark, sf_dir, length: int = 20):
+    p = panel(spark, sf_dir)
+    stats = S.fit_scaler(p.where(F.col("split") == "train"), OHLCV)
+    scaled = S.apply_scaler(p, stats)
+    return Q.sliding_sequences(scaled, OHLCV, length, keys=["split", "Ticker"])
+
+
+def _score(name):
+    def q(spark, sf_dir):
+        seqs = scaled_sequences(spark, sf_dir).where(F.col("split") != "train")
+        layers = Sc.architecture(name, len(OHLCV))
+        return Sc.score_sequences(seqs, layers, "X", ["split", "Ticker", "Date", "y"])
+    q.__doc__ = f"M1: {name} scorer over scaled OHLCV sequences (rows checked; NumPy loop test in tests/)."
+    return q
+
+
+for _arch in ("lstm", "gru", "conv1d", "hybrid"):
+    register(f"model_scoring_{_arch}")(_score(_arch))
+
+
+@register("model_evaluation")
+def q_model_eval(spark, sf_dir):
+    """M2: loss and accuracy of the LSTM scorer per split."""
+    scored = _score("lstm")(spark, sf_dir)
+    return scored.groupBy("split").agg(Lo.bce("Probability", "y").alias("loss"),
+                                       (F.avg(((F.col("Probability") > 0.5).cast("double") == F.col("y"))
+                                              .cast("double")) * 100).alias("accuracy"))
+
+
+# ---- fitting (M3-M7) -----------------------------------------------------------
+
+FIT_FEATURES = ["rsi", "bb_position", "volatility_ratio_30_60", "close_to_ma_50", "return_10d"]
+
+
+def _fit_table(spark, sf_dir):
+    f = features_table(spark, sf_dir).select("split", "Ticker", "Date", "target", *FIT_FEATURES)
+    stats = S.fit_scaler(f.where(F.col("split") == "train"), FIT_FEATURES)
+    return S.apply_scaler(f, stats)
+
+
+@register("fit_gradient_at_zero", with_(*PANEL_CTES, feature_sql()) + """,
+tr AS (SELECT * FROM feat WHERE split = 'train'),
+lng AS (UNPIVOT (SELECT target, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in FIT_FEATURES)
+    + """, 1.0 AS _one FROM tr) ON COLUMNS(* EXCLUDE (target)) INTO NAME feature VALUE x)
+SELECT feature, round(sum(x * (0.5 - target)) / count(*), 12) + 0.0 AS gradient FROM lng GROUP BY feature""")
+def q_gradient_zero(spark, sf_dir):
+    """M4: gradient of the mean log-loss at w = 0, b = 0 (unscaled features)."""
+    tr = features_table(spark, sf_dir).where(F.col("split") == "train").select("target", *FIT_FEATURES)
+    gw, gb, n, _ = Fit.logistic_gradient(tr, FIT_FEATURES, [0.0] * len(FIT_FEATURES), 0.0)
+    rows = [(c, float(gw[c])) for c in FIT_FEATURES] + [("_one", float(gb))]
+    df = spark.createDataFrame(rows, "feature string, gradient double")
+    return df.select("feature", _r("gradient"))
+
+
+@register("fit_training_history")
+def q_history(spark, sf_dir):
+    """M4 + M5 + M7: Adam steps with early stopping on validation accuracy."""
+    t = _fit_table(spark, sf_dir).cache()
+    _, _, hist = Fit.train_logistic(t.where(F.col("split") == "train"), t.where(F.col("split") == "val"),
+                                    FIT_FEATURES, epochs=15, patience=5, optimizer=Fit.Optimizer("adam", 0.05))
+    return spark.createDataFrame(hist, "epoch int, train_loss double, val_accuracy double")
+
+
+@register("fit_grid_search")
+def q_grid(spark, sf_dir):
+    """M6: optimizer x learning-rate grid, best by validation accuracy (first wins)."""
+    t = _fit_table(spark, sf_dir).cache()
+    tr, va = t.where(F.col("split") == "train"), t.where(F.col("split") == "val")
+    rows = []
+    for kind in ("sgd", "momentum", "adagrad", "adam"):
+        for lr in (0.01, 0.1):
+            _, _, hist = Fit.train_logistic(tr, va, FIT_FEATURES, epochs=5, patience=3,
+                                            optimizer=Fit.Optimizer(kind, lr))
+            rows.append((kind, lr, max(h[2] for h in hist), len(hist)))
+    df = spark.createDataFrame(rows, "optimizer string, learning_rate double, val_accuracy double, epochs int")
+    return df.orderBy(F.col("val_accuracy").desc(), "optimizer", "learning_rate")
+
+
+@register("fit_ml_logistic")
+def q_ml_logistic(spark, sf_dir):
+    """M3: class-weighted, L2-regularised logistic regression; validation scores."""
+    t = Fit.with_balanced_weight(_fit_table(spark, sf_dir), boost0=1.2)
+    va_, model = Fit.fit_ml_logistic(t.where(F.col("split") == "train"), FIT_FEATURES)
+    scored = model.transform(va_.transform(t.where(F.col("split") != "train")))
+    from pyspark.ml.functions import vector_to_array
+    return scored.select("split", "Ticker", "Date", "target",
+                         vector_to_array("probability")[1].alias("Probability"))
+
+
+# ---- model reports (K21, C5) ---------------------------------------------------
+
+_MODEL_SQL = with_(*PANEL_CTES, feature_sql()) + """,
+sc AS (SELECT split, target AS "Actual", 'rsi' AS model, round(1.0 / (1.0 + exp(-(rsi - 50.0) / 10.0)), 4) AS p FROM feat
+  UNION ALL SELECT split, target, 'bollinger', round(greatest(least(bb_position, 1.0), 0.0), 4) FROM feat
+  UNION ALL SELECT split, target, 'trend', round(1.0 / (1.0 + exp(-(trend_slope_30 * 100.0))), 4) FROM feat),
+acc AS (SELECT model, split, avg(CAST(CAST(p > 0.5 AS INTEGER) = "Actual" AS DOUBLE)) * 100 AS acc,
+   avg(CASE WHEN "Actual" = 0 THEN CAST(p <= 0.5 AS DOUBLE) END) * 100 AS acc0,
+   avg(CASE WHEN "Actual" = 1 THEN CAST(p > 0.5 AS DOUBLE) END) * 100 AS acc1 FROM sc GROUP BY model, split)"""
+
+
+def model_scores(spark, sf_dir):
+    f = features_table(spark, sf_dir)
+    rsi = F.round(H.sigmoid((F.col("rsi") - 50.0) / 10.0), 4)
+    bb = F.round(H.clip("bb_position", 0.0, 1.0), 4)
+    tr = F.round(H.sigmoid(F.col("trend_slope_30") * 100.0), 4)
+    base = f.select("split", F.col("target").alias("Actual"), rsi.alias("rsi"), bb.alias("bollinger"), tr.alias("trend"))
+    return base.unpivot(["split", "Actual"], ["rsi", "bollinger", "trend"], "model", "p")
+
+
+def _acc_table(spark, sf_dir):
+    s = model_scores(spark, sf_dir)
+    y, p = F.col("Actual"), F.col("p")
+    return s.groupBy("model", "split").agg(
+        (F.avg(((p > 0.5).cast("int") == y).cast("double")) * 100).alias("acc"),
+        (F.avg(F.when(y == 0, (p <= 0.5).cast("double"))) * 100).alias("acc0"),
+        (F.avg(F.when(y == 1, (p > 0.5).cast("double"))) * 100).alias("acc1"))
+
+
+@register("model_leaderboard", _MODEL_SQL + """
+SELECT v.model, round(v.acc, 9) + 0.0 AS val_accuracy, round(t.acc, 9) + 0.0 AS train_accuracy,
+  round(v.acc0, 9) + 0.0 AS class0_accuracy, round(v.acc1, 9) + 0.0 AS class1_accuracy,
+  round(100 - abs(v.acc0 - v.acc1), 9) + 0.0 AS balance, round(t.acc - v.acc, 9) + 0.0 AS generalisation_gap
+FROM acc v JOIN acc t ON v.model = t.model AND v.split = 'val' AND t.split = 'train'""")
+def q_leaderboard(spark, sf_dir):
+    a = _acc_table(spark, sf_dir)
+    v = a.where(F.col("split") == "val").select("model", "acc", "acc0", "acc1")
+    t = a.where(F.col("split") == "train").select("model", F.col("acc").alias("tacc"))
+    j = v.join(t, "model")
+    out = j.select("model", F.col("acc").alias("val_accuracy"), F.col("tacc").alias("train_accuracy"),
+                   F.col("acc0").alias("class0_accuracy"), F.col("acc1").alias("class1_accuracy"),
+                   (F.lit(100.0) - F.abs(F.col("acc0") - F.col("acc1"))).alias("balance"),
+                   (F.col("tacc") - F.col("acc")).alias("generalisation_gap"))
+    return out.select("model", *[_r(c, 9) for c in out.columns if c != "model"]).orderBy(F.col("val_accuracy").desc())
+
+
+@register("model_val_test_comparison", _MODEL_SQL + """
+SELECT v.model, round(v.acc, 9) + 0.0 AS val_accuracy, round(t.acc, 9) + 0.0 AS test_accuracy,
+       round(t.acc - v.acc, 9) + 0.0 AS accuracy_change
+FROM acc v JOIN acc t ON v.model = t.model AND v.split = 'val' AND t.split = 'test'""")
+def q_val_test(spark, sf_dir):
+    """Inner join of two model-result tables on the model name with differences."""
+    a = _acc_table(spark, sf_dir)
+    v = a.where(F.col("split") == "val").select("model", F.col("acc").alias("val_accuracy"))
+    t = a.where(F.col("split") == "test").select("model", F.col("acc").alias("test_accuracy"))
+    j = v.join(t, "model").withColumn("accuracy_change", F.col("test_accuracy") - F.col("val_accuracy"))
+    return j.select("model", *[_r(c, 9) for c in ("val_accuracy", "test_accuracy", "accuracy_change")])
+
+
+# ---- submission path (K22, C3, C4, G1-G3) --------------------------------------
+
+_REQ = """req AS (SELECT CAST(s_suppkey AS VARCHAR) AS "ID" FROM supplier
+  UNION ALL SELECT CAST(s_suppkey + 1000000 AS VARCHAR) FROM supplier WHERE s_nationkey = 0)"""
+
+
+def latest_predictions(spark, sf_dir):
+    """K20 on the latest test prediction of every series: Pred = score > median."""
+    p = predictions(spark, sf_dir).where(F.col("split") == "test")
+    latest = p.groupBy("Ticker").agg(F.max_by("Probability", "Date").alias("Probability"),
+                                     F.max("Date").alias("Date"))
+    return M.median_threshold_predictions(latest, "Probability")
+
+
+_LATEST = """lt AS (SELECT "Ticker", arg_max("Probability", "Date") AS "Probability", max("Date") AS "Date"
+  FROM pred WHERE split = 'test' GROUP BY "Ticker"),
+lp AS (SELECT "Ticker", "Date", CAST("Probability" > (SELECT median("Probability") FROM lt) AS INTEGER) AS "Pred" FROM lt)"""
+
+
+@register("submission", P.rstrip() + ",\n" + _REQ + ",\n" + _LATEST + """
+SELECT r."ID", CAST(coalesce(lp."Pred", 0) AS INTEGER) AS "Pred" FROM req r LEFT JOIN lp ON lp."Ticker" = r."ID" """)
+def q_submission(spark, sf_dir):
+    req = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    return Sub.assemble_submission(req, latest_predictions(spark, sf_dir))
+
+
+@register("submission_match_report", P.rstrip() + ",\n" + _REQ + ",\n" + _LATEST + """
+SELECT count(*) AS requests, count(lp."Ticker") AS matched, count_if(lp."Ticker" IS NULL) AS unmatched
+FROM req r LEFT JOIN lp ON lp."Ticker" = r."ID" """)
+def q_match(spark, sf_dir):
+    req = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    return Sub.match_report(req, latest_predictions(spark, sf_dir))
+
+
+@register("requests_unknown", with_(BARS, _REQ) + """
+SELECT DISTINCT "ID" FROM req WHERE "ID" NOT IN (SELECT "Ticker" FROM bars)""")
+def q_unknown(spark, sf_dir):
+    req = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    return Sub.unknown_requests(req, load_bars(spark, sf_dir))
+
+
+@register("requests_common_keys", with_(BARS, _REQ) + """
+SELECT "ID" FROM req INTERSECT SELECT "Ticker" FROM bars""")
+def q_common(spark, sf_dir):
+    req = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    hist = load_bars(spark, sf_dir).select(F.col("Ticker").alias("ID"))
+    return Sub.common_keys(req, hist, "ID")
+
+
+@register("requests_missing_keys", with_(BARS, _REQ) + """
+SELECT "ID" FROM req EXCEPT SELECT "Ticker" FROM bars""")
+def q_missing(spark, sf_dir):
+    req = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    hist = load_bars(spark, sf_dir).select(F.col("Ticker").alias("ID"))
+    return Sub.missing_keys(req, hist, "ID")
