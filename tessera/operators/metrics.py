@@ -32,7 +32,8 @@ def zdiv(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def confusion_counts(pred: Column, actual: Column = F.col(ACT)) -> list[Column]:
+def confusion_counts(pred: Column, actual: Column | None = None) -> list[Column]:
+    actual = F.col(ACT) if actual is None else actual
     return [F.count_if((pred == 1) & (actual == 1)).alias("tp"),
             F.count_if((pred == 1) & (actual == 0)).alias("fp"),
             F.count_if((pred == 0) & (actual == 0)).alias("tn"),
