@@ -43,7 +43,12 @@ def feature_ranges(df: DataFrame, features: Sequence[str]) -> dict[str, tuple]:
 
 def binned_mutual_information(df: DataFrame, features: Sequence[str], target: str = "target",
                               bins: int = MI_BINS) -> DataFrame:
-    """K1: (feature, mutual_info) in nats from equal-width bins."""
+    """K1: (feature, mutual_info) in nats from equal-width bins.
+
+    Two passes (ranges, then counts), so the input is persisted for their
+    duration (memory and disk; recomputed from lineage if an executor is lost).
+    """
+    df = df.persist()
     rng = feature_ranges(df, features)
     cells = []
     for c in features:

@@ -30,13 +30,18 @@ def date_cut_points(df: DataFrame, order: str = "Date", train: float = 0.7, val:
     """
     check_ratios(train, val, test)
     dates = df.select(F.col(order).alias("d")).distinct()
-    n = dates.count()
-    i_val, i_test = int(n * train), int(n * (train + val))
-    # position of each distinct date; the window runs on <= #days rows
-    ranked = dates.withColumn("i", F.row_number().over(Window.orderBy("d")) - 1)
-    wanted = ranked.where(F.col("i").isin(i_val, i_test)).collect()
+    # one job: position and count of the distinct dates (the window runs on
+    # <= #days rows), keep the two cut positions int(n*train), int(n*(train+val))
+    ranked = dates.select("d", (F.row_number().over(Window.orderBy("d")) - 1).alias("i"),
+                          F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    cut1 = F.floor(F.col("n") * F.lit(float(train)))
+    cut2 = F.floor(F.col("n") * F.lit(float(train) + float(val)))
+    wanted = ranked.where((F.col("i") == cut1) | (F.col("i") == cut2)).collect()
     by_pos = {r["i"]: r["d"] for r in wanted}
-    return by_pos.get(i_val), by_pos.get(i_test)
+    if not wanted:
+        return None, None
+    n = wanted[0]["n"]
+    return by_pos.get(int(n * train)), by_pos.get(int(n * (train + val)))
 
 
 def split_column(order: str, val_start, test_start):
