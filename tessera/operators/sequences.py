@@ -100,10 +100,14 @@ def sequences_with_horizon(df: DataFrame, feature_cols: Sequence[str], length: i
     out = df.select(*[F.col(c) for c in _list(keys) + _list(order)], F.array(*xs).alias("X"), y.alias("Y"),
                     full.alias("_full"),
                     F.count(F.lit(1)).over(Window.partitionBy(*_list(keys))).alias("_n"))
+    keep = F.col("_full")
     if check_length:
-        out = out.withColumn("_n", F.when(F.col("_n") >= length + horizon, F.col("_n")).otherwise(
-            F.raise_error(F.lit(f"sequence_length ({length}) + prediction_horizon ({horizon}) exceeds data length"))))
-    return out.where("_full").drop("_full", "_n")
+        # part of the filter, so it is evaluated for every row (a dropped
+        # check column would be pruned away by the optimizer)
+        ok = F.when(F.col("_n") >= length + horizon, F.lit(True)).otherwise(
+            F.raise_error(F.lit(f"sequence_length ({length}) + prediction_horizon ({horizon}) exceeds data length")))
+        keep = ok & keep
+    return out.where(keep).drop("_full", "_n")
 
 
 def pad(seq, max_length: int, padding: str = "pre", value=0.0, fail_longer: bool = True) -> Column:

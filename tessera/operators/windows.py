@@ -121,10 +121,11 @@ def lagged_matrix(df: DataFrame, value_cols: Sequence[str], lags: Sequence[int],
     for k in lags:
         cols += [F.lag(F.col(c), k).over(w).alias(f"{c}_lag{k}") for c in value_cols]
     out = df.select(*cols, rn.alias("_rn"), F.count(F.lit(1)).over(Window.partitionBy(*_list(keys))).alias("_n"))
+    keep = F.col("_rn") > m
     if check_length:
-        out = out.withColumn("_rn", F.when(F.col("_n") > m, F.col("_rn")).otherwise(
-            F.raise_error(F.lit(f"max lag ({m}) must be less than the series length"))))
-    return out.where(F.col("_rn") > m).drop("_rn", "_n")
+        keep = F.when(F.col("_n") > m, F.lit(True)).otherwise(
+            F.raise_error(F.lit(f"max lag ({m}) must be less than the series length"))) & keep
+    return out.where(keep).drop("_rn", "_n")
 
 
 def rolling_matrix(df: DataFrame, value_cols: Sequence[str], windows: Sequence[int],
@@ -141,10 +142,10 @@ def rolling_matrix(df: DataFrame, value_cols: Sequence[str], windows: Sequence[i
             cols += [rolling_partial(c, n, fn, w).alias(f"{c}_{fn}{n}") for c in value_cols]
     out = df.select(*cols)
     if check_length:
+        # a filter predicate (evaluated for every row; a dropped column would be pruned)
         n_rows = F.count(F.lit(1)).over(Window.partitionBy(*_list(keys)))
-        out = out.withColumn("_n", n_rows).withColumn(
-            "_n", F.when(F.col("_n") > m, F.col("_n")).otherwise(
-                F.raise_error(F.lit(f"max window ({m}) must be less than the series length")))).drop("_n")
+        out = out.withColumn("_n", n_rows).where(F.when(F.col("_n") > m, F.lit(True)).otherwise(
+            F.raise_error(F.lit(f"max window ({m}) must be less than the series length")))).drop("_n")
     return out
 
 

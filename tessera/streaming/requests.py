@@ -1,0 +1,34 @@
+"""Structured Streaming ingestion of scoring requests.
+
+The reference reads one request file and writes one submission.  As a
+stream, request files landing in a folder are processed in micro-batches:
+each batch goes through the same submission plan (left lookup of the
+latest prediction per series, default 0, 0/1 check, sorted by ID) against
+a static predictions table, and is written under its batch id -- a re-run
+of a batch after a failure overwrites the same folder (idempotent), and the
+checkpoint records which files were consumed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.operators.submission import assemble_submission
+from tessera.sources.files import REQUEST_SCHEMA
+
+
+def start_request_scoring(spark: SparkSession, requests_dir: str, predictions: DataFrame, output_dir: str,
+                          checkpoint_dir: str, available_now: bool = True):
+    """Start the stream; returns the ``StreamingQuery``.
+
+    ``predictions`` is a static (Ticker, Date, Pred) table.
+    """
+    stream = spark.readStream.schema(REQUEST_SCHEMA).option("header", True).csv(requests_dir)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sub = assemble_submission(batch, predictions)
+        sub.write.mode("overwrite").option("header", True).csv(f"{output_dir}/batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
