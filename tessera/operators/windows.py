@@ -153,3 +153,74 @@ def last_n_rows(df: DataFrame, n: int, keys="Ticker", order="Date") -> DataFrame
     """the last ``n`` rows of every series (``tail(n)``)."""
     w = Window.partitionBy(*_list(keys)).orderBy(*[F.col(o).desc() for o in _list(order)])
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
+
+
+# ---- skew-safe form for raw-row series ----------------------------------------
+#
+# Windows partitioned by the series key put a whole series into one task.
+# Daily bars are bounded by their number of days, but a raw-row series (one
+# user's events) is not: one key may hold a third of all rows.  For windows
+# with a bounded look-back of H rows the series is cut into position chunks
+# of C rows; the last H rows of each chunk are copied into the next chunk as
+# a halo, windows run per (key, chunk) and the halo rows are dropped.  The
+# results are exactly those of the per-series window.
+#
+# Positions come without a per-series window: rows are counted per (key,
+# bucket) (a partial aggregation), offsets are cumulated over the small
+# bucket table, and rows are numbered within (key, bucket) only.
+
+def chunk_positions(df: DataFrame, keys, order, bucket: Column, halo: int,
+                    chunk_rows: int = 100_000) -> DataFrame:
+    """Add ``_pos`` (0-based position in the series), ``_n`` (series length),
+    ``_chunk`` and ``_halo``; halo rows appear twice (once as a halo copy)."""
+    k, o = _list(keys), _list(order)
+    if halo >= chunk_rows:
+        raise ValueError("chunk_rows must exceed the look-back")
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy(*k, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*k).orderBy("_bucket")
+    offsets = counts.select(*k, "_bucket",
+                            F.coalesce(F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                       F.lit(0)).alias("_off"),
+                            F.sum("_c").over(Window.partitionBy(*k)).alias("_n"))
+    rn = F.row_number().over(Window.partitionBy(*k, "_bucket").orderBy(*o)) - 1
+    pos = b.withColumn("_rn", rn).join(offsets, k + ["_bucket"]).withColumn("_pos", F.col("_off") + F.col("_rn"))
+    chunk = F.floor(F.col("_pos") / chunk_rows)
+    in_halo = (F.col("_pos") % chunk_rows) >= (chunk_rows - halo)
+    copies = F.when(in_halo, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h")),
+                                     F.struct((chunk + 1).alias("c"), F.lit(True).alias("h")))
+                    ).otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h"))))
+    out = pos.withColumn("_cp", F.explode(copies))
+    return (out.withColumn("_chunk", F.col("_cp.c")).withColumn("_halo", F.col("_cp.h"))
+            .drop("_cp", "_bucket", "_rn", "_off"))
+
+
+def lagged_matrix_chunked(df: DataFrame, value_cols: Sequence[str], lags: Sequence[int], keys, order,
+                          bucket: Column, chunk_rows: int = 100_000) -> DataFrame:
+    """E9, skew-safe (same rows and values as ``lagged_matrix``)."""
+    m = max(lags)
+    c = chunk_positions(df, keys, order, bucket, m, chunk_rows)
+    w = Window.partitionBy(*_list(keys), "_chunk").orderBy("_pos")
+    cols = [F.col(x) for x in _list(keys) + _list(order) + list(value_cols)]
+    for k in lags:
+        cols += [F.lag(F.col(v), k).over(w).alias(f"{v}_lag{k}") for v in value_cols]
+    ok = F.when(F.col("_n") > m, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"max lag ({m}) must be less than the series length")))
+    return (c.select(*cols, "_pos", "_halo", "_n")
+            .where(ok & ~F.col("_halo") & (F.col("_pos") >= m)).drop("_pos", "_halo", "_n"))
+
+
+def rolling_matrix_chunked(df: DataFrame, value_cols: Sequence[str], windows: Sequence[int],
+                           functions: Sequence[str], keys, order, bucket: Column,
+                           chunk_rows: int = 100_000) -> DataFrame:
+    """E10, skew-safe (same rows and values as ``rolling_matrix``)."""
+    m = max(windows)
+    c = chunk_positions(df, keys, order, bucket, m - 1, chunk_rows)
+    w = Window.partitionBy(*_list(keys), "_chunk").orderBy("_pos")
+    cols = [F.col(x) for x in _list(keys) + _list(order)]
+    for n in windows:
+        for fn in functions:
+            cols += [rolling_partial(v, n, fn, w).alias(f"{v}_{fn}{n}") for v in value_cols]
+    ok = F.when(F.col("_n") > m, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"max window ({m}) must be less than the series length")))
+    return c.select(*cols, "_halo", "_n").where(ok & ~F.col("_halo")).drop("_halo", "_n")

@@ -106,35 +106,61 @@ def _events(spark, sf_dir):
 _EW = "PARTITION BY user_id ORDER BY ts, event_id"
 
 
-@register("event_lagged_matrix", f"""
+_LAG_SQL = f"""
 SELECT user_id, ts, event_id, value, value_lag1, value_lag2, value_lag3 FROM (
   SELECT user_id, ts, event_id, value,
          lag(value, 1) OVER ({_EW}) AS value_lag1, lag(value, 2) OVER ({_EW}) AS value_lag2,
          lag(value, 3) OVER ({_EW}) AS value_lag3, row_number() OVER ({_EW}) AS rn FROM events)
-WHERE rn > 3""")
+WHERE rn > 3"""
+
+
+@register("event_lagged_matrix", _LAG_SQL)
 def q_event_lagged(spark, sf_dir):
     return Wn.lagged_matrix(_events(spark, sf_dir), ["value"], [1, 2, 3], "user_id", ["ts", "event_id"])
 
 
+@register("event_lagged_matrix_chunked", _LAG_SQL)
+def q_event_lagged_chunked(spark, sf_dir):
+    """E9 skew-safe: position chunks of 16 rows with a 3-row halo (small so
+    that every user spans several chunks here); a hot user is split over tasks."""
+    return Wn.lagged_matrix_chunked(_events(spark, sf_dir), ["value"], [1, 2, 3], "user_id", ["ts", "event_id"],
+                                    F.to_date("ts"), chunk_rows=16)
+
+
 def _ef(n):
     return f"({_EW} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-@register("event_rolling_matrix", f"""
+_ROLL_SQL = f"""
 SELECT user_id, ts, event_id,
   round(avg(value) OVER {_ef(5)}, 6) + 0.0 AS value_mean5, round(stddev_pop(value) OVER {_ef(5)}, 6) + 0.0 AS value_std5,
   min(value) OVER {_ef(5)} AS value_min5, max(value) OVER {_ef(5)} AS value_max5,
   round(avg(value) OVER {_ef(10)}, 6) + 0.0 AS value_mean10, round(stddev_pop(value) OVER {_ef(10)}, 6) + 0.0 AS value_std10,
   min(value) OVER {_ef(10)} AS value_min10, max(value) OVER {_ef(10)} AS value_max10
-FROM events""")
+FROM events"""
+
+
+@register("event_rolling_matrix", _ROLL_SQL)
 def q_event_rolling(spark, sf_dir):
     out = Wn.rolling_matrix(_events(spark, sf_dir), ["value"], [5, 10], ["mean", "std", "min", "max"],
                             "user_id", ["ts", "event_id"])
+    return _round_rolling(out)
+
+
+def _round_rolling(out):
     keep = ["user_id", "ts", "event_id"]
     return out.select(*keep, *[(F.round(c, 6) + 0.0).alias(c) if ("mean" in c or "std" in c) else F.col(c)
                                for c in out.columns if c not in keep])
 
 
+@register("event_rolling_matrix_chunked", _ROLL_SQL)
+def q_event_rolling_chunked(spark, sf_dir):
+    """E10 skew-safe: position chunks of 16 rows with a 9-row halo."""
+    out = Wn.rolling_matrix_chunked(_events(spark, sf_dir), ["value"], [5, 10], ["mean", "std", "min", "max"],
+                                    "user_id", ["ts", "event_id"], F.to_date("ts"), chunk_rows=16)
+    return _round_rolling(out)
+
+
 @register("event_expanding_mean", f"""
 SELECT user_id, ts, event_id,
   round(coalesce(avg(value) OVER ({_EW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0), 9) + 0.0 AS value_expanding
