@@ -349,3 +349,15 @@ SELECT round(sum(a), 9) + 0.0 AS auc FROM (
 def q_doc_auc(spark, sf_dir):
     a = M.roc_auc(doc_predictions(spark, sf_dir))
     return a.select((F.round("auc", 9) + 0.0).alias("auc"))
+
+
+@register("eval_ticker_accuracy_histogram", P + f"""
+, c AS (SELECT split, "Ticker", {_COUNTS} FROM pred GROUP BY split, "Ticker"),
+t AS (SELECT split, {_zd('tp + tn', 'tp + fp + tn + fn')} AS accuracy FROM c),
+r AS (SELECT split, min(accuracy) AS lo, max(accuracy) AS hi FROM t GROUP BY split)
+SELECT t.split, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((accuracy - lo) / ((hi - lo) / 30)), 29) END AS INTEGER) AS bin,
+       count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM t JOIN r USING (split) GROUP BY ALL""")
+def q_ticker_acc_hist(spark, sf_dir):
+    """D13, second form: 30 equal-width bins of per-series accuracy."""
+    t = M.per_group_performance(predictions(spark, sf_dir), "Ticker", "split")
+    return M.equal_width_histogram(t, "accuracy", 30, "split")

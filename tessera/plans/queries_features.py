@@ -203,3 +203,20 @@ SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY "Ticker" OR
 WHERE r <= 250""")
 def q_last_rows(spark, sf_dir):
     return Wn.last_n_rows(load_bars(spark, sf_dir), 250)
+
+
+# ---- D3 + C2: the train statistic as a lookup table ----------------------------
+
+@register("train_statistic_lookup", _FEAT + """, st AS (
+  SELECT "Ticker", arg_max(ticker_mean_return_30d, "Date") AS stat FROM feat WHERE split = 'train' GROUP BY "Ticker")
+SELECT f.split, f."Ticker", f."Date", round(coalesce(st.stat, 0.0), 6) + 0.0 AS ticker_mean_return_30d
+FROM feat f LEFT JOIN st USING ("Ticker") WHERE f.split <> 'train'""")
+def q_train_stat_lookup(spark, sf_dir):
+    """D3 (last train value per series) joined back to val / test rows (C2,
+    default 0) -- the table form of what the feature window computes."""
+    from tessera.operators.features import lookup_statistic, train_statistic
+    f = features_table(spark, sf_dir)
+    stats = train_statistic(f)
+    rows = f.where(F.col("split") != "train").select("split", "Ticker", "Date")
+    out = lookup_statistic(rows.withColumn("ticker_mean_return_30d", F.lit(0.0)), stats)
+    return out.select("split", "Ticker", "Date", _spark_col("ticker_mean_return_30d"))
