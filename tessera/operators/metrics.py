@@ -328,10 +328,12 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, groups=(), by=())
     """``bins`` equal-width bins between the column's min and max (last
     bin closed), counts per bin (and per ``by`` class)."""
     g, b = _g(groups), _g(by)
-    if not g:   # one global group: an equi-join on a constant key, one row on the right
-        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
-    rng = df.groupBy(*g).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    j = df.join(rng, g, "inner")
+    if g:
+        rng = df.groupBy(*g).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+        j = df.join(rng, g, "inner")
+    else:   # one global range: two scalars (no join, no cross product)
+        r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+        j = df.withColumn("_lo", F.lit(r["lo"])).withColumn("_hi", F.lit(r["hi"]))
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
@@ -342,8 +344,9 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, groups=(), by=())
 def median_threshold_predictions(df: DataFrame, col: str = PROB, groups=()) -> DataFrame:
     """t = median score (per group); prediction = score > t."""
     g = _g(groups)
-    if not g:
-        df, g = df.withColumn("_all", F.lit(0)), ["_all"]
+    if not g:   # one global median: a scalar (no join, no cross product)
+        t = df.agg(F.median(col).alias("m")).first()["m"]
+        return (df.withColumn("median_threshold", F.lit(t).cast("double"))
+                .withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int")))
     med = df.groupBy(*g).agg(F.median(col).alias("median_threshold"))
-    out = df.join(med, g).withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int"))
-    return out.drop("_all")
+    return df.join(med, g).withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int"))
