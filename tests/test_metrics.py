@@ -64,3 +64,12 @@ def test_pr_curve_end_point(spark):
     assert end["precision"] == 1.0 and end["recall"] == 0.0
     # curve stops at the first score reaching full recall (0.7): 0.1 is not a point
     assert 0.1 not in set(c.threshold.dropna())
+
+
+def test_global_median_threshold_and_histogram(spark):
+    df = _pred(spark, [0, 1, 0, 1, 1], [0.1, 0.2, 0.35, 0.45, 0.9])
+    out = M.median_threshold_predictions(df).orderBy("Probability").collect()
+    assert [r["Pred"] for r in out] == [0, 0, 0, 1, 1] and out[0]["median_threshold"] == 0.35
+    # bins of width 0.2 from 0.1; the maximum goes to the last (closed) bin
+    h = {r["bin"]: r["n"] for r in M.equal_width_histogram(df, "Probability", 4).collect()}
+    assert h == {0: 2, 1: 2, 3: 1}
