@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are tuned for.  None of them is required for
 # correctness (all date casts are time-zone free, all divisions are
@@ -22,14 +23,14 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # only takes effect when this call starts the JVM (scripts, tests, bench)
-    "spark.driver.memory": "16g",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF``; ``extra`` adds settings, such as the driver memory
+    of a local run."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -41,25 +42,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS / object store)
-    folder and is used as is.  Only when it is unset -- local tests and the
-    benchmark -- a fresh scratch folder is created.
+    A scratch folder is made only where the setting is missing and the master
+    is local (tests); a cluster without the setting is an error, since a
+    machine-local folder would be lost with its machine.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="tessera-shared-")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage (nothing upstream runs again when an executor is lost,
+    or when several passes read it) and keeps columns prunable.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
