@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.windows import series_window
+from tessera.operators.windows import CHUNK_ROWS, by_chunk, last_n_rows, series_window
 
 
 def _list(x) -> list:
@@ -43,31 +43,43 @@ def sliding_sequences(df: DataFrame, feature_cols: Sequence[str], length: int, k
     return df.select(*cols, first.alias("_full")).where(F.col("_full").isNotNull()).drop("_full")
 
 
-def capped(seqs: DataFrame, max_samples: int, keys="Ticker", order="Date") -> DataFrame:
-    """the first ``max_samples`` sequences in (series, date) order.
+def hash_order(seed: int, key_cols: Sequence[str]) -> Column:
+    """A seeded, partition-independent random order: the MD5 of seed and keys."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]).cast("binary"))
 
-    A top-k (``TakeOrderedAndProject``): each task keeps at most k rows.
-    """
-    return seqs.orderBy(*[F.col(k) for k in _list(keys) + _list(order)]).limit(max_samples)
 
+def smallest_hashes(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataFrame:
+    """The ``n`` rows of smallest hash.  Rows are counted per hash prefix (65,536 counters
+    reach the driver); all prefixes below the one where ``n`` is reached are kept by a plain
+    filter, and only that one prefix is sorted."""
+    h = hash_order(seed, key_cols)
+    prefix = F.substring(h, 1, 4)
+    counts = {r["p"]: r["n"] for r in df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = 0
+    for p in sorted(counts):
+        if total + counts[p] > n:
+            edge = df.where(prefix == p).withColumn("_h", h).orderBy("_h", *key_cols).limit(n - total).drop("_h")
+            return df.where(prefix < p).unionByName(edge)
+        total += counts[p]
+    return df
 
-def sample_rows(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataFrame:
-    """a fixed-size, seeded sample: the ``n`` rows of smallest hash.
 
-    Deterministic for a seed and independent of partitioning (unlike an
-    RNG stream); a top-k, so no task holds more than ``n`` rows.
-    """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
+def capped(seqs: DataFrame, max_samples: int, seed: int = 42, keys="Ticker", order="Date") -> DataFrame:
+    """at most ``max_samples`` sequences to fit on, spread by hash over all series (a bound
+    on the rows of a fit, not on those that are scored)."""
+    return smallest_hashes(seqs, max_samples, seed, _list(keys) + _list(order))
+
+
+def sample_rows(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataFrame:
+    """a fixed-size, seeded sample, the same for any partitioning."""
+    return smallest_hashes(df, n, seed, key_cols)
 
 
 def sample_positions(seqs: DataFrame, rate: float, seed: int, keys="Ticker", order="Date") -> DataFrame:
     """per series, ``floor(n * rate)`` sequence positions without
     replacement (smallest hashes), original order kept."""
     k = _list(keys)
-    o = _list(order)
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in k + o])
-    r = F.row_number().over(Window.partitionBy(*k).orderBy(h, *o))
+    r = F.row_number().over(Window.partitionBy(*k).orderBy(hash_order(seed, k + _list(order))))
     n = F.count(F.lit(1)).over(Window.partitionBy(*k))
     return (seqs.withColumn("_r", r).withColumn("_n", n)
             .where(F.col("_r") <= F.floor(F.col("_n") * F.lit(rate)))
@@ -76,38 +88,35 @@ def sample_positions(seqs: DataFrame, rate: float, seed: int, keys="Ticker", ord
 
 def latest_sequence(df: DataFrame, feature_cols: Sequence[str], length: int, keys="Ticker",
                     order="Date") -> DataFrame:
-    """The most recent full sequence of every series (scoring input)."""
-    seqs = sliding_sequences(df, feature_cols, length, keys, order, target=None)
-    w = Window.partitionBy(*_list(keys)).orderBy(*[F.col(o).desc() for o in _list(order)])
-    return seqs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+    """The most recent full sequence of every series (scoring input), from its last
+    ``length`` rows only."""
+    k, o = _list(keys), _list(order)
+    rows = last_n_rows(df, length, keys, order).select(
+        *k, F.struct(*[F.col(x) for x in o]).alias("_at"), vector(feature_cols).alias("_v"))
+    seqs = rows.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_s"))
+    last = F.element_at("_s", -1)["_at"]
+    return seqs.where(F.size("_s") == length).select(*k, *[last[x].alias(x) for x in o],
+                                                     F.transform("_s", lambda s: s["_v"]).alias("X"))
 
 
 def sequences_with_horizon(df: DataFrame, feature_cols: Sequence[str], length: int, horizon: int = 1,
-                           keys="Ticker", order="Date", check_length: bool = True) -> DataFrame:
+                           keys="Ticker", order="Date", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``X`` = rows t-L+1..t, ``Y`` = rows t+1..t+h (all features);
     n-L-h+1 sequences per series.  With h = 1 ``Y`` is the next vector (and
-    a scalar for one feature).  A series with L + h > n fails the job when
-    ``check_length``."""
-    w = series_window(keys, order)
+    a scalar for one feature).  A series with L + h > n fails the job.
+    Series are cut into chunks with halos, so one of any length is split."""
     v = vector(feature_cols)
-    xs = [F.lag(v, k).over(w) for k in range(length - 1, 0, -1)] + [v]
-    ys = [F.lead(v, k).over(w) for k in range(1, horizon + 1)]
-    full = F.lag(F.lit(1), length - 1).over(w).isNotNull() & F.lead(F.lit(1), horizon).over(w).isNotNull()
-    if horizon == 1:
-        y = ys[0][0] if len(feature_cols) == 1 else ys[0]
-    else:
-        y = F.array(*ys)
-    out = df.select(*[F.col(c) for c in _list(keys) + _list(order)], F.array(*xs).alias("X"), y.alias("Y"),
-                    full.alias("_full"),
-                    F.count(F.lit(1)).over(Window.partitionBy(*_list(keys))).alias("_n"))
-    keep = F.col("_full")
-    if check_length:
-        # part of the filter, so it is evaluated for every row (a dropped
-        # check column would be pruned away by the optimizer)
-        ok = F.when(F.col("_n") >= length + horizon, F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"sequence_length ({length}) + prediction_horizon ({horizon}) exceeds data length")))
-        keep = ok & keep
-    return out.where(keep).drop("_full", "_n")
+
+    def columns(w):
+        xs = [F.lag(v, k).over(w) for k in range(length - 1, 0, -1)] + [v]
+        ys = [F.lead(v, k).over(w) for k in range(1, horizon + 1)]
+        y = (ys[0][0] if len(feature_cols) == 1 else ys[0]) if horizon == 1 else F.array(*ys)
+        return [F.array(*xs).alias("X"), y.alias("Y")]
+
+    long_enough = F.when(F.col("_n") >= length + horizon, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"a sequence of {length} and a horizon of {horizon} need a longer series")))
+    full = (F.col("_pos") >= length - 1) & (F.col("_pos") < F.col("_n") - horizon)
+    return by_chunk(df, columns, keys, order, length - 1, horizon, chunk_rows, long_enough & full)
 
 
 def pad(seq, max_length: int, padding: str = "pre", value=0.0, fail_longer: bool = True) -> Column:

@@ -10,76 +10,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranges import positions
+
 SPLITS = ("train", "val", "test")
 
 
 def check_ratios(train: float, val: float, test: float) -> None:
     total = train + val + test
     if abs(total - 1.0) > 1e-6:
-        raise ValueError(f"Ratios must sum to 1.0, got {total}")
-
+        raise ValueError(f"train + val + test is {total}, not 1")
 
-def date_cut_points(df: DataFrame, order: str = "Date", train: float = 0.7, val: float = 0.15,
-                    test: float = 0.15) -> tuple:
-    """First date of the validation and of the test part.
 
-    Works on the distinct-date table only: its size is bounded by the
-    calendar span (one row per trading day), not by the data volume.  The
-    driver receives two scalars.  Returns (val_start, test_start); either
-    may be None when that part is empty.
-    """
+def date_splits(df: DataFrame, order: str = "Date", train: float = 0.7, val: float = 0.15,
+                test: float = 0.15) -> DataFrame:
+    """(order, split): the split of every distinct date, cut at int(n*train) and
+    int(n*(train+val)).  One row per date of the calendar span, whatever the data volume."""
     check_ratios(train, val, test)
-    dates = df.select(F.col(order).alias("d")).distinct()
-    # one job: position and count of the distinct dates (the window runs on
-    # <= #days rows), keep the two cut positions int(n*train), int(n*(train+val))
-    ranked = dates.select("d", (F.row_number().over(Window.orderBy("d")) - 1).alias("i"),
-                          F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    cut1 = F.floor(F.col("n") * F.lit(float(train)))
-    cut2 = F.floor(F.col("n") * F.lit(float(train) + float(val)))
-    wanted = ranked.where((F.col("i") == cut1) | (F.col("i") == cut2)).collect()
-    by_pos = {r["i"]: r["d"] for r in wanted}
-    if not wanted:
-        return None, None
-    n = wanted[0]["n"]
-    return by_pos.get(int(n * train)), by_pos.get(int(n * (train + val)))
-
-
-def split_column(order: str, val_start, test_start):
-    c = F.col(order)
-    expr = None
-    for start, name in ((test_start, "test"), (val_start, "val")):
-        if start is None:
-            continue
-        cond = c >= F.lit(start)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return F.lit("train") if expr is None else expr.otherwise(F.lit("train"))
+    dates = df.select(order).where(F.col(order).isNotNull()).distinct()
+    i = F.row_number().over(Window.orderBy(order)) - 1
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    return dates.select(order, F.when(i < F.floor(n * F.lit(float(train))), "train")
+                        .when(i < F.floor(n * F.lit(float(train) + float(val))), "val").otherwise("test").alias("split"))
 
 
 def split_by_date(df: DataFrame, order: str = "Date", train: float = 0.7, val: float = 0.15,
                   test: float = 0.15) -> DataFrame:
-    """Cut the sorted *distinct dates* at int(n*train), int(n*(train+val)).
+    """Rows joined lazily with the split of their date; no job runs while planning.
 
-    Rows are then labelled by comparing their date with the two cut dates --
-    a projection, no join and no broadcast.
+    A ``DATE`` column has at most a few tens of thousands of distinct values, so
+    its split table is broadcast, and the rows keep their partitioning by
+    series; for any other type Spark picks the join by size.  Rows without a
+    date fall out (they have no place in a date order).
     """
-    val_start, test_start = date_cut_points(df, order, train, val, test)
-    return df.withColumn("split", split_column(order, val_start, test_start))
+    splits = date_splits(df, order, train, val, test)
+    if dict(df.dtypes)[order] == "date":
+        splits = F.broadcast(splits)
+    columns = df.columns
+    return df.join(splits, order).select(*[F.col(f"`{c}`") for c in columns], "split")
 
 
 def split_by_position(df: DataFrame, keys="Ticker", order="Date", train: float = 0.7,
                       val: float = 0.15, test: float = 0.15) -> DataFrame:
-    """Per series, positional cut at a = int(n*train) and a + int(n*val)."""
+    """Per series, positional cut at a = int(n*train) and a + int(n*val).  Positions are
+    numbered range by range, so a series of any length is split over tasks."""
     check_ratios(train, val, test)
     k = [keys] if isinstance(keys, str) else list(keys)
     o = [order] if isinstance(order, str) else list(order)
-    pos = F.row_number().over(Window.partitionBy(*k).orderBy(*o)) - 1
-    n = F.count(F.lit(1)).over(Window.partitionBy(*k))
-    a = F.floor(n * F.lit(train))
-    b = a + F.floor(n * F.lit(val))
-    return (df.withColumn("_pos", pos).withColumn("_a", a).withColumn("_b", b)
-            .withColumn("split", F.when(F.col("_pos") < F.col("_a"), "train")
-                        .when(F.col("_pos") < F.col("_b"), "val").otherwise("test"))
-            .drop("_pos", "_a", "_b"))
+    a = F.floor(F.col("_n") * F.lit(train))
+    b = a + F.floor(F.col("_n") * F.lit(val))
+    split = F.when(F.col("_pos") < a, "train").when(F.col("_pos") < b, "val").otherwise("test")
+    return positions(df, k, o).select(*[F.col(f"`{c}`") for c in df.columns], split.alias("split"))
 
 
 def split_report(df: DataFrame, order: str = "Date", target: str = "target") -> DataFrame:

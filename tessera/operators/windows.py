@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import safe_div
+from tessera.operators.ranges import positions, running_sums
 
 
 def _list(x) -> list:
@@ -103,124 +104,89 @@ def position_in_month_finish(mark: str, rn: str, w) -> Column:
     return F.col(rn) - carried + F.lit(1)
 
 
-def lagged_matrix(df: DataFrame, value_cols: Sequence[str], lags: Sequence[int], keys, order,
-                  check_length: bool = True) -> DataFrame:
-    """Original columns then one block per lag; the first max(lags) rows of
-    each series are dropped (they lack a lag).  Output columns are named
-    ``{col}`` and ``{col}_lag{k}``.
-
-    The reference raises when max(lags) >= series length; with
-    ``check_length`` such a series fails the job (``raise_error``) instead of
-    silently producing no rows.
-    """
-    w = series_window(keys, order)
-    m = max(lags)
-    rn = F.row_number().over(w)
-    cols = [F.col(k) for k in _list(keys)] + [F.col(o) for o in _list(order)]
-    cols += [F.col(c) for c in value_cols]
-    for k in lags:
-        cols += [F.lag(F.col(c), k).over(w).alias(f"{c}_lag{k}") for c in value_cols]
-    out = df.select(*cols, rn.alias("_rn"), F.count(F.lit(1)).over(Window.partitionBy(*_list(keys))).alias("_n"))
-    keep = F.col("_rn") > m
-    if check_length:
-        keep = F.when(F.col("_n") > m, F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"max lag ({m}) must be less than the series length"))) & keep
-    return out.where(keep).drop("_rn", "_n")
-
-
-def rolling_matrix(df: DataFrame, value_cols: Sequence[str], windows: Sequence[int],
-                   functions: Sequence[str] = ("mean", "std"), keys="Ticker", order="Date",
-                   check_length: bool = True) -> DataFrame:
-    """Partial-window statistics, column order window -> function -> column,
-    named ``{col}_{fn}{n}``; population std; the series must be longer than
-    max(windows)."""
-    w = series_window(keys, order)
-    m = max(windows)
-    cols = [F.col(k) for k in _list(keys)] + [F.col(o) for o in _list(order)]
-    for n in windows:
-        for fn in functions:
-            cols += [rolling_partial(c, n, fn, w).alias(f"{c}_{fn}{n}") for c in value_cols]
-    out = df.select(*cols)
-    if check_length:
-        # a filter predicate (evaluated for every row; a dropped column would be pruned)
-        n_rows = F.count(F.lit(1)).over(Window.partitionBy(*_list(keys)))
-        out = out.withColumn("_n", n_rows).where(F.when(F.col("_n") > m, F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"max window ({m}) must be less than the series length")))).drop("_n")
-    return out
-
-
 def last_n_rows(df: DataFrame, n: int, keys="Ticker", order="Date") -> DataFrame:
     """the last ``n`` rows of every series (``tail(n)``)."""
     w = Window.partitionBy(*_list(keys)).orderBy(*[F.col(o).desc() for o in _list(order)])
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
-# ---- skew-safe form for raw-row series ----------------------------------------
+# ---- raw-row series ------------------------------------------------------------
 #
 # Windows partitioned by the series key put a whole series into one task.
 # Daily bars are bounded by their number of days, but a raw-row series (one
-# user's events) is not: one key may hold a third of all rows.  For windows
-# with a bounded look-back of H rows the series is cut into position chunks
-# of C rows; the last H rows of each chunk are copied into the next chunk as
-# a halo, windows run per (key, chunk) and the halo rows are dropped.  The
-# results are exactly those of the per-series window.
-#
-# Positions come without a per-series window: rows are counted per (key,
-# bucket) (a partial aggregation), offsets are cumulated over the small
-# bucket table, and rows are numbered within (key, bucket) only.
+# user's events) is not: one key may hold a third of all rows, even on one
+# day.  For windows with bounded look-back and look-ahead the series is cut
+# into chunks of positions (``ranges.positions``, numbered without a window
+# per series); the rows next to each chunk are copied into it as a halo, the
+# windows run per (key, chunk), and the halo rows are dropped.  The results
+# are exactly those of the per-series window.
+
+CHUNK_ROWS = 100_000
 
-def chunk_positions(df: DataFrame, keys, order, bucket: Column, halo: int,
-                    chunk_rows: int = 100_000) -> DataFrame:
+
+def chunk_positions(df: DataFrame, keys, order, before: int, after: int = 0,
+                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``_pos`` (0-based position in the series), ``_n`` (series length),
-    ``_chunk`` and ``_halo``; halo rows appear twice (once as a halo copy)."""
-    k, o = _list(keys), _list(order)
-    if halo >= chunk_rows:
-        raise ValueError("chunk_rows must exceed the look-back")
-    b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy(*k, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*k).orderBy("_bucket")
-    offsets = counts.select(*k, "_bucket",
-                            F.coalesce(F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                       F.lit(0)).alias("_off"),
-                            F.sum("_c").over(Window.partitionBy(*k)).alias("_n"))
-    rn = F.row_number().over(Window.partitionBy(*k, "_bucket").orderBy(*o)) - 1
-    pos = b.withColumn("_rn", rn).join(offsets, k + ["_bucket"]).withColumn("_pos", F.col("_off") + F.col("_rn"))
-    chunk = F.floor(F.col("_pos") / chunk_rows)
-    in_halo = (F.col("_pos") % chunk_rows) >= (chunk_rows - halo)
-    copies = F.when(in_halo, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h")),
-                                     F.struct((chunk + 1).alias("c"), F.lit(True).alias("h")))
-                    ).otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("h"))))
-    out = pos.withColumn("_cp", F.explode(copies))
-    return (out.withColumn("_chunk", F.col("_cp.c")).withColumn("_halo", F.col("_cp.h"))
-            .drop("_cp", "_bucket", "_rn", "_off"))
-
-
-def lagged_matrix_chunked(df: DataFrame, value_cols: Sequence[str], lags: Sequence[int], keys, order,
-                          bucket: Column, chunk_rows: int = 100_000) -> DataFrame:
-    """E9, skew-safe (same rows and values as ``lagged_matrix``)."""
-    m = max(lags)
-    c = chunk_positions(df, keys, order, bucket, m, chunk_rows)
+    ``_chunk`` and ``_halo``; each chunk also holds copies of the last ``before``
+    rows of the one before it and of the first ``after`` rows of the next."""
+    if max(before, after) >= chunk_rows:
+        raise ValueError("chunk_rows must exceed the look-back and the look-ahead")
+    pos = positions(df, _list(keys), _list(order))
+    chunk, at = F.floor(F.col("_pos") / chunk_rows), F.col("_pos") % chunk_rows
+    place = lambda c, halo: F.struct(c.alias("c"), F.lit(halo).alias("h"))
+    copies = [F.array(place(chunk, False)),
+              F.when(at >= chunk_rows - before, F.array(place(chunk + 1, True))),
+              F.when((at < after) & (chunk > 0), F.array(place(chunk - 1, True)))]
+    none = F.array().cast("array<struct<c:bigint,h:boolean>>")
+    out = pos.withColumn("_cp", F.explode(F.concat(*[F.coalesce(c, none) for c in copies])))
+    return out.withColumn("_chunk", F.col("_cp.c")).withColumn("_halo", F.col("_cp.h")).drop("_cp")
+
+
+def by_chunk(df: DataFrame, columns, keys, order, before: int, after: int = 0, chunk_rows: int = CHUNK_ROWS,
+             keep: Column | None = None) -> DataFrame:
+    """Keys, order and ``columns(window)`` per row, windows over chunks; ``keep`` filters by ``_pos`` and ``_n``."""
+    c = chunk_positions(df, keys, order, before, after, chunk_rows)
     w = Window.partitionBy(*_list(keys), "_chunk").orderBy("_pos")
-    cols = [F.col(x) for x in _list(keys) + _list(order) + list(value_cols)]
-    for k in lags:
-        cols += [F.lag(F.col(v), k).over(w).alias(f"{v}_lag{k}") for v in value_cols]
-    ok = F.when(F.col("_n") > m, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"max lag ({m}) must be less than the series length")))
-    return (c.select(*cols, "_pos", "_halo", "_n")
-            .where(ok & ~F.col("_halo") & (F.col("_pos") >= m)).drop("_pos", "_halo", "_n"))
-
-
-def rolling_matrix_chunked(df: DataFrame, value_cols: Sequence[str], windows: Sequence[int],
-                           functions: Sequence[str], keys, order, bucket: Column,
-                           chunk_rows: int = 100_000) -> DataFrame:
-    """E10, skew-safe (same rows and values as ``rolling_matrix``)."""
+    out = c.select(*[F.col(x) for x in _list(keys) + _list(order)], *columns(w), "_pos", "_n", "_halo")
+    out = out.where(~F.col("_halo") if keep is None else keep & ~F.col("_halo"))
+    return out.drop("_pos", "_n", "_halo")
+
+
+def _long_enough(least: int, what: str) -> Column:
+    """A filter predicate (evaluated for every row) that fails the job for a shorter series."""
+    return F.when(F.col("_n") > least, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"{what} ({least}) must be less than the series length")))
+
+
+def lagged_matrix(df: DataFrame, value_cols: Sequence[str], lags: Sequence[int], keys, order,
+                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Original columns then one block per lag; the first max(lags) rows of
+    each series are dropped (they lack a lag).  Output columns are named
+    ``{col}`` and ``{col}_lag{k}``.  A series with max(lags) rows or fewer
+    fails the job instead of silently producing no rows."""
+    m = max(lags)
+    columns = lambda w: [F.col(c) for c in value_cols] + [
+        F.lag(F.col(c), k).over(w).alias(f"{c}_lag{k}") for k in lags for c in value_cols]
+    return by_chunk(df, columns, keys, order, m, 0, chunk_rows,
+                    _long_enough(m, "max lag") & (F.col("_pos") >= m))
+
+
+def rolling_matrix(df: DataFrame, value_cols: Sequence[str], windows: Sequence[int],
+                   functions: Sequence[str] = ("mean", "std"), keys="Ticker", order="Date",
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Partial-window statistics, column order window -> function -> column,
+    named ``{col}_{fn}{n}``; population std; the series must be longer than
+    max(windows)."""
     m = max(windows)
-    c = chunk_positions(df, keys, order, bucket, m - 1, chunk_rows)
-    w = Window.partitionBy(*_list(keys), "_chunk").orderBy("_pos")
-    cols = [F.col(x) for x in _list(keys) + _list(order)]
-    for n in windows:
-        for fn in functions:
-            cols += [rolling_partial(v, n, fn, w).alias(f"{v}_{fn}{n}") for v in value_cols]
-    ok = F.when(F.col("_n") > m, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"max window ({m}) must be less than the series length")))
-    return c.select(*cols, "_halo", "_n").where(ok & ~F.col("_halo")).drop("_halo", "_n")
+    columns = lambda w: [rolling_partial(c, n, fn, w).alias(f"{c}_{fn}{n}")
+                         for n in windows for fn in functions for c in value_cols]
+    return by_chunk(df, columns, keys, order, m - 1, 0, chunk_rows, _long_enough(m, "max window"))
+
+
+def running_mean(df: DataFrame, col: str, keys, order, default: float = 0.0) -> DataFrame:
+    """E6 on raw-row series: ``df`` with ``{col}_expanding``, the mean of the non-null values
+    so far (``default`` before the first)."""
+    seen = df.withColumn("_seen", F.col(col).isNotNull().cast("long"))
+    sums = running_sums(seen, _list(keys), _list(order), [col, "_seen"])
+    mean = F.coalesce(F.try_divide(F.col(f"cum_{col}"), F.col("cum__seen")), F.lit(default))
+    return sums.select(*df.columns, mean.alias(f"{col}_expanding"))

@@ -68,6 +68,29 @@ def test_sliding_sequences_skip_short_series(spark):
     assert len(s) == 6 and all(r["Ticker"] == "a" for r in s)
 
 
+def test_caps_and_samples_are_spread_by_hash(spark):
+    rows = [(f"s{i % 7}", i, float(i)) for i in range(700)]
+    df = spark.createDataFrame(rows, "Ticker string, Date int, x double")
+    got = Q.capped(df, 70, 1).collect()
+    assert len(got) == 70 and len({r["Ticker"] for r in got}) == 7
+    import hashlib
+    order = sorted(rows, key=lambda r: hashlib.md5(f"1|{r[0]}|{r[1]}".encode()).hexdigest())
+    assert {(r["Ticker"], r["Date"]) for r in got} == {r[:2] for r in order[:70]}
+    again = Q.sample_rows(df.repartition(5), 70, 1, ["Ticker", "Date"]).collect()
+    assert set(map(tuple, again)) == set(map(tuple, got))
+    assert Q.capped(df, 10_000).count() == 700
+    pos = Q.sample_positions(df, 0.1, 3)
+    assert {r["Ticker"]: r["n"] for r in pos.groupBy("Ticker").agg(F.count("*").alias("n")).collect()} == {
+        f"s{i}": 10 for i in range(7)}
+
+
+def test_latest_sequence_uses_the_last_rows(spark):
+    rows = [("a", i, float(i)) for i in range(30)] + [("b", i, float(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "Ticker string, Date int, x double")
+    got = Q.latest_sequence(df, ["x"], 5).collect()
+    assert len(got) == 1 and got[0]["Date"] == 29 and got[0]["X"] == [[float(i)] for i in range(25, 30)]
+
+
 def test_window_matrices_fail_on_short_series(spark):
     df, _ = _series(spark, 4, 2)
     with pytest.raises(Exception):
