@@ -4,13 +4,12 @@ Input: a prediction table with an ``Actual`` 0/1 column, a ``Probability``
 score and optional group keys (split, Ticker, model ...).
 
 Scale notes.  Everything is a grouped aggregate (partial aggregation before
-the shuffle).  Curves (ROC, PR, threshold scans) first collapse the table to
-a *score histogram* -- one row per (group, distinct score) with positive and
-negative counts -- and run their cumulative windows over that histogram;
-scores are rounded probabilities, so a group has at most 10,001 distinct
-scores whatever the number of predictions.  No prediction-level window is
-un-partitioned, and no table is cross-joined with thresholds: a score is
-assigned to its threshold bucket arithmetically.
+the shuffle).  Curves (ROC, PR) and order statistics first collapse the table
+to a *score histogram*, one row per (group, distinct score), and cumulate it
+range by range (``ranges.running_sums``), so neither a group nor the number of
+distinct scores has to fit a task.  No table is cross-joined with thresholds:
+a score is assigned to its threshold bucket arithmetically, and statistics of
+a few groups are applied as literals.
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranges import quantiles, running_sums, with_group_values
+
 ACT, PROB, PRED = "Actual", "Probability", "Predicted"
 
 
@@ -104,21 +105,22 @@ def score_histogram(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
             .agg(F.count_if(a == 1).alias("pos"), F.count_if(a == 0).alias("neg")))
 
 
+def _cumulated(df: DataFrame, g: list[str], score: str) -> DataFrame:
+    """(groups, threshold, pos, neg, tps, fps, P, N) per distinct score, descending."""
+    h = running_sums(score_histogram(df, g, score), g, F.col(score).desc(), ["pos", "neg"])
+    return h.select(*g, F.col(score).alias("threshold"), "pos", "neg", F.col("cum_pos").alias("tps"),
+                    F.col("cum_neg").alias("fps"), F.col("all_pos").alias("P"), F.col("all_neg").alias("N"))
+
+
 def roc_curve(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
     """(fpr, tpr, threshold) at every distinct score, descending, plus the
     (0, 0) point with threshold NULL (= +inf).  Ties share one point."""
     g = _g(groups)
-    h = score_histogram(df, g, score)
-    w = Window.partitionBy(*g).orderBy(F.col(score).desc())
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy(*g)
-    pts = h.select(*g, F.col(score).alias("threshold"),
-                   F.sum("pos").over(cum).alias("tps"), F.sum("neg").over(cum).alias("fps"),
-                   F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
-    origin = (h.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    pts = _cumulated(df, g, score)
+    origin = (pts.groupBy(*g).agg(F.max("P").alias("P"), F.max("N").alias("N"))
               .select(*g, F.lit(None).cast("double").alias("threshold"), F.lit(0).cast("bigint").alias("tps"),
                       F.lit(0).cast("bigint").alias("fps"), "P", "N"))
-    allp = pts.unionByName(origin)
+    allp = pts.select(*g, "threshold", "tps", "fps", "P", "N").unionByName(origin)
     return allp.select(*g, "threshold", "tps", "fps",
                        F.try_divide(F.col("fps"), F.col("N")).alias("fpr"),
                        F.try_divide(F.col("tps"), F.col("P")).alias("tpr"))
@@ -126,33 +128,23 @@ def roc_curve(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
 
 def roc_auc(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
     """Exact area under the ROC curve (trapezoids; ties handled); NULL
-    when a group has a single class."""
+    when a group has a single class.  Each point's trapezoid needs only its
+    own counts: width neg / N, mean height (2 tps - pos) / 2P."""
     g = _g(groups)
-    curve = roc_curve(df, g, score)
-    w = Window.partitionBy(*g).orderBy(F.col("fps"), F.col("tps"))
-    area = (F.col("fpr") - F.lag("fpr").over(w)) * (F.col("tpr") + F.lag("tpr").over(w)) / 2
-    # a single-class group has NULL rates, hence NULL areas and a NULL sum
-    return curve.select(*g, area.alias("a")).groupBy(*g).agg(F.sum("a").alias("auc"))
+    area = F.try_divide(F.col("neg") * (2 * F.col("tps") - F.col("pos")), 2.0 * F.col("P") * F.col("N"))
+    return _cumulated(df, g, score).select(*g, area.alias("a")).groupBy(*g).agg(F.sum("a").alias("auc"))
 
 
 def pr_curve(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
-    """Precision / recall / F1 (= 2pr/(p+r+1e-10)) at each distinct score
-    down to the first score reaching full recall; the end point (precision 1,
+    """Precision / recall / F1 (= 2pr/(p+r+1e-10)) at every distinct score;
+    recall is 1 for a group without positives; the end point (precision 1,
     recall 0) has threshold NULL."""
     g = _g(groups)
-    h = score_histogram(df, g, score)
-    w = Window.partitionBy(*g).orderBy(F.col(score).desc())
-    cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pts = h.select(*g, F.col(score).alias("threshold"),
-                   F.sum("pos").over(cum).alias("tps"), F.sum("neg").over(cum).alias("fps"),
-                   F.sum("pos").over(Window.partitionBy(*g)).alias("P"))
-    # keep scores down to the first one where every positive is reached
-    prev_tps = F.lag("tps").over(Window.partitionBy(*g).orderBy(F.col("threshold").desc()))
-    pts = pts.withColumn("_keep", prev_tps.isNull() | (prev_tps < F.col("P"))).where("_keep").drop("_keep")
+    pts = _cumulated(df, g, score)
     prec = F.try_divide(F.col("tps"), F.col("tps") + F.col("fps"))
-    rec = F.try_divide(F.col("tps"), F.col("P"))
+    rec = F.coalesce(F.try_divide(F.col("tps"), F.col("P")), F.lit(1.0))
     body = pts.select(*g, "threshold", prec.alias("precision"), rec.alias("recall"))
-    end = (h.groupBy(*g).agg(F.lit(1).alias("_one"))
+    end = (pts.groupBy(*g).agg(F.lit(1).alias("_one"))
            .select(*g, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
                    F.lit(0.0).alias("recall")))
     out = body.unionByName(end)
@@ -250,15 +242,85 @@ def per_group_performance(df: DataFrame, key: str = "Ticker", groups=(), pred: s
         "accuracy", "precision", "recall", "f1")
 
 
+def threshold_candidates(df: DataFrame, score: str = PROB) -> dict[str, float]:
+    """The thresholds of the four methods on one table (three scalars to the driver)."""
+    return {"default": 0.5, "best F1": best_f1_threshold(threshold_scan(df, score=score)).first()["threshold"],
+            "Youden": youden_threshold(df, score=score).first()["threshold"],
+            "PR curve": pr_best_threshold(df, score=score).first()["threshold"]}
+
+
+def default_vs_best(val: DataFrame, test: DataFrame, score: str = PROB) -> DataFrame:
+    """(metric, default, optimal, improvement, improvement_pct) on ``test`` at 0.5 (strict)
+    and at the method with the best F1 on ``val`` (inclusive; the first of equals)."""
+    methods = threshold_candidates(val, score)
+    f1 = {r["method"]: r["f1"] for r in metrics_at(val, methods, score=score).collect()}
+    best = max(methods, key=lambda m: f1[m])               # max keeps the first of equals
+    s = F.col(score)
+    both = test.agg(*[c.alias(f"d_{n}") for c, n in zip(confusion_counts((s > 0.5).cast("int")), ("tp", "fp", "tn", "fn"))],
+                    *[c.alias(f"o_{n}") for c, n in zip(confusion_counts((s >= F.lit(methods[best])).cast("int")),
+                                                        ("tp", "fp", "tn", "fn"))])
+    side = lambda x, name: F.struct(F.lit(name).alias("side"), *[F.col(f"{x}_{n}").alias(n) for n in ("tp", "fp", "tn", "fn")])
+    rates = with_rates(both.select(F.inline(F.array(side("d", "default"), side("o", "optimal")))))
+    names = ["accuracy", "precision", "recall", "f1"]
+    long = rates.unpivot(["side"], names, "metric", "v")
+    out = long.groupBy("metric").agg(F.max(F.when(F.col("side") == "default", F.col("v"))).alias("default"),
+                                     F.max(F.when(F.col("side") == "optimal", F.col("v"))).alias("optimal"))
+    gain = F.col("optimal") - F.col("default")
+    return out.select("metric", "default", "optimal", gain.alias("improvement"),
+                      F.try_divide(gain * 100, F.col("default")).alias("improvement_pct"))
+
+
 def top_bottom(df: DataFrame, by: str, k: int, key: str = "Ticker", groups=()) -> DataFrame:
-    """best and worst ``k`` rows per group by ``by`` (ties broken by key)."""
+    """the best and the worst ``k`` rows per group by ``by`` (ties broken by key).
+
+    Two full lists: a row that is among both has a row in each."""
     g = _g(groups)
-    best = Window.partitionBy(*g).orderBy(F.col(by).desc(), F.col(key))
-    worst = Window.partitionBy(*g).orderBy(F.col(by).asc(), F.col(key))
-    r = df.select("*", F.row_number().over(best).alias("_b"), F.row_number().over(worst).alias("_w"))
-    return (r.where((F.col("_b") <= k) | (F.col("_w") <= k))
-            .select("*", F.when(F.col("_b") <= k, "best").otherwise("worst").alias("rank_side"))
-            .drop("_b", "_w"))
+    sides = []
+    for side, order in (("best", F.col(by).desc()), ("worst", F.col(by).asc())):
+        r = F.row_number().over(Window.partitionBy(*g).orderBy(order, F.col(key)))
+        sides.append(df.select("*", r.alias("_r")).where(F.col("_r") <= k).drop("_r")
+                     .select("*", F.lit(side).alias("rank_side")))
+    return sides[0].unionByName(sides[1])
+
+
+def model_results(scores: DataFrame, model: str = "model", split: str = "split", score: str = "p") -> DataFrame:
+    """Per model and split: accuracy (percent), per-class accuracies and log loss."""
+    from tessera.operators.losses import bce
+    y, p = F.col(ACT), F.col(score)
+    return scores.groupBy(model, split).agg(
+        (F.avg(((p > 0.5).cast("int") == y).cast("double")) * 100).alias("acc"),
+        (F.avg(F.when(y == 0, (p <= 0.5).cast("double"))) * 100).alias("acc0"),
+        (F.avg(F.when(y == 1, (p > 0.5).cast("double"))) * 100).alias("acc1"),
+        bce(p, y.cast("double")).alias("loss"))
+
+
+def model_leaderboard(results: DataFrame) -> DataFrame:
+    """K21, training form: validation next to training accuracy, class balance and gap."""
+    v = results.where(F.col("split") == "val").drop("split")
+    t = results.where(F.col("split") == "train").select("model", F.col("acc").alias("tacc"))
+    out = v.join(t, "model").select(
+        "model", F.col("acc").alias("val_accuracy"), F.col("tacc").alias("train_accuracy"),
+        F.col("acc0").alias("class0_accuracy"), F.col("acc1").alias("class1_accuracy"),
+        (F.lit(100.0) - F.abs(F.col("acc0") - F.col("acc1"))).alias("balance"),
+        (F.col("tacc") - F.col("acc")).alias("generalisation_gap"))
+    return out.orderBy(F.col("val_accuracy").desc(), "model")
+
+
+def model_losses(results: DataFrame) -> DataFrame:
+    """K21, evaluation form: models ranked by validation loss, with the test loss and accuracies."""
+    v = results.where(F.col("split") == "val").select("model", F.col("loss").alias("val_loss"),
+                                                      F.col("acc").alias("val_accuracy"))
+    t = results.where(F.col("split") == "test").select("model", F.col("loss").alias("test_loss"),
+                                                       F.col("acc").alias("test_accuracy"))
+    rank = F.row_number().over(Window.orderBy("val_loss", "model"))          # one row per model
+    return v.join(t, "model").withColumn("rank", rank).orderBy("rank")
+
+
+def compare_results(results: DataFrame, left: str = "val", right: str = "test") -> DataFrame:
+    """Two model-result tables joined on the model, with the change."""
+    a = results.where(F.col("split") == left).select("model", F.col("acc").alias(f"{left}_accuracy"))
+    b = results.where(F.col("split") == right).select("model", F.col("acc").alias(f"{right}_accuracy"))
+    return a.join(b, "model").withColumn("accuracy_change", F.col(f"{right}_accuracy") - F.col(f"{left}_accuracy"))
 
 
 def prediction_table(df: DataFrame, order: str = "Date", pred: str = PRED) -> DataFrame:
@@ -276,27 +338,24 @@ def accuracy_by(df: DataFrame, part: str, groups=()) -> DataFrame:
 
 def summary_of(df: DataFrame, col: str, groups=(), sample: bool = True) -> DataFrame:
     """D8 (sample std) / D9 (population std + median): summary statistics."""
+    g = _g(groups)
     std = F.stddev_samp(col) if sample else F.stddev_pop(col)
-    aggs = [F.avg(col).alias("mean"), std.alias("std"), F.min(col).alias("min"), F.max(col).alias("max")]
-    if not sample:
-        aggs.append(F.median(col).alias("median"))
-    return df.groupBy(*_g(groups)).agg(*aggs)
+    out = df.groupBy(*g).agg(F.avg(col).alias("mean"), std.alias("std"), F.min(col).alias("min"),
+                             F.max(col).alias("max"))
+    if sample:
+        return out
+    middle = quantiles(df, col, g, [0.5]).withColumnRenamed("value", "median")
+    return with_group_values(out, middle, g, ["median"])
 
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)  # fixed values
 
 
 def percentiles(df: DataFrame, col: str, groups=(), qs: Sequence[int] = PERCENTILES) -> DataFrame:
-    """Exact linearly interpolated percentiles, one row per level.
-
-    ``percentile`` keeps a count per distinct value; on rounded scores that is
-    at most 10,001 entries per group.
-    """
+    """Exact linearly interpolated percentiles, one row per level."""
     g = _g(groups)
-    arr = F.percentile(F.col(col), F.array(*[F.lit(q / 100.0) for q in qs]))
-    return (df.groupBy(*g).agg(arr.alias("_v"))
-            .select(*g, F.inline(F.arrays_zip(F.array(*[F.lit(q) for q in qs]).alias("pct"),
-                                              F.col("_v").alias("value")))))
+    found = quantiles(df, col, g, [q / 100.0 for q in qs])
+    return found.select(*g, F.round(F.col("q") * 100).cast("int").alias("pct"), "value")
 
 
 BUCKET_EDGES = (0.1, 0.3, 0.5, 0.7, 0.9)  # fixed values: <.1, .1-.3, ..., >=.9
@@ -328,12 +387,8 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, groups=(), by=())
     """``bins`` equal-width bins between the column's min and max (last
     bin closed), counts per bin (and per ``by`` class)."""
     g, b = _g(groups), _g(by)
-    if g:
-        rng = df.groupBy(*g).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-        j = df.join(rng, g, "inner")
-    else:   # one global range: two scalars (no join, no cross product)
-        r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-        j = df.withColumn("_lo", F.lit(r["lo"])).withColumn("_hi", F.lit(r["hi"]))
+    rng = df.groupBy(*g).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+    j = with_group_values(df, rng, g, ["_lo", "_hi"])
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
@@ -344,9 +399,6 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, groups=(), by=())
 def median_threshold_predictions(df: DataFrame, col: str = PROB, groups=()) -> DataFrame:
     """t = median score (per group); prediction = score > t."""
     g = _g(groups)
-    if not g:   # one global median: a scalar (no join, no cross product)
-        t = df.agg(F.median(col).alias("m")).first()["m"]
-        return (df.withColumn("median_threshold", F.lit(t).cast("double"))
-                .withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int")))
-    med = df.groupBy(*g).agg(F.median(col).alias("median_threshold"))
-    return df.join(med, g).withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int"))
+    middle = quantiles(df, col, g, [0.5]).withColumnRenamed("value", "median_threshold")
+    return (with_group_values(df, middle, g, ["median_threshold"])
+            .withColumn("Pred", (F.col(col) > F.col("median_threshold")).cast("int")))

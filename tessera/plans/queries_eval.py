@@ -1,43 +1,41 @@
 """Queries over forecast evaluation.
 
-Scores: ``Probability = round(sigmoid((rsi - 50) / 10), 4)`` on the labelled,
-split panel (``Actual`` = forward label); a second, imbalanced source scores
-documents by length against their quality label.
+Scores: ``Probability`` is the position of the close in its 50-row price range
+(a feature in [0, 1] made of exact IEEE steps, so the full, unrounded doubles
+compare between engines) on the labelled, split panel (``Actual`` = forward
+label); a second, imbalanced source scores documents by length against their
+quality label.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import sigmoid
 from tessera.operators import metrics as M
 from tessera.operators.features import build_features
 from tessera.plans.catalog import register
 from tessera.plans.oracle_sql import PANEL_CTES, with_
 from tessera.plans.queries_panel import panel
+from tessera.session import materialize
 from tessera.sources.tables import read_table
 
 _RW = 'PARTITION BY split, "Ticker" ORDER BY "Date"'
-PRED_SQL = f"""rsi_d AS (SELECT split, "Ticker", "Date", target,
-    "Close" - lag("Close") OVER ({_RW}) AS delta FROM panel),
-rsi_a AS (SELECT *,
-    CASE WHEN count(g) OVER f14 >= 14 THEN avg(g) OVER f14 END AS ag,
-    CASE WHEN count(l) OVER f14 >= 14 THEN avg(l) OVER f14 END AS al
-  FROM (SELECT *, CASE WHEN delta > 0 THEN delta ELSE 0.0 END AS g,
-               CASE WHEN delta < 0 THEN -delta ELSE 0.0 END AS l FROM rsi_d)
-  WINDOW f14 AS ({_RW} ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)),
+PRED_SQL = f"""pos_a AS (SELECT split, "Ticker", "Date", target, "Close",
+    CASE WHEN count("Close") OVER f50 >= 50 THEN min("Close") OVER f50 END AS lo,
+    CASE WHEN count("Close") OVER f50 >= 50 THEN max("Close") OVER f50 END AS hi
+  FROM panel WINDOW f50 AS ({_RW} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)),
+pos_b AS (SELECT *, CASE WHEN (hi - lo) + 1e-8 = 0 THEN NULL ELSE ("Close" - lo) / ((hi - lo) + 1e-8) END AS x FROM pos_a),
 pred AS (SELECT split, "Ticker", "Date", target AS "Actual", p AS "Probability",
     CAST(p > 0.5 AS INTEGER) AS "Predicted" FROM (
-  SELECT *, round(1.0 / (1.0 + exp(-(rsi - 50.0) / 10.0)), 4) AS p FROM (
-    SELECT *, CASE WHEN ag IS NULL OR al IS NULL THEN 50.0
-                   WHEN al = 0 THEN CASE WHEN ag > 0 THEN 100.0 ELSE 50.0 END
-                   ELSE 100.0 - 100.0 / (1.0 + ag / al) END AS rsi FROM rsi_a)))"""
+  SELECT *, coalesce(last_value(x IGNORE NULLS) OVER ({_RW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                     first_value(x IGNORE NULLS) OVER ({_RW} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
+                     0.0) AS p FROM pos_b))"""
 P = with_(*PANEL_CTES, PRED_SQL)
 
 
 def predictions(spark, sf_dir):
-    f = build_features(panel(spark, sf_dir)).select("split", "Ticker", "Date", "target", "rsi")
-    p = F.round(sigmoid((F.col("rsi") - F.lit(50.0)) / F.lit(10.0)), 4)
+    f = build_features(panel(spark, sf_dir)).select("split", "Ticker", "Date", "target", "price_position_50")
+    p = F.col("price_position_50")
     return f.select("split", "Ticker", "Date", F.col("target").alias("Actual"), p.alias("Probability"),
                     (p > 0.5).cast("int").alias("Predicted"))
 
@@ -127,10 +125,8 @@ cum AS (SELECT split, "Probability" AS threshold,
          sum(pos) OVER (PARTITION BY split ORDER BY "Probability" DESC ROWS UNBOUNDED PRECEDING) AS tps,
          sum(neg) OVER (PARTITION BY split ORDER BY "Probability" DESC ROWS UNBOUNDED PRECEDING) AS fps,
          sum(pos) OVER (PARTITION BY split) AS "P" FROM hist),
-kept AS (SELECT * FROM (SELECT *, lag(tps) OVER (PARTITION BY split ORDER BY threshold DESC) AS prev FROM cum)
-         WHERE prev IS NULL OR prev < "P"),
 prc AS (SELECT split, threshold, CASE WHEN tps + fps = 0 THEN NULL ELSE tps / (tps + fps) END AS precision,
-               CASE WHEN "P" = 0 THEN NULL ELSE tps / "P" END AS recall FROM kept
+               CASE WHEN "P" = 0 THEN 1.0 ELSE tps / "P" END AS recall FROM cum
         UNION ALL SELECT split, NULL, 1.0, 0.0 FROM hist GROUP BY split),
 prf AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-10) AS f1 FROM prc)"""
 
@@ -178,38 +174,40 @@ def q_pr_best(spark, sf_dir):
     return b.select("split", "threshold", (F.round("f1", 12) + 0.0).alias("f1"))
 
 
-def _val_thresholds(pred):
-    """K16 candidates from the validation split (three scalars to the driver)."""
-    val = pred.where(F.col("split") == "val")
-    f1 = M.best_f1_threshold(M.threshold_scan(val)).first()["threshold"]
-    yj = M.youden_threshold(val).first()["threshold"]
-    prt = M.pr_best_threshold(val).first()["threshold"]
-    return {"Default (0.5)": 0.5, "F1-Maximized": f1, "Youden's J": yj, "PR-Curve": prt}
+_CAND = _ROC + ",\n" + _PRC.replace(_HIST + ",\n", "") + ",\n" + _SCAN + f""",
+cand AS (SELECT 1 AS ord, 'default' AS method, 0.5::DOUBLE AS threshold
+  UNION ALL SELECT 2, 'best F1', arg_min(threshold, (-f1, threshold)) FROM ({_rates("scan", "split, threshold, ")}) WHERE split = 'val'
+  UNION ALL SELECT 3, 'Youden', arg_max(threshold, (tpr - fpr, threshold)) FROM rocr WHERE threshold IS NOT NULL AND split = 'val'
+  UNION ALL SELECT 4, 'PR curve', coalesce(arg_max(threshold, (f1, -coalesce(threshold, 2.0))), 0.5) FROM prf WHERE split = 'val'),
+at_c AS (SELECT split, ord, method, threshold,
+    count_if("Probability" >= threshold AND "Actual" = 1) AS tp, count_if("Probability" >= threshold AND "Actual" = 0) AS fp,
+    count_if("Probability" < threshold AND "Actual" = 0) AS tn, count_if("Probability" < threshold AND "Actual" = 1) AS fn
+  FROM pred, cand GROUP BY ALL),
+at_r AS ({_rates("at_c", "split, ord, method, threshold, ")})"""
 
 
-@register("eval_threshold_methods")
+@register("eval_threshold_methods", PR + _CAND + "\nSELECT * EXCLUDE (ord) FROM at_r")
 def q_methods(spark, sf_dir):
-    pred = predictions(spark, sf_dir)
-    return M.metrics_at(pred, _val_thresholds(pred), "split")
-
-
-@register("eval_default_vs_optimal")
+    """The four methods' thresholds from the validation split, on every split."""
+    pred = materialize(predictions(spark, sf_dir))
+    return M.metrics_at(pred, M.threshold_candidates(pred.where(F.col("split") == "val")), "split")
+
+
+@register("eval_default_vs_optimal", PR + _CAND + f""",
+best AS (SELECT arg_min(threshold, (-f1, ord)) AS threshold FROM at_r WHERE split = 'val'),
+both_ AS (SELECT 'default' AS side, count_if("Probability" > 0.5 AND "Actual" = 1) AS tp, count_if("Probability" > 0.5 AND "Actual" = 0) AS fp,
+    count_if("Probability" <= 0.5 AND "Actual" = 0) AS tn, count_if("Probability" <= 0.5 AND "Actual" = 1) AS fn FROM pred WHERE split = 'test'
+  UNION ALL SELECT 'optimal', count_if("Probability" >= threshold AND "Actual" = 1), count_if("Probability" >= threshold AND "Actual" = 0),
+    count_if("Probability" < threshold AND "Actual" = 0), count_if("Probability" < threshold AND "Actual" = 1) FROM pred, best WHERE split = 'test'),
+lng AS (UNPIVOT ({_rates("both_", "side, ")}) ON accuracy, precision, recall, f1 INTO NAME metric VALUE v),
+wide AS (SELECT metric, max(v) FILTER (WHERE side = 'default') AS "default", max(v) FILTER (WHERE side = 'optimal') AS optimal
+  FROM lng GROUP BY metric)
+SELECT metric, "default", optimal, optimal - "default" AS improvement,
+       CASE WHEN "default" = 0 THEN NULL ELSE (optimal - "default") * 100 / "default" END AS improvement_pct FROM wide""")
 def q_default_vs_optimal(spark, sf_dir):
     """Test split at 0.5 (strict) vs the best validation method (inclusive)."""
-    pred = predictions(spark, sf_dir).cache()
-    cands = M.metrics_at(pred.where(F.col("split") == "val"), _val_thresholds(pred))
-    best = cands.orderBy(F.col("f1").desc(), F.col("threshold")).first()
-    test = pred.where(F.col("split") == "test")
-    d = M.binary_metrics(test, (), 0.5, inclusive=False)
-    o = M.metrics_at(test, {best["method"]: best["threshold"]})
-    cols = ["accuracy", "precision", "recall", "f1"]
-    rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"d_{c}").alias("default"),
-                              F.col(f"o_{c}").alias("optimal")) for c in cols])
-    both = (d.select(F.lit(1).alias("k"), *[F.col(c).alias(f"d_{c}") for c in cols])
-            .join(o.select(F.lit(1).alias("k"), *[F.col(c).alias(f"o_{c}") for c in cols]), "k"))
-    out = both.select(F.inline(rows))
-    return out.select("*", (F.col("optimal") - F.col("default")).alias("improvement"),
-                      F.try_divide((F.col("optimal") - F.col("default")) * 100, F.col("default")).alias("improvement_pct"))
+    pred = materialize(predictions(spark, sf_dir))
+    return M.default_vs_best(pred.where(F.col("split") == "val"), pred.where(F.col("split") == "test"))
 
 
 @register("eval_ticker_performance", P + f"""
@@ -225,8 +223,8 @@ def q_ticker_perf(spark, sf_dir):
 t AS (SELECT split, "Ticker", tp + fp + tn + fn AS samples, {_zd('tp + tn', 'tp + fp + tn + fn')} AS accuracy FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY accuracy DESC, "Ticker") AS b,
              row_number() OVER (PARTITION BY split ORDER BY accuracy ASC, "Ticker") AS w FROM t)
-SELECT split, "Ticker", samples, accuracy, CASE WHEN b <= 10 THEN 'best' ELSE 'worst' END AS rank_side
-FROM r WHERE b <= 10 OR w <= 10""")
+SELECT split, "Ticker", samples, accuracy, 'best' AS rank_side FROM r WHERE b <= 10
+UNION ALL SELECT split, "Ticker", samples, accuracy, 'worst' FROM r WHERE w <= 10""")
 def q_best_worst(spark, sf_dir):
     t = M.per_group_performance(predictions(spark, sf_dir), "Ticker", "split").select(
         "split", "Ticker", "samples", "accuracy")
@@ -318,8 +316,8 @@ def q_median(spark, sf_dir):
 # ---- second, imbalanced source: document quality scored by length -----------
 
 DOC_SQL = """WITH pred AS (SELECT d.doc_id, l.quality AS "Actual",
-    round(d.n_chars / (d.n_chars + 2000.0), 4) AS "Probability",
-    CAST(round(d.n_chars / (d.n_chars + 2000.0), 4) > 0.5 AS INTEGER) AS "Predicted"
+    d.n_chars / (d.n_chars + 2000.0::DOUBLE) AS "Probability",
+    CAST(d.n_chars / (d.n_chars + 2000.0::DOUBLE) > 0.5 AS INTEGER) AS "Predicted"
   FROM labels l JOIN documents d USING (doc_id))
 """
 
@@ -327,7 +325,7 @@ DOC_SQL = """WITH pred AS (SELECT d.doc_id, l.quality AS "Actual",
 def doc_predictions(spark, sf_dir):
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     doc = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    p = F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0)), 4)
+    p = F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))
     return lab.join(doc, "doc_id").select("doc_id", F.col("quality").alias("Actual"), p.alias("Probability"),
                                            (p > 0.5).cast("int").alias("Predicted"))
 

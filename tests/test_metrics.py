@@ -57,13 +57,47 @@ def test_zero_division_is_zero(spark):
     assert r["precision"] == 0.0 and r["f1"] == 0.0
 
 
-def test_pr_curve_end_point(spark):
+def test_pr_curve_is_whole(spark):
     df = _pred(spark, [1, 0, 1, 0], [0.9, 0.8, 0.7, 0.1])
     c = M.pr_curve(df, "split").toPandas()
     end = c[c.threshold.isna()].iloc[0]
     assert end["precision"] == 1.0 and end["recall"] == 0.0
-    # curve stops at the first score reaching full recall (0.7): 0.1 is not a point
-    assert 0.1 not in set(c.threshold.dropna())
+    body = c.dropna(subset=["threshold"]).sort_values("threshold", ascending=False)
+    assert body["threshold"].tolist() == [0.9, 0.8, 0.7, 0.1]       # also below the first full recall
+    assert np.allclose(body["precision"], [1, 1 / 2, 2 / 3, 2 / 4]) and np.allclose(body["recall"], [.5, .5, 1, 1])
+    none = M.pr_curve(_pred(spark, [0, 0], [0.3, 0.6]), "split").toPandas().dropna(subset=["threshold"])
+    assert (none["recall"] == 1.0).all() and (none["precision"] == 0.0).all()
+
+
+def test_curves_on_unrounded_scores_with_ties(spark):
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 800)
+    p = np.where(rng.random(800) < .4, 1 / 3, rng.random(800))
+    df = _pred(spark, y, p)
+    assert abs(M.roc_auc(df, "split").first()["auc"] - _auc_brute(y, p)) < 1e-12
+    assert abs(M.roc_auc(df).first()["auc"] - _auc_brute(y, p)) < 1e-12
+    roc = M.roc_curve(df, "split").toPandas()
+    assert len(roc) == len(set(p)) + 1
+    at = roc[roc.threshold == 1 / 3].iloc[0]
+    assert at["tps"] == ((p >= 1 / 3) & (y == 1)).sum() and at["fps"] == ((p >= 1 / 3) & (y == 0)).sum()
+    q = {r["pct"]: r["value"] for r in M.percentiles(df, "Probability", "split").collect()}
+    assert all(np.isclose(q[k], np.percentile(p, k)) for k in M.PERCENTILES)
+    s = M.summary_of(df, "Probability", "split", sample=False).first()
+    assert np.isclose(s["median"], np.median(p)) and np.isclose(s["std"], p.std())
+
+
+def test_best_and_worst_lists_are_both_whole(spark):
+    df = spark.createDataFrame([("g", f"t{i}", i / 10) for i in range(5)], "split string, Ticker string, accuracy double")
+    got = {(r["rank_side"], r["Ticker"]) for r in M.top_bottom(df, "accuracy", 3, "Ticker", "split").collect()}
+    assert got == {("best", "t4"), ("best", "t3"), ("best", "t2"), ("worst", "t0"), ("worst", "t1"), ("worst", "t2")}
+
+
+def test_default_vs_best_takes_the_first_of_equal_methods(spark):
+    val = _pred(spark, [0, 0, 1, 1], [0.1, 0.2, 0.8, 0.9])
+    assert M.threshold_candidates(val)["default"] == 0.5
+    out = {r["metric"]: r for r in M.default_vs_best(val, val).collect()}
+    assert set(out) == {"accuracy", "precision", "recall", "f1"}
+    assert all(r["default"] == 1.0 and r["optimal"] == 1.0 and r["improvement"] == 0.0 for r in out.values())
 
 
 def test_global_median_threshold_and_histogram(spark):
