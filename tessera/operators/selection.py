@@ -2,11 +2,10 @@
 
 K1 re-aimed: the reference estimates mutual information with a k-NN
 estimator on a 500k-row sample.  Here MI is computed on *all* rows from an
-equal-width binning of each feature: per-feature (min, max) in one wide
-aggregate (2 numbers per feature reach the driver), bin ids in a
-projection, then one contingency aggregation over (feature, bin, class) --
-partial aggregation keeps the shuffle at #features x #bins x #classes rows.
-The numbers differ from k-NN estimates; the ranking role is the same.
+equal-width binning of each feature: (min, max) per feature in one Summarizer
+pass, then contingency counts of (feature, bin, class) that each task sums
+before the shuffle.  The numbers differ from k-NN estimates; the ranking role
+is the same.
 
 K2 uses ``corr`` aggregates (a single pass; Spark's co-moment update is
 numerically stable) and K3 works on the two small result tables.
@@ -28,49 +27,78 @@ ALWAYS_KEEP = "ticker_mean_return_30d"
 
 
 def long_format(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Unpivot feature columns to (keep..., feature, x): a narrow table whose
-    per-feature aggregates stay small expressions (a 100+-column aggregate
-    makes Catalyst and code generation slow)."""
+    """Unpivot a few columns to (keep..., feature, x)."""
     wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in features])
     return wide.unpivot(list(keep), list(features), "feature", "x")
 
 
+def column_summary(df: DataFrame, features: Sequence[str], *metrics: str) -> DataFrame:
+    """One row with an array per metric (``pyspark.ml.stat.Summarizer``) over the feature
+    columns and the count ``n``: one pass, partial vectors per task.  A NULL or NaN fails the job."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="error").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in features]))
+    s = vec.select(Summarizer.metrics(*metrics, "count").summary(F.col("_v")).alias("s"))
+    return s.select(*[vector_to_array(F.col(f"s.{m}")).alias(m) for m in metrics], F.col("s.count").alias("n"))
+
+
 def feature_ranges(df: DataFrame, features: Sequence[str]) -> dict[str, tuple]:
-    rows = long_format(df, features).groupBy("feature").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
-    got = {r["feature"]: (r["lo"], r["hi"]) for r in rows}
-    return {c: got.get(c, (None, None)) for c in features}
+    r = column_summary(df, features, "min", "max").first()
+    if not r["n"]:
+        return {c: (None, None) for c in features}
+    return {c: (lo, hi) for c, lo, hi in zip(features, r["min"], r["max"])}
+
+
+def _bin_counts(ranges: list[tuple], bins: int):
+    """Contingency counts of (feature, bin, class) per task: one row per cell, not per value."""
+    import numpy as np
+    import pyarrow as pa
+    lo = np.array([0.0 if a is None else a for a, _ in ranges])
+    width = np.array([0.0 if b is None else (b - a) / bins for a, b in ranges])
+
+    def count(batches):
+        cells = {}
+        for batch in batches:
+            y = np.asarray(batch.column(0))
+            x = np.column_stack([np.asarray(c, dtype=np.float64) for c in batch.columns[1:]])
+            at = np.zeros(x.shape, np.int64)
+            wide = width > 0
+            at[:, wide] = np.minimum(np.floor((x[:, wide] - lo[wide]) / width[wide]), bins - 1).astype(np.int64)
+            at += np.arange(x.shape[1]) * bins
+            for k in np.unique(y).tolist():
+                n = np.bincount(at[y == k].ravel(), minlength=x.shape[1] * bins)
+                cells[k] = cells.get(k, 0) + n
+        for k, n in cells.items():
+            hit = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(hit // bins), pa.array(hit % bins),
+                                              pa.array(np.full(len(hit), k)), pa.array(n[hit])],
+                                             ["f", "bin", "y", "n"])
+    return count
 
 
 def binned_mutual_information(df: DataFrame, features: Sequence[str], target: str = "target",
                               bins: int = MI_BINS) -> DataFrame:
     """K1: (feature, mutual_info) in nats from equal-width bins.
 
-    Two passes (ranges, then counts), so the input is persisted for their
-    duration (memory and disk; recomputed from lineage if an executor is lost).
+    Two passes (ranges, then counts): hand in a table that is written, not a
+    long plan.  Each task counts its rows into one array of #features x #bins
+    per class; only those counts are shuffled.
     """
-    df = df.persist()
     rng = feature_ranges(df, features)
-    cells = []
-    for c in features:
-        lo, hi = rng[c]
-        x = F.col(c).cast("double")
-        if lo is None or hi is None or hi == lo:
-            b = F.lit(0)
-        else:
-            b = F.least(F.floor((x - F.lit(float(lo))) / F.lit((float(hi) - float(lo)) / bins)),
-                        F.lit(bins - 1)).cast("int")
-        cells.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
-    long = df.select(F.col(target).alias("y"), F.inline(F.array(*cells)))
-    counts = long.groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("n"))
-    wf = Window.partitionBy("feature")
-    n = F.sum("n").over(wf).cast("double")
-    nb = F.sum("n").over(Window.partitionBy("feature", "bin")).cast("double")
-    ny = F.sum("n").over(Window.partitionBy("feature", "y")).cast("double")
+    rows = df.select(F.col(target).cast("long"), *[F.col(c).cast("double") for c in features])
+    partial = rows.mapInArrow(_bin_counts([rng[c] for c in features], bins), "f long, bin long, y long, n long")
+    counts = partial.groupBy("f", "bin", "y").agg(F.sum("n").alias("n"))
+    n = F.sum("n").over(Window.partitionBy("f")).cast("double")
+    nb = F.sum("n").over(Window.partitionBy("f", "bin")).cast("double")
+    ny = F.sum("n").over(Window.partitionBy("f", "y")).cast("double")
     c = F.col("n").cast("double")
     term = (c / n) * F.log(c * n / (nb * ny))
+    name = F.element_at(F.array(*[F.lit(x) for x in features]), (F.col("f") + 1).cast("int"))
     # rounded so that exactly duplicated features tie (then list order decides)
-    return (counts.select("feature", term.alias("t")).groupBy("feature")
-            .agg((F.round(F.sum("t"), 12) + F.lit(0.0)).alias("mutual_info")))
+    return (counts.select("f", term.alias("t")).groupBy("f").agg(F.sum("t").alias("mi"))
+            .select(name.alias("feature"), (F.round("mi", 12) + F.lit(0.0)).alias("mutual_info")))
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]):

@@ -10,6 +10,7 @@ from tessera.operators.features import feature_names
 from tessera.plans.catalog import register
 from tessera.plans.oracle_sql import PANEL_CTES, feature_sql, with_
 from tessera.plans.queries_features import features_table
+from tessera.session import materialize
 
 FEATS = feature_names()
 _BASE = with_(*PANEL_CTES, feature_sql()).rstrip() + ",\n"
@@ -29,7 +30,8 @@ mi AS (SELECT feature, round(sum(t), 12) + 0.0 AS mutual_info FROM trm GROUP BY
 
 
 def _train_features(spark, sf_dir):
-    return features_table(spark, sf_dir).where(F.col("split") == "train")
+    """Written once: the fits and rankings pass over it more than once."""
+    return materialize(features_table(spark, sf_dir).where(F.col("split") == "train"))
 
 
 @register("select_mutual_information", _BASE + _MI + "\nSELECT * FROM mi")
@@ -72,7 +74,7 @@ sel2 AS (SELECT feature, mutual_info, rank, row_number() OVER (ORDER BY src, ran
   WHERE feature = 'ticker_mean_return_30d' AND feature NOT IN (SELECT feature FROM sel))
 SELECT feature, mutual_info, CAST(rank AS INTEGER) AS rank, CAST(row_number() OVER (ORDER BY position) AS INTEGER) AS position FROM sel2""")
 def q_select(spark, sf_dir):
-    tr = _train_features(spark, sf_dir).cache()
+    tr = _train_features(spark, sf_dir)
     mi = Sel.binned_mutual_information(tr, FEATS)
     pairs = Sel.correlated_pairs(tr, FEATS)
     out = Sel.select_features(mi, pairs, FEATS)
@@ -103,7 +105,7 @@ st AS (SELECT """ + ", ".join(
 SELECT split, "Ticker", "Date", """ + ", ".join(
     f'round((CAST("{c}" AS DOUBLE) - m{i}) / s{i}, 6) + 0.0 AS "{c}"' for i, c in enumerate(FEATS)) + " FROM feat, st")
 def q_scaled(spark, sf_dir):
-    f = features_table(spark, sf_dir).cache()
+    f = materialize(features_table(spark, sf_dir))
     stats = S.fit_scaler(f.where(F.col("split") == "train"), FEATS)
     out = S.apply_scaler(f.select("split", "Ticker", "Date", *FEATS), stats)
     return out.select("split", "Ticker", "Date", *[(F.round(c, 6) + 0.0).alias(c) for c in FEATS])
@@ -118,7 +120,7 @@ SELECT 'before' AS stage, round(least(""" + ", ".join(f'min("{c}")' for c in FEA
     + ", ".join(f'min("{c}")' for c in FEATS) + "), 6) + 0.0, round(greatest(" + ", ".join(f'max("{c}")' for c in FEATS)
     + "), 6) + 0.0, round((" + " + ".join(f'sum("{c}")' for c in FEATS) + f") / (count(*) * {len(FEATS)}), 6) + 0.0 FROM sc")
 def q_cell_stats(spark, sf_dir):
-    f = features_table(spark, sf_dir).cache()
+    f = materialize(features_table(spark, sf_dir))
     stats = S.fit_scaler(f.where(F.col("split") == "train"), FEATS)
     before = S.cell_stats(f, FEATS).select(F.lit("before").alias("stage"), (F.round("min", 3) + 0.0).alias("min"),
                                            (F.round("max", 3) + 0.0).alias("max"),
