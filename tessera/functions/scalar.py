@@ -7,9 +7,6 @@ NULL exactly where pandas would produce ``inf`` or ``NaN``.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,21 +34,6 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond.cast("int"), F.lit(0))
 
 
-def sign(c) -> Column:
-    return F.signum(col(c))
-
-
-def cyclic(c, period: float) -> tuple[Column, Column]:
-    """sin / cos encoding with angle 2*pi*c/period."""
-    angle = F.lit(2 * math.pi) * col(c) / F.lit(float(period))
-    return F.sin(angle), F.cos(angle)
-
-
-def weekday_mon0(c) -> Column:
-    """Day of week with Monday = 0 (Spark's ``dayofweek`` is Sunday = 1)."""
-    return F.weekday(col(c))
-
-
 def clip(c, lo: float, hi: float) -> Column:
     return F.greatest(F.least(col(c), F.lit(hi)), F.lit(lo))
 
@@ -69,12 +51,6 @@ def tanh(c) -> Column:
     return F.tanh(col(c))
 
 
-def threshold_class(p, t: float, inclusive: bool) -> Column:
-    """``p >= t`` (inclusive) or ``p > t`` as 0/1."""
-    cond = col(p) >= F.lit(t) if inclusive else col(p) > F.lit(t)
-    return cond.cast("int")
-
-
 # ---- array (vector) helpers -------------------------------------------------
 
 def softmax(arr) -> Column:
@@ -87,25 +63,14 @@ def softmax(arr) -> Column:
 
 
 def one_hot(index, k: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                       lambda i: (i == col(index)).cast("double"))
+    """Vector of ``k`` values; an index outside 0 .. k-1 fails the job."""
+    hot = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: (i == col(index)).cast("double"))
+    inside = (col(index) >= 0) & (col(index) < k)
+    return F.when(inside | col(index).isNull(), hot).otherwise(
+        F.raise_error(F.concat(F.lit(f"one-hot index outside 0 .. {k - 1}: "), col(index).cast("string"))))
 
 
 def argmax(arr) -> Column:
     """0-based position of the first maximum."""
     a = col(arr)
     return (F.array_position(a, F.array_max(a)) - 1).cast("int")
-
-
-def dot(a, b) -> Column:
-    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x * y), F.lit(0.0),
-                       lambda acc, v: acc + v)
-
-
-def literal_vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def rounded(c, digits: int) -> Column:
-    """Round and normalise -0.0 to 0.0 (comparison-friendly output)."""
-    return F.round(col(c), digits) + F.lit(0.0)

@@ -1,7 +1,7 @@
-"""Model fitting as Spark jobs.
+"""Model fitting as Spark jobs.
 
 A gradient over a table is one ``groupBy().agg(sum(...))``; only the few
-model numbers (weights, optimizer state) live on the driver.
+model numbers live on the driver.
 """
 
 from __future__ import annotations
@@ -18,107 +18,26 @@ def class_weights(df: DataFrame, target: str = "target") -> DataFrame:
         "weight", F.round(F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n")), 10))
 
 
-# ---- logistic model trained by full-batch gradient steps (M4, M5, M7) ---------
+# ---- logistic model (M3, M4) ---------------------------------------------------
 
 def logistic_gradient(df: DataFrame, features, w, b: float, target: str = "target",
                       weight: str | None = None):
     """M4: gradient of the mean (optionally class-weighted) log-loss of
-    sigmoid(x.w + b) -- one pass over the long (feature, x) form, one row per
-    feature back to the driver.  Returns (grad_w dict, grad_b, n, loss)."""
+    sigmoid(x.w + b) in one aggregate; one number per feature reaches the
+    driver.  Returns (grad_w dict, grad_b, n, loss)."""
     from tessera.functions.scalar import sigmoid
-    from tessera.operators.selection import long_format
     z = F.lit(float(b))
     for c, wc in zip(features, w):
         z = z + F.col(c).cast("double") * F.lit(float(wc))
     p = sigmoid(z)
     wt = F.col(weight) if weight else F.lit(1.0)
     y = F.col(target).cast("double")
-    base = df.select(*features, (wt * (p - y)).alias("_r"),
-                     (wt * -(y * F.log(F.greatest(p, F.lit(1e-8))) +
-                             (1 - y) * F.log(F.greatest(1 - p, F.lit(1e-8))))).alias("_l"))
-    base = base.withColumn("_one", F.lit(1.0))
-    lf = long_format(base, list(features) + ["_one"], ["_r", "_l"])
-    rows = lf.groupBy("feature").agg(F.sum(F.col("x") * F.col("_r")).alias("g"), F.count(F.lit(1)).alias("n"),
-                                     F.sum("_l").alias("l")).collect()
-    got = {r["feature"]: r for r in rows}
-    n = got["_one"]["n"]
-    grad_w = {c: got[c]["g"] / n for c in features}
-    return grad_w, got["_one"]["g"] / n, n, got["_one"]["l"] / n
-
-
-class Optimizer:
-    """M4 update rules on the driver (a few numbers): sgd, momentum, adagrad, adam."""
-
-    def __init__(self, kind: str = "adam", lr: float = 0.01, beta1: float = 0.9, beta2: float = 0.999,
-                 momentum: float = 0.9, eps: float = 1e-8, weight_decay: float = 0.0):
-        self.kind, self.lr, self.b1, self.b2 = kind, lr, beta1, beta2
-        self.mu, self.eps, self.wd = momentum, eps, weight_decay
-        self.state: dict = {}
-        self.t = 0
-
-    def step(self, params: list[float], grads: list[float]) -> list[float]:
-        import math
-        self.t += 1
-        out = []
-        for i, (p, g) in enumerate(zip(params, grads)):
-            g = g + self.wd * p
-            if self.kind == "sgd":
-                p = p - self.lr * g
-            elif self.kind == "momentum":
-                v = self.mu * self.state.get(("v", i), 0.0) - self.lr * g
-                self.state[("v", i)] = v
-                p = p + v
-            elif self.kind == "adagrad":
-                c = self.state.get(("c", i), 0.0) + g * g
-                self.state[("c", i)] = c
-                p = p - self.lr * g / (math.sqrt(c) + self.eps)
-            elif self.kind == "adam":
-                m = self.b1 * self.state.get(("m", i), 0.0) + (1 - self.b1) * g
-                v = self.b2 * self.state.get(("v", i), 0.0) + (1 - self.b2) * g * g
-                self.state[("m", i)], self.state[("v", i)] = m, v
-                mh, vh = m / (1 - self.b1 ** self.t), v / (1 - self.b2 ** self.t)
-                p = p - self.lr * mh / (math.sqrt(vh) + self.eps)
-            else:
-                raise ValueError(self.kind)
-            out.append(p)
-        return out
-
-
-def accuracy_of(df: DataFrame, features, w, b: float, target: str = "target") -> float:
-    from tessera.functions.scalar import sigmoid
-    z = F.lit(float(b))
-    for c, wc in zip(features, w):
-        z = z + F.col(c).cast("double") * F.lit(float(wc))
-    r = df.agg(F.avg(((sigmoid(z) > 0.5).cast("int") == F.col(target)).cast("double")).alias("a")).first()
-    return float(r["a"] or 0.0) * 100
-
-
-def train_logistic(train: DataFrame, val: DataFrame, features, epochs: int = 30, patience: int = 5,
-                   optimizer: Optimizer | None = None, target: str = "target", weight: str | None = None):
-    """M5 + M7: full-batch gradient steps with early stopping on validation
-    accuracy (patience, best-epoch restore).  Each epoch is two aggregations;
-    the tables are persisted (recomputable from lineage if an executor is
-    lost).  Returns (weights, bias, history rows)."""
-    opt = optimizer or Optimizer()
-    train = train.persist()
-    val = val.persist()
-    w, b = [0.0] * len(features), 0.0
-    best, best_acc, wait, history = (list(w), b), -1.0, 0, []
-    for epoch in range(epochs):
-        gw, gb, n, loss = logistic_gradient(train, features, w, b, target, weight)
-        new = opt.step(w + [b], [gw[c] for c in features] + [gb])
-        w, b = new[:-1], new[-1]
-        acc = accuracy_of(val, features, w, b, target)
-        history.append((epoch + 1, float(loss), float(acc)))
-        if acc > best_acc:
-            best, best_acc, wait = (list(w), b), acc, 0
-        else:
-            wait += 1
-            if wait >= patience:
-                break
-    train.unpersist()
-    val.unpersist()
-    return best[0], best[1], history
+    r = wt * (p - y)
+    loss = wt * -(y * F.log(F.greatest(p, F.lit(1e-8))) + (1 - y) * F.log(F.greatest(1 - p, F.lit(1e-8))))
+    got = df.agg(*[F.sum(F.col(c).cast("double") * r).alias(f"g{i}") for i, c in enumerate(features)],
+                 F.sum(r).alias("g"), F.sum(loss).alias("l"), F.count(F.lit(1)).alias("n")).first()
+    n = got["n"]
+    return {c: got[f"g{i}"] / n for i, c in enumerate(features)}, got["g"] / n, n, got["l"] / n
 
 
 def fit_ml_logistic(train: DataFrame, features, target: str = "target", weight: str | None = "weight",
@@ -134,8 +53,9 @@ def fit_ml_logistic(train: DataFrame, features, target: str = "target", weight:
 
 
 def with_balanced_weight(df: DataFrame, target: str = "target", boost0: float = 1.0) -> DataFrame:
-    """D5 weights as a column (the class-0 weight optionally boosted, as the
-    reference does with 1.2); the 2-row weight table is joined by class."""
+    """D5 weights as a column (the class-0 weight optionally boosted); one number per class,
+    applied as literals."""
+    from tessera.operators.ranges import with_group_values
     cw = class_weights(df, target).select(
         target, (F.col("weight") * F.when(F.col(target) == 0, F.lit(boost0)).otherwise(F.lit(1.0))).alias("weight"))
-    return df.join(F.broadcast(cw), target, "left")
+    return with_group_values(df, cw, [target], ["weight"])

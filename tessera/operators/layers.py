@@ -22,30 +22,29 @@ def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda a, v: a + v)
 
 
-def same_padding(n: int, kernel: int, stride: int) -> int:
-    """The reference's 'same' pad on each side: ((n-1)*s + k - n) // 2."""
-    return ((n - 1) * stride + kernel - n) // 2
-
-
-def conv1d(x, n: int, weights: Sequence[Sequence[float]], bias: Sequence[float], stride: int = 1,
+def conv1d(x, weights: Sequence[Sequence[float]], bias: Sequence[float], stride: int = 1,
            padding: str = "valid") -> Column:
     """L8, one input channel: out[i][f] = sum_j xp[i*s + j] * W[j][f] + b[f],
-    output length (n + 2*pad - k) // s + 1, zero padding on both sides.
-    ``weights`` is k x filters; ``n`` the (fixed) input length."""
+    output length (n + 2*pad - k) // s + 1 for an input of any length n, zero
+    padding on both sides.  An input shorter than the kernel fails the job.
+    ``weights`` is k x filters."""
     k = len(weights)
     filters = len(bias)
-    pad = same_padding(n, k, stride) if padding == "same" else 0
     a = _c(x).cast("array<double>")
+    n = F.size(a)
+    # 'same' pads ((n-1)*s + k - n) // 2 zeros on each side
+    pad = F.floor(((n - 1) * stride + k - n) / F.lit(2)).cast("int") if padding == "same" else F.lit(0)
     zeros = F.array_repeat(F.lit(0.0), pad)
-    xp = F.concat(zeros, a, zeros) if pad else a
-    out_len = (n + 2 * pad - k) // stride + 1
+    xp = F.concat(zeros, a, zeros)
+    out_len = (F.floor((n + 2 * pad - k) / F.lit(stride)) + 1).cast("int")
     wcols = [F.array(*[F.lit(float(weights[j][f])) for j in range(k)]) for f in range(filters)]
 
     def at(i):
         win = F.slice(xp, i * stride + 1, k)
         return F.array(*[_sum(F.zip_with(win, wcols[f], lambda u, v: u * v)) + F.lit(float(bias[f]))
                          for f in range(filters)])
-    return F.transform(F.sequence(F.lit(0), F.lit(out_len - 1)), at)
+    return F.when(out_len >= 1, F.transform(F.sequence(F.lit(0), out_len - 1), at)).otherwise(
+        F.raise_error(F.lit(f"input shorter than the kernel ({k})")))
 
 
 def max_pool(x, pool: int, stride: int | None = None) -> Column:
@@ -67,12 +66,14 @@ def avg_pool(x, pool: int, stride: int | None = None) -> Column:
 
 
 def dense(x, weights: Sequence[Sequence[float]], bias: Sequence[float]) -> Column:
-    """y[o] = sum_i x[i] * W[i][o] + b[o] (W is in x out)."""
+    """y[o] = sum_i x[i] * W[i][o] + b[o] (W is in x out); an input of another width fails the job."""
     a = _c(x).cast("array<double>")
     outs = len(bias)
     cols = [F.array(*[F.lit(float(weights[i][o])) for i in range(len(weights))]) for o in range(outs)]
-    return F.array(*[_sum(F.zip_with(a, cols[o], lambda u, v: u * v)) + F.lit(float(bias[o]))
-                     for o in range(outs)])
+    out = F.array(*[_sum(F.zip_with(a, cols[o], lambda u, v: u * v)) + F.lit(float(bias[o]))
+                    for o in range(outs)])
+    return F.when(F.size(a) == len(weights), out).otherwise(
+        F.raise_error(F.lit(f"dense layer takes {len(weights)} values")))
 
 
 def embedding_lookup(indices: DataFrame, index_col: str, table: DataFrame, key: str,

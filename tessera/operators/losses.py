@@ -77,6 +77,9 @@ def gradients(df: DataFrame, pred: str, target: str, kind: str, n: int | None =
         n = df.count()
     p, y = F.col(pred), F.col(target)
     nn = F.lit(float(n))
+    if kind == "softmax_ce":            # a vector of logits and a class number: softmax - onehot
+        g = F.transform(softmax(p), lambda s, i: (s - (i == y).cast("double")) / nn)
+        return df.withColumn("grad", g)
     if kind == "mse":
         g = F.lit(2.0) * (p - y) / nn
     elif kind != "bce":
@@ -99,6 +102,18 @@ def batchnorm_apply(x, mean: Sequence[float], var: Sequence[float], gamma: Seque
     return F.zip_with(a, params, lambda xi, p: (xi - p["m"]) / F.sqrt(p["v"] + F.lit(eps)) * p["g"] + p["b"])
 
 
+def vector_statistics(df: DataFrame, col: str) -> tuple[list[float], list[float]]:
+    """Mean and population variance of each component of a vector column, in one pass
+    (two numbers per component reach the driver)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    r = (df.select(array_to_vector(F.col(col)).alias("v"))
+         .select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
+         .select("s.mean", "s.variance", F.col("s.count").alias("n")).first())
+    n = r["n"]
+    return [float(m) for m in r["mean"]], [float(v) * (n - 1) / n for v in r["variance"]]
+
+
 def batch_statistics(df: DataFrame, batch: str, features: Sequence[str]) -> DataFrame:
     """Per batch, per feature mean and population variance (long form)."""
     from tessera.operators.selection import long_format

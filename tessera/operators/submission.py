@@ -48,18 +48,13 @@ def assemble_submission(requests: DataFrame, predictions: DataFrame, key: str =
                         id_col: str = "ID", value: str = "Pred", order: str = "Date") -> DataFrame:
     """Map every requested id to its series' prediction, 0 when unknown.
 
-    C3 (left lookup, default 0, int) + G1 (union of ids missing from the
-    mapped table -- empty by construction, kept as the reference's safety
-    net) + B12 (0/1 check) + F1 (sorted by id at the sink).
+    C3 (left lookup, default 0, int), which keeps every request, + B12 (0/1
+    check) + F1 (sorted by id).
     """
     preds = latest_per_key(predictions, key, order, value).withColumnRenamed(key, id_col)
-    req = requests.select(id_col)
-    mapped = (req.join(preds, id_col, "left")
+    mapped = (requests.select(id_col).join(preds, id_col, "left")
               .select(id_col, F.coalesce(F.col(value), F.lit(0)).cast("int").alias(value)))
-    absent = (req.distinct().join(mapped.select(id_col).distinct(), id_col, "left_anti")
-              .select(id_col, F.lit(0).alias(value)))
-    out = mapped.unionByName(absent)
-    return assert_binary(out, value).orderBy(id_col)
+    return assert_binary(mapped, value).orderBy(id_col)
 
 
 def match_report(requests: DataFrame, predictions: DataFrame, key: str = "Ticker",

@@ -1,6 +1,6 @@
 """Queries over losses (L1-L7), array layers and activations (L8-L12,
-H8-H13), scoring and fitting (M1-M7), model reports (K21, C5) and the
-submission path (K22, C3, C4, G1-G3)."""
+H8-H13), fitting (M3, M4), model reports (M2, K21, C5) and the submission
+path (K22, C3, C4, G1-G3)."""
 
 from __future__ import annotations
 
@@ -13,15 +13,13 @@ from tessera.operators import layers as Ly
 from tessera.operators import losses as Lo
 from tessera.operators import metrics as M
 from tessera.operators import scaling as S
-from tessera.operators import scoring as Sc
-from tessera.operators import sequences as Q
 from tessera.operators import submission as Sub
 from tessera.plans.catalog import register
 from tessera.plans.oracle_sql import BARS, PANEL_CTES, feature_sql, with_
 from tessera.plans.queries_eval import P, predictions
 from tessera.plans.queries_features import features_table
-from tessera.plans.queries_panel import panel
 from tessera.sources.bars import load_bars, scoring_requests
+from tessera.session import materialize
 from tessera.sources.tables import read_table
 
 
@@ -32,23 +30,23 @@ def _r(c, d=12):
 # ---- losses over the prediction table ------------------------------------------
 
 @register("loss_mse", P + """
-SELECT split, round(avg(("Probability" - "Actual") * ("Probability" - "Actual")), 12) + 0.0 AS mse FROM pred GROUP BY split""")
+SELECT split, round(avg(("Probability" - "Actual") * ("Probability" - "Actual")), 9) + 0.0 AS mse FROM pred GROUP BY split""")
 def q_mse(spark, sf_dir):
     p = predictions(spark, sf_dir)
     return p.groupBy("split").agg(Lo.mse("Probability", F.col("Actual").cast("double")).alias("mse")).select(
-        "split", _r("mse"))
+        "split", _r("mse", 9))
 
 
 _CLIP = "greatest(least(greatest(least(\"Probability\", 1 - 1e-8), 1e-8), 1 - 1e-8), 1e-8)"
 
 
 @register("loss_bce", P + f"""
-SELECT split, round(avg(-("Actual" * ln({_CLIP}) + (1 - "Actual") * ln(1 - {_CLIP}))), 12) + 0.0 AS bce
+SELECT split, round(avg(-("Actual" * ln({_CLIP}) + (1 - "Actual") * ln(1 - {_CLIP}))), 9) + 0.0 AS bce
 FROM pred GROUP BY split""")
 def q_bce(spark, sf_dir):
     p = predictions(spark, sf_dir)
     return p.groupBy("split").agg(Lo.bce("Probability", F.col("Actual").cast("double")).alias("bce")).select(
-        "split", _r("bce"))
+        "split", _r("bce", 9))
 
 
 _WCLIP = "greatest(least(\"Probability\", 1 - 1e-7), 1e-7)"
@@ -59,26 +57,40 @@ _WCLIP = "greatest(least(\"Probability\", 1 - 1e-7), 1e-7)"
 t AS (SELECT split, "Actual" AS y, {_WCLIP} AS p FROM pred),
 u AS (SELECT split, CASE WHEN y = 0 THEN n / (2.0 * n0) * 1.2 ELSE n / (2.0 * n1) END AS w,
              pow(1 - CASE WHEN y = 1 THEN p ELSE 1 - p END, 1.0) * -(y * ln(p) + (1 - y) * ln(1 - p)) AS b FROM t, cw)
-SELECT split, round(avg(w * b), 12) + 0.0 AS weighted_focal_bce FROM u GROUP BY split""")
+SELECT split, round(avg(w * b), 9) + 0.0 AS weighted_focal_bce FROM u GROUP BY split""")
 def q_weighted(spark, sf_dir):
-    p = predictions(spark, sf_dir).cache()
+    p = materialize(predictions(spark, sf_dir))
     c = p.where(F.col("split") == "train").agg(F.count_if(F.col("Actual") == 0).alias("n0"),
                                               F.count_if(F.col("Actual") == 1).alias("n1"),
                                               F.count(F.lit(1)).alias("n")).first()
     w0 = c["n"] / (2.0 * c["n0"]) * 1.2
     w1 = c["n"] / (2.0 * c["n1"])
     loss = Lo.weighted_focal_bce("Probability", F.col("Actual").cast("double"), w0, w1, gamma=1.0)
-    return p.groupBy("split").agg(loss.alias("weighted_focal_bce")).select("split", _r("weighted_focal_bce"))
+    return p.groupBy("split").agg(loss.alias("weighted_focal_bce")).select("split", _r("weighted_focal_bce", 9))
 
 
-@register("loss_gradients", P + f"""
-, v AS (SELECT * FROM pred WHERE split = 'val')
-SELECT "Ticker", "Date", round(-("Actual" / {_CLIP} - (1 - "Actual") / (1 - {_CLIP})) / (SELECT count(*) FROM v), 15) + 0.0 AS grad
-FROM v""")
-def q_gradients(spark, sf_dir):
-    v = predictions(spark, sf_dir).where(F.col("split") == "val").cache()
-    g = Lo.gradients(v.withColumn("y", F.col("Actual").cast("double")), "Probability", "y", "bce")
-    return g.select("Ticker", "Date", _r("grad", 15))
+# the mean is taken over all rows
+_GRADS = {
+    "loss_gradients": ("bce", f"""-("Actual" / {_CLIP} - (1 - "Actual") / (1 - {_CLIP}))"""),
+    "loss_gradients_mse": ("mse", '2.0 * ("Probability" - "Actual")'),
+    "loss_gradients_logits": ("logits", '1.0 / (1.0 + exp(-"Probability")) - "Actual"'),
+}
+
+
+def _gradients(kind):
+    def q(spark, sf_dir):
+        p = materialize(predictions(spark, sf_dir))
+        g = Lo.gradients(p.withColumn("y", F.col("Actual").cast("double")), "Probability", "y",
+                         "bce" if kind == "logits" else kind, from_logits=kind == "logits")
+        return g.select("split", "Ticker", "Date", _r("grad", 12))
+    q.__doc__ = f"L5: gradient of the mean {kind} loss, one per row."
+    return q
+
+
+for _name, (_kind, _expr) in _GRADS.items():
+    register(_name, P + f"""
+SELECT split, "Ticker", "Date", round(({_expr}) / (SELECT count(*) FROM pred), 12) + 0.0 AS grad FROM pred""")(
+        _gradients(_kind))
 
 
 def _emb(spark, sf_dir):
@@ -89,13 +101,25 @@ def _emb(spark, sf_dir):
 _EMB = "emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
 
 
-@register("loss_softmax_ce", "WITH " + _EMB + """,
-sm AS (SELECT vec_id, label, list_transform(x[1:10], lambda v: exp(v - list_max(x[1:10]))) AS e FROM emb),
-pr AS (SELECT vec_id, label, list_transform(e, lambda v: v / list_sum(e)) AS s FROM sm)
+_SOFTMAX = """sm AS (SELECT vec_id, label, list_transform(x, lambda v: exp(v - list_max(x))) AS e FROM emb),
+pr AS (SELECT vec_id, label, list_transform(e, lambda v: v / list_sum(e)) AS s FROM sm)"""
+
+
+@register("loss_softmax_ce", "WITH " + _EMB + ",\n" + _SOFTMAX + """
 SELECT round(sum(-ln(greatest(least(s[label + 1], 1.0), 1e-8))) / count(*), 9) + 0.0 AS softmax_ce FROM pr""")
 def q_softmax_ce(spark, sf_dir):
-    e = _emb(spark, sf_dir).select("label", F.slice("x", 1, 10).alias("logits"))
-    return e.agg(Lo.softmax_ce("logits", "label", 10).alias("softmax_ce")).select(_r("softmax_ce", 9))
+    """L3 over the whole vectors: one class per component."""
+    return _emb(spark, sf_dir).agg(Lo.softmax_ce("x", "label", 64).alias("softmax_ce")).select(_r("softmax_ce", 9))
+
+
+@register("loss_softmax_ce_gradient", "WITH " + _EMB + ",\n" + _SOFTMAX + """
+SELECT vec_id, list_transform(range(64), lambda i: round(
+  (s[i + 1] - CASE WHEN i = label THEN 1.0 ELSE 0.0 END) / n, 12) + 0.0) AS grad
+FROM pr, (SELECT count(*) AS n FROM emb)""")
+def q_softmax_ce_gradient(spark, sf_dir):
+    """L5 for the softmax cross-entropy: a vector per row."""
+    g = Lo.gradients(_emb(spark, sf_dir), "x", "label", "softmax_ce")
+    return g.select("vec_id", F.transform("grad", lambda v: F.round(v, 12) + 0.0).alias("grad"))
 
 
 # ---- array layers and activations over embedding vectors ----------------------
@@ -108,8 +132,8 @@ DENSE_B = [0.0, 0.5, -0.5, 1.0]
 
 
 def _conv_sql(padding: str) -> str:
-    n, k, s = 64, 3, 1
-    pad = Ly.same_padding(n, k, s) if padding == "same" else 0
+    n, k, s = 64, 3, 1                        # the vectors of this table have 64 components
+    pad = 1 if padding == "same" else 0       # half of k - 1 on each side
     xp = "x" if pad == 0 else f"list_concat(list_resize([]::DOUBLE[], {pad}, 0.0), x, list_resize([]::DOUBLE[], {pad}, 0.0))"
     out_len = (n + 2 * pad - k) // s + 1
     per_f = []
@@ -122,12 +146,12 @@ def _conv_sql(padding: str) -> str:
 
 @register("layer_conv1d_valid", "WITH " + _EMB + "\n" + _conv_sql("valid"))
 def q_conv_valid(spark, sf_dir):
-    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", 64, CONV_W, CONV_B, 1, "valid").alias("conv"))
+    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", CONV_W, CONV_B, 1, "valid").alias("conv"))
 
 
 @register("layer_conv1d_same", "WITH " + _EMB + "\n" + _conv_sql("same"))
 def q_conv_same(spark, sf_dir):
-    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", 64, CONV_W, CONV_B, 1, "same").alias("conv"))
+    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d("x", CONV_W, CONV_B, 1, "same").alias("conv"))
 
 
 @register("layer_pooling", "WITH " + _EMB + """
@@ -207,62 +231,36 @@ def q_bn_running(spark, sf_dir):
 
 
 @register("batchnorm_apply", "WITH " + _EMB + """,
-st AS (SELECT list_transform(range(8), lambda j: 0) AS z),
-s AS (SELECT [""" + ", ".join(f"avg(x[{j + 1}])" for j in range(8)) + "] AS m, [" + ", ".join(
-    f"var_pop(x[{j + 1}])" for j in range(8)) + """] AS v FROM emb WHERE label = 0)
-SELECT vec_id, list_transform(range(8), lambda j: round((x[j + 1] - m[j + 1]) / sqrt(v[j + 1] + 1e-5) * 1.5 + 0.25, 9) + 0.0) AS normalised
+s AS (SELECT [""" + ", ".join(f"avg(x[{j + 1}])" for j in range(64)) + "] AS m, [" + ", ".join(
+    f"var_pop(x[{j + 1}])" for j in range(64)) + """] AS v FROM emb WHERE label = 0)
+SELECT vec_id, list_transform(range(64), lambda j: round((x[j + 1] - m[j + 1]) / sqrt(v[j + 1] + 1e-5) * 1.5 + 0.25, 9) + 0.0) AS normalised
 FROM emb, s""")
 def q_bn_apply(spark, sf_dir):
-    e = _emb(spark, sf_dir).select("vec_id", "label", F.slice("x", 1, 8).alias("x8")).cache()
-    cols = [F.col("x8")[j].alias(f"d{j}") for j in range(8)]
-    fit = S.fit_scaler(e.where(F.col("label") == 0).select(*cols), [f"d{j}" for j in range(8)])
-    means = [fit[f"d{j}"][0] for j in range(8)]
-    variances = [fit[f"d{j}"][1] ** 2 for j in range(8)]
-    out = Lo.batchnorm_apply("x8", means, variances, [1.5] * 8, [0.25] * 8)
+    """L6 with statistics of the label-0 batch, over all components."""
+    e = _emb(spark, sf_dir)
+    means, variances = Lo.vector_statistics(e.where(F.col("label") == 0), "x")
+    out = Lo.batchnorm_apply("x", means, variances, [1.5] * len(means), [0.25] * len(means))
     return e.select("vec_id", F.transform(out, lambda v: F.round(v, 9) + 0.0).alias("normalised"))
 
 
-# ---- scoring (M1, M2) ----------------------------------------------------------
-
-OHLCV = ["Open", "High", "Low", "Close", "Volume"]
-
-
-def scaled_sequences(spark, sf_dir, length: int = 20):
-    p = panel(spark, sf_dir)
-    stats = S.fit_scaler(p.where(F.col("split") == "train"), OHLCV)
-    scaled = S.apply_scaler(p, stats)
-    return Q.sliding_sequences(scaled, OHLCV, length, keys=["split", "Ticker"])
-
-
-def _score(name):
-    def q(spark, sf_dir):
-        seqs = scaled_sequences(spark, sf_dir).where(F.col("split") != "train")
-        layers = Sc.architecture(name, len(OHLCV))
-        return Sc.score_sequences(seqs, layers, "X", ["split", "Ticker", "Date", "y"])
-    q.__doc__ = f"M1: {name} scorer over scaled OHLCV sequences (rows checked; NumPy loop test in tests/)."
-    return q
-
-
-for _arch in ("lstm", "gru", "conv1d", "hybrid"):
-    register(f"model_scoring_{_arch}")(_score(_arch))
-
-
-@register("model_evaluation")
-def q_model_eval(spark, sf_dir):
-    """M2: loss and accuracy of the LSTM scorer per split."""
-    scored = _score("lstm")(spark, sf_dir)
-    return scored.groupBy("split").agg(Lo.bce("Probability", "y").alias("loss"),
-                                       (F.avg(((F.col("Probability") > 0.5).cast("double") == F.col("y"))
-                                              .cast("double")) * 100).alias("accuracy"))
+@register("batchnorm_normalise", with_(BARS) + """
+SELECT "Date", "Ticker", round(("Close" - avg("Close") OVER d) / sqrt(var_pop("Close") OVER d + 1e-5), 6) + 0.0 AS "Close",
+  round(("Volume" - avg("Volume") OVER d) / sqrt(var_pop("Volume") OVER d + 1e-5), 6) + 0.0 AS "Volume"
+FROM bars WINDOW d AS (PARTITION BY "Date")""")
+def q_bn_normalise(spark, sf_dir):
+    """Every bar normalised by its own day's statistics."""
+    out = Lo.batch_normalise(load_bars(spark, sf_dir).select("Date", "Ticker", "Close", "Volume"), "Date",
+                             ["Close", "Volume"])
+    return out.select("Date", "Ticker", _r("Close", 6), _r("Volume", 6))
 
 
-# ---- fitting (M3-M7) -----------------------------------------------------------
+# ---- fitting (M3, M4) -----------------------------------------------------------
 
 FIT_FEATURES = ["rsi", "bb_position", "volatility_ratio_30_60", "close_to_ma_50", "return_10d"]
 
 
 def _fit_table(spark, sf_dir):
-    f = features_table(spark, sf_dir).select("split", "Ticker", "Date", "target", *FIT_FEATURES)
+    f = materialize(features_table(spark, sf_dir).select("split", "Ticker", "Date", "target", *FIT_FEATURES))
     stats = S.fit_scaler(f.where(F.col("split") == "train"), FIT_FEATURES)
     return S.apply_scaler(f, stats)
 
@@ -281,30 +279,6 @@ def q_gradient_zero(spark, sf_dir):
     return df.select("feature", _r("gradient"))
 
 
-@register("fit_training_history")
-def q_history(spark, sf_dir):
-    """M4 + M5 + M7: Adam steps with early stopping on validation accuracy."""
-    t = _fit_table(spark, sf_dir).cache()
-    _, _, hist = Fit.train_logistic(t.where(F.col("split") == "train"), t.where(F.col("split") == "val"),
-                                    FIT_FEATURES, epochs=15, patience=5, optimizer=Fit.Optimizer("adam", 0.05))
-    return spark.createDataFrame(hist, "epoch int, train_loss double, val_accuracy double")
-
-
-@register("fit_grid_search")
-def q_grid(spark, sf_dir):
-    """M6: optimizer x learning-rate grid, best by validation accuracy (first wins)."""
-    t = _fit_table(spark, sf_dir).cache()
-    tr, va = t.where(F.col("split") == "train"), t.where(F.col("split") == "val")
-    rows = []
-    for kind in ("sgd", "momentum", "adagrad", "adam"):
-        for lr in (0.01, 0.1):
-            _, _, hist = Fit.train_logistic(tr, va, FIT_FEATURES, epochs=5, patience=3,
-                                            optimizer=Fit.Optimizer(kind, lr))
-            rows.append((kind, lr, max(h[2] for h in hist), len(hist)))
-    df = spark.createDataFrame(rows, "optimizer string, learning_rate double, val_accuracy double, epochs int")
-    return df.orderBy(F.col("val_accuracy").desc(), "optimizer", "learning_rate")
-
-
 @register("fit_ml_logistic")
 def q_ml_logistic(spark, sf_dir):
     """M3: class-weighted, L2-regularised logistic regression; validation scores."""
@@ -324,7 +298,9 @@ sc AS (SELECT split, target AS "Actual", 'rsi' AS model, round(1.0 / (1.0 + exp(
   UNION ALL SELECT split, target, 'trend', round(1.0 / (1.0 + exp(-(trend_slope_30 * 100.0))), 4) FROM feat),
 acc AS (SELECT model, split, avg(CAST(CAST(p > 0.5 AS INTEGER) = "Actual" AS DOUBLE)) * 100 AS acc,
    avg(CASE WHEN "Actual" = 0 THEN CAST(p <= 0.5 AS DOUBLE) END) * 100 AS acc0,
-   avg(CASE WHEN "Actual" = 1 THEN CAST(p > 0.5 AS DOUBLE) END) * 100 AS acc1 FROM sc GROUP BY model, split)"""
+   avg(CASE WHEN "Actual" = 1 THEN CAST(p > 0.5 AS DOUBLE) END) * 100 AS acc1,
+   avg(-("Actual" * ln(greatest(least(p, 1 - 1e-8), 1e-8)) + (1 - "Actual") * ln(1 - greatest(least(p, 1 - 1e-8), 1e-8)))) AS loss
+   FROM sc GROUP BY model, split)"""
 
 
 def model_scores(spark, sf_dir):
@@ -336,30 +312,25 @@ def model_scores(spark, sf_dir):
     return base.unpivot(["split", "Actual"], ["rsi", "bollinger", "trend"], "model", "p")
 
 
-def _acc_table(spark, sf_dir):
-    s = model_scores(spark, sf_dir)
-    y, p = F.col("Actual"), F.col("p")
-    return s.groupBy("model", "split").agg(
-        (F.avg(((p > 0.5).cast("int") == y).cast("double")) * 100).alias("acc"),
-        (F.avg(F.when(y == 0, (p <= 0.5).cast("double"))) * 100).alias("acc0"),
-        (F.avg(F.when(y == 1, (p > 0.5).cast("double"))) * 100).alias("acc1"))
-
-
 @register("model_leaderboard", _MODEL_SQL + """
 SELECT v.model, round(v.acc, 9) + 0.0 AS val_accuracy, round(t.acc, 9) + 0.0 AS train_accuracy,
   round(v.acc0, 9) + 0.0 AS class0_accuracy, round(v.acc1, 9) + 0.0 AS class1_accuracy,
   round(100 - abs(v.acc0 - v.acc1), 9) + 0.0 AS balance, round(t.acc - v.acc, 9) + 0.0 AS generalisation_gap
 FROM acc v JOIN acc t ON v.model = t.model AND v.split = 'val' AND t.split = 'train'""")
 def q_leaderboard(spark, sf_dir):
-    a = _acc_table(spark, sf_dir)
-    v = a.where(F.col("split") == "val").select("model", "acc", "acc0", "acc1")
-    t = a.where(F.col("split") == "train").select("model", F.col("acc").alias("tacc"))
-    j = v.join(t, "model")
-    out = j.select("model", F.col("acc").alias("val_accuracy"), F.col("tacc").alias("train_accuracy"),
-                   F.col("acc0").alias("class0_accuracy"), F.col("acc1").alias("class1_accuracy"),
-                   (F.lit(100.0) - F.abs(F.col("acc0") - F.col("acc1"))).alias("balance"),
-                   (F.col("tacc") - F.col("acc")).alias("generalisation_gap"))
-    return out.select("model", *[_r(c, 9) for c in out.columns if c != "model"]).orderBy(F.col("val_accuracy").desc())
+    out = M.model_leaderboard(M.model_results(model_scores(spark, sf_dir)))
+    return out.select("model", *[_r(c, 9) for c in out.columns if c != "model"])
+
+
+@register("model_loss_ranking", _MODEL_SQL + """
+SELECT v.model, round(v.loss, 9) + 0.0 AS val_loss, round(v.acc, 9) + 0.0 AS val_accuracy,
+  round(t.loss, 9) + 0.0 AS test_loss, round(t.acc, 9) + 0.0 AS test_accuracy,
+  CAST(row_number() OVER (ORDER BY v.loss, v.model) AS INTEGER) AS rank
+FROM acc v JOIN acc t ON v.model = t.model AND v.split = 'val' AND t.split = 'test'""")
+def q_loss_ranking(spark, sf_dir):
+    """K21, evaluation form: models by validation loss."""
+    out = M.model_losses(M.model_results(model_scores(spark, sf_dir)))
+    return out.select("model", *[_r(c, 9) for c in ("val_loss", "val_accuracy", "test_loss", "test_accuracy")], "rank")
 
 
 @register("model_val_test_comparison", _MODEL_SQL + """
@@ -368,13 +339,21 @@ SELECT v.model, round(v.acc, 9) + 0.0 AS val_accuracy, round(t.acc, 9) + 0.0 AS
 FROM acc v JOIN acc t ON v.model = t.model AND v.split = 'val' AND t.split = 'test'""")
 def q_val_test(spark, sf_dir):
     """Inner join of two model-result tables on the model name with differences."""
-    a = _acc_table(spark, sf_dir)
-    v = a.where(F.col("split") == "val").select("model", F.col("acc").alias("val_accuracy"))
-    t = a.where(F.col("split") == "test").select("model", F.col("acc").alias("test_accuracy"))
-    j = v.join(t, "model").withColumn("accuracy_change", F.col("test_accuracy") - F.col("val_accuracy"))
+    j = M.compare_results(M.model_results(model_scores(spark, sf_dir)))
     return j.select("model", *[_r(c, 9) for c in ("val_accuracy", "test_accuracy", "accuracy_change")])
 
 
+@register("model_evaluation", P + f"""
+SELECT split, round(avg(-("Actual" * ln({_CLIP}) + (1 - "Actual") * ln(1 - {_CLIP}))), 9) + 0.0 AS loss,
+       round(avg(CAST("Predicted" = "Actual" AS DOUBLE)) * 100, 9) + 0.0 AS accuracy FROM pred GROUP BY split""")
+def q_model_eval(spark, sf_dir):
+    """M2: loss and accuracy of the scores per split."""
+    p = predictions(spark, sf_dir)
+    out = p.groupBy("split").agg(Lo.bce("Probability", F.col("Actual").cast("double")).alias("loss"),
+                                 (F.avg((F.col("Predicted") == F.col("Actual")).cast("double")) * 100).alias("accuracy"))
+    return out.select("split", _r("loss", 9), _r("accuracy", 9))
+
+
 # ---- submission path (K22, C3, C4, G1-G3) --------------------------------------
 
 _REQ = """req AS (SELECT CAST(s_suppkey AS VARCHAR) AS "ID" FROM supplier
