@@ -119,12 +119,6 @@ def drop_invalid_prices(df: DataFrame, price_cols: Sequence[str] = PRICE_COLS) -
     return df.where(cond)
 
 
-def drop_short_series(df: DataFrame, keys="Ticker", min_rows: int = HORIZON + 1) -> DataFrame:
-    """B5 on its own (a window count: no join, no second shuffle)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*_keys(keys)))
-    return df.withColumn("_n", n).where(F.col("_n") >= min_rows).drop("_n")
-
-
 def non_finite_to_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NaN / +-inf / NULL -> 0 for the given columns."""
     def fix(c):

@@ -41,10 +41,16 @@ def levels_for(span: int, tol: float = TOL) -> int:
 
 def with_ema(df: DataFrame, value: str, spans: Sequence[int], keys="Ticker", order="Date",
              names: Sequence[str] | None = None, tol: float = TOL) -> DataFrame:
-    """Append one EMA column per span (default names ``ema_{span}``)."""
+    """Append one EMA column per span (default names ``ema_{span}``).
+
+    Values of 2^levels rows ago weigh less than ``tol`` of the sum and are left
+    out: exact to double precision for values of one magnitude.  A NULL value
+    fails the job; fill the column first.
+    """
     names = list(names or [f"ema_{s}" for s in spans])
     w = series_window(keys, order)
-    x = F.col(value)
+    x = F.coalesce(F.col(value).cast("double"),
+                   F.raise_error(F.lit(f"the moving average of {value} needs a value in every row")).cast("double"))
     first = F.first(x).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tmp = {s: f"__ema_b{s}" for s in spans}
     out = df.withColumns({"__ema_x0": first,

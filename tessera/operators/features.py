@@ -108,7 +108,7 @@ def _list(x) -> list:
 
 def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Date",
                    stats: str = "train", clean: bool = True, causal_fill: bool = False,
-                   keep: tuple = ("target",), assume_clean: bool = True) -> DataFrame:
+                   keep: tuple = ("target",), assume_clean: bool = False) -> DataFrame:
     """Feature table: key columns, ``keep`` columns that exist, then the 132 features.
 
     ``stats`` chooses ``ticker_mean_return_30d``: ``"train"`` -- expanding
@@ -116,9 +116,10 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
     (the last expanding mean = the mean over all its train rows);
     ``"expanding"`` -- expanding mean everywhere (scoring path).
     ``causal_fill=True`` replaces the back fill of the cleanup by 0 (no
-    look-ahead at a series start).  ``assume_clean`` states that the panel
-    went through ``handle_missing_values`` (see ``MID_SERIES_NULLS``); pass
-    False for raw input and every feature gets the full forward fill.
+    look-ahead at a series start).  Every feature gets the full forward fill;
+    ``assume_clean=True`` states that the panel has just gone through
+    ``handle_missing_values``, where only ``MID_SERIES_NULLS`` can have gaps.
+    A NULL close fails the job (``with_ema``): fill it first.
     """
     keys = _list(keys)
     series = [k for k in keys if k != "split"]

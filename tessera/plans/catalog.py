@@ -26,4 +26,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from tessera.plans import (queries_panel, queries_features, queries_eval,  # noqa: F401
-                               queries_selection, queries_sequences, queries_model)
+                               queries_selection, queries_sequences, queries_model, queries_pipelines)

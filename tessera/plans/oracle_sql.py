@@ -7,6 +7,8 @@ the Spark queries (counts BIGINT, flags INTEGER, measures DOUBLE).
 
 from __future__ import annotations
 
+import re
+
 # ---- shared CTEs -------------------------------------------------------------
 
 BARS = """bars AS (
@@ -36,17 +38,21 @@ def _fill(c: str) -> str:
             f'first_value("{c}" IGNORE NULLS) OVER wa, 0.0) AS "{c}"')
 
 
-CLEAN = f"""filled AS (
+def clean_cte(source: str) -> str:
+    return f"""filled AS (
   SELECT "Date", "Ticker", {_fill("Open")}, {_fill("High")}, {_fill("Low")}, {_fill("Close")},
          {_fill("Volume")}, coalesce("Dividends", 0.0) AS "Dividends",
          coalesce("Stock Splits", 0.0) AS "Stock Splits"
-  FROM gappy
+  FROM {source}
   WINDOW wr AS (PARTITION BY "Ticker" ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          wa AS (PARTITION BY "Ticker" ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 valid AS (SELECT * FROM filled WHERE "Open" > 0 AND "High" > 0 AND "Low" > 0 AND "Close" > 0),
 clean AS (SELECT * EXCLUDE (n_rows) FROM
   (SELECT *, count(*) OVER (PARTITION BY "Ticker") AS n_rows FROM valid) WHERE n_rows >= 31)"""
 
+
+CLEAN = clean_cte("gappy")          # only the queries on cleaning read the gappy bars
+
 LABELLED = """labelled AS (
   SELECT * EXCLUDE (fut), CAST(fut > "Close" AS INTEGER) AS target FROM
   (SELECT *, lead("Close", 30) OVER (PARTITION BY "Ticker" ORDER BY "Date") AS fut FROM clean)
@@ -60,18 +66,12 @@ SPLIT = """split_dates AS (
         FROM (SELECT DISTINCT "Date" FROM labelled))),
 panel AS (SELECT l.*, s.split FROM labelled l JOIN split_dates s USING ("Date"))"""
 
-# Gap-free labelled panel (clean bars straight from lineitem): base of features.
-LABELLED_BARS = """labelled AS (
-  SELECT * EXCLUDE (fut), CAST(fut > "Close" AS INTEGER) AS target FROM
-  (SELECT *, lead("Close", 30) OVER (PARTITION BY "Ticker" ORDER BY "Date") AS fut FROM bars)
-  WHERE fut IS NOT NULL)"""
-
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-PANEL_CTES = (BARS, GAPPY, CLEAN, LABELLED, SPLIT)
+PANEL_CTES = (BARS, clean_cte("bars"), LABELLED, SPLIT)
 
 
 # ---- feature catalogue (I1-I22, B9) in DuckDB ---------------------------------
@@ -106,10 +106,20 @@ def _ema(x: str, span: int) -> str:
             f"lambda acc, v: acc * {1.0 - a!r} + {a!r} * v)")
 
 
-def feature_sql() -> str:
-    """CTEs ``fe1 .. feat`` over ``panel``: 132 cleaned features per row."""
+# Integer features: calendar parts and flags, which are never missing.
+_WHOLE = {"day_of_week", "day_of_month", "month", "quarter", "year", "days_since_month_start", "days_until_month_end",
+          "is_month_start", "is_month_end", "is_bull_market", "is_bear_market", "is_high_volatility",
+          "trend_direction"}
+
+
+def feature_sql(source: str = "panel", tag: str = "") -> str:
+    """CTEs ``fe1 .. feat`` (names led by ``tag``) over ``source``: 132 cleaned features per row."""
+    sql = _feature_sql().replace("FROM panel)", f"FROM {source})")
+    return re.sub(r"\b(fe[1-6]|feat)\b", tag + r"\1", sql)
+
+
+def _feature_sql() -> str:
     import math
-    from tessera.operators.features import MID_SERIES_NULLS, NEVER_NULL, feature_names
     C = '"Close"'
     e = [f'{_ema(C, 12)} AS ema12', f'{_ema(C, 26)} AS ema26']
     fe1 = f"""fe1 AS (SELECT split, "Ticker", "Date", target, "Open", "High", "Low", "Close", "Volume",
@@ -223,19 +233,18 @@ def feature_sql() -> str:
     f["volatility_volume_interaction"] = f"s30 * ({f['volume_to_ma_10']})"
     f["bb_position_volume_interaction"] = f"({f['bb_position']}) * ({f['volume_to_ma_10']})"
     f["trend_volatility_interaction"] = f"({f['trend_slope_30']}) * s30"
-    names = feature_names()
-    assert set(names) == set(f)
+    names = list(f)
+    assert len(names) == 132
     fe6 = "fe6 AS (SELECT split, \"Ticker\", \"Date\", target, " + ", ".join(
         f'{f[n]} AS "{n}"' for n in names) + " FROM fe5)"
     wr = f"({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     wa = f"({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     cl = []
     for n in names:
-        if n in NEVER_NULL:
+        if n in _WHOLE:
             cl.append(f'"{n}"')
         else:
             cl.append(f'coalesce(last_value("{n}" IGNORE NULLS) OVER {wr}, '
                       f'first_value("{n}" IGNORE NULLS) OVER {wa}, 0.0) AS "{n}"')
     feat = "feat AS (SELECT split, \"Ticker\", \"Date\", target, " + ", ".join(cl) + " FROM fe6)"
-    del MID_SERIES_NULLS
     return ",\n".join([fe1, fe2, fe3, fe4, fe5, fe6, feat])

@@ -79,7 +79,8 @@ def _sql_col(n):
 
 
 def features_table(spark, sf_dir):
-    return build_features(panel(spark, sf_dir))
+    """The 132 features of the panel, which P1 has just cleaned."""
+    return build_features(panel(spark, sf_dir), assume_clean=True)
 
 
 def _make(cols):
@@ -121,10 +122,9 @@ def q_event_lagged(spark, sf_dir):
 
 @register("event_lagged_matrix_chunked", _LAG_SQL)
 def q_event_lagged_chunked(spark, sf_dir):
-    """E9 skew-safe: position chunks of 16 rows with a 3-row halo (small so
-    that every user spans several chunks here); a hot user is split over tasks."""
-    return Wn.lagged_matrix_chunked(_events(spark, sf_dir), ["value"], [1, 2, 3], "user_id", ["ts", "event_id"],
-                                    F.to_date("ts"), chunk_rows=16)
+    """E9 with chunks of 16 rows and a 3-row halo, so that every user spans several chunks here."""
+    return Wn.lagged_matrix(_events(spark, sf_dir), ["value"], [1, 2, 3], "user_id", ["ts", "event_id"],
+                            chunk_rows=16)
 
 
 def _ef(n):
@@ -155,9 +155,9 @@ def _round_rolling(out):
 
 @register("event_rolling_matrix_chunked", _ROLL_SQL)
 def q_event_rolling_chunked(spark, sf_dir):
-    """E10 skew-safe: position chunks of 16 rows with a 9-row halo."""
-    out = Wn.rolling_matrix_chunked(_events(spark, sf_dir), ["value"], [5, 10], ["mean", "std", "min", "max"],
-                                    "user_id", ["ts", "event_id"], F.to_date("ts"), chunk_rows=16)
+    """E10 with chunks of 16 rows and a 9-row halo."""
+    out = Wn.rolling_matrix(_events(spark, sf_dir), ["value"], [5, 10], ["mean", "std", "min", "max"],
+                            "user_id", ["ts", "event_id"], chunk_rows=16)
     return _round_rolling(out)
 
 
@@ -166,10 +166,8 @@ SELECT user_id, ts, event_id,
   round(coalesce(avg(value) OVER ({_EW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0), 9) + 0.0 AS value_expanding
 FROM events""")
 def q_event_expanding(spark, sf_dir):
-    w = Wn.series_window("user_id", ["ts", "event_id"])
-    ev = _events(spark, sf_dir)
-    return ev.select("user_id", "ts", "event_id",
-                     (F.round(Wn.expanding_mean("value", w), 9) + 0.0).alias("value_expanding"))
+    out = Wn.running_mean(_events(spark, sf_dir), "value", "user_id", ["ts", "event_id"])
+    return out.select("user_id", "ts", "event_id", (F.round("value_expanding", 9) + 0.0).alias("value_expanding"))
 
 
 @register("event_lag_lead_diff", f"""
@@ -178,10 +176,9 @@ SELECT user_id, ts, event_id, lag(value, 2) OVER ({_EW}) AS lag2, lead(value, 2)
   CASE WHEN lag(value, 3) OVER ({_EW}) = 0 THEN NULL ELSE value / lag(value, 3) OVER ({_EW}) END - 1 AS pct3
 FROM events""")
 def q_event_lag_lead(spark, sf_dir):
-    w = Wn.series_window("user_id", ["ts", "event_id"])
-    return _events(spark, sf_dir).select("user_id", "ts", "event_id", Wn.lag("value", 2, w).alias("lag2"),
-                                         Wn.lead("value", 2, w).alias("lead2"), Wn.diff("value", w).alias("diff1"),
-                                         Wn.pct_change("value", w, 3).alias("pct3"))
+    columns = lambda w: [Wn.lag("value", 2, w).alias("lag2"), Wn.lead("value", 2, w).alias("lead2"),
+                         Wn.diff("value", w).alias("diff1"), Wn.pct_change("value", w, 3).alias("pct3")]
+    return Wn.by_chunk(_events(spark, sf_dir), columns, "user_id", ["ts", "event_id"], before=3, after=2)
 
 
 @register("event_fill", f"""
@@ -190,12 +187,12 @@ SELECT user_id, ts, event_id,
            first_value(v IGNORE NULLS) OVER ({_EW} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0.0) AS value
 FROM (SELECT *, CASE WHEN event_id % 4 = 0 OR event_type = 'click' THEN NULL ELSE value END AS v FROM events)""")
 def q_event_fill(spark, sf_dir):
-    from tessera.operators.clean import fill_series
+    from tessera.operators.ranges import fill
     ev = read_table(spark, sf_dir, "events")
     gappy = ev.select("user_id", "ts", "event_id",
                       F.when((F.col("event_id") % 4 == 0) | (F.col("event_type") == "click"), F.lit(None))
                       .otherwise(F.col("value")).cast("double").alias("value"))
-    return gappy.select("user_id", "ts", "event_id", fill_series("value", "user_id", ["ts", "event_id"]).alias("value"))
+    return fill(gappy, "value", ["user_id"], ["ts", "event_id"])
 
 
 @register("last_rows_per_series", with_(PANEL_CTES[0]) + """

@@ -8,15 +8,15 @@ from tessera.operators import clean as C
 from tessera.operators.labels import forward_label, label_distribution
 from tessera.operators.splits import split_by_position, split_report
 from tessera.plans.catalog import register
-from tessera.plans.oracle_sql import BARS, CLEAN, GAPPY, LABELLED, SPLIT, with_
+from tessera.plans.oracle_sql import BARS, CLEAN, GAPPY, LABELLED, PANEL_CTES, clean_cte, with_
 from tessera.plans.process import process
 from tessera.sources.bars import load_bars, load_gappy_bars
 from tessera.sources.tables import read_table
 
 
 def panel(spark, sf_dir):
-    """Cleaned, labelled, split panel built from the gappy daily bars."""
-    return process(load_gappy_bars(spark, sf_dir))
+    """Cleaned, labelled, split panel built from all daily bars."""
+    return process(load_bars(spark, sf_dir))
 
 
 @register("daily_bars", with_(BARS) + "SELECT * FROM bars")
@@ -68,17 +68,17 @@ def q_invalid_price_filter(spark, sf_dir):
     return C.drop_invalid_prices(load_gappy_bars(spark, sf_dir))
 
 
-@register("forward_label", with_(BARS, GAPPY, CLEAN, LABELLED) + "SELECT * FROM labelled")
+@register("forward_label", with_(BARS, clean_cte("bars"), LABELLED) + "SELECT * FROM labelled")
 def q_forward_label(spark, sf_dir):
-    return forward_label(C.handle_missing_values(load_gappy_bars(spark, sf_dir)))
+    return forward_label(C.handle_missing_values(load_bars(spark, sf_dir)))
 
 
-@register("split_panel", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + "SELECT * FROM panel")
+@register("split_panel", with_(*PANEL_CTES) + "SELECT * FROM panel")
 def q_split_panel(spark, sf_dir):
     return panel(spark, sf_dir)
 
 
-@register("split_report", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + """
+@register("split_report", with_(*PANEL_CTES) + """
 SELECT split, "rows", first_date, last_date, positives,
        round("rows" * 100.0 / sum("rows") OVER (), 6) AS row_pct,
        round(positives * 100.0 / "rows", 6) AS positive_pct
@@ -88,7 +88,7 @@ def q_split_report(spark, sf_dir):
     return split_report(panel(spark, sf_dir))
 
 
-@register("label_distribution", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + """
+@register("label_distribution", with_(*PANEL_CTES) + """
 SELECT split, target, n, round(n * 100.0 / sum(n) OVER (PARTITION BY split), 6) AS pct
 FROM (SELECT split, target, count(*) AS n FROM panel GROUP BY split, target)""")
 def q_label_distribution(spark, sf_dir):
@@ -101,7 +101,7 @@ def q_series_row_counts(spark, sf_dir):
     return load_bars(spark, sf_dir).groupBy("Ticker").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("distinct_keys", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + """
+@register("distinct_keys", with_(*PANEL_CTES) + """
 SELECT split, count(DISTINCT "Ticker") AS tickers, count(DISTINCT "Date") AS dates
 FROM panel GROUP BY split""")
 def q_distinct_keys(spark, sf_dir):
@@ -109,7 +109,7 @@ def q_distinct_keys(spark, sf_dir):
             .agg(F.count_distinct("Ticker").alias("tickers"), F.count_distinct("Date").alias("dates")))
 
 
-@register("last_close_per_series", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + """
+@register("last_close_per_series", with_(*PANEL_CTES) + """
 SELECT "Ticker", arg_max("Close", "Date") AS last_close, max("Date") AS last_date
 FROM panel WHERE split = 'train' GROUP BY "Ticker" """)
 def q_last_close(spark, sf_dir):
@@ -118,7 +118,7 @@ def q_last_close(spark, sf_dir):
                                    F.max("Date").alias("last_date"))
 
 
-@register("class_weights", with_(BARS, GAPPY, CLEAN, LABELLED, SPLIT) + """
+@register("class_weights", with_(*PANEL_CTES) + """
 SELECT target, n, round(sum(n) OVER () / (count(*) OVER () * n), 10) AS weight
 FROM (SELECT target, count(*) AS n FROM panel WHERE split = 'train' GROUP BY target)""")
 def q_class_weights(spark, sf_dir):

@@ -29,11 +29,15 @@ def q_sliding(spark, sf_dir):
     return sliding(spark, sf_dir)
 
 
-@register("sequences_capped", with_(*PANEL_CTES, _SEQ) + """
-SELECT * FROM seq WHERE split = 'train' ORDER BY "Ticker", "Date" LIMIT 15000""")
+MAX_FIT_SEQUENCES = 150_000      # fixed value: at most so many sequences are fitted on
+
+
+@register("sequences_capped", with_(*PANEL_CTES, _SEQ) + f"""
+SELECT * FROM seq WHERE split = 'train'
+ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {MAX_FIT_SEQUENCES}""")
 def q_capped(spark, sf_dir):
     s = sliding(spark, sf_dir).where(F.col("split") == "train")
-    return Q.capped(s, 15000)
+    return Q.capped(s, MAX_FIT_SEQUENCES, 42)
 
 
 @register("sequences_value_stats", with_(*PANEL_CTES, _SEQ) + """
@@ -47,9 +51,9 @@ def q_value_stats(spark, sf_dir):
 
 
 @register("sequences_flattened", with_(*PANEL_CTES, _SEQ) + """
-SELECT split, "Ticker", "Date", flatten("X") AS x_flat, len(flatten("X")) AS width FROM seq WHERE split = 'test'""")
+SELECT split, "Ticker", "Date", flatten("X") AS x_flat, len(flatten("X")) AS width FROM seq""")
 def q_flat(spark, sf_dir):
-    s = sliding(spark, sf_dir).where(F.col("split") == "test")
+    s = sliding(spark, sf_dir)
     flat = Q.flatten_sequence("X")
     return s.select("split", "Ticker", "Date", flat.alias("x_flat"), F.size(flat).alias("width"))
 
@@ -92,25 +96,31 @@ def monthly_closes(spark, sf_dir):
 
 
 @register("sequences_padded", with_(BARS, _MONTHLY) + """
-SELECT "Ticker", month, list_concat(list_resize([]::DOUBLE[], 25 - len(closes), 0.0), closes) AS pre,
-       list_concat(closes, list_resize([]::DOUBLE[], 25 - len(closes), 0.0)) AS post,
+SELECT "Ticker", month, list_concat(list_resize([]::DOUBLE[], 31 - len(closes), 0.0), closes) AS pre,
+       list_concat(closes, list_resize([]::DOUBLE[], 31 - len(closes), 0.0)) AS post,
        CAST(len(closes) AS INTEGER) AS length, closes[1:10] AS head10 FROM monthly""")
 def q_padded(spark, sf_dir):
     m = monthly_closes(spark, sf_dir)
-    return m.select("Ticker", "month", Q.pad("closes", 25, "pre").alias("pre"), Q.pad("closes", 25, "post").alias("post"),
+    return m.select("Ticker", "month", Q.pad("closes", 31, "pre").alias("pre"), Q.pad("closes", 31, "post").alias("post"),
                     F.size("closes").alias("length"), Q.truncate("closes", 10).alias("head10"))
 
 
-@register("sequences_sampled_positions")
+@register("sequences_sampled_positions", with_(*PANEL_CTES, _SEQ) + """
+SELECT * EXCLUDE (r, n) FROM (SELECT *, count(*) OVER (PARTITION BY "Ticker") AS n,
+  row_number() OVER (PARTITION BY "Ticker" ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR))) AS r
+  FROM seq WHERE split = 'train') WHERE r <= floor(n * 0.1::DOUBLE)""")
 def q_sampled(spark, sf_dir):
-    """F7 (hash-ranked, no SQL hash equivalent): 10 % of positions per series."""
+    """10 % of the positions of each series."""
     return Q.sample_positions(sliding(spark, sf_dir).where(F.col("split") == "train"), 0.1, 42)
 
 
-@register("sample_rows_seeded")
-def q_sample_rows(spark, sf_dir):
-    """a fixed-size seeded sample (the reference samples 500,000 rows for MI)."""
-    p = panel(spark, sf_dir).where(F.col("split") == "train")
-    return Q.sample_rows(p, 5000, 42, ["Ticker", "Date"])
+MI_SAMPLE_ROWS = 500_000         # fixed value: rows of a ranking sample
 
 
+@register("sample_rows_seeded", with_(*PANEL_CTES) + f"""
+SELECT * FROM panel WHERE split = 'train'
+ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {MI_SAMPLE_ROWS}""")
+def q_sample_rows(spark, sf_dir):
+    """a fixed-size seeded sample."""
+    p = panel(spark, sf_dir).where(F.col("split") == "train")
+    return Q.sample_rows(p, MI_SAMPLE_ROWS, 42, ["Ticker", "Date"])

@@ -74,11 +74,6 @@ def load_gappy_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_gaps(load_bars(spark, sf_dir))
 
 
-def event_series(events: DataFrame) -> DataFrame:
-    """Raw event rows as series: key = user_id, order = (ts, event_id)."""
-    return events.select("user_id", "ts", "event_id", "value")
-
-
 def scoring_requests(supplier: DataFrame, unknown_offset: int = 1_000_000) -> DataFrame:
     """Scoring request table (ID, Date) derived from the supplier table.
 

@@ -41,10 +41,17 @@ def write_splits(panel: DataFrame, path: str, fmt: str = "parquet") -> None:
     panel.write.mode("overwrite").partitionBy("split").format(fmt).option("header", True).save(path)
 
 
-def write_features(features: DataFrame, columns: Sequence[str], path: str, float32: bool = True) -> None:
-    """A5 + B8: Date, Ticker, target, the selected features (cast to float at the sink)."""
-    cols = [F.col("Date"), F.col("Ticker"), F.col("target")]
-    cols += [F.col(c).cast("float").alias(c) if float32 else F.col(c) for c in columns]
+# Integer features that fit a smaller type at the sink
+SMALL = {"year": "smallint"} | {c: "tinyint" for c in (
+    "target", "day_of_week", "day_of_month", "month", "quarter", "days_since_month_start", "days_until_month_end",
+    "is_month_start", "is_month_end", "is_bull_market", "is_bear_market", "is_high_volatility", "trend_direction")}
+
+
+def write_features(features: DataFrame, columns: Sequence[str], path: str, small: bool = True) -> None:
+    """A5 + B8: Date, Ticker, target and the selected features; with ``small`` in the
+    smallest type that holds them (float, tinyint, smallint)."""
+    cols = [F.col("Date"), F.col("Ticker")]
+    cols += [F.col(c).cast(SMALL.get(c, "float")).alias(c) if small else F.col(c) for c in ["target", *columns]]
     keep = ["split"] if "split" in features.columns else []
     out = features.select(*keep, *cols)
     w = out.write.mode("overwrite")
@@ -52,13 +59,14 @@ def write_features(features: DataFrame, columns: Sequence[str], path: str, float
 
 
 def write_submission(submission: DataFrame, path: str) -> None:
-    """One CSV with header, sorted by ID (the table is one row per request)."""
-    submission.orderBy("ID").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with header, sorted by ID within and across files (part numbers give the order)."""
+    submission.repartitionByRange("ID").sortWithinPartitions("ID").write.mode("overwrite").option(
+        "header", True).csv(path)
 
 
 def write_metadata(df: DataFrame, path: str) -> None:
-    """Small run metadata as a table (feature list, scaler, rankings, ...)."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """Run metadata as a table: feature list, scaler, feature importance, model comparison."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -69,3 +77,16 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 def feature_list_table(spark: SparkSession, features: Sequence[str]) -> DataFrame:
     """The selected feature list with its order."""
     return spark.createDataFrame([(i, c) for i, c in enumerate(features)], "position INT, feature STRING")
+
+
+def importance_table(mutual_info: DataFrame) -> DataFrame:
+    """Features ranked by importance (one row per feature)."""
+    from pyspark.sql import Window
+    rank = F.row_number().over(Window.orderBy(F.col("mutual_info").desc(), "feature"))
+    return mutual_info.select("feature", "mutual_info", rank.alias("rank"))
+
+
+def comparison_table(results: DataFrame) -> DataFrame:
+    """The model comparison (one row per model) from ``metrics.model_results``."""
+    from tessera.operators.metrics import model_leaderboard
+    return model_leaderboard(results)

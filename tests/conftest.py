@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_session
-    s = get_session("local[*]", 8, app_name="tessera-tests")
+    s = get_session("local[*]", 8, app_name="tessera-tests", extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 

@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from tessera.plans.catalog import REGISTRY
 
 from conftest import SF
 
@@ -12,15 +13,26 @@ def test_registry_consistent():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert len(q) >= 100
-    for name in q:
-        assert not name.startswith("op") and "pipeline" not in name
+
+
+def test_training_data_queries_are_optional(monkeypatch):
+    """Without the subpackage and the pipeline module the other queries remain."""
+    import sys
+    own = {n for n in E.queries() if n.startswith("op") or n == "pipeline"}
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(E.queries()) == set(REGISTRY) and own.isdisjoint(REGISTRY)
+    assert set(E.oracle_sql()) <= set(REGISTRY)
+
+
+def test_no_cached_table_in_any_plan(spark):
+    for name in ("features_all", "split_panel", "sequences_sliding", "eval_binary_metrics"):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" not in plan
 
 
 def test_every_query_plans(spark):
-    # analysis only (no job): every registered query resolves against the tables
-    cheap = [n for n in E.queries() if not n.startswith(("fit_", "eval_threshold_methods", "eval_default",
-                                                         "select_", "scal", "loss_weighted", "loss_grad",
-                                                         "batchnorm_apply"))]
-    for name in cheap:
-        df = E.queries()[name](spark, SF)
-        assert df.schema is not None
+    # analysis only: every query that runs no job while planning resolves against the tables
+    for name in E.queries():
+        if name in REGISTRY and not name.startswith(("fit_", "eval_", "select_", "scal", "loss_", "batchnorm_apply", "event_",
+                                                     "position_split", "sequences_", "sample_", "submission", "model_")):
+            assert E.queries()[name](spark, SF).schema is not None

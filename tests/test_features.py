@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import panel_df, panel_rows, random_walk
@@ -68,3 +69,18 @@ def test_split_restart_and_train_statistic(spark):
     va = out[out.split == "val"]
     # val rows carry the last train value of the expanding mean
     assert np.allclose(va["ticker_mean_return_30d"], tr["ticker_mean_return_30d"].iloc[-1])
+
+
+def test_missing_close_fails_instead_of_a_wrong_average(spark):
+    x = random_walk(60, 6)
+    df = panel_df(spark, panel_rows("N", x[:30] + [None] + x[31:]))
+    with pytest.raises(Exception, match="needs a value"):
+        with_ema(df, "Close", [9], "Ticker", "Date").collect()
+
+
+def test_full_fill_is_the_default(spark):
+    """A missing volume inside a series: the forward fill takes the row before it."""
+    vol = [100.0 + i for i in range(60)]
+    vol[40] = None
+    out = _features(spark, panel_rows("V", random_walk(60, 8), volumes=vol))
+    assert out["volume_change"].iloc[40] == out["volume_change"].iloc[39] == 1.0
