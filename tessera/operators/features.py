@@ -93,9 +93,32 @@ NEVER_NULL = {"day_of_week", "day_of_month", "month", "quarter", "year",
 # On a cleaned panel (non-null OHLCV, positive prices, volume >= 0) only these
 # features can be NULL *inside* a series (a zero previous volume); every other
 # feature is NULL only in its warm-up run at the series start, where a forward
-# fill is a no-op and only the back fill acts.
+# fill is a no-op and only the back fill acts (``warm_up_rows``).
 MID_SERIES_NULLS = {"volume_change_pct", "volume_price_trend", "momentum_volume_interaction"}
 
+
+
+def warm_up_rows() -> dict[str, int]:
+    """Features with the number of rows at a series start where they are NULL and after
+    which, on a cleaned panel, they never are."""
+    n = {"price_change": 1, "price_change_pct": 1, "volume_change": 1, "year_ago_return": YEAR_LAG,
+         "volatility_ratio_30_60": 59, "volatility_ratio_60_90": 89, "volatility_regime": 59,
+         "market_regime_strength": 199, "trend_strength_30": 29, "trend_strength_60": 59,
+         "rsi_volume_interaction": 9, "macd_volatility_interaction": 29, "rsi_trend_interaction": 29,
+         "macd_price_position_interaction": 99, "volatility_volume_interaction": 29,
+         "bb_position_volume_interaction": 19, "trend_volatility_interaction": 29}
+    n |= {f"return_{d}d": d for d in RETURN_DAYS + LONG_RETURNS} | {f"return_{d}d_abs": d for d in RETURN_DAYS}
+    n |= {f"bb_{x}": BB_WINDOW - 1 for x in ("upper", "middle", "lower", "width", "position")}
+    n |= {f"volume_{x}_{w}": w - 1 for w in VOLUME_MA for x in ("ma", "to_ma")}
+    n |= {f"{x}_{k}{y}": k for k in LAGS for x, y in (("close_lag", ""), ("close_lag", "_pct"), ("volume_lag", ""))}
+    n |= {f"close_{x}_{w}": w - 1 for w in SHORT_ROLL for x in ("std", "mean", "min", "max", "range", "range_pct")}
+    n |= {f"ma_{w}": w - 1 for w in LONG_MA} | {f"close_to_ma_{w}": w - 1 for w in LONG_MA}
+    n |= {f"ma_{w}_trend": w for w in LONG_MA}
+    n |= {f"price_{x}_{w}": w - 1 for w in LONG_MA for x in ("min", "max", "position")}
+    n |= {f"{x}_{w}": w - 1 for w in TREND for x in ("trend_slope", "volatility", "volatility_pct")}
+    return n
+
+
 INT_FEATURES = {"day_of_week", "day_of_month", "month", "quarter", "year",
                 "days_since_month_start", "days_until_month_end", "is_month_start",
                 "is_month_end", "is_bull_market", "is_bear_market", "is_high_volatility",
@@ -273,36 +296,40 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
     feats = s2.select(*front, *[f[n].alias(n) for n in names])
     if not clean:
         return feats
-    forward = MID_SERIES_NULLS if assume_clean else None
-    return cleanup(feats, names, keys, order, causal=causal_fill, forward=forward)
+    return cleanup(feats, names, keys, order, causal=causal_fill, clean=assume_clean)
 
 
 def cleanup(df: DataFrame, features, keys, order: str = "Date", causal: bool = False,
-            forward=None) -> DataFrame:
+            clean: bool = False) -> DataFrame:
     """Per series forward fill, then back fill, then 0.
 
     The back fill equals the first valid value of the whole ordered series
     (only a leading NULL run survives a forward fill), evaluated once per
     partition.  ``causal=True`` fills that leading run with 0 instead.
-    ``forward`` limits the running forward fill to the given columns (the
-    others are known to be NULL only at the series start); None = all.
+    ``clean`` states that NULLs lie only where a cleaned panel has them: then
+    features of one warm-up length n share one window function, row n of the
+    series, and only ``MID_SERIES_NULLS`` are filled one by one.
     """
     w = series_window(keys, order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = {c: n for c, n in warm_up_rows().items() if clean and c in features and c in df.columns}
+    shared = {} if causal else {f"_at_{n}": F.nth_value(F.struct(*[c for c in starts if starts[c] == n]), n + 1).over(whole)
+                                for n in sorted(set(starts.values()))}
     out = []
     for c in df.columns:
-        if c in features and c not in NEVER_NULL:
-            x = F.col(c)
-            parts = [x]
-            if forward is None or c in forward:
-                parts.append(F.last(x, ignorenulls=True).over(running))
+        x = F.col(c)
+        if c not in features or c in NEVER_NULL:
+            out.append(x)
+        elif clean and c not in MID_SERIES_NULLS:
+            back = [F.col(f"_at_{starts[c]}")[c]] if c in starts and not causal else []
+            out.append(F.coalesce(x, *back, F.lit(0.0)).alias(c))
+        else:
+            parts = [x, F.last(x, ignorenulls=True).over(running)]
             if not causal:
                 parts.append(F.first(x, ignorenulls=True).over(whole))
             out.append(F.coalesce(*parts, F.lit(0.0)).alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)
+    return df.withColumns(shared).select(*out)
 
 
 def train_statistic(features: DataFrame, column: str = "ticker_mean_return_30d",

@@ -63,14 +63,16 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, rebalance: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage (nothing upstream runs again when an executor is lost,
-    or when several passes read it) and keeps columns prunable.
+    or when several passes read it) and keeps columns prunable.  With
+    ``rebalance``, for narrow tables, the rows are dealt to a few files of even
+    size first, as many as AQE finds fit, instead of one small file per task.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -84,3 +84,14 @@ def test_full_fill_is_the_default(spark):
     vol[40] = None
     out = _features(spark, panel_rows("V", random_walk(60, 8), volumes=vol))
     assert out["volume_change"].iloc[40] == out["volume_change"].iloc[39] == 1.0
+
+
+def test_shared_back_fill_equals_the_full_fill(spark):
+    """Series shorter and longer than every warm-up, with a zero volume: both fills agree."""
+    rows = []
+    for n in (31, 95, 205, 300):
+        vol = [100.0 + i % 9 for i in range(n)]
+        vol[n // 2] = 0.0
+        rows += panel_rows(f"S{n}", random_walk(n, n), volumes=vol)
+    full, shared = _features(spark, rows), _features(spark, rows, assume_clean=True)
+    pd.testing.assert_frame_equal(full, shared)
