@@ -2,45 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import materialize, shared_folder
+
+__all__ = ["WORD", "arrow_batches", "id_bucket", "materialize", "narrow", "shared_folder", "slices", "text_bytes", "uniform", "word_count"]
+
 # Fixed value: a word is a run of anything but ASCII white space.  On UTF-8
 # bytes, ``bytes.split()`` cuts at exactly these characters, and
 # ``bytes.lower()`` lower-cases exactly A-Z.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
-
-    A scratch folder is made only where the setting is missing and the master
-    is local (tests); a cluster without the setting is an error, since a
-    machine-local folder would be lost with its machine.
-    """
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="tessera-shared-")
-        sc.setCheckpointDir(named)
-    return sc.getCheckpointDir()
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage (nothing upstream runs again when an executor is lost)
-    and keeps columns prunable.  Columns must have unique names.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def narrow(df: DataFrame) -> DataFrame:
+    """``materialize`` for a table of a few short columns."""
+    return materialize(df, rebalance=True)
 
 
 def word_count(text: Column) -> Column:
@@ -61,3 +42,24 @@ def id_bucket(ids: Column, n: int) -> Column:
 def text_bytes(texts: Column) -> Column:
     """UTF-8 bytes of a text column (null: empty), passed to Python undecoded."""
     return F.coalesce(texts.cast("binary"), F.lit(b"").cast("binary"))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in smaller batches, so that what a task builds for one of
+    them stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs that run inside hand texts to Python in batches of ``rows``: with whole texts in
+    them, Spark's default of 10,000 rows takes hundreds of MB beside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, text_bytes
+from tessera.llm.common import arrow_batches, materialize, slices, text_bytes
 
 END = b"\n"                    # no word holds white space
 FLUSH = 200_000                # distinct tokens a task holds before it hands on its counts
@@ -232,7 +232,7 @@ def _score(shared):
         model = shared.value
         other = len(model.of) - 1
         end = model.of[model.index.get(END, other)]
-        for batch in batches:
+        for batch in slices(batches):
             n, known, base, score, words, times = [], [], [], [], [], []
             for text in batch.column(batch.num_columns - 1):
                 own = tokens(text.as_py())
@@ -261,14 +261,15 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        text_bytes(F.col("text")).alias("t"))
     train = rows.where(~F.col("held_out"))
-    counts = materialize(token_counts(train))
-    model = fit(train, counts, table_words, cluster_words, classes, sweeps)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    part = materialize(rows.mapInArrow(
-        _score(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
-                        "words array<binary>, times array<long>")
-        .withColumn("row", F.monotonically_increasing_id()))
+    with arrow_batches(docs.sparkSession):
+        counts = materialize(token_counts(train))
+        model = fit(train, counts, table_words, cluster_words, classes, sweeps)
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        part = materialize(rows.mapInArrow(
+            _score(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
+                            "words array<binary>, times array<long>")
+            .withColumn("row", F.monotonically_increasing_id()))
     base, emission = model.rare_parts()
     rare = part.select("row", F.inline(F.arrays_zip("words", "times")).alias("w", "k"))
     log = F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0))

@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, uniform, word_count
+from tessera.llm.common import narrow, uniform, word_count
 
 EPS = 1e-9
 
@@ -130,9 +130,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: floa
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                        F.xxhash64("doc_id", "source", "text").alias("key"))
     same = rows.groupBy("doc_id", "source", "size", "key").agg(F.count(F.lit(1)).alias("m"))
-    units = materialize(same.select("doc_id", "source", "size", "key",
+    units = narrow(same.select("doc_id", "source", "size", "key",
                                     F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("ord")))
-    targets = materialize(source_targets(units, weights, cap))
+    targets = narrow(source_targets(units, weights, cap))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(1.0))
     base = F.floor(F.col("rate") + EPS)
     frac = F.greatest(F.lit(0.0), F.col("rate") - F.col("base"))
@@ -155,13 +155,13 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: floa
     largest = targets.agg(F.max("n")).first()[0] or 0      # one number: how deep the tree is
     done, width, depth = [settled.select("src", "unit")], block, 0
     while -(-largest // width) > 1:
-        folded = materialize(_fold(level, seed + 10 + depth))
+        folded = narrow(_fold(level, seed + 10 + depth))
         done.append(folded.select("src", F.explode("done").alias("unit")))
         width, depth = width * block, depth + 1
         groups = F.ceil(F.col("n") / F.lit(float(width)))
         level = (folded.join(targets.select("src", "n"), "src")
                  .select("src", F.pmod("block", groups).alias("block"), F.col("r").alias("unit")))
-    root = materialize(_settle(level.select("src", "unit").unionByName(reserve), seed + 3))
+    root = narrow(_settle(level.select("src", "unit").unionByName(reserve), seed + 3))
     done.append(root.select("src", F.explode("done").alias("unit")))
     out = done[0]
     for part in done[1:]:

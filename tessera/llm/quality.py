@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, text_bytes
+from tessera.llm.common import arrow_batches, narrow, text_bytes
 
 SYMBOLS = b"#*$%&|<>"                     # fixed value
 WINDOW = 8                                # words in a repeated window
@@ -172,7 +172,8 @@ def judge_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, go
                   good_cost: float = 10.0, key: str = "doc_id") -> DataFrame:
     """(doc_id, COUNTS..., base_failed, score, kept) per row of ``docs`` (doc_id, text);
     ``labels`` has (doc_id, good 0/1), matched with ``key``, doc_id or a field of it."""
-    stats = materialize(rule_statistics(docs))
+    with arrow_batches(docs.sparkSession):
+        stats = narrow(rule_statistics(docs))
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col("good").isNotNull())
              .groupBy("doc_id").agg((F.min("good") > 0).alias("good")).withColumnRenamed("doc_id", "_d"))
     known = stats.where(~F.col("base_failed")).join(marks, F.col(key) == F.col("_d")).drop("_d")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, text_bytes
+from tessera.llm.common import arrow_batches, narrow, text_bytes
 
 NODE_ROWS = 4096          # fingerprints under one upper node
 LEAF = 32                 # fingerprints under one inner node
@@ -209,7 +209,7 @@ def links(nodes: DataFrame, max_bits: int = 3, node_rows: int = NODE_ROWS) -> Da
         paths = {p + str(i): [b for b in free if b not in m] for p, free in paths.items()
                  for i, m in enumerate(_masks(free, parts))}
         counted = filed.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-        large = materialize(counted.where(F.col("n") > node_rows).select(F.col("node").alias("_n")))
+        large = narrow(counted.where(F.col("n") > node_rows).select(F.col("node").alias("_n")))
         divisible = min(len(free) for free in paths.values()) > max_bits + 11
         n_large = large.count() if divisible else 0
         small = filed.join(large, F.col("node") == F.col("_n"), "left_anti") if n_large else filed
@@ -218,7 +218,7 @@ def links(nodes: DataFrame, max_bits: int = 3, node_rows: int = NODE_ROWS) -> Da
         found = at_level if found is None else found.unionByName(at_level)
         if not n_large:
             return found.distinct()
-        todo = materialize(filed.join(large, F.col("node") == F.col("_n"), "left_semi")
+        todo = narrow(filed.join(large, F.col("node") == F.col("_n"), "left_semi")
                            .select("fp", "path").distinct())
         keep = {r["path"] for r in todo.select("path").distinct().collect()}      # at most parts ** depth strings
         paths = {p: free for p, free in paths.items() if p in keep}
@@ -226,7 +226,7 @@ def links(nodes: DataFrame, max_bits: int = 3, node_rows: int = NODE_ROWS) -> Da
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every end of an edge (u, v): root is the smallest node it is connected to."""
-    stars = materialize(edges.where(F.col("u") != F.col("v")).select(
+    stars = narrow(edges.where(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
     for _ in range(rounds):
@@ -237,13 +237,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = (both.where(F.col("v") > F.col("u")).join(least, F.col("u") == F.col("_u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: the others, and the node itself, go to its smallest neighbour below
-        large = materialize(large.where(F.col("u") != F.col("v")))
+        large = narrow(large.where(F.col("u") != F.col("v")))
         below = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "_u")
         small = (large.join(below, F.col("u") == F.col("_u"))
                  .select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                           F.struct("u", F.col("m").alias("v")))))
                  .where(F.col("u") != F.col("v")).distinct())
-        stars = materialize(small)
+        stars = narrow(small)
         now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == state:
             break
@@ -256,7 +256,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3,
                     node_rows: int = NODE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs`` (doc_id, text)."""
-    rows = materialize(fingerprints(docs, shingle))
+    with arrow_batches(docs.sparkSession):
+        rows = narrow(fingerprints(docs, shingle))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     roots = components(links(nodes, max_bits, node_rows))
     member = nodes.join(roots, F.col("fp") == F.col("node"), "left") \

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import narrow
 
 DIM_BLOCK = 16            # dimensions accumulated between two prunings
 CANDIDATES = 16384        # candidates in a cell
@@ -105,7 +105,7 @@ def _cell(k: int):
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for each query row."""
-    rows = materialize(quantized(vectors, scale).withColumn("q", F.monotonically_increasing_id()))
+    rows = narrow(quantized(vectors, scale).withColumn("q", F.monotonically_increasing_id()))
     queries = rows.where(F.col("vec_id").isNotNull() & is_query)
     sizes = rows.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id").isNotNull() & is_query)).first()
     c_blocks, q_blocks = max(1, -(-sizes[0] // CANDIDATES)), max(1, -(-sizes[1] // QUERIES))

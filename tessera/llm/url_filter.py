@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import narrow
 
 LEAST_RHO, MOST_RHO = 0.001, 0.5       # prior strengths between 999 and 1
 
@@ -87,7 +87,7 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
     """(host, n, good, mean, lower) for every host of ``pages`` (page_id, url), from
     ``labels`` (page_id, good 0/1).  One row per host; ``lower`` is the bound."""
     outcome = labels.select(F.col("page_id").alias("_i"), F.col("good").cast("double").alias("good"))
-    hosts = materialize(
+    hosts = narrow(
         pages.select("page_id", host_of(F.col("url")).alias("host"))
         .join(outcome, F.col("page_id") == F.col("_i"), "left")
         .groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"),
