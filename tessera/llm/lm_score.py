@@ -4,8 +4,10 @@ Tokens: a text's words, A-Z lower-cased, then one end token.  All training
 documents are counted whole: every distinct token's count, in Spark.  The
 ``cluster_words`` most frequent tokens are put into ``classes`` classes by
 exchange clustering on their bigram counts: a token moves to the class that
-raises the class-bigram likelihood most, sweep after sweep.  Other tokens
-form a class per power of two of their count, so every token has a class.
+raises the class-bigram likelihood most, sweep after sweep.  The next tokens,
+to ``class_words``, are exchanged once, each into the class that its counts
+next to the clustered tokens fit best.  Rarer tokens form a class per power of
+two of their count, so every token has a class.
 Class-to-class transitions are then counted over all training tokens.  The
 model is P(w | v) = P(class w | class v) * P(w | class w), both smoothed by
 additive counts, starting each text after an end token.
@@ -111,8 +113,27 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1)), 0.0)
 
 
-def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> np.ndarray:
-    """Class of each token: local maximum of the class-bigram likelihood
+def _gains(table: np.ndarray, r: np.ndarray, l: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Gain in likelihood of adding each of some tokens to each class of ``table``.
+
+    ``r`` and ``l`` (tokens x classes) count a token's followers and predecessors by
+    class, ``same`` its pairs with itself.  Row d of the table gets r, column d gets
+    l, and the corner both and the token's own pairs.
+    """
+    r3, l3 = r[:, None, :], l[:, :, None]
+    corner = np.diagonal(table)
+    own = same[:, None]
+    base, base_corner = _xlogx(table), _xlogx(corner)
+    gain = (_xlogx(table + r3) - base).sum(axis=2) + (_xlogx(table + l3) - base).sum(axis=1)
+    gain += _xlogx(corner + r + l + own) - _xlogx(corner + r) - _xlogx(corner + l) + base_corner
+    # totals of the classes with what precedes and follows the token, wherever it goes
+    rows, cols = table.sum(axis=1) + l, table.sum(axis=0) + r
+    gain -= _xlogx(rows + r.sum(axis=1, keepdims=True) + own) - _xlogx(rows)
+    return gain - _xlogx(cols + l.sum(axis=1, keepdims=True) + own) + _xlogx(cols)
+
+
+def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each token and the class-bigram table: a local maximum of the likelihood
     sum N(c, d) log N(c, d) - sum N(c) log N(c) - sum N(., d) log N(., d)."""
     n = len(pairs)
     classes = max(1, min(classes, n))
@@ -130,15 +151,7 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> np.nda
             table[own] -= r
             table[:, own] -= l
             table[own, own] -= same
-            rows, cols = table.sum(axis=1), table.sum(axis=0)
-            # gain of adding w to each class d: row d gets r, column d gets l, the corner also both and itself
-            corner = np.diagonal(table)
-            gain = (_xlogx(table + r[None, :]) - _xlogx(table)).sum(axis=1) \
-                + (_xlogx(table + l[:, None]) - _xlogx(table)).sum(axis=0) \
-                - (_xlogx(corner + r) - _xlogx(corner)) - (_xlogx(corner + l) - _xlogx(corner)) \
-                + _xlogx(corner + r + l + same) - _xlogx(corner)
-            gain -= _xlogx(rows + r.sum() + same) - _xlogx(rows) + _xlogx(cols + l.sum() + same) - _xlogx(cols)
-            # the row total of a class d also grows by what precedes w in d, which is the same for all d
+            gain = _gains(table, r[None], l[None], np.array([same]))[0]
             best = int(gain.argmax())
             if gain[best] <= gain[own] + 1e-9:
                 best = own
@@ -154,7 +167,50 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> np.nda
                 group[w] = best
         if not moved:
             break
-    return group
+    return group, table
+
+
+def best_classes(table: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """One exchange step for further tokens, each on its own against the table as it is."""
+    group = [np.zeros(0, np.int64)]
+    for at in range(0, len(right), 128):
+        r, l = right[at:at + 128], left[at:at + 128]
+        group.append(_gains(table, r, l, np.zeros(len(r))).argmax(axis=1))
+    return np.concatenate(group)
+
+
+def _contexts(shared, classes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, group = shared.value                     # ids below len(group) have a class
+        first, size = len(group), len(index)
+        end = index.get(END, size)
+        of = np.concatenate((group, np.full(size + 1 - first, -1)))
+        sums = np.zeros((size - first) * 2 * classes, np.int64)
+        for batch in slices(batches):
+            for text in batch.column(0):
+                own = tokens(text.as_py())
+                ids = np.concatenate(([end], np.fromiter((index.get(w, size) for w in own), np.int64, len(own))))
+                c = of[ids]
+                for token, side, near in ((ids[:-1], 0, c[1:]), (ids[1:], 1, c[:-1])):
+                    hit = (token >= first) & (token < size) & (near >= 0)
+                    np.add.at(sums, ((token[hit] - first) * 2 + side) * classes + near[hit], 1)
+        at = np.flatnonzero(sums)
+        for i in range(0, len(at), 1 << 16):
+            part = at[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part])], ["key", "n"])
+    return run
+
+
+def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray,
+                   classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Followers and predecessors by class (tokens x classes) of the tokens of ``index`` without a class."""
+    shared = texts.sparkSession.sparkContext.broadcast((index, group))
+    total = texts.select("t").mapInArrow(_contexts(shared, classes), "key long, n long") \
+        .groupBy("key").agg(F.sum("n").alias("n")).toArrow()             # <= 2 * classes rows per token
+    out = np.zeros((len(index) - len(group)) * 2 * classes)
+    out[total.column("key").to_numpy()] = total.column("n").to_numpy()
+    out = out.reshape(-1, 2, classes)
+    return out[:, 0], out[:, 1]
 
 
 class ClassModel:
@@ -209,7 +265,7 @@ def _class_pairs(shared):
     return run
 
 
-def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: int, classes: int,
+def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: int, class_words: int, classes: int,
         sweeps: int) -> ClassModel:
     frequent = most_frequent(counts, table_words)
     totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -217,7 +273,11 @@ def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: in
     group = np.zeros(0, np.int64)
     if top:
         pairs = pair_counts(texts, {w: i for i, (w, _) in enumerate(top)}, len(top))
-        group = exchange_classes(pairs[:-1, :-1], classes, sweeps)
+        group, table = exchange_classes(pairs[:-1, :-1], classes, sweeps)
+        more = frequent[:class_words]
+        if len(more) > len(top):
+            right, left = context_counts(texts, {w: i for i, (w, _) in enumerate(more)}, group, len(table))
+            group = np.concatenate((group, best_classes(table, right, left)))
     model = ClassModel(frequent, group, classes, int(totals[0] or 0), int(totals[1]))
     shared = texts.sparkSession.sparkContext.broadcast(model)
     total = texts.select("t").mapInArrow(_class_pairs(shared), "pair long, n long") \
@@ -255,7 +315,7 @@ def _score(shared):
 
 
 def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 17, cluster_words: int = 2000,
-                    classes: int = 64, sweeps: int = 4) -> DataFrame:
+                    class_words: int = 20_000, classes: int = 64, sweeps: int = 4) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of
     ``docs`` (doc_id, text); learns from rows not ``held_out``."""
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
@@ -264,7 +324,7 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
     kind = rows.schema["doc_id"].dataType.simpleString()
     with arrow_batches(docs.sparkSession):
         counts = materialize(token_counts(train))
-        model = fit(train, counts, table_words, cluster_words, classes, sweeps)
+        model = fit(train, counts, table_words, cluster_words, class_words, classes, sweeps)
         shared = docs.sparkSession.sparkContext.broadcast(model)
         part = materialize(rows.mapInArrow(
             _score(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
