@@ -135,18 +135,18 @@ h AS (SELECT host, coalesce(sum(CAST(quality AS DOUBLE)), 0) AS good, CAST(count
 r AS (SELECT (sum(good) + 1) / (sum(n) + 2) AS up FROM h),
 s0 AS (SELECT suffix, sum(good) AS good, sum(n) AS n, any_value(up) AS up FROM h, r GROUP BY suffix),
 sk AS (SELECT 1 / least(greatest(coalesce((sum(n * (good / n - up) * (good / n - up)) - sum(up * (1 - up)))
-              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.001), 0.001), 0.5) - 1 AS k FROM s0 WHERE n > 0),
+              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.5), 0.001), 0.5) - 1 AS k FROM s0 WHERE n > 0),
 s AS (SELECT suffix, (k * up + good) / (k + n) AS mean FROM s0, sk),
 d0 AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n, any_value(mean) AS up FROM h JOIN s USING (suffix)
        GROUP BY domain, suffix),
 dk AS (SELECT 1 / least(greatest(coalesce((sum(n * (good / n - up) * (good / n - up)) - sum(up * (1 - up)))
-              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.001), 0.001), 0.5) - 1 AS k FROM d0 WHERE n > 0),
+              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.5), 0.001), 0.5) - 1 AS k FROM d0 WHERE n > 0),
 dm AS (SELECT domain, (k * up + good) / (k + n) AS mean FROM d0, dk),
 h0 AS (SELECT host, good, n, mean AS up FROM h JOIN dm USING (domain)),
 hk AS (SELECT 1 / least(greatest(coalesce((sum(n * (good / n - up) * (good / n - up)) - sum(up * (1 - up)))
-              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.001), 0.001), 0.5) - 1 AS k FROM h0 WHERE n > 0),
+              / nullif(sum((n - 1) * up * (1 - up)), 0), 0.5), 0.001), 0.5) - 1 AS k FROM h0 WHERE n > 0),
 b AS (SELECT host, (k * up + good) / (k + n) AS mean, k + n + 1 AS strength FROM h0, hk),
-v AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / strength) < 0.5 THEN 'block' ELSE 'allow' END
+v AS (SELECT host, CASE WHEN mean + 1.645 * sqrt(mean * (1 - mean) / strength) < 0.6 THEN 'block' ELSE 'allow' END
              AS verdict FROM b),
 m AS (SELECT p.*, CASE
         WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'

@@ -4,8 +4,9 @@ Labelled pages (good or bad) are counted per host.  A host's good rate is
 shrunk toward its registered domain's, that one's toward its suffix's, and
 the suffix's toward the rate of all labelled pages, each through a
 beta-binomial prior: the parent's posterior mean times a strength ``k``
-fitted per level by the method of moments.  A page is blocked when the lower
-posterior bound ``mean - z * sd`` of its host lies under ``least_good``.
+fitted per level by the method of moments.  A page is blocked when even the
+upper posterior bound ``mean + z * sd`` of its host's good rate lies under
+``least_good``; a host of which little is known is not blocked.
 
 Only DataFrame functions are used.  Counts are partially aggregated, so a
 host with a third of all pages is one row after the map side; the per-host
@@ -69,7 +70,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 def _shrunk(hosts: DataFrame, parents: DataFrame, key: str, parent: str) -> tuple[DataFrame, float]:
     """(key, mean) with every key's rate shrunk toward its parent's mean, and the
     prior strength ``k`` of the level by the method of moments:
-    sum n (rate - mean)^2 = sum mean (1 - mean) (1 + (n - 1) / (k + 1))."""
+    sum n (rate - mean)^2 = sum mean (1 - mean) (1 + (n - 1) / (k + 1)); the weakest
+    prior where no key has two labelled pages."""
     seen = hosts.groupBy(key, parent).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     both = seen.join(parents.withColumnsRenamed({parent: "_p", "mean": "up"}), F.col(parent) == F.col("_p"))
     noise = F.col("up") * (1 - F.col("up"))
@@ -77,15 +79,15 @@ def _shrunk(hosts: DataFrame, parents: DataFrame, key: str, parent: str) -> tupl
     sums = both.where(F.col("n") > 0).agg(
         F.sum(F.col("n") * gap * gap).alias("spread"), F.sum(noise).alias("noise"),
         F.sum((F.col("n") - 1) * noise).alias("room")).first()          # three numbers per level
-    rho = (sums["spread"] - sums["noise"]) / sums["room"] if sums["room"] else LEAST_RHO
+    rho = (sums["spread"] - sums["noise"]) / sums["room"] if sums["room"] else MOST_RHO
     k = 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
     mean = (k * F.col("up") + F.col("good")) / (k + F.col("n"))
     return both.select(key, mean.alias("mean")), k
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
-    """(host, n, good, mean, lower) for every host of ``pages`` (page_id, url), from
-    ``labels`` (page_id, good 0/1).  One row per host; ``lower`` is the bound."""
+    """(host, n, good, mean, upper) for every host of ``pages`` (page_id, url), from
+    ``labels`` (page_id, good 0/1).  One row per host; ``upper`` is the bound."""
     outcome = labels.select(F.col("page_id").alias("_i"), F.col("good").cast("double").alias("good"))
     hosts = narrow(
         pages.select("page_id", host_of(F.col("url")).alias("host"))
@@ -100,16 +102,16 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
     means, k = _shrunk(hosts, domains, "host", "domain")
     found = hosts.select("host", "n", "good").join(means.withColumnRenamed("host", "_h"), F.col("host") == F.col("_h"))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (k + F.col("n") + 1))
-    return found.select("host", "n", "good", "mean", (F.col("mean") - z * sd).alias("lower"))
+    return found.select("host", "n", "good", "mean", (F.col("mean") + z * sd).alias("upper"))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]],
-                least_good: float = 0.5, z: float = 1.645) -> DataFrame:
-    """(page_id, host, path, rule, verdict, lower) for every row of ``pages``."""
+                least_good: float = 0.6, z: float = 1.645) -> DataFrame:
+    """(page_id, host, path, rule, verdict, upper) for every row of ``pages``."""
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, decided = rule_of(F.col("host"), F.col("path"), rules)
-    bound = host_reputation(pages, labels, z).select(F.col("host").alias("_h"), "lower")
-    by_method = F.when(F.col("lower") < least_good, "block").otherwise("allow")
+    bound = host_reputation(pages, labels, z).select(F.col("host").alias("_h"), "upper")
+    by_method = F.when(F.col("upper") < least_good, "block").otherwise("allow")
     return (rows.join(bound, F.col("host") == F.col("_h"), "left")
             .select("page_id", "host", "path", rule.alias("rule"),
-                    F.coalesce(decided, by_method).alias("verdict"), "lower"))
+                    F.coalesce(decided, by_method).alias("verdict"), "upper"))
