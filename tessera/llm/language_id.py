@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import arrow_batches, narrow
+
 N = 4                     # longest n-gram
 DIM = 1 << 17             # hashed features
 SLICE = 1 << 18           # code points that are expanded at once
-MAX_LANGUAGES = 1000      # bounds the broadcast matrix to MAX_LANGUAGES * DIM floats
+MAX_LANGUAGES = 100       # bounds the broadcast matrix to MAX_LANGUAGES * DIM floats
 UNKNOWN = "und"
 
 
@@ -50,7 +52,7 @@ def features(text: str, dim: int = DIM) -> Iterator[np.ndarray]:
     points = _letters(text)
     if not points.any():
         return
-    points = np.concatenate(([0], points, [0])).astype(np.uint64)
+    points = np.concatenate(([0], np.trim_zeros(points), [0])).astype(np.uint64)
     for start in range(0, len(points), SLICE):
         part = points[start:start + SLICE + N - 1]         # the overlap belongs to the n-grams that start here
         starts = min(SLICE, len(points) - start)
@@ -84,14 +86,17 @@ def _counts(dim: int):
 def learn(labelled: DataFrame, dim: int = DIM, alpha: float = 0.1) -> tuple[list[str], np.ndarray]:
     """Languages and their (features x languages) log-probabilities from all rows of (text, lang)."""
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+    seen = labelled.select("lang").where(F.col("lang").isNotNull()).distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(seen) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     partial = rows.mapInArrow(_counts(dim), "lang string, feature int, n long")
-    total = partial.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()   # <= languages * dim rows
+    with arrow_batches(labelled.sparkSession):
+        total = partial.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()   # <= languages * dim rows
     langs = sorted(total["lang"].unique())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts = np.zeros((dim, len(langs)))
-    col = {x: i for i, x in enumerate(langs)}
-    counts[total["feature"].to_numpy(), total["lang"].map(col).to_numpy(dtype=np.int64) if len(langs) else []] = total["n"]
+    for i, lang in enumerate(langs):
+        own = total[total["lang"] == lang]
+        counts[own["feature"], i] = own["n"]
     logs = np.log(counts + alpha) - np.log(counts.sum(axis=0) + alpha * dim) if langs else counts
     return langs, logs.astype(np.float32)
 
@@ -125,5 +130,6 @@ def identify_language(docs: DataFrame, held_out: Column, dim: int = DIM) -> Data
     langs, logs = learn(rows.where(~F.col("held_out")), dim)
     shared = docs.sparkSession.sparkContext.broadcast(logs)
     ids = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        _predict(langs, shared, dim), f"doc_id {ids}, held_out boolean, lang_pred string, score double")
+    with arrow_batches(docs.sparkSession):
+        return narrow(rows.select("doc_id", "held_out", "text").mapInArrow(
+            _predict(langs, shared, dim), f"doc_id {ids}, held_out boolean, lang_pred string, score double"))
