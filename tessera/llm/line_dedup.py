@@ -12,7 +12,8 @@ repeated.
 Only DataFrame functions are used: windows are exploded per row, counted
 with a partial aggregation before the shuffle (a window that a third of all
 documents share is combined map-side), and joined back by hash, where
-adaptive execution can split a hot hash.  Nothing is collected per window.
+adaptive execution can split a hot hash; the repeated ones, a small part, are
+written once and joined with their first occurrence under salted keys.  Nothing is collected per window.
 
 Defined results: a null text stays null, an empty text stays empty; texts of
 fewer than three lines have no window and stay as they are; rows equal in
@@ -25,37 +26,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import narrow
+
 WINDOW = 3
-LINE_END = r"(?<=\n)|(?<=[.!?] )"      # zero-width: every character stays in its line
+LINE_ENDS = ("\n", ". ", "! ", "? ")
+LINE_END = r"(?<=\n)|(?<=[.!?] )"      # the same ends as a zero-width pattern
+MARK = "\u0001"
+SPREAD = 1000             # occurrences of one window that are joined under one key
 
 
 def lines_of(text: Column) -> Column:
-    """The lines of a text with their ends; their concatenation is the text."""
-    return F.split(text, LINE_END)
+    """The lines of a text with their ends; their concatenation is the text.
+
+    Ends are marked by plain replacement, which is faster than the pattern; only
+    a text that holds the mark itself is split by the pattern."""
+    marked = text
+    for end in LINE_ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + MARK))
+    lines = F.when(F.contains(text, F.lit(MARK)), F.split(text, LINE_END)).otherwise(F.split(marked, MARK))
+    return F.array_remove(lines, "")
 
 
 def line_windows(docs: DataFrame, min_chars: int = 40) -> DataFrame:
-    """(doc_id, th, pos, h, g): one row per window; (h, g) is a 96-bit hash of its lines."""
+    """(doc_id, th, pos, h, g): one row per window.  Each line is hashed once, without its
+    end, by two functions; (h, g), 96 bits, combine the hashes of the window's lines."""
     lines = (docs.where(F.col("text").isNotNull())
              .select("doc_id", F.xxhash64("text").alias("th"),
-                     F.transform(lines_of(F.col("text")), lambda x: F.rtrim(x)).alias("l")))
-    at = lambda k: F.col("l")[F.col("pos") + k]
-    window = F.concat_ws("\n", at(0), at(1), at(2))
-    return (lines.where(F.size("l") >= WINDOW)
-            .select("doc_id", "th", "l", F.explode(F.sequence(F.lit(0), F.size("l") - WINDOW)).alias("pos"))
-            .select("doc_id", "th", "pos", window.alias("w"))
-            .where(F.length("w") >= min_chars)
-            .select("doc_id", "th", "pos", F.xxhash64("w").alias("h"), F.hash("w").alias("g")))
+                     F.transform(lines_of(F.col("text")), lambda x: F.rtrim(x, F.lit(" \r\n"))).alias("l"))
+             .select("doc_id", "th", F.transform("l", lambda x: F.struct(
+                 F.xxhash64(x).alias("h"), F.hash(x).alias("g"), F.length(x).alias("n"))).alias("l")))
+    n = F.greatest(F.size("l") - WINDOW + 1, F.lit(0))       # windows start at the first n lines
+    zipped = F.arrays_zip(*[F.slice("l", k + 1, n).alias(str(k)) for k in range(WINDOW)])
+    # one row per window; the hashes are combined after the explode, in generated code
+    rows = lines.select("doc_id", "th", F.posexplode(zipped).alias("pos", "w"))
+    three = lambda f: [F.col("w")[str(k)][f] for k in range(WINDOW)]
+    return (rows.where(sum(three("n")) >= min_chars)
+            .select("doc_id", "th", "pos", F.xxhash64(*three("h")).alias("h"), F.hash(*three("g")).alias("g")))
 
 
 def covered_positions(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     """(doc_id, th, covered): the line positions that later occurrences cover."""
     windows = line_windows(docs, min_chars)
+    repeated = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    # a window with many occurrences is spread over ceil(n / SPREAD) keys
+    parts = F.ceil(F.col("n") / F.lit(float(SPREAD)))
+    found = narrow(windows.join(repeated, ["h", "g"])                       # repeated windows only
+                   .withColumn("part", F.pmod(F.xxhash64("doc_id", "th", "pos"), parts)))
     place = F.struct("doc_id", "th", "pos")
-    repeated = (windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"),
-                                              F.max(place).alias("last"))
-                .where((F.col("n") > 1) & (F.col("first") != F.col("last"))).select("h", "g", "first"))
-    later = windows.join(repeated, ["h", "g"]).where(place != F.col("first"))
+    first = found.groupBy("h", "g").agg(F.min(place).alias("first"), F.max("n").alias("n")) \
+        .select("h", "g", "first", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    later = found.join(first, ["h", "g", "part"]).where(place != F.col("first"))
     # a window that overlaps its own first occurrence removes only what lies beyond it
     same_doc = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
     start = F.when(same_doc, F.greatest(F.col("pos"), F.col("first.pos") + WINDOW)).otherwise(F.col("pos"))
@@ -72,9 +92,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, removed: str = "n_removed"
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     joined = row.join(cut, F.col("row.doc_id").eqNullSafe(F.col("_d"))
                       & (F.xxhash64("row.text") == F.col("_t")), "left")
-    lines = lines_of(F.col("row.text"))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("covered"), i)), "")
+    # lines are split only where some go; positions are subtracted as sets
+    cut_lines = joined.select("row", "covered", F.when(F.col("covered").isNotNull(), lines_of(F.col("row.text"))).alias("l"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("covered"))
+    kept = F.array_join(F.transform(left, lambda i: F.col("l")[i]), "")
     text = F.when(F.col("covered").isNull(), F.col("row.text")).otherwise(kept)
     count = F.coalesce(F.size("covered"), F.lit(0)).cast("long")
-    return joined.select(F.col("row").withField("text", text).alias("row"), count.alias("n")) \
+    return cut_lines.select(F.col("row").withField("text", text).alias("row"), count.alias("n")) \
         .select("row.*", F.col("n").alias(removed))

@@ -107,13 +107,13 @@ SELECT conv_id, count(*) AS n_turns,
        false AS rewrites_history
 FROM e GROUP BY conv_id"""
 
-LINES = r"string_split(replace(replace(replace(replace(text, chr(10), chr(10) || chr(30)), '. ', '. ' || chr(30)), " \
-        r"'! ', '! ' || chr(30)), '? ', '? ' || chr(30)), chr(30))"
+LINES = r"list_filter(string_split(replace(replace(replace(replace(text, chr(10), chr(10) || chr(30)), " \
+        r"'. ', '. ' || chr(30)), '! ', '! ' || chr(30)), '? ', '? ' || chr(30)), chr(30)), lambda x: x <> '')"
 _SQL["op8_line_dedup"] = f"""
-WITH d AS (SELECT doc_id, text, {LINES} AS l FROM documents),
-w AS (SELECT doc_id, pos, rtrim(l[pos + 1]) || chr(10) || rtrim(l[pos + 2]) || chr(10) || rtrim(l[pos + 3]) AS w
+WITH d AS (SELECT doc_id, text, {LINES} AS l, ' ' || chr(13) || chr(10) AS e FROM documents),
+w AS (SELECT doc_id, pos, rtrim(l[pos + 1], e) || chr(10) || rtrim(l[pos + 2], e) || chr(10) || rtrim(l[pos + 3], e) AS w
       FROM d, unnest(range(0, greatest(len(l) - 2, 0))) AS u(pos)),
-r AS (SELECT w, min(struct_pack(doc_id := doc_id, pos := pos)) AS f FROM w WHERE length(w) >= 40
+r AS (SELECT w, min(struct_pack(doc_id := doc_id, pos := pos)) AS f FROM w WHERE length(w) >= 42
       GROUP BY w HAVING count(*) > 1),
 c AS (SELECT w.doc_id, unnest(range(CASE WHEN w.doc_id = r.f.doc_id THEN greatest(w.pos, r.f.pos + 3) ELSE w.pos END,
                                     w.pos + 3)) AS p
