@@ -6,9 +6,9 @@ rejected.  The others are judged by an isolation forest on scale-free ratios
 of the statistics (word length, symbols and marks per word; repeats are left
 to the hard rule): trees split random samples of labelled documents at
 random, and a document that is separated after short paths is an anomaly.
-The forest is fitted on a bounded sample (``fit_rows`` labelled rows, those
-with the smallest hash of doc_id); the threshold is calibrated on all
-labelled documents, from a histogram of their scores: the one with the
+The forest is fitted on a bounded sample (about ``fit_rows`` labelled rows
+by hash, twice that at most); the threshold is calibrated on all labelled
+documents, from a histogram of their scores: the one with the
 largest (share of bad rejected) - ``good_cost`` * (share of good rejected)
 among those that reject at most ``good_loss`` of the good ones.
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches, narrow, text_bytes
+from tessera.llm.common import arrow_batches, narrow, text_bytes, uniform
 
 SYMBOLS = b"#*$%&|<>"                     # fixed value
 WINDOW = 8                                # words in a repeated window
@@ -177,7 +177,8 @@ def judge_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, go
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col("good").isNotNull())
              .groupBy("doc_id").agg((F.min("good") > 0).alias("good")).withColumnRenamed("doc_id", "_d"))
     known = stats.where(~F.col("base_failed")).join(marks, F.col(key) == F.col("_d")).drop("_d")
-    sample = (known.orderBy(F.xxhash64("doc_id"), *COUNTS).limit(fit_rows)
+    n = known.count()
+    sample = (known.where(uniform("doc_id", *COUNTS) * n < fit_rows).limit(2 * fit_rows)
               .select(*COUNTS).toPandas())
     if not len(sample):
         return stats.withColumn("score", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
