@@ -24,58 +24,130 @@ doc_id is packed like any other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, text_bytes
+from tessera.llm.common import arrow_batches, narrow, slices, text_bytes
 
-CACHE_WORDS = 400_000                     # words kept by a worker
-TAIL = b".,;:!?%&$#*|-"                   # punctuation that is a piece of its own after a letter or digit
-LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+CACHE_WORDS = 400_000                     # words in one generation of a worker's cache; it keeps two
+TAIL = b".,;:!?%&$#*|-"                   # punctuation that is a piece of its own after a letter
+LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+# Letters of Latin-1: composed, and with one lower-case letter each
+LATIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """How the byte-level alphabet writes the lower-case letters of Latin-1: printable
+    Latin-1 bytes stand for themselves, the others for the code points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
 class WordTokenizer:
-    """Token ids of UTF-8 texts as little-endian 32-bit bytes, by words with a cache."""
+    """Token ids of UTF-8 texts as little-endian 32-bit bytes, by words with a cache.
+
+    A word of Latin letters only is one piece for the tokenizer, so it goes to its
+    model directly; any other word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alphabet = _byte_letters()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.limit = cache_words
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _learn(self, words: set[bytes]) -> None:
-        cache = self.cache
-        stems = {w: w.rstrip(TAIL) for w in words}
-        split = {w: (s, w[len(s):]) for w, s in stems.items() if s and len(s) < len(w) and s[-1] in LETTERS}
-        new = {w for w in words if w not in split}
-        new.update(x for pair in split.values() for x in pair if x not in cache)
-        new = list(new)
-        cache.update(zip(new, self._encode([w.decode("utf-8", "replace") for w in new])))
-        for w, (stem, tail) in split.items():
-            cache[w] = cache[stem] + cache[tail]
-
-    def ids(self, text: bytes) -> bytes:
-        if any(s in text or s in text.lower() for s in self.special):
-            return self._encode([text.decode("utf-8", "replace")])[0]
-        words = text.lower().replace(b"\n", b" ").split(b" ")
-        cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > self.limit:
-            cache.clear()
-        self._learn({w for w in words if w not in cache})
-        return b"".join([cache[w] for w in words])
+    def _piece(self, word: bytes) -> bytes | None:
+        """Ids of a word (A-Z lower-cased) that is one run of Latin letters, else None."""
+        piece = word.decode("utf-8", "replace")
+        if not word.isalpha():
+            if not LATIN(piece):
+                return None
+            piece = piece.lower().translate(self.alphabet)
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.model.tokenize(piece)])
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        if len(self.cache) > self.limit:                     # words in use come back from the older generation
+            self.older, self.cache = self.cache, {}
+        cache, older, new, whole = self.cache, self.older, {}, []
+        for w in words:
+            ids = older.get(w)
+            if ids is None:
+                stem = w.rstrip(TAIL)
+                if len(stem) == len(w):
+                    ids = self._piece(w)
+                elif stem and stem[-1] in LETTERS:
+                    ids = cache.get(stem) or older.get(stem) or new.get(stem) or self._piece(stem)
+                    if ids is not None:
+                        tail = w[len(stem):]
+                        if tail not in cache:
+                            cache[tail] = self._encode([tail.decode()])[0]
+                        new[stem] = ids
+                        ids += cache[tail]
+            if ids is None:
+                whole.append(w)
+            else:
+                new[w] = ids
+        if whole:
+            new.update(zip(whole, self._encode([w.decode("utf-8", "replace") for w in whole])))
+        cache.update(new)
+        return new
+
+    def lookup(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.cache.get, words))
+        new = {w for w, ids in zip(words, found) if ids is None}
+        if not new:
+            return found
+        learnt = self._learn(new)
+        return [learnt[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (UTF-8, no nulls) in one array, and where each text's begin.
+
+        Words are split, made distinct and put together again by whole columns; only
+        the distinct words of the batch are looked up one by one."""
+        texts = texts.view(pa.string())
+        lower = pc.ascii_lower(texts)
+        whole = np.zeros(len(texts), bool)
+        for mark in self.special:
+            whole |= np.asarray(pc.match_substring(lower, mark)) | np.asarray(pc.match_substring(texts, mark))
+        if whole.any():
+            lower = pc.if_else(pa.array(whole), "", lower)
+        lists = pc.ascii_split_whitespace(lower)
+        words = lists.flatten().dictionary_encode()
+        known = self.lookup(words.dictionary.view(pa.binary()).to_pylist())
+        flat = np.frombuffer(b"".join(known), "<u4")
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(size) - size
+        code = words.indices.to_numpy(zero_copy_only=False)
+        n = size[code]
+        ends = np.cumsum(n)
+        ids = flat[np.arange(n.sum()) + np.repeat(first[code] - (ends - n), n)]
+        starts = np.concatenate(([0], ends))[lists.offsets.to_numpy()]
+        if whole.any():
+            parts = [np.frombuffer(self._encode([t.as_py()])[0], "<u4") if w else ids[a:b]
+                     for t, w, a, b in zip(texts, whole, starts, starts[1:])]
+            ids = np.concatenate(parts)
+            starts = np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+        return ids, starts
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -90,24 +162,23 @@ def _cut(path: str | None, end_id: int, capacity: int):
             where = public_tokenizers.path("word_bpe_49k.json")
         else:
             where = path
-        tokenizer = _TOKENIZERS.setdefault(where, None) or WordTokenizer(where)
-        _TOKENIZERS[where] = tokenizer
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):          # bounds the ids that are held at once
-                part = batch.slice(first, 256)
-                row, piece, ids = [], [], []
-                for i, text in enumerate(part.column(1)):
-                    whole = tokenizer.ids(text.as_py()) + end
-                    for p, at in enumerate(range(0, len(whole), 4 * capacity)):
-                        row.append(i)
-                        piece.append(p)
-                        ids.append(whole[at:at + 4 * capacity])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                     pa.array([p * capacity for p in piece], pa.int64()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "piece", "start", "length", "ids"])
+        tokenizer = _TOKENIZERS.get(where)
+        if tokenizer is None:
+            tokenizer = _TOKENIZERS[where] = WordTokenizer(where)
+        for batch in slices(batches, 1024):                      # bounds the ids that are held at once
+            ids, starts = tokenizer.ids(batch.column(1))
+            ids = np.insert(ids, starts[1:], end_id).astype("<u4")
+            starts = starts + np.arange(len(starts))             # with the end ids before each text
+            pieces = -(-np.diff(starts) // capacity)
+            row = np.repeat(np.arange(batch.num_rows), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            at = starts[row] + piece * capacity
+            bounds = pa.py_buffer((4 * np.append(at, starts[-1])).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)),
+                 pa.array(piece * capacity), pa.array(np.diff(np.append(at, starts[-1]))),
+                 pa.Array.from_buffers(pa.binary(), len(row), [None, bounds, pa.py_buffer(ids.tobytes())])],
+                ["doc_id", "piece", "start", "length", "ids"])
     return cut
 
 
@@ -207,8 +278,9 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     The rows are written to the shared folder once, so keep wide columns out.
     """
     names = [c for c in pieces.columns if c != "length"]
-    rows = materialize(pieces.select(F.struct(*names).alias("row"), "length",
-                                     F.xxhash64("length", *names).alias("h")))
+    with arrow_batches(pieces.sparkSession):
+        rows = narrow(pieces.select(F.struct(*names).alias("row"), "length",
+                                         F.xxhash64("length", *names).alias("h")))
     histogram = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()      # <= capacity rows
     counts = np.zeros(capacity + 1, np.int64)
     for r in histogram:
