@@ -1,26 +1,34 @@
 """Language-model scoring with Brown class-based bigrams.
 
 Tokens: a text's words, A-Z lower-cased, then one end token.  All training
-documents are counted whole: every distinct token's count, in Spark.  The
-``cluster_words`` most frequent tokens are put into ``classes`` classes by
-exchange clustering on their bigram counts: a token moves to the class that
-raises the class-bigram likelihood most, sweep after sweep.  The next tokens,
-to ``class_words``, are exchanged once, each into the class that its counts
-next to the clustered tokens fit best.  Rarer tokens form a class per power of
-two of their count, so every token has a class.
-Class-to-class transitions are then counted over all training tokens.  The
-model is P(w | v) = P(class w | class v) * P(w | class w), both smoothed by
-additive counts, starting each text after an end token.
-
-Tokens of the (at most) ``table_words`` most frequent counts have a bounded
-broadcast table; a text's other tokens leave the task as (row, token, count)
-and are joined with the full counts, so counts are exact for any vocabulary.
-All words outside the table are one class in the transition counts.
+documents are counted whole: every distinct token's count, in Spark.  Every
+token gets its class from its neighbours, in three steps:
+
+1. The ``cluster_words`` most frequent tokens are put into ``classes`` classes
+   by exchange clustering: a token moves to the class that raises the
+   class-bigram likelihood most, sweep after sweep.
+2. The next tokens, to ``class_words``, are exchanged once, each into the class
+   that raises the likelihood most.
+3. All remaining tokens likewise: their contexts are grouped by token in Spark,
+   and a task that holds only the class table chooses each one's class.
+
+No bigram is left out: in each step the tokens that have no class yet are one
+open class, which counts as a neighbour but takes no token.  Class-to-class
+transitions are then counted over all training tokens with every token's own
+class.  The model is P(w | v) = P(class w | class v) * P(w | class w), both
+smoothed by additive counts, starting each text after an end token.
+
+Tokens of the (at most) ``table_words`` most frequent counts and their classes
+have a bounded broadcast table; the others leave the task with their
+neighbours and are joined with the full table of counts and classes, so both
+are exact for any vocabulary.
 
 Defined results: a null text is empty and has only its end token; rows with
 a null id are learnt from and not held out; a token never seen in training
-has count 0 and is smoothed; with nothing to learn from all counts are 0;
-repeated rows get equal results; an empty table gives an empty result.
+has count 0 and no class: it takes the one place for the unseen in each class,
+weighted by the class's probability, and is followed by each class as often as
+the class occurs; with nothing to learn from all counts are 0; repeated rows
+get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches, materialize, slices, text_bytes
+from tessera.llm.common import arrow_batches, materialize, narrow, slices, text_bytes
 
 END = b"\n"                    # no word holds white space
 FLUSH = 200_000                # distinct tokens a task holds before it hands on its counts
@@ -67,7 +76,8 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """All tokens with a count of at least the smallest bound that leaves at most ``most`` of them."""
+    """The end token, then all tokens with a count of at least the smallest bound that leaves at most
+    ``most`` of them."""
     spread = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("n").desc()).limit(most).collect()
     total, least = 0, None
     for r in spread:
@@ -75,10 +85,9 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
         if total > most:
             break
         least = r["n"]
-    if least is None:
-        return []
-    rows = counts.where(F.col("n") >= least).collect()               # <= most rows
-    return sorted(((bytes(r["w"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+    often = F.lit(False) if least is None else F.col("n") >= least
+    rows = counts.where(often | (F.col("w") == F.lit(END))).collect()      # <= most + 1 rows
+    return sorted(((bytes(r["w"]), r["n"]) for r in rows), key=lambda x: (x[0] != END, -x[1], x[0]))
 
 
 def _bigrams(shared, size: int):
@@ -132,14 +141,16 @@ def _gains(table: np.ndarray, r: np.ndarray, l: np.ndarray, same: np.ndarray) ->
     return gain - _xlogx(cols + l.sum(axis=1, keepdims=True) + own) + _xlogx(cols)
 
 
-def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4,
+                     fixed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Class of each token and the class-bigram table: a local maximum of the likelihood
-    sum N(c, d) log N(c, d) - sum N(c) log N(c) - sum N(., d) log N(., d)."""
-    n = len(pairs)
+    sum N(c, d) log N(c, d) - sum N(c) log N(c) - sum N(., d) log N(., d).  The last
+    ``fixed`` tokens are classes of their own, after the others, and stay."""
+    n = len(pairs) - fixed
     classes = max(1, min(classes, n))
-    group = np.arange(n) % classes                      # frequent tokens start apart
-    onehot = np.zeros((n, classes))
-    onehot[np.arange(n), group] = 1
+    group = np.append(np.arange(n) % classes, classes + np.arange(fixed))      # frequent tokens start apart
+    onehot = np.zeros((n + fixed, classes + fixed))
+    onehot[np.arange(n + fixed), group] = 1
     right, left = pairs @ onehot, pairs.T @ onehot      # counts of a token's followers / predecessors by class
     table = onehot.T @ right
     for _ in range(sweeps):
@@ -152,7 +163,7 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> tuple[
             table[:, own] -= l
             table[own, own] -= same
             gain = _gains(table, r[None], l[None], np.array([same]))[0]
-            best = int(gain.argmax())
+            best = int(gain[:classes].argmax())
             if gain[best] <= gain[own] + 1e-9:
                 best = own
             table[best] += r
@@ -167,33 +178,72 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = 4) -> tuple[
                 group[w] = best
         if not moved:
             break
-    return group, table
+    return group[:n], table
+
+
+def _place(table: np.ndarray, token: np.ndarray, right: bool, near: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Per entry (a token's n neighbours of class ``near`` on one side) the gain of the row's or column's cell."""
+    lines = (table[:-1] if right else table[:, :-1].T).T                # [near, class]
+    few = _xlogx(lines[None] + np.arange(17)[:, None, None]) - _xlogx(lines)
+    out = few[np.minimum(n, 16).astype(np.int64), near]
+    many = np.flatnonzero(n > 16)
+    base = lines[near[many]]
+    out[many] = _xlogx(base + n[many][:, None]) - _xlogx(base)
+    return out
 
 
 def best_classes(table: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """One exchange step for further tokens, each on its own against the table as it is."""
+    """One exchange step for further tokens, each on its own against the table as it is.
+
+    ``right`` and ``left`` (tokens x classes) count followers and predecessors.  With two
+    more columns than classes, the table's last class is the open one, which holds the
+    tokens, and the columns count neighbours in the open class and the token itself."""
+    is_open = right.shape[1] > len(table)
+    if not is_open:                                      # tokens that the table does not count
+        table = np.pad(table, (0, 1))
+        right, left = np.pad(right, ((0, 0), (0, 2))), np.pad(left, ((0, 0), (0, 2)))
+    k = len(table) - 1
+    rows, cols, corner = table.sum(axis=1)[:-1], table.sum(axis=0)[:-1], np.diagonal(table)[:-1]
     group = [np.zeros(0, np.int64)]
-    for at in range(0, len(right), 128):
-        r, l = right[at:at + 128], left[at:at + 128]
-        group.append(_gains(table, r, l, np.zeros(len(r))).argmax(axis=1))
+    for at in range(0, len(right), 256):
+        r, l = right[at:at + 256], left[at:at + 256]
+        gain = np.zeros((len(r), k))
+        for counts, side in ((r, True), (l, False)):
+            token, near = np.nonzero(counts[:, :k])
+            if len(token):
+                first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+                gain[token[first]] += np.add.reduceat(_place(table, token, side, near, counts[token, near]), first)
+        own, total = r[:, k + 1:], r.sum(axis=1, keepdims=True)
+        rc, lc = r[:, :k], l[:, :k]
+        # the corner is in the row and in the column
+        gain += _xlogx(corner + rc + lc + own) - _xlogx(corner + rc) - _xlogx(corner + lc) + _xlogx(corner)
+        # cells with the open class, which the token leaves
+        after, before = (table[:-1, k] - lc, table[k, :-1] - rc) if is_open else (table[:-1, k], table[k, :-1])
+        gain += _xlogx(after + r[:, k:k + 1]) - _xlogx(after) + _xlogx(before + l[:, k:k + 1]) - _xlogx(before)
+        row, col = (rows, cols) if is_open else (rows + lc, cols + rc)
+        gain -= _xlogx(row + total) - _xlogx(row)
+        gain -= _xlogx(col + l.sum(axis=1, keepdims=True)) - _xlogx(col)
+        group.append(gain.argmax(axis=1))
     return np.concatenate(group)
 
 
-def _contexts(shared, classes: int):
+def _contexts(shared, classes: int, with_open: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, group = shared.value                     # ids below len(group) have a class
         first, size = len(group), len(index)
         end = index.get(END, size)
-        of = np.concatenate((group, np.full(size + 1 - first, -1)))
-        sums = np.zeros((size - first) * 2 * classes, np.int64)
+        of = np.concatenate((group, np.full(size + 1 - first, classes if with_open else -1)))
+        wide = classes + 2 * with_open
+        sums = np.zeros((size - first) * 2 * wide, np.int64)
         for batch in slices(batches):
             for text in batch.column(0):
                 own = tokens(text.as_py())
                 ids = np.concatenate(([end], np.fromiter((index.get(w, size) for w in own), np.int64, len(own))))
                 c = of[ids]
-                for token, side, near in ((ids[:-1], 0, c[1:]), (ids[1:], 1, c[:-1])):
+                for token, side, near, by in ((ids[:-1], 0, c[1:], ids[1:]), (ids[1:], 1, c[:-1], ids[:-1])):
+                    near = np.where(token == by, classes + 1, near) if with_open else near
                     hit = (token >= first) & (token < size) & (near >= 0)
-                    np.add.at(sums, ((token[hit] - first) * 2 + side) * classes + near[hit], 1)
+                    np.add.at(sums, ((token[hit] - first) * 2 + side) * wide + near[hit], 1)
         at = np.flatnonzero(sums)
         for i in range(0, len(at), 1 << 16):
             part = at[i:i + (1 << 16)]
@@ -201,116 +251,217 @@ def _contexts(shared, classes: int):
     return run
 
 
-def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray,
-                   classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Followers and predecessors by class (tokens x classes) of the tokens of ``index`` without a class."""
+def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray, classes: int,
+                   with_open: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Followers and predecessors by class (tokens x classes) of the tokens of ``index`` without a class;
+    ``with_open`` adds the columns of the neighbours without a class and of the token itself."""
     shared = texts.sparkSession.sparkContext.broadcast((index, group))
-    total = texts.select("t").mapInArrow(_contexts(shared, classes), "key long, n long") \
-        .groupBy("key").agg(F.sum("n").alias("n")).toArrow()             # <= 2 * classes rows per token
-    out = np.zeros((len(index) - len(group)) * 2 * classes)
+    total = texts.select("t").mapInArrow(_contexts(shared, classes, with_open), "key long, n long") \
+        .groupBy("key").agg(F.sum("n").alias("n")).toArrow()             # <= 2 * (classes + 2) rows per token
+    wide = classes + 2 * with_open
+    out = np.zeros((len(index) - len(group)) * 2 * wide)
     out[total.column("key").to_numpy()] = total.column("n").to_numpy()
-    out = out.reshape(-1, 2, classes)
+    out = out.reshape(-1, 2, wide)
     return out[:, 0], out[:, 1]
 
 
-class ClassModel:
-    """What scoring needs, bounded by the size of the frequent-token table."""
+def _stream(batch: pa.RecordBatch, index: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Tokens of a batch's texts in one row after an end token, their numbers (``len(index)``: none), and
+    the texts' lengths.  Each text ends with an end token, so the next one starts after it."""
+    words, lengths = [END], []
+    for text in batch.column(batch.num_columns - 1):
+        own = tokens(text.as_py())
+        lengths.append(len(own))
+        words += own
+    size = len(index)
+    return words, np.fromiter((index.get(w, size) for w in words), np.int64, len(words)), np.array(lengths)
 
-    def __init__(self, frequent: list[tuple[bytes, int]], group: np.ndarray, classes: int, n_tokens: int,
-                 n_types: int):
-        self.n_tokens, self.n_types, self.classes = n_tokens, n_types, classes
-        self.bands = 64
-        self.rare = classes + self.bands                # class of all tokens outside the table
-        self.size = self.rare + 1
-        self.index, self.count, of = {}, np.zeros(len(frequent), np.int64), np.zeros(len(frequent), np.int64)
-        for i, (w, n) in enumerate(frequent):
-            self.index[w] = i
-            self.count[i] = n
-            of[i] = group[i] if i < len(group) else classes + int(n).bit_length() - 1
-        self.of = np.append(of, self.rare)
-        self.mass, self.types = np.zeros(self.size), np.zeros(self.size)
-        np.add.at(self.mass, of, self.count)
-        np.add.at(self.types, of, 1)
-        self.mass[self.rare] = n_tokens - self.count.sum()
-        self.types[self.rare] = n_types - len(frequent)
-        self.transition = np.zeros((self.size, self.size))
-
-    def finish(self, pairs: np.ndarray, alpha: float = 0.1) -> "ClassModel":
-        used = np.count_nonzero(self.types) + 1
-        self.transition = np.log10(pairs + alpha) - np.log10(pairs.sum(axis=1, keepdims=True) + alpha * used)
-        self.class_base = np.log10(self.mass + self.types + 1)           # add-one emission, one place for the unseen
-        self.base = np.log10(float(self.n_tokens + self.n_types + 1))
-        counted = np.log10(self.count + 1.0)
-        self.known_base = np.append(counted - self.base, 0.0)
-        self.emission = np.append(counted - self.class_base[self.of[:-1]], 0.0)
-        return self
 
-    def rare_parts(self) -> tuple[float, float]:
-        """What is taken from log10(count + 1) of a token outside the table: base, class emission."""
-        return float(self.base), float(self.class_base[self.rare])
+def _open_contexts(shared, classes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, group = shared.value                     # ids below len(group) have a class
+        first, size, wide = len(group), len(index), classes + 2
+        of = np.append(group, np.full(size + 1 - first, classes))
+        names = list(index)
+        sums = np.zeros((classes + 1) * (classes + 1), np.int64)
+        for batch in slices(batches, 64):
+            words, ids, _ = _stream(batch, index)
+            c = of[ids]
+            sums += np.bincount(c[:-1] * (classes + 1) + c[1:], minlength=len(sums))
+            at = np.flatnonzero(ids[1:] >= first) + 1   # an end token follows, so none of them is last
+            same = ids[at] == ids[at - 1]
+            for i in np.flatnonzero(same & (ids[at] == size)):
+                same[i] = words[at[i]] == words[at[i] - 1]
+            twin = ids[at] == ids[at + 1]
+            for i in np.flatnonzero(twin & (ids[at] == size)):
+                twin[i] = words[at[i]] == words[at[i] + 1]
+            code = np.where(same, classes + 1, c[at - 1]) * wide + np.where(twin, classes + 1, c[at + 1])
+            known = ids[at] < size
+            key, n = np.unique(ids[at[known]] * (wide * wide) + code[known], return_counts=True)
+            w = [names[i] for i in (key // (wide * wide)).tolist()] + [words[i] for i in at[~known].tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w, pa.binary()), pa.array(np.append(key % (wide * wide), code[~known])),
+                 pa.array(np.append(n, np.ones(len(w) - len(n), np.int64)))], ["w", "code", "n"])
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(sums[at])],
+                                         ["w", "code", "n"])
+    return run
 
 
-def _class_pairs(shared):
+def _choose(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        size, other = model.size, len(model.of) - 1
-        sums, end = np.zeros(size * size, np.int64), model.of[model.index.get(END, other)]
+        table = shared.value
+        wide = len(table) + 1
+        held, rows = [], 0
+
+        def out(rest: pa.RecordBatch | None):
+            """Tokens of the held rows; the last one's rows may go on and are held on if there is a ``rest``."""
+            nonlocal held, rows
+            all_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            w, code, n = all_.column(0), all_.column(1).to_numpy(), all_.column(2).to_numpy()
+            start = np.append(0, np.flatnonzero(pc.not_equal(w.slice(1), w.slice(0, len(w) - 1)).to_numpy(zero_copy_only=False)) + 1)
+            stop = len(w) if rest is None else start[-1]
+            held, rows = ([], 0) if rest is None else ([all_.slice(stop)], len(w) - stop)
+            start = start[start < stop]
+            if not len(start):
+                return
+            token = np.repeat(np.arange(len(start)), np.diff(np.append(start, stop)))
+            code, n = code[:stop], n[:stop]
+            for a in range(0, len(start), 4096):
+                b = min(a + 4096, len(start))
+                part = slice(start[a], start[b] if b < len(start) else stop)
+                own = token[part] - a
+                count = lambda near: np.bincount(own * wide + near, n[part], (b - a) * wide).reshape(-1, wide)  # noqa: E731,B023
+                right, left = count(code[part] % wide), count(code[part] // wide)
+                yield pa.RecordBatch.from_arrays(
+                    [w.take(pa.array(start[a:b])), pa.array(right.sum(axis=1).astype(np.int64)),
+                     pa.array(best_classes(table, right, left).astype(np.int32))], ["w", "n", "c"])
+
         for batch in batches:
-            for text in batch.column(0):
-                ids = np.fromiter((model.index.get(w, other) for w in tokens(text.as_py())), np.int64)
-                c = model.of[ids]
-                sums += np.bincount(np.concatenate(([end], c[:-1])) * size + c, minlength=size * size)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= 1 << 15:
+                yield from out(batch)
+        if held:
+            yield from out(None)
     return run
 
 
+def open_classes(texts: DataFrame, index: dict[bytes, int], group: np.ndarray, classes: int) -> DataFrame:
+    """(w, n, c) of all tokens without a number below ``len(group)``: count and best class."""
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast((index, group))
+    found = materialize(texts.select("t").mapInArrow(_open_contexts(shared, classes), "w binary, code long, n long"))
+    total = found.where(F.col("w").isNull()).groupBy("code").agg(F.sum("n").alias("n")).toArrow()   # <= (classes + 1)^2 rows
+    table = np.zeros((classes + 1) * (classes + 1))
+    table[total.column("code").to_numpy()] = total.column("n").to_numpy()
+    table = spark.sparkContext.broadcast(table.reshape(classes + 1, classes + 1))
+    return materialize(found.where(F.col("w").isNotNull()).repartition("w").sortWithinPartitions("w")
+                       .mapInArrow(_choose(table), "w binary, n long, c int"))
+
+
+class ClassModel:
+    """What scoring needs, bounded by the size of the frequent-token table."""
+
+    def __init__(self, frequent: list[tuple[bytes, int]], group: np.ndarray, mass: np.ndarray, types: np.ndarray):
+        self.mass, self.types, self.classes = mass, types, len(mass)
+        self.unseen = self.classes                      # number of the class of a token never seen
+        self.n_tokens, self.n_types = int(mass.sum()), int(types.sum())
+        self.index = {w: i for i, (w, _) in enumerate(frequent)}
+        self.of = np.append(group, -1)                  # -1: not in the table
+        counted = np.log10(np.array([n for _, n in frequent], np.float64) + 1)
+        self.base = float(np.log10(self.n_tokens + self.n_types + 1))
+        # add-one emission, one place for the unseen; a token never seen has it in its transition
+        self.class_base = np.log10(mass + types + 1)
+        self.known_base = np.append(counted - self.base, 0.0)
+        self.emission = np.append(counted - self.class_base[group], 0.0)
+
+    def transitions(self, pairs: np.ndarray, alpha: float = 0.1) -> np.ndarray:
+        """log10 of the next class's probability by class, the unseen last."""
+        used = np.count_nonzero(self.types) + 1
+        pairs = np.vstack([pairs, self.mass])           # after a token never seen: as often as the class occurs
+        p = (pairs + alpha) / (pairs.sum(axis=1, keepdims=True) + alpha * used)
+        return np.log10(np.hstack([p, p @ (1 / (self.mass + self.types + 1))[:, None]]))
+
+
 def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: int, class_words: int, classes: int,
-        sweeps: int) -> ClassModel:
+        sweeps: int) -> tuple[ClassModel, DataFrame]:
+    """The model without its transitions, and (w, n, c) of the tokens from ``class_words`` on."""
     frequent = most_frequent(counts, table_words)
-    totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = frequent[:cluster_words]
-    group = np.zeros(0, np.int64)
+    top, more = frequent[:cluster_words], frequent[:max(cluster_words, class_words)]
+    group, classes = np.zeros(0, np.int64), max(1, min(classes, len(top)))
     if top:
         pairs = pair_counts(texts, {w: i for i, (w, _) in enumerate(top)}, len(top))
-        group, table = exchange_classes(pairs[:-1, :-1], classes, sweeps)
-        more = frequent[:class_words]
+        group, table = exchange_classes(pairs, classes, sweeps, fixed=1)
         if len(more) > len(top):
-            right, left = context_counts(texts, {w: i for i, (w, _) in enumerate(more)}, group, len(table))
+            right, left = context_counts(texts, {w: i for i, (w, _) in enumerate(more)}, group, classes, True)
             group = np.concatenate((group, best_classes(table, right, left)))
-    model = ClassModel(frequent, group, classes, int(totals[0] or 0), int(totals[1]))
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-    total = texts.select("t").mapInArrow(_class_pairs(shared), "pair long, n long") \
-        .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()            # <= size^2 rows
-    pairs = np.zeros(model.size * model.size)
-    pairs[total.column("pair").to_numpy()] = total.column("n").to_numpy()
-    return model.finish(pairs.reshape(model.size, model.size))
-
-
-def _score(shared):
+    index = {w: i for i, (w, _) in enumerate(frequent)}
+    others = open_classes(texts, index, group, classes)
+    mass, types = np.zeros(classes), np.zeros(classes)
+    np.add.at(mass, group, [n for _, n in more])
+    np.add.at(types, group, 1)
+    for r in others.groupBy("c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():
+        mass[r["c"]] += r["n"]
+        types[r["c"]] += r["k"]
+    if len(frequent) > len(more):
+        least = min(n for _, n in frequent[1:])
+        of = {bytes(r["w"]): r["c"] for r in others.where(F.col("n") >= least).collect()}     # <= table_words rows
+        group = np.append(group, np.array([of[w] for w, _ in frequent[len(more):]], np.int64))
+    return ClassModel(frequent, group, mass, types), others
+
+
+def _parts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        other = len(model.of) - 1
-        end = model.of[model.index.get(END, other)]
-        for batch in slices(batches):
-            n, known, base, score, words, times = [], [], [], [], [], []
-            for text in batch.column(batch.num_columns - 1):
-                own = tokens(text.as_py())
-                ids = np.fromiter((model.index.get(w, other) for w in own), np.int64, len(own))
-                c = model.of[ids]
-                steps = model.transition[np.concatenate(([end], c[:-1])), c].sum()
-                rare = Counter(own[i] for i in np.flatnonzero(ids == other).tolist())
-                n.append(len(own))
-                known.append(int((ids != other).sum()))
-                base.append(float(model.known_base[ids].sum()))
-                score.append(float(steps + model.emission[ids].sum()))
-                words.append(list(rare))
-                times.append(list(rare.values()))
+        k, size = model.classes, len(model.index)
+        for batch in slices(batches, 64):
+            if not batch.num_rows:
+                continue
+            words, ids, lengths = _stream(batch, model.index)
+            c = model.of[ids]
+            end = np.cumsum(lengths)                    # in the numbering without the first end token
+            first = np.append(0, end[:-1])
+            summed = lambda x: np.add.reduceat(x, first)  # noqa: E731,B023
+            both = (c[:-1] >= 0) & (c[1:] >= 0)
+            rare = np.flatnonzero(c[1:] < 0) + 1
+            after = np.append(c, -1)[rare + 1]          # an end token follows, or else no token has a class
+            lists = lambda at, values: pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.searchsorted(at, end)), pa.int32()), values)  # noqa: B023
+            at = np.flatnonzero(both)
+            before = [words[i - 1] if c[i - 1] < 0 else None for i in rare.tolist()]
+            struct = pa.StructArray.from_arrays(
+                [pa.array([words[i] for i in rare.tolist()], pa.binary()), pa.array(c[rare - 1], pa.int32()),
+                 pa.array(after, pa.int32()), pa.array(before, pa.binary())], ["w", "p", "q", "v"])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                 pa.array(words, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
-                [*batch.schema.names[:-1], "n_tokens", "known", "base", "steps", "words", "times"])
+                [*batch.columns[:-1], pa.array(lengths, pa.int64()), pa.array(summed((ids[1:] < size).astype(np.int64))),
+                 pa.array(summed(model.known_base[ids[1:]])), pa.array(summed(model.emission[ids[1:]])),
+                 lists(at, pa.array((c[:-1] * k + c[1:])[at], pa.int32())), lists(rare - 1, struct)],
+                [*batch.schema.names[:-1], "n_tokens", "known", "base", "steps", "pairs", "rare"])
+    return run
+
+
+def _pair_sums(classes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            sums += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(sums))
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+    return run
+
+
+def _known_steps(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = shared.value[:-1, :-1].ravel()
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            sums = np.append(0, np.cumsum(step[lists.flatten().to_numpy()]))
+            at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums[at[1:]] - sums[at[:-1]])],
+                                             [*batch.schema.names[:-1], "known_steps"])
     return run
 
 
@@ -318,28 +469,50 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
                     class_words: int = 20_000, classes: int = 64, sweeps: int = 4) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of
     ``docs`` (doc_id, text); learns from rows not ``held_out``."""
+    spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        text_bytes(F.col("text")).alias("t"))
     train = rows.where(~F.col("held_out"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    with arrow_batches(docs.sparkSession):
+    with arrow_batches(spark):
         counts = materialize(token_counts(train))
-        model = fit(train, counts, table_words, cluster_words, class_words, classes, sweeps)
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        model, others = fit(train, counts, table_words, cluster_words, class_words, classes, sweeps)
+        shared = spark.sparkContext.broadcast(model)
         part = materialize(rows.mapInArrow(
-            _score(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
-                            "words array<binary>, times array<long>")
+            _parts(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
+                            "pairs array<int>, rare array<struct<w: binary, p: int, q: int, v: binary>>")
             .withColumn("row", F.monotonically_increasing_id()))
-    base, emission = model.rare_parts()
-    rare = part.select("row", F.inline(F.arrays_zip("words", "times")).alias("w", "k"))
-    log = F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0))
-    summed = (rare.join(counts, "w", "left").groupBy("row")
-              .agg(F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known_rare"),
-                   F.sum(F.col("k") * (log - base)).alias("base_rare"),
-                   F.sum(F.col("k") * (log - emission)).alias("steps_rare")).withColumnRenamed("row", "_row"))
+        # each token outside the table with its class c, and the class p before it
+        k, unseen = model.classes, F.lit(model.unseen)
+        found = narrow(part.select("row", "held_out", F.inline("rare")).join(others, "w", "left")
+                       .select("row", "held_out", "p", F.coalesce("c", unseen).alias("c"), "q",
+                               F.coalesce("n", F.lit(0)).alias("n"), "v"))
+        before = others.select(F.col("w").alias("v"), F.col("c").alias("_p"))
+        rare = found.where(F.col("v").isNull()).drop("v").unionByName(
+            found.where(F.col("v").isNotNull()).join(before, "v", "left")
+            .withColumn("p", F.coalesce("_p", unseen)).drop("v", "_p"))
+        learnt = rare.where(~F.col("held_out")).groupBy("p", "c", "q").agg(F.count(F.lit(1)).alias("n"))
+        sums = part.where(~F.col("held_out")).select("pairs").mapInArrow(_pair_sums(k), "pair long, n long") \
+            .unionByName(learnt.select((F.col("p") * k + F.col("c")).cast("long").alias("pair"), "n")) \
+            .unionByName(learnt.where(F.col("q") >= 0).select((F.col("c") * k + F.col("q")).cast("long").alias("pair"), "n")) \
+            .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()           # <= classes^2 rows
+        pairs = np.zeros(k * k)
+        pairs[sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
+        step = model.transitions(pairs.reshape(k, k))
+        known = part.select("doc_id", "held_out", "n_tokens", "known", "base", "steps", "row", "pairs").mapInArrow(
+            _known_steps(spark.sparkContext.broadcast(step)),
+            f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, row long, known_steps double")
+    table = F.lit(step.ravel())
+    at = lambda a, b: F.get(table, F.col(a) * (k + 1) + F.col(b))
+    log = F.log10(F.col("n") + F.lit(1.0))
+    emission = F.when(F.col("c") == unseen, 0.0).otherwise(log - F.get(F.lit(model.class_base), F.col("c")))
+    summed = rare.groupBy("row").agg(
+        F.count_if(F.col("n") > 0).alias("known_rare"), F.sum(log - F.lit(model.base)).alias("base_rare"),
+        F.sum(at("p", "c") + F.when(F.col("q") >= 0, at("c", "q")).otherwise(0.0) + emission).alias("steps_rare")) \
+        .withColumnRenamed("row", "_row")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return part.drop("words", "times").join(summed, F.col("row") == F.col("_row"), "left").select(
+    return known.join(summed, F.col("row") == F.col("_row"), "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + zero("known_rare")).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("base_rare")).alias("base_score"),
-        (F.col("steps") + zero("steps_rare")).alias("score"))
+        (F.col("steps") + F.col("known_steps") + zero("steps_rare")).alias("score"))

@@ -102,3 +102,70 @@ def test_edges(spark):
     assert lm_score.score_documents(docs.limit(0), F.col("doc_id") == 3).collect() == []
     nothing = lm_score.score_documents(docs, F.lit(True)).collect()
     assert len(nothing) == 6 and all(r.train_tokens == 0 and r.n_known == 0 and np.isfinite(r.score) for r in nothing)
+
+
+def test_open_neighbours_count_and_the_best_class_is_chosen():
+    rng = np.random.default_rng(10)
+    pairs = rng.poisson(3.0, (40, 40)).astype(float)                    # tokens 30 to 39 have no class yet
+    inner = np.pad(pairs[:30, :30], (0, 1))
+    inner[:30, 30], inner[30, :30] = pairs[:30, 30:].sum(1), pairs[30:, :30].sum(0)
+    inner[30, 30] = pairs[30:, 30:].sum()
+    group, table = lm_score.exchange_classes(inner, 4, sweeps=20, fixed=1)
+    full = np.append(group, np.full(10, 4))
+    assert group.max() < 4 and table.sum() == pairs.sum()                # no bigram is dropped
+    onehot = np.eye(5)[full]
+    right, left = pairs[30:] @ onehot, pairs[:, 30:].T @ onehot
+    own = np.diagonal(pairs)[30:, None]
+    right, left = (np.hstack([x - own * (np.arange(5) == 4), own]) for x in (right, left))
+    got = lm_score.best_classes(table, right, left)
+    for i in range(10):
+        every = []
+        for c in range(4):
+            other = full.copy()
+            other[30 + i] = c
+            every.append(likelihood(pairs, other))
+        assert int(got[i]) == int(np.argmax(every))
+
+
+def test_all_tokens_get_their_class_from_their_neighbours(spark):
+    rng = np.random.default_rng(11)
+    nouns, verbs = [f"n{i}" for i in range(300)], [f"v{i}" for i in range(300)]
+    weight = 1 / np.arange(1, 301)
+    texts = [" ".join(w for _ in range(150) for w in (rng.choice(nouns, p=weight / weight.sum()),
+                                                      rng.choice(verbs, p=weight / weight.sum()))) for _ in range(60)]
+    train = spark.createDataFrame([(t.encode(),) for t in texts], "t binary").repartition(5)
+    counts = lm_score.token_counts(train).cache()
+    model, others = lm_score.fit(train, counts, 40, 10, 20, 3, 10)      # ranks 11 to 20 at once, then all others in Spark
+    exact = {bytes(r.w): r.n for r in counts.collect()}
+    found = {bytes(r.w): (r.n, r.c) for r in others.collect()}
+    table = {w: int(model.of[i]) for w, i in model.index.items()}
+    assert len(found) == len(exact) - 20 and all(n == exact[w] for w, (n, _) in found.items())
+    assert len(table) <= 41 and all(found[w][1] == c for w, c in table.items() if w in found)
+    assert model.n_tokens == sum(exact.values()) and model.n_types == len(exact)
+    of = table | {w: c for w, (_, c) in found.items()}
+    by = {kind: [of[w.encode()] for w in words if w.encode() in of] for kind, words in (("n", nouns), ("v", verbs))}
+    share = {kind: max(map(c.count, set(c))) / len(c) for kind, c in by.items()}
+    assert min(share.values()) > .9 and max(by["n"], key=by["n"].count) != max(by["v"], key=by["v"].count)
+
+
+def test_score_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    rows = docs.withColumn("t", F.coalesce(F.col("text").cast("binary"), F.lit(b"").cast("binary")))
+    train = rows.where(~in_test())
+    counts = lm_score.token_counts(train).cache()
+    params = (100, 30, 60, 8, 4)                                         # most tokens are outside the table
+    model, others = lm_score.fit(train, counts, *params)
+    of = {bytes(r.w): r.c for r in others.collect()} | {w: int(model.of[i]) for w, i in model.index.items()}
+    n = {bytes(r.w): r.n for r in counts.collect()}
+    own = {r.doc_id: [b"\n", *(r.text or "").encode().lower().split(), b"\n"] for r in docs.collect()}
+    pairs = np.zeros((8, 8))
+    for i, w in own.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            np.add.at(pairs, ([of[x] for x in w[:-1]], [of[x] for x in w[1:]]), 1)
+    step = model.transitions(pairs)
+    assert np.allclose((10 ** step).sum(axis=1), 1, atol=.05)
+    want = {i: sum(step[of.get(a, 8), of.get(b, 8)] + (math.log10((n[b] + 1) / (model.mass[of[b]] + model.types[of[b]] + 1))
+                                                       if b in of else 0) for a, b in zip(w, w[1:])) for i, w in own.items()}
+    got = lm_score.score_documents(docs, in_test(), *params).collect()
+    assert {r.doc_id: r.score for r in got} == pytest.approx(want)
+    assert any(x not in of for w in own.values() for x in w)
