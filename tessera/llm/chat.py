@@ -10,10 +10,15 @@ itself is located by rendering the same prefix with an empty text and with a
 probe character: the place where these two part is where the text begins, and
 what follows that place in the empty rendering ends the span.
 
-A conversation is rendered in segments of at most ``segment_turns`` turns, so
-that the cost and the memory per row stay bounded however long it is; the
-segments' outputs are concatenated.  Rows are shuffled once by conversation
-and sorted, and Python streams through them.
+The prefixes are those of the whole conversation: a template may look back, or
+rewrite, as far as it likes, so the cost grows with the square of the turns and a
+conversation has to fit its task.  Only for a template that is declared
+``turn_local`` (an output is the header, ``template([])``, and one part per turn
+that depends on that turn alone, like ``render``'s) is a conversation rendered in
+segments of at most ``segment_turns`` turns, so that the cost and the memory per
+row stay bounded however long it is; the header stays in the first segment only,
+and the segments' outputs, concatenated, are the whole one.  Rows are shuffled
+once by conversation and sorted, and Python streams through them.
 
 Defined results: null text and null role are empty; a null conv_id is one
 conversation of its own; turns go by turn, then role and text, null first;
@@ -93,15 +98,18 @@ SEGMENT = pa.schema([("conv_id", pa.int64()), ("segment", pa.int32()), ("formatt
                      ("rewritten", pa.int64())])
 
 
-def _format(template: Callable[[Turns], str], learnt: str, segment_turns: int):
+def _format(template: Callable[[Turns], str], learnt: str, segment_turns: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, current, segment, turns = [], None, 0, []
 
         def close() -> None:
             out, spans, masks, rewritten = turn_spans(turns, template, learnt)
-            rows.append({"conv_id": current[0], "segment": segment, "formatted": out,
-                         "spans": [list(s) for s in spans], "masks": [list(s) for s in masks],
-                         "rewritten": rewritten + segment * segment_turns if rewritten >= 0 else -1})
+            if segment_turns and rewritten >= 0:
+                raise ValueError("the template is declared turn-local and rewrites history")
+            header = len(template([])) if segment else 0
+            rows.append({"conv_id": current[0], "segment": segment, "formatted": out[header:],
+                         "spans": [[a - header, b - header] for a, b in spans],
+                         "masks": [[a - header, b - header] for a, b in masks], "rewritten": rewritten})
 
         for batch in batches:
             for conv, role, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -124,15 +132,19 @@ def _format(template: Callable[[Turns], str], learnt: str, segment_turns: int):
 
 
 def format_conversations(conversations: DataFrame, template: Callable[[Turns], str] = render,
-                         learnt: str = "assistant", segment_turns: int = 128) -> DataFrame:
+                         learnt: str = "assistant", segment_turns: int = 128,
+                         turn_local: bool | None = None) -> DataFrame:
     """(conv_id, segment, formatted, spans, masks, rewritten), a conversation's segments
-    in order within one partition.  Spans count code points within the segment's string."""
+    in order within one partition.  Spans count code points within the segment's string.
+    Without ``turn_local``, whose default is true for ``render`` only, a conversation is
+    one segment."""
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
                                 F.coalesce("role", F.lit("")).alias("role"),
                                 F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    cut = segment_turns if (template is render if turn_local is None else turn_local) else None
     return ordered.select("conv_id", "role", "text").mapInArrow(
-        _format(template, learnt, segment_turns),
+        _format(template, learnt, cut),
         "conv_id long, segment int, formatted string, spans array<array<long>>, masks array<array<long>>, rewritten long")
 
 

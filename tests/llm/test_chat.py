@@ -51,3 +51,36 @@ def test_against_brute_force(spark):
     got = chat.digest(chat.format_conversations(df)).collect()
     assert {r.conv_id: tuple(r)[1:] for r in got} == brute(rows) and len(got) == len(brute(rows))
     assert chat.digest(chat.format_conversations(df.limit(0))).collect() == []
+
+
+def with_header():
+    def bos(turns):                                 # local: pickled whole
+        return "<s>" + chat.render(turns)
+    return bos
+
+
+def test_whole_conversations_of_any_template(spark):
+    def forgets(turns):                             # from turn 200 on, the first turns are summed up
+        return chat.render(turns) if len(turns) <= 200 else "summary;" + chat.render(turns[100:])
+
+    def looks_back(turns):                          # each turn names the first one's role
+        return "".join(f"{turns[0][0]}>{r}:{t};" for r, t in turns)
+
+    turns = [("system", "rules")] + [(("user", "assistant")[i % 2], f"turn {i}") for i in range(299)]
+    df = spark.createDataFrame([(5, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for template, rewritten in ((forgets, 200), (looks_back, -1), (with_header(), -1)):
+        got = chat.format_conversations(df, template).collect()
+        assert [(r.segment, r.formatted, r.rewritten) for r in got] == [(0, template(turns), rewritten)]
+        assert len(got[0].spans) == 300
+
+
+def test_header_of_a_turn_local_template_comes_once(spark):
+    turns = [(("user", "assistant")[i % 2], f"turn {i}") for i in range(11)]
+    df = spark.createDataFrame([(5, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    bos = with_header()
+    got = chat.format_conversations(df, bos, segment_turns=4, turn_local=True).collect()
+    assert [r.segment for r in got] == [0, 1, 2]
+    assert "".join(r.formatted for r in got) == bos(turns)
+    for r in got:
+        assert [r.formatted[a:b] for a, b in r.masks] == [t for role, t in turns[4 * r.segment:4 * r.segment + 4] if role == "assistant"]
+        assert r.spans[0][0] == (0 if r.segment else 3) and r.spans[-1][1] == len(r.formatted)
