@@ -11,9 +11,12 @@ survivors are compacted.  Ties survive: a candidate goes only if its upper
 bound is strictly smaller.  Cells return at most k rows per query, and the
 best k of those are taken per query.
 
+Vectors whose products need not fit a long in their cell are multiplied exactly
+in three limbs, without pruning.
+
 Defined results: vectors that are null, or hold a null or non-finite
-component, take no part, nor do vectors with a scaled component of 2^26 or
-more, whose scores need not fit a long; shorter vectors count as padded with
+component, take no part, nor do vectors with a scaled component that is not a
+long; a score among the results that does not fit a long is an error; shorter vectors count as padded with
 zeros; rows that share the query's id are its own; repeated query rows each
 get a list of their own; a null id can be found (after all other ids) but is
 never a query; an empty table gives an empty result.
@@ -21,6 +24,9 @@ never a query; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import isqrt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -31,7 +37,9 @@ from tessera.llm.common import narrow
 DIM_BLOCK = 16            # dimensions accumulated between two prunings
 CANDIDATES = 16384        # candidates in a cell
 QUERIES = 1024            # queries in a cell
-LIMIT = 1 << 26
+LIMIT = 2.0 ** 63
+LIMB = 22                 # bits of the limbs of a component
+LEAST, MOST = -(1 << 63), (1 << 63) - 1          # stand for scores beyond a long
 
 
 def quantized(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -70,7 +78,7 @@ def search_block(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray],
             part = cands[block] if len(alive) == cands.shape[1] else cands[block][:, alive]
             score = score + queries[block, q] @ part
             if b + 1 < len(cuts) and len(alive) > k:
-                slack = rest_q[b + 1][q] * rest_c[b + 1][alive] * (1 + 1e-9) + 1
+                slack = rest_q[b + 1][q] * rest_c[b + 1][alive] * (1 + 1e-9) + 1 + np.abs(score) * 1e-15
                 least = np.partition(score - slack, len(alive) - k)[len(alive) - k]
                 stays = score + slack >= least
                 alive, score = alive[stays], score[stays]
@@ -81,6 +89,49 @@ def search_block(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray],
         yield alive[order], score[order]
 
 
+def _limbs(m: np.ndarray) -> list[np.ndarray]:
+    """m = sum of limb i * 2^(i * LIMB); the last limb has the sign."""
+    low = (1 << LIMB) - 1
+    return [m & low, (m >> LIMB) & low, m >> 2 * LIMB]
+
+
+def _exact(query: list[np.ndarray], cands: list[np.ndarray]) -> np.ndarray:
+    """Scores as Python integers, from the limbs of a query and of candidates."""
+    out = np.zeros(cands[0].shape[1], object)
+    for i, a in enumerate(query):
+        for j, b in enumerate(cands):
+            out += (a @ b).astype(object) << (i + j) * LIMB
+    return out
+
+
+def search_cell(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray], ids: np.ndarray,
+                k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``search_block`` for components of any size: pairs of vectors whose products need not
+    fit a long are multiplied exactly.  Scores beyond a long are LEAST or MOST."""
+    fits = isqrt((1 << 62) // max(1, len(cands)))
+    largest = np.abs(cands).max(axis=0, initial=0)
+    small, wide = np.flatnonzero(largest <= fits), np.flatnonzero(largest > fits)
+    plain = np.abs(queries).max(axis=0, initial=0) <= fits
+    if not len(wide) and plain.all():
+        yield from search_block(queries, cands, own, ids, k)
+        return
+    place = np.full(cands.shape[1], -1)
+    place[small] = np.arange(len(small))
+    kept = [p[p >= 0] for p in (place[own[q]] for q in np.flatnonzero(plain))]
+    fast = search_block(queries[:, plain], cands[:, small], kept, ids[small], k)
+    limbs = _limbs(cands[:, wide] if plain.all() else cands)
+    for q in range(queries.shape[1]):
+        slow = wide if plain[q] else np.arange(cands.shape[1])
+        score = _exact(_limbs(queries[:, q]), [x[:, wide] for x in limbs] if plain[q] and not plain.all() else limbs)
+        alive = ~np.isin(slow, own[q])
+        at, score = slow[alive], score[alive]
+        if plain[q]:
+            near, of = next(fast)
+            at, score = np.append(small[near], at), np.append(of.astype(object), score)
+        best = sorted(range(len(at)), key=lambda i: (-score[i], ids[at[i]]))[:k]  # noqa: B023
+        yield at[best], np.array([min(max(int(score[i]), LEAST), MOST) for i in best], np.int64)
+
+
 def _cell(k: int):
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -95,7 +146,7 @@ def _cell(k: int):
         lo, hi = np.searchsorted(sorted_ids, qids, "left"), np.searchsorted(sorted_ids, qids, "right")
         own = [order[a:b][~none[order[a:b]]] for a, b in zip(lo, hi)]
         out = []
-        found = search_block(_matrix(left["x"], dims), _matrix(right["x"], dims), own, ids, k)
+        found = search_cell(_matrix(left["x"], dims), _matrix(right["x"], dims), own, ids, k)
         for q, qid, (at, score) in zip(left["q"], qids, found):
             out.append(pd.DataFrame({"q": q, "query_id": qid, "vec_id": pd.array(real[at], "Int64"), "score": score}))
             out[-1].loc[none[at], "vec_id"] = pd.NA
@@ -117,5 +168,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     found = (left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb"))
              .applyInPandas(_cell(k), "q long, query_id long, vec_id long, score long"))
     best = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    whole = F.when(F.col("score").isin(LEAST, MOST), F.raise_error(F.lit("a score does not fit a long")).cast("long"))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", whole.otherwise(F.col("score")).alias("score")))

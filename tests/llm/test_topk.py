@@ -56,3 +56,35 @@ def test_edges(spark):
     assert topk.top_k(table(spark, [(0, [1.0])]), F.col("vec_id") % 100 == 0).collect() == []
     twice = topk.top_k(table(spark, [(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0])]), F.col("vec_id") % 100 == 0)
     assert sorted(map(tuple, twice.collect())) == [(0, 1, 1, 2048 * 1024)] * 2 + [(0, 2, 1, 2048 * 1024)] * 2
+
+
+@pytest.mark.parametrize("blocks", [(16384, 1024), (37, 2)])
+def test_large_components_stay(spark, monkeypatch, blocks):
+    monkeypatch.setattr(topk, "CANDIDATES", blocks[0])
+    monkeypatch.setattr(topk, "QUERIES", blocks[1])
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, .3, 64).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(400 + i, (rng.normal(0, 1, 64) * 10.0 ** rng.integers(3, 6)).astype(np.float32).tolist()) for i in range(40)]
+    rows += [(1000, rows[310][1]), (1100, [2.0 ** 24] + [0.0] * 9)]
+    got = topk.top_k(table(spark, rows), F.col("vec_id") % 100 == 0)
+    want = brute(rows)
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert any(j is not None and j >= 400 for _, _, j, _ in want)
+
+
+def test_wide_products_are_exact_and_beyond_a_long_they_fail(spark):
+    rng = np.random.default_rng(7)
+    cands = rng.integers(-(1 << 62), 1 << 62, (8, 50))
+    cands[:, 20:] >>= 50
+    queries = np.hstack([rng.integers(-8, 8, (8, 3)), cands[:, :2]])
+    found = topk.search_cell(queries, cands, [np.array([4])] * 5, np.arange(50), 10)
+    for q, (at, score) in enumerate(found):
+        exact = [sum(int(a) * int(b) for a, b in zip(queries[:, q], cands[:, c])) for c in range(50)]
+        want = sorted((c for c in range(50) if c != 4), key=lambda c: (-exact[c], c))[:10]
+        assert at.tolist() == want
+        assert score.tolist() == [min(max(exact[c], topk.LEAST), topk.MOST) for c in want]
+    big = [(0, [2.0 ** 40]), (1, [2.0 ** 40]), (2, [-(2.0 ** 40)]), (3, [1.0]), (4, [2.0])]
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(table(spark, big), F.col("vec_id") % 100 == 0).collect()
+    rest = topk.top_k(table(spark, [r for r in big if r[0] != 1]), F.col("vec_id") % 100 == 0, k=2).collect()
+    assert [(r.vec_id, r.score) for r in rest] == [(4, 2 ** 61), (3, 2 ** 60)]       # 2 lies below a long, and is not asked for
