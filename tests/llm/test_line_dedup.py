@@ -55,3 +55,28 @@ def test_passage_inside_one_physical_line(spark):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
     assert got[1] == rows[0][1] and got[None] == rows[2][1]
     assert got[2] == "Quite another start! Different end."
+
+
+def test_short_passages_between_different_neighbours(spark):
+    rng = random.Random(8)
+    words = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(10 ** 6)}" for _ in range(n)]
+    rows, passages = [], {}
+    for i in range(0, 200, 2):
+        passage = words(60)
+        if i % 4:
+            passage[30] += "."                                   # parts of two sentences, else of one
+        passages[i + 1] = set(passage)
+        rows += [(j, " ".join(words(20) + passage + words(20)) + ".") for j in (i, i + 1)]
+    rows += [(500, "a \x01 b, c; d. " * 9 + "e  f\r\ng"), (501, None), (502, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = dict(rows)
+    assert all(r.text == whole[r.doc_id] for r in line_dedup.dedup_lines(docs.where("doc_id < 500")).collect())
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, word_ends=5).collect()}
+    assert got[501] is None and got[502] == ""
+    assert all(got[i] == whole[i] for i in range(0, 200, 2))     # first occurrences stay
+    left = {i: len(passages[i] & set(got[i].split())) for i in passages}
+    assert sum(n < 30 for n in left.values()) >= 95
+    for i in passages:                                           # nothing but the passage goes
+        assert set(whole[i].split()) - set(got[i].split()) <= passages[i]
+    lines = docs.where("text is not null").select("text", line_dedup.lines_of(docs.text, 5).alias("l")).collect()
+    assert all("".join(r.l) == r.text for r in lines)
