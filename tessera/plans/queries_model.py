@@ -281,10 +281,10 @@ def q_gradient_zero(spark, sf_dir):
 
 @register("fit_ml_logistic")
 def q_ml_logistic(spark, sf_dir):
-    """M3: class-weighted, L2-regularised logistic regression; validation scores."""
+    """M3: class-weighted, L2-regularised logistic regression, fitted on train; scores of all splits."""
     t = Fit.with_balanced_weight(_fit_table(spark, sf_dir), boost0=1.2)
     va_, model = Fit.fit_ml_logistic(t.where(F.col("split") == "train"), FIT_FEATURES)
-    scored = model.transform(va_.transform(t.where(F.col("split") != "train")))
+    scored = model.transform(va_.transform(t))
     from pyspark.ml.functions import vector_to_array
     return scored.select("split", "Ticker", "Date", "target",
                          vector_to_array("probability")[1].alias("Probability"))

@@ -113,3 +113,11 @@ def test_logistic_gradient_and_fit(table):
     va, model = Fit.fit_ml_logistic(weighted, ["a", "b"])
     scored = model.transform(va.transform(weighted)).agg(F.avg((F.col("prediction") == F.col("target")).cast("double")))
     assert scored.first()[0] > 0.8
+
+
+def test_logistic_scores_all_splits(spark):
+    from conftest import SF
+    from tessera.plans import queries_model as Q
+    got = {r["split"]: r["count"] for r in Q.q_ml_logistic(spark, SF).groupBy("split").count().collect()}
+    want = {r["split"]: r["count"] for r in Q._fit_table(spark, SF).groupBy("split").count().collect()}
+    assert got == want and got["train"] > 0
