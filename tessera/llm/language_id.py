@@ -11,7 +11,9 @@ bounded length, over whole texts.
 Defined results: a null text, or one without any letter, is ``und`` with
 score 0; ties between languages go to the first in code-point order; rows
 with a null id take part in learning and are not held out; with nothing to
-learn from every text is ``und``; repeated rows get equal results.
+learn from every text is ``und``; repeated rows get equal results; more than
+``MAX_LANGUAGES`` languages to learn are an error, since the matrix that is
+broadcast grows with them.
 """
 
 from __future__ import annotations
