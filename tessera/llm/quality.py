@@ -177,10 +177,10 @@ def judge_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, go
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col("good").isNotNull())
              .groupBy("doc_id").agg((F.min("good") > 0).alias("good")).withColumnRenamed("doc_id", "_d"))
     known = stats.where(~F.col("base_failed")).join(marks, F.col(key) == F.col("_d")).drop("_d")
-    n = known.count()
+    n, n_good = known.agg(F.count(F.lit(1)), F.count_if("good")).first()
     sample = (known.where(uniform("doc_id", *COUNTS) * n < fit_rows).limit(2 * fit_rows)
               .select(*COUNTS).toPandas())
-    if not len(sample):
+    if not len(sample) or not n_good:
         return stats.withColumn("score", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
     forest = IsolationForest(ratios({c: sample[c].to_numpy() for c in COUNTS}))
     shared = docs.sparkSession.sparkContext.broadcast(forest)

@@ -56,3 +56,12 @@ def test_forest_isolates_outliers():
     score = quality.IsolationForest(rows).score(rows)
     assert score[2000:].min() > np.quantile(score[:2000], 0.98)
     assert (score > 0).all() and (score < 1).all()
+
+
+def test_without_good_labels_the_base_rules_decide(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(40)) + " #" * (i % 5)) for i in range(50)],
+                                 "doc_id long, text string")
+    bad = spark.createDataFrame([(i, 0) for i in range(25)], "doc_id long, good int")
+    got = quality.judge_quality(docs, bad).collect()
+    assert len(got) == 50 and all(r.kept for r in got)
