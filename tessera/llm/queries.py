@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, language_id, line_dedup, lm_score, mixing, packing, quality, simhash, topk,
-                         url_filter)
+from tessera.llm import (chat, language_id, line_dedup, lm_score, minhash, mixing, packing, quality, repair, simhash,
+                         topk, url_filter, whitening)
 from tessera.llm.common import id_bucket
 from tessera.sources.tables import read_table
 
@@ -76,10 +76,24 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(docs, id_bucket(F.col("doc_id"), 7) == 2)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    return repair.digest(repair.damage(turns), turns)
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_language_id, op3_top_k, op4_pack, op5_chat_format, op6_simhash, op7_quality_rules,
-        op8_line_dedup, op9_url_filter, op10_lm_score)}
+        op8_line_dedup, op9_url_filter, op10_lm_score, op11_whitening, op12_repair, op13_minhash)}
 
 
 _SQL["op3_top_k"] = """
