@@ -23,8 +23,12 @@ millions at the threshold), and all others are confirmed on the full sets of
 shingles.  Only connectivity is wanted, so the first round tests each member
 against its nearest predecessor of a small tree node, and the members of a
 large one against its pivot; the second round tests every remaining pair of
-similar members that the first did not connect.  A large node of the last level
-is searched in cells of members outside its main component x all members.
+similar members of a small node that the first did not connect.  Nodes that are
+still large at the last level hold sets too similar to be branched apart; those
+that share members are one group, searched in cells of members outside its main
+component x all members.  A cell has the texts of its members, tests pairs of
+different components on the full sets, the most similar first, and forgets the
+others of a component once it is reached, so it returns a forest of links.
 
 Defined results: null and empty texts have an empty set and are linked with
 nothing (also not with each other); a text with fewer words than a shingle is
@@ -52,7 +56,7 @@ LEAF = 256                # members of a tree node that is compared exhaustively
 DEPTH = 3                 # levels of a tree
 BRANCH = 1.5              # children that two sets at the threshold share, on average
 RECALL = 0.9999           # of pairs at the threshold, at the last level
-CELL = 2048               # members on a side of a cell
+CELL = 1024               # members on a side of a cell
 PAIRS = 256               # pairs of one document confirmed by one task
 SLICE = 2048              # shingles that are hashed into a signature at once
 FLUSH = 1 << 14           # rows that are compared at once
@@ -219,17 +223,45 @@ def _agreeing(least: int):
     return run
 
 
-def _cell(least: int, threshold: float):
+def _cell(least: int, percent: int, shingle: int):
+    """Confirmed links between components, of members outside the main one and all members."""
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = [np.zeros((0, 2), np.int64)]
+        us, vs = [], []
         if len(left) and len(right):
             sig = np.frombuffer(b"".join(right["sig8"]), np.uint8).reshape(-1, WIDTH)
-            ids, comp, size = (right[c].to_numpy() for c in ("id", "comp", "n_shingles"))
-            for i, c, n, s in zip(left["id"], left["comp"], left["n_shingles"], left["sig8"]):
-                near = np.flatnonzero((comp != c) & (np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9))
-                near = near[(sig[near] == np.frombuffer(s, np.uint8)).sum(axis=1) >= least]
-                found.append(np.stack([np.minimum(ids[near], i), np.maximum(ids[near], i)], axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["u", "v"])
+            ids, size = right["id"].to_numpy(), right["n_shingles"].to_numpy()
+            names, comp = np.unique(np.concatenate((left["comp"], right["comp"])), return_inverse=True)
+            own, root = comp[:len(left)], np.arange(len(names))
+            sets: dict[int, np.ndarray] = {}
+
+            def full(j: int) -> np.ndarray:
+                if j not in sets:
+                    sets[j] = shingle_set(right["text"].iat[j], shingle)
+                return sets[j]
+
+            for i, c, n, s, text in zip(left["id"], own, left["n_shingles"], left["sig8"], left["text"]):
+                near = np.flatnonzero(100 * np.minimum(size, n) >= percent * np.maximum(size, n))
+                agree = (sig[near] == np.frombuffer(s, np.uint8)).sum(axis=1)
+                near = near[np.lexsort((near, -agree))][:int((agree >= least).sum())]
+                near = near[root[comp[len(left) + near]] != root[c]]
+                mine = shingle_set(text, shingle) if len(near) else None
+                while len(near):
+                    some, near = near[:32], near[32:]
+                    parts = [full(j) for j in some.tolist()]
+                    flat = np.concatenate(parts)
+                    at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                    starts = np.cumsum([0, *map(len, parts[:-1])])
+                    shared = np.add.reduceat((mine[at] == flat).astype(np.int64), starts)
+                    hits = some[100 * shared >= percent * (n + size[some] - shared)]
+                    for j in hits.tolist():
+                        a, b = root[c], root[comp[len(left) + j]]
+                        if a != b:
+                            us.append(min(i, ids[j]))
+                            vs.append(max(i, ids[j]))
+                            root[root == max(a, b)] = min(a, b)
+                    if len(hits):
+                        near = near[root[comp[len(left) + near]] != root[c]]
+        return pd.DataFrame({"u": np.array(us, np.int64), "v": np.array(vs, np.int64)})
     return search
 
 
@@ -270,7 +302,7 @@ def document_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
 
 def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (key, id) of the small tree nodes of all levels, pairs (u, v) of the members of
-    large ones with their pivot, and members (key, id) of nodes that are large at the last level."""
+    large ones with their pivot, and those pairs of the nodes that are large at the last level."""
     small, stars, todo = [], [], nodes.select("id", "sig")
     for level in range(depth):
         keys = narrow(todo.mapInArrow(_children(probability, trees), "key long, id long").distinct())
@@ -285,16 +317,20 @@ def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int, dept
         sig = nodes.select(F.col("id").alias("_i"), "sig")
         todo = large.join(sig, F.col("id") == F.col("_i")).select("id", "sig", "key")
     union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
-    return narrow(union(small)), union(stars).distinct(), large.select("key", "id")
+    return narrow(union(small)), union(stars).distinct(), stars[-1].distinct()
+
+
+def texts_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, text) of the node ids in ``ids``, written to the shared folder."""
+    named = nodes.select(F.col("id").alias("_i"), F.col("doc_id").alias("_d"), F.col("t1").alias("_1"), F.col("t2").alias("_2"))
+    wanted = narrow(ids.join(named, F.col("id") == F.col("_i")).select("id", "_d", "_1", "_2"))
+    return materialize(_hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_1"))
+                                          & (F.col("t2") == F.col("_2"))).select("id", "text").dropDuplicates(["id"]))
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (u, v) of node ids whose full sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    named = nodes.select(F.col("id").alias("_i"), F.col("doc_id").alias("_d"), F.col("t1").alias("_1"), F.col("t2").alias("_2"))
-    wanted = narrow(wanted.join(named, F.col("id") == F.col("_i")).select("id", "_d", "_1", "_2"))
-    texts = materialize(_hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_1"))
-                                           & (F.col("t2") == F.col("_2"))).select("id", "text").dropDuplicates(["id"]))
+    texts = texts_of(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), nodes, docs)
     salts = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAIRS)).alias("salts")).withColumnRenamed("u", "_u")
     first = (salts.join(texts, F.col("_u") == F.col("id"))
              .select(F.col("_u").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
@@ -306,23 +342,27 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
                       .mapInArrow(_confirm(percent, shingle), "u long, v long"))
 
 
-def dense_pairs(dense: DataFrame, member: DataFrame, least: int, threshold: float) -> DataFrame:
-    """Similar pairs of different components in large tree nodes: those outside a node's main
-    component against all its members, in cells of bounded size."""
-    rows = dense.join(member.withColumnRenamed("id", "_i"), F.col("id") == F.col("_i")).drop("_i")
+def dense_links(dense: DataFrame, own: DataFrame, nodes: DataFrame, docs: DataFrame, least: int, percent: int,
+                shingle: int) -> DataFrame:
+    """Links (u, v) between components within groups of the members that ``dense`` (u, v) connects."""
+    groups = components(dense)
+    rows = (groups.join(own, F.col("node") == F.col("id"))
+            .select(F.col("root").alias("key"), "id", "comp", "n_shingles", "sig8"))
     shares = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = narrow(shares.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("m"),
                                             F.max("n").alias("n")).where(F.col("n") < F.col("m"))
                   .select(F.col("key").alias("_k"), "main", F.ceil((F.col("m") - F.col("n")) / CELL).alias("lb"),
                           F.ceil(F.col("m") / CELL).alias("rb")))
     rows = rows.join(main, F.col("key") == F.col("_k"))
+    texts = texts_of(rows.select("id"), nodes, docs).withColumnRenamed("id", "_i")
+    rows = rows.join(texts, F.col("id") == F.col("_i"))
     block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).alias(n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(n)
-    columns = ["key", "id", "comp", "n_shingles", "sig8"]
+    columns = ["key", "id", "comp", "n_shingles", "sig8", "text"]
     left = rows.where(F.col("comp") != F.col("main")).select(*columns, block("lb", 1), every("rb"))
     right = rows.select(*[F.col(c).alias(c) for c in columns], every("lb"), block("rb", 2))
-    return (left.groupBy("key", "lb", "rb").cogroup(right.groupBy("key", "lb", "rb"))
-            .applyInPandas(_cell(least, threshold), "u long, v long"))
+    return narrow(left.groupBy("key", "lb", "rb").cogroup(right.groupBy("key", "lb", "rb"))
+                  .applyInPandas(_cell(least, percent, shingle), "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall: float = RECALL,
@@ -360,13 +400,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall
     tested = narrow(compared(None).unionByName(near).distinct())
     links = confirmed(tested, nodes, docs, percent, shingle)
     comps = components(links)
-    rest = compared(comps).unionByName(dense_pairs(dense, with_components(member, comps), least, threshold))
+    rest = compared(comps)
     rest = narrow(rest.distinct().join(tested.select(F.col("u").alias("_u"), F.col("v").alias("_v")),
                                        (F.col("u") == F.col("_u")) & (F.col("v") == F.col("_v")), "left_anti"))
-    if not rest.isEmpty():
-        more = confirmed(rest, nodes, docs, percent, shingle)
-        if not more.isEmpty():
-            comps = components(links.unionByName(more))
+    more = [] if rest.isEmpty() else [confirmed(rest, nodes, docs, percent, shingle)]
+    dense = narrow(dense)
+    if not dense.isEmpty():
+        more.append(dense_links(dense, with_components(member, comps), nodes, docs, least, percent, shingle))
+    if more:
+        for found in more:
+            links = links.unionByName(found)
+        comps = components(links)
 
     rooted = nodes.join(comps, F.col("id") == F.col("node"), "left").select(
         "h1", "h2", "least_id", F.coalesce("root", "id").alias("root"))
