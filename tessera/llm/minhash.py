@@ -13,9 +13,9 @@ tokens and the seeds, so one level of all trees is a projection, and a child is
 a group of rows with one key.  Two sets at the threshold share ``branch``
 children per tree node on average, dissimilar ones far fewer.  A tree node with
 at most ``leaf`` members is compared exhaustively; larger ones are branched
-again, up to ``depth`` levels.  The number of independent trees follows from
-``recall``: a pair at the threshold is lost by one tree with the extinction
-probability of its branching process at the last level.
+again, until a level no longer halves the members of large nodes.  The number of
+independent trees follows from ``recall``: a pair at the threshold is lost by one
+tree, however deep, with at most the extinction probability of its branching process.
 
 Comparing means counting agreeing places; pairs that agree in fewer than five
 standard deviations below the threshold's mean are left out (one pair in some
@@ -53,9 +53,9 @@ from tessera.llm.simhash import components
 
 WIDTH = 128               # minwise hashes of a set
 LEAF = 256                # members of a tree node that is compared exhaustively
-DEPTH = 3                 # levels of a tree
 BRANCH = 1.5              # children that two sets at the threshold share, on average
-RECALL = 0.9999           # of pairs at the threshold, at the last level
+RECALL = 0.9995           # of pairs at the threshold, at any depth
+FILTER = 1 << 21          # most hashes that are broadcast to pick texts before the shuffle
 CELL = 1024               # members on a side of a cell
 PAIRS = 256               # pairs of one document confirmed by one task
 SLICE = 2048              # shingles that are hashed into a signature at once
@@ -96,7 +96,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def survival(branch: float, depth: int) -> float:
+def survival(branch: float, depth: int = 1000) -> float:
     """Probability that a pair that shares ``branch`` children on average shares a node at ``depth``."""
     alive = 1.0
     for _ in range(depth):
@@ -104,8 +104,8 @@ def survival(branch: float, depth: int) -> float:
     return alive
 
 
-def trees_for(recall: float, branch: float = BRANCH, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(branch, depth)))
+def trees_for(recall: float, branch: float = BRANCH) -> int:
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival(branch)))
 
 
 def least_agreement(threshold: float) -> int:
@@ -300,20 +300,22 @@ def document_sets(docs: DataFrame, shingle: int = 5) -> DataFrame:
                                                     "h1 long, h2 long, sig binary, sig8 binary")
 
 
-def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members (key, id) of the small tree nodes of all levels, pairs (u, v) of the members of
     large ones with their pivot, and those pairs of the nodes that are large at the last level."""
-    small, stars, todo = [], [], nodes.select("id", "sig")
-    for level in range(depth):
-        keys = narrow(todo.mapInArrow(_children(probability, trees), "key long, id long").distinct())
+    small, stars, todo, before = [], [], nodes.select("id", "sig"), None
+    while True:
+        keys = narrow(todo.mapInArrow(_children(probability, trees), "key long, id long"))
         sizes = narrow(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot"))
                        .where(F.col("n") > 1).withColumnRenamed("key", "_k"))
         placed = keys.join(sizes, F.col("key") == F.col("_k"))
         small.append(placed.where(F.col("n") <= leaf).select("key", "id"))
         large = narrow(placed.where(F.col("n") > leaf).select("key", "id", "pivot"))
         stars.append(large.where(F.col("id") != F.col("pivot")).select(F.col("pivot").alias("u"), F.col("id").alias("v")))
-        if large.isEmpty():
+        now = large.count()
+        if not now or before is not None and now > before / 2:
             break
+        before = now
         sig = nodes.select(F.col("id").alias("_i"), "sig")
         todo = large.join(sig, F.col("id") == F.col("_i")).select("id", "sig", "key")
     union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
@@ -324,7 +326,10 @@ def texts_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, text) of the node ids in ``ids``, written to the shared folder."""
     named = nodes.select(F.col("id").alias("_i"), F.col("doc_id").alias("_d"), F.col("t1").alias("_1"), F.col("t2").alias("_2"))
     wanted = narrow(ids.join(named, F.col("id") == F.col("_i")).select("id", "_d", "_1", "_2"))
-    return materialize(_hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_1"))
+    hashed = _hashed(docs)
+    if wanted.count() <= FILTER:                         # beyond it all texts are shuffled, to the same result
+        hashed = hashed.join(F.broadcast(wanted.select(F.col("_1").alias("_b"))), F.col("t1") == F.col("_b"), "left_semi")
+    return materialize(hashed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_1"))
                                           & (F.col("t2") == F.col("_2"))).select("id", "text").dropDuplicates(["id"]))
 
 
@@ -342,10 +347,9 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int,
                       .mapInArrow(_confirm(percent, shingle), "u long, v long"))
 
 
-def dense_links(dense: DataFrame, own: DataFrame, nodes: DataFrame, docs: DataFrame, least: int, percent: int,
+def dense_links(groups: DataFrame, own: DataFrame, nodes: DataFrame, docs: DataFrame, least: int, percent: int,
                 shingle: int) -> DataFrame:
-    """Links (u, v) between components within groups of the members that ``dense`` (u, v) connects."""
-    groups = components(dense)
+    """Links (u, v) between components within ``groups`` (node, root) of members of dense tree nodes."""
     rows = (groups.join(own, F.col("node") == F.col("id"))
             .select(F.col("root").alias("key"), "id", "comp", "n_shingles", "sig8"))
     shares = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
@@ -366,12 +370,12 @@ def dense_links(dense: DataFrame, own: DataFrame, nodes: DataFrame, docs: DataFr
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall: float = RECALL,
-                    branch: float = BRANCH, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+                    branch: float = BRANCH, leaf: int = LEAF) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id, text): documents are
     linked when 100 * intersection >= ``percent`` * union of their sets."""
     if not 0 < leaf <= LEAF:
         raise ValueError(f"a small tree node has at most {LEAF} members")
-    threshold, trees = percent / 100, trees_for(recall, branch, depth)
+    threshold, trees = percent / 100, trees_for(recall, branch)
     probability, least = branch / (threshold * WIDTH), least_agreement(threshold)
     with arrow_batches(docs.sparkSession):
         rows = narrow(document_sets(docs, shingle))
@@ -380,7 +384,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall
                         F.min("doc_id").alias("least_id"))
                    .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "least_id", "x.*"))
     member = nodes.select("id", "n_shingles", "sig8")
-    small, stars, dense = tree_nodes(nodes, trees, probability, leaf, depth)
+    small, stars, dense = tree_nodes(nodes, trees, probability, leaf)
 
     def compared(comps: DataFrame | None) -> DataFrame:
         own = with_components(member, comps).withColumnRenamed("id", "_i")
@@ -399,17 +403,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall
             .mapInArrow(_agreeing(least), "u long, v long"))
     tested = narrow(compared(None).unionByName(near).distinct())
     links = confirmed(tested, nodes, docs, percent, shingle)
-    comps = components(links)
+    # one run for two graphs: links on even numbers, members of dense tree nodes on odd ones
+    both = links.select((F.col("u") * 2).alias("u"), (F.col("v") * 2).alias("v")).unionByName(
+        dense.select((F.col("u") * 2 + 1).alias("u"), (F.col("v") * 2 + 1).alias("v")))
+    found = components(both)
+    graph = lambda odd: found.where(F.col("node") % 2 == odd).select(
+        F.shiftright("node", 1).alias("node"), F.shiftright("root", 1).alias("root"))
+    comps, groups = graph(0), graph(1)
     rest = compared(comps)
     rest = narrow(rest.distinct().join(tested.select(F.col("u").alias("_u"), F.col("v").alias("_v")),
                                        (F.col("u") == F.col("_u")) & (F.col("v") == F.col("_v")), "left_anti"))
     more = [] if rest.isEmpty() else [confirmed(rest, nodes, docs, percent, shingle)]
-    dense = narrow(dense)
-    if not dense.isEmpty():
-        more.append(dense_links(dense, with_components(member, comps), nodes, docs, least, percent, shingle))
+    if not groups.isEmpty():
+        more.append(dense_links(groups, with_components(member, comps), nodes, docs, least, percent, shingle))
+    more = [m for m in more if not m.isEmpty()]
     if more:
-        for found in more:
-            links = links.unionByName(found)
+        for m in more:
+            links = links.unionByName(m)
         comps = components(links)
 
     rooted = nodes.join(comps, F.col("id") == F.col("node"), "left").select(
