@@ -4,15 +4,17 @@
 into the 132 feature columns.  Plan shape, for any number of series:
 
     panel (already clustered by series)
-      -> EMA doubling levels (MACD, lag windows)        } all on the same
-      -> Window A (lags, rolling stats, month marks)    } partition / order
-      -> Window B (RSI averages, MA trend, expanding)   } spec: no shuffle
-      -> projection (ratios, regimes, interactions)     } beyond the one
-      -> Window C (fill: ffill / first valid / 0)       } upstream
-
-All windows share ``partitionBy(keys).orderBy(Date)``; frames are bounded
-(<= 200 rows) or running, so per-row work is bounded regardless of series
-length.  Features of each split restart at the split start when ``keys``
+      -> Windows A, B (changes, month marks, expanding) } all on the same
+      -> EMA levels (MACD, lag windows)                 } partition / order
+      -> rolling levels (sums, deviations, ranges)      } spec: no shuffle
+      -> one window of all lags                         } beyond the one
+      -> projection (ratios, regimes, interactions)     } upstream
+      -> Window C (fill: ffill / first valid / 0)       }
+
+The many columns come last: a window's cost grows with the width of its rows.
+
+All windows share ``partitionBy(keys).orderBy(Date)``; they are lags or
+running, so per-row work is bounded regardless of series length.  Features of each split restart at the split start when ``keys``
 includes ``split`` (the reference computes every split on its own).
 """
 
@@ -23,10 +25,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import EPS, eps_div, flag, safe_div
+from tessera.functions.scalar import eps_div, flag
 from tessera.operators.ema import with_macd
 from tessera.operators.windows import (expanding_mean, pct_change, position_in_month_finish,
-                                       rolling, running_position_in_month, series_window)
+                                       running_position_in_month, series_window, with_rolling)
 
 # Window lengths and lags of the catalogue.
 RETURN_DAYS = (1, 3, 5, 10)
@@ -144,20 +146,39 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
     ``handle_missing_values``, where only ``MID_SERIES_NULLS`` can have gaps.
     A NULL close fails the job (``with_ema``): fill it first.
     """
-    keys = _list(keys)
-    series = [k for k in keys if k != "split"]
+    out_keys = _list(keys)
+    series = [k for k in out_keys if k != "split"]
+    # the series first: rows in order of (series, split, date) serve its window over all splits unsorted
+    keys = series + [k for k in out_keys if k == "split"]
     w = series_window(keys, order)
     C, H, L, O, V = (F.col(c) for c in ("Close", "High", "Low", "Open", "Volume"))
 
-    base = with_macd(panel.select(*keys, order, *[c for c in keep if c in panel.columns],
-                                  "Open", "High", "Low", "Close", "Volume"),
-                     "Close", keys, order)
+    base = panel.select(*keys, order, *[c for c in keep if c in panel.columns], "Open", "High", "Low", "Close", "Volume")
 
-    # ---- Window A: everything that reads raw values ------------------------
-    a: dict[str, Column] = {}
+    # ---- Window A, on few columns: changes, 30-row returns, month marks ----
     delta = C - F.lag(C, 1).over(w)
-    a["price_change"] = delta
-    for k in sorted(set(RETURN_DAYS + LAGS + LONG_RETURNS + (YEAR_LAG,))):
+    mark, rn = running_position_in_month(order, w)
+    s0 = base.withColumns({"price_change": delta, "_pct30": pct_change(C, w, 30), "_month_mark": mark, "_rn": rn})
+    delta = F.col("price_change")
+    ret30 = F.col("_pct30")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if stats == "train" and "split" in keys:
+        train_mean = F.avg(F.when(F.col("split") == "train", ret30)).over(Window.partitionBy(*series))
+        statistic = F.coalesce(F.when(F.col("split") == "train", F.avg(ret30).over(running)).otherwise(train_mean),
+                               F.lit(0.0))
+    else:
+        statistic = expanding_mean(ret30, w)
+    # ---- Window B: windows over window outputs ----
+    s0 = s0.withColumns({
+        "days_since_month_start": position_in_month_finish("_month_mark", "_rn", w), "ticker_mean_return_30d": statistic,
+        "_gain": F.coalesce(F.when(delta > 0, delta).otherwise(F.lit(0.0)), F.lit(0.0)),
+        "_loss": F.coalesce(F.when(delta < 0, -delta).otherwise(F.lit(0.0)), F.lit(0.0))}).drop("_month_mark", "_rn")
+    s0 = with_macd(s0, "Close", keys, order)
+
+    # ---- rolling statistics: lags of a sparse table, whatever the window length; the plain
+    # ---- lags share the last window
+    a: dict[str, Column] = {}
+    for k in sorted(set(RETURN_DAYS + LAGS + LONG_RETURNS + (YEAR_LAG,)) - {30}):
         a[f"_pct{k}"] = pct_change(C, w, k)
     for k in LAGS:
         a[f"close_lag_{k}"] = F.lag(C, k).over(w)
@@ -166,39 +187,14 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
         a[f"_lagc{k - 1}"] = F.lag(C, k - 1).over(w)
     a["volume_change"] = V - F.lag(V, 1).over(w)
     a["volume_change_pct"] = pct_change(V, w, 1)
-    a["_gain"] = F.coalesce(F.when(delta > 0, delta).otherwise(F.lit(0.0)), F.lit(0.0))
-    a["_loss"] = F.coalesce(F.when(delta < 0, -delta).otherwise(F.lit(0.0)), F.lit(0.0))
-    for n in VOLUME_MA:
-        a[f"volume_ma_{n}"] = rolling(V, n, "mean", w)
-    for n in sorted(set(SHORT_ROLL + LONG_MA + TREND)):
-        a[f"_mean{n}"] = rolling(C, n, "mean", w)
-    for n in sorted(set(SHORT_ROLL + TREND)):
-        a[f"_std{n}"] = rolling(C, n, "std", w)
-    for n in sorted(set(SHORT_ROLL + LONG_MA)):
-        a[f"_min{n}"] = rolling(C, n, "min", w)
-        a[f"_max{n}"] = rolling(C, n, "max", w)
-    mark, rn = running_position_in_month(order, w)
-    a["_month_mark"], a["_rn"] = mark, rn
-    s1 = base.withColumns(a)
-    frame = w.rowsBetween(-(RSI_WINDOW - 1), Window.currentRow)
-    s1 = s1.withColumns({
-        "_avg_gain": F.when(F.count("_gain").over(frame) >= RSI_WINDOW, F.avg("_gain").over(frame)),
-        "_avg_loss": F.when(F.count("_loss").over(frame) >= RSI_WINDOW, F.avg("_loss").over(frame))})
-
-    # ---- Window B: windows over window outputs -----------------------------
-    b: dict[str, Column] = {}
-    for n in LONG_MA:
-        b[f"_ma_diff{n}"] = F.col(f"_mean{n}") - F.lag(F.col(f"_mean{n}"), 1).over(w)
-    b["days_since_month_start"] = position_in_month_finish("_month_mark", "_rn", w)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ret30 = F.col("_pct30")
-    if stats == "train" and "split" in keys:
-        train_mean = F.avg(F.when(F.col("split") == "train", ret30)).over(Window.partitionBy(*series))
-        b["ticker_mean_return_30d"] = F.coalesce(
-            F.when(F.col("split") == "train", F.avg(ret30).over(running)).otherwise(train_mean), F.lit(0.0))
-    else:
-        b["ticker_mean_return_30d"] = expanding_mean(ret30, w)
-    s2 = s1.withColumns(b)
+    roll: dict[str, tuple] = {
+        "_avg_gain": ("_gain", RSI_WINDOW, "mean"), "_avg_loss": ("_loss", RSI_WINDOW, "mean")}
+    roll |= {f"volume_ma_{n}": ("Volume", n, "mean") for n in VOLUME_MA}
+    roll |= {f"_mean{n}": ("Close", n, "mean") for n in sorted(set(SHORT_ROLL + LONG_MA + TREND))}
+    roll |= {f"_before{n}": ("Close", n, "mean", 1) for n in LONG_MA}
+    roll |= {f"_std{n}": ("Close", n, "std") for n in sorted(set(SHORT_ROLL + TREND))}
+    roll |= {f"_{fn}{n}": ("Close", n, fn) for n in sorted(set(SHORT_ROLL + LONG_MA)) for fn in ("min", "max")}
+    s2 = with_rolling(s0, roll, keys, order, a)
 
     # ---- projection: ratios, calendar, regimes, interactions ---------------
     f: dict[str, Column] = {}
@@ -257,7 +253,7 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
         ma = F.col(f"_mean{n}")
         f[f"ma_{n}"] = ma
         f[f"close_to_ma_{n}"] = eps_div(C, ma) - F.lit(1.0)
-        f[f"ma_{n}_trend"] = eps_div(F.col(f"_ma_diff{n}"), ma)
+        f[f"ma_{n}_trend"] = eps_div(ma - F.col(f"_before{n}"), ma)
     for n in TREND:
         f[f"trend_slope_{n}"] = eps_div(C - F.col(f"_lagc{n - 1}"), F.col(f"_mean{n}") * F.lit(float(n)))
     for n in TREND:
@@ -292,7 +288,7 @@ def build_features(panel: DataFrame, keys=("split", "Ticker"), order: str = "Dat
 
     names = feature_names()
     assert len(names) == 132 and set(names) == set(f), set(f) ^ set(names)
-    front = [F.col(c) for c in keys + [order] + [c for c in keep if c in panel.columns]]
+    front = [F.col(c) for c in out_keys + [order] + [c for c in keep if c in panel.columns]]
     feats = s2.select(*front, *[f[n].alias(n) for n in names])
     if not clean:
         return feats
@@ -349,8 +345,3 @@ def lookup_statistic(df: DataFrame, stats: DataFrame, column: str = "ticker_mean
     s = stats.select(series, F.col(column).alias("_stat"))
     return (df.drop(column).join(s, series, "left")
             .withColumn(column, F.coalesce(F.col("_stat"), F.lit(0.0))).drop("_stat"))
-
-
-EPSILON = EPS
-__all__ = ["build_features", "cleanup", "feature_names", "train_statistic", "lookup_statistic",
-           "safe_div"]

@@ -1,4 +1,4 @@
-"""Raw panel -> cleaned, labelled, split panel (one lazy plan)."""
+"""Raw panel -> cleaned, labelled, split panel."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from tessera.operators.clean import handle_missing_values
 from tessera.operators.labels import forward_label
-from tessera.operators.splits import split_by_date
+from tessera.operators.splits import check_ratios, split_by_date
+from tessera.session import series_table
 
 
 def labelled_panel(raw: DataFrame, keys="Ticker", order="Date", horizon: int = 30) -> DataFrame:
@@ -19,7 +20,12 @@ def process(raw: DataFrame, train: float = 0.7, val: float = 0.15, test: float =
             keys="Ticker", order="Date", horizon: int = 30) -> DataFrame:
     """Cleaned + labelled panel with a ``split`` column (train / val / test).
 
-    The reference's ``full`` frame is the same DataFrame without the filter
-    on ``split``.
+    The raw rows are read, cleaned and labelled once: the labelled panel is written by series, the
+    dates of the split are ranked from it, and windows on the result need no exchange.  The
+    reference's ``full`` frame is the same DataFrame without the filter on ``split``.
     """
-    return split_by_date(labelled_panel(raw, keys, order, horizon), order, train, val, test)
+    check_ratios(train, val, test)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    labelled = series_table(labelled_panel(raw, keys, order, horizon), keys, order)
+    return split_by_date(labelled, order[0], train, val, test)

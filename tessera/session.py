@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,9 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_WRITTEN: list[tuple[str, str]] = []             # (path, name of its table or ""), in order of writing
+
+
 def materialize(df: DataFrame, rebalance: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -70,11 +75,45 @@ def materialize(df: DataFrame, rebalance: bool = False) -> DataFrame:
     or when several passes read it) and keeps columns prunable.  With
     ``rebalance``, for narrow tables, the rows are dealt to a few files of even
     size first, as many as AQE finds fit, instead of one small file per task.
+    The folder stays until ``intermediates`` or the owner of the shared folder removes it.
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    _WRITTEN.append((path, ""))
     (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def series_table(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` written once, in as many buckets by ``keys`` as there are shuffle partitions, sorted
+    within each, and read back as that table: windows by (more than) ``keys`` need no exchange.
+
+    Rows that come partitioned by ``keys`` already, as from a window, leave one file per bucket.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tessera_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    _WRITTEN.append((path, name))
+    (df.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *order).option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Owns what ``materialize`` and ``series_table`` write inside: removed at the end, when no
+    DataFrame made inside may be read any more."""
+    first = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path, name in _WRITTEN[first:]:
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        del _WRITTEN[first:]
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
