@@ -55,7 +55,7 @@ def with_rates(df: DataFrame) -> DataFrame:
 def binary_metrics(df: DataFrame, groups=(), threshold: float = 0.5, inclusive: bool = False,
                    score: str = PROB) -> DataFrame:
     """K5-K7: confusion counts and rates per group at one threshold."""
-    s = F.col(score)
+    s = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
     pred = (s >= threshold if inclusive else s > threshold).cast("int")
     return with_rates(df.groupBy(*_g(groups)).agg(*confusion_counts(pred)))
 
@@ -99,9 +99,10 @@ def classification_report(df: DataFrame, groups=(), pred: str = PRED) -> DataFra
 
 
 def score_histogram(df: DataFrame, groups=(), score: str = PROB) -> DataFrame:
-    """(groups, score, pos, neg): the sufficient statistic of every curve."""
+    """(groups, score, pos, neg): the sufficient statistic of every curve.  A row without a score
+    (NULL or NaN) takes no part in any curve, scan or metric."""
     a = F.col(ACT)
-    return (df.groupBy(*_g(groups), score)
+    return (df.where(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(*_g(groups), score)
             .agg(F.count_if(a == 1).alias("pos"), F.count_if(a == 0).alias("neg")))
 
 

@@ -19,6 +19,7 @@ from tessera.operators import sequences as Q
 from tessera.operators import submission as Sub
 from tessera.operators.clean import non_finite_to_zero, require_columns
 from tessera.operators.features import build_features
+from tessera.operators.fit import probabilities
 from tessera.operators.metrics import median_threshold_predictions
 from tessera.operators.windows import last_n_rows
 from tessera.session import materialize
@@ -64,3 +65,21 @@ def score_requests(history: DataFrame, requests: DataFrame, names: Sequence[str]
     scored = Q.latest_sequence(scaled, names, length).select(
         "Ticker", "Date", linear_score("X", weights).alias("Probability"))
     return Sub.assemble_submission(requests, median_threshold_predictions(materialize(scored)))
+
+
+def score_with_model(history: DataFrame, requests: DataFrame, names: Sequence[str], model, rows: int = HISTORY_ROWS,
+                     length: int = SEQUENCE) -> DataFrame:
+    """P3 with a saved model: (Ticker, Date, Probability) of the requested series, the mean of the
+    model's probabilities over the last ``length`` rows.  The model brings its own scaler."""
+    recent = last_n_rows(Sub.keep_requested(history, requests), rows)
+    features = selected_features(build_features(recent, keys=["Ticker"], stats="expanding", assume_clean=True), names)
+    last = last_n_rows(features, length)
+    per_series = probabilities(model, last).groupBy("Ticker").agg(
+        F.max("Date").alias("Date"), F.avg("Probability").alias("Probability"), F.count(F.lit(1)).alias("n"))
+    return per_series.where(F.col("n") == length).drop("n")
+
+
+def submit_with_model(history: DataFrame, requests: DataFrame, names: Sequence[str], model) -> DataFrame:
+    """P3 with a saved model: (ID, Pred) for every request."""
+    return Sub.assemble_submission(requests, median_threshold_predictions(
+        materialize(score_with_model(history, requests, names, model))))

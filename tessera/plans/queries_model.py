@@ -129,6 +129,7 @@ CONV_W = np.round(_RNG.normal(0, 0.5, (3, 2)), 6).tolist()   # model parameters
 CONV_B = [0.1, -0.2]
 DENSE_W = np.round(_RNG.normal(0, 0.2, (64, 4)), 6).tolist()
 DENSE_B = [0.0, 0.5, -0.5, 1.0]
+CONV_CHANNELS = np.round(_RNG.normal(0, 0.5, (3, 4, 2)), 6).tolist()
 
 
 def _conv_sql(padding: str) -> str:
@@ -290,6 +291,63 @@ def q_ml_logistic(spark, sf_dir):
                          vector_to_array("probability")[1].alias("Probability"))
 
 
+def _vectors(spark, sf_dir):
+    """(split, target, _features) of the scaled fit table's train and val rows, written once."""
+    t = _fit_table(spark, sf_dir).where(F.col("split").isin("train", "val"))
+    return materialize(Fit.assembled(t, FIT_FEATURES, ["split", "target"]))
+
+
+@register("fit_grid_search")
+def q_grid(spark, sf_dir):
+    """M6: regularisation strength and mix of a logistic regression, judged on the val split; a
+    negative strength is no valid point and is reported as failed."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.tuning import ParamGridBuilder
+    rows = _vectors(spark, sf_dir)
+    lr = LogisticRegression(featuresCol="_features", labelCol="target", maxIter=30)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    grid.append({lr.regParam: -1.0})
+    _, report = Fit.grid_search(lr, grid, rows.where("split = 'train'"), rows.where("split = 'val'"))
+    return report.select("point", "params", _r("val_accuracy", 9), _r("val_loss", 9), F.col("error").isNotNull().alias("failed"),
+                         "rank")
+
+
+def _boosted(spark, sf_dir):
+    rows = _vectors(spark, sf_dir).withColumn("is_val", F.col("split") == "val")
+    return rows, Fit.boosted_trees(rows, "is_val")
+
+
+@register("fit_early_stopping")
+def q_early_stopping(spark, sf_dir):
+    """M5: boosted trees that stop by the val split; trees kept of the limit, and the scores there."""
+    rows, model = _boosted(spark, sf_dir)
+    accuracy, loss = Fit.validation_scores(model, rows.where("is_val"))
+    return spark.createDataFrame([(60, model.getNumTrees, accuracy, loss)],
+                                 "tree_limit int, best_iteration int, val_accuracy double, val_loss double")
+
+
+@register("fit_history")
+def q_history(spark, sf_dir):
+    """M7: loss per iteration of the logistic regression (train) and of boosted trees (train, val)."""
+    from pyspark.ml.classification import LogisticRegression
+    rows, model = _boosted(spark, sf_dir)
+    train = rows.where("split = 'train'")
+    lr = LogisticRegression(featuresCol="_features", labelCol="target", maxIter=30).fit(train)
+    trees = Fit.boosting_history(model, train, rows.where("is_val"))
+    return trees.withColumn("model", F.lit("trees")).unionByName(
+        Fit.logistic_history(spark, lr).withColumn("model", F.lit("logistic")))
+
+
+@register("layer_conv1d_channels", "WITH " + _EMB + f"""
+SELECT vec_id, list_transform(range(14), lambda i: [{", ".join(
+    " + ".join(f"x[i * 4 + {j * 4 + c + 1}] * {CONV_CHANNELS[j][c][f]!r}" for j in range(3) for c in range(4)) + f" + {CONV_B[f]!r}"
+    for f in range(2))}]) AS conv FROM emb""")
+def q_conv_channels(spark, sf_dir):
+    """L8 over 16 steps of 4 channels."""
+    steps = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("x", i * 4 + 1, 4))
+    return _emb(spark, sf_dir).select("vec_id", Ly.conv1d_channels(steps, CONV_CHANNELS, CONV_B).alias("conv"))
+
+
 # ---- model reports (K21, C5) ---------------------------------------------------
 
 _MODEL_SQL = with_(*PANEL_CTES, feature_sql()) + """,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tessera.operators import fit as Fit
 from tessera.operators.clean import handle_missing_values
 from tessera.plans import pipelines as Pl
 from tessera.plans.catalog import register
@@ -11,6 +14,7 @@ from tessera.plans.oracle_sql import PANEL_CTES, feature_sql, with_
 from tessera.plans.queries_features import features_table
 from tessera.plans.queries_model import _REQ
 from tessera.sources.bars import load_bars, scoring_requests
+from tessera.session import materialize, shared_folder
 from tessera.sources.tables import read_table
 
 # a selected feature list and the weights of a fixed linear score over it
@@ -62,3 +66,14 @@ def q_submission_from_history(spark, sf_dir):
     history = handle_missing_values(load_bars(spark, sf_dir))
     requests = scoring_requests(read_table(spark, sf_dir, "supplier"))
     return Pl.score_requests(history, requests, SELECTED, scaler, WEIGHTS)
+
+
+@register("submission_saved_model")
+def q_submission_saved_model(spark, sf_dir):
+    """P3 with a model fitted once on train, saved with its scaler, and read back."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    train = Pl.selected_features(features_table(spark, sf_dir).where(F.col("split") == "train"), SELECTED)
+    Fit.save_model(Fit.scaling_pipeline(materialize(train), SELECTED), path)
+    history = handle_missing_values(load_bars(spark, sf_dir))
+    requests = scoring_requests(read_table(spark, sf_dir, "supplier"))
+    return Pl.submit_with_model(history, requests, SELECTED, Fit.load_model(path))

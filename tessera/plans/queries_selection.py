@@ -101,7 +101,8 @@ st AS (SELECT """ + ", ".join(
     f"THEN 1.0 ELSE stddev_pop(\"{c}\") END AS s{i}" for i, c in enumerate(FEATS)) + " FROM tr)"
 
 
-@register("scaled_features", _BASE + _STATS + """
+# the statistics and the rows both read feat: computed once
+@register("scaled_features", _BASE.replace("feat AS (", "feat AS MATERIALIZED (") + _STATS + """
 SELECT split, "Ticker", "Date", """ + ", ".join(
     f'round((CAST("{c}" AS DOUBLE) - m{i}) / s{i}, 6) + 0.0 AS "{c}"' for i, c in enumerate(FEATS)) + " FROM feat, st")
 def q_scaled(spark, sf_dir):

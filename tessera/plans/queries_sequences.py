@@ -30,14 +30,23 @@ def q_sliding(spark, sf_dir):
 
 
 MAX_FIT_SEQUENCES = 150_000      # fixed value: at most so many sequences are fitted on
+SMALL_CAP = 20_000               # a bound below the rows of the smaller tables
 
 
 @register("sequences_capped", with_(*PANEL_CTES, _SEQ) + f"""
 SELECT * FROM seq WHERE split = 'train'
 ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {MAX_FIT_SEQUENCES}""")
-def q_capped(spark, sf_dir):
+def q_capped(spark, sf_dir, most: int = MAX_FIT_SEQUENCES):
     s = sliding(spark, sf_dir).where(F.col("split") == "train")
-    return Q.capped(s, MAX_FIT_SEQUENCES, 42)
+    return Q.capped(s, most, 42)
+
+
+@register("sequences_capped_small", with_(*PANEL_CTES, _SEQ) + f"""
+SELECT * FROM seq WHERE split = 'train'
+ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {SMALL_CAP}""")
+def q_capped_small(spark, sf_dir):
+    """F5 with a bound that is reached."""
+    return q_capped(spark, sf_dir, SMALL_CAP)
 
 
 @register("sequences_value_stats", with_(*PANEL_CTES, _SEQ) + """
@@ -120,7 +129,15 @@ MI_SAMPLE_ROWS = 500_000         # fixed value: rows of a ranking sample
 @register("sample_rows_seeded", with_(*PANEL_CTES) + f"""
 SELECT * FROM panel WHERE split = 'train'
 ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {MI_SAMPLE_ROWS}""")
-def q_sample_rows(spark, sf_dir):
+def q_sample_rows(spark, sf_dir, rows: int = MI_SAMPLE_ROWS):
     """a fixed-size seeded sample."""
     p = panel(spark, sf_dir).where(F.col("split") == "train")
-    return Q.sample_rows(p, MI_SAMPLE_ROWS, 42, ["Ticker", "Date"])
+    return Q.sample_rows(p, rows, 42, ["Ticker", "Date"])
+
+
+@register("sample_rows_seeded_small", with_(*PANEL_CTES) + f"""
+SELECT * FROM panel WHERE split = 'train'
+ORDER BY md5('42|' || "Ticker" || '|' || CAST("Date" AS VARCHAR)), "Ticker", "Date" LIMIT {SMALL_CAP}""")
+def q_sample_rows_small(spark, sf_dir):
+    """F6 with fewer rows than the table has."""
+    return q_sample_rows(spark, sf_dir, SMALL_CAP)

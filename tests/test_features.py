@@ -95,3 +95,29 @@ def test_shared_back_fill_equals_the_full_fill(spark):
         rows += panel_rows(f"S{n}", random_walk(n, n), volumes=vol)
     full, shared = _features(spark, rows), _features(spark, rows, assume_clean=True)
     pd.testing.assert_frame_equal(full, shared)
+
+
+def test_rolling_levels_against_pandas(spark):
+    """Every window length and function, with NULLs, short and constant series, and earlier rows."""
+    import numpy as np
+    import pandas as pd
+    from tessera.operators.windows import with_rolling
+    rng = np.random.default_rng(5)
+    rows = []
+    for key, n in (("a", 300), ("b", 40), ("c", 3), ("d", 250)):
+        for i in range(n):
+            x = 7.1 if key == "d" else float(rng.normal(1000, 1))
+            rows.append((key, i, None if key == "b" and i % 17 == 5 else x, float(i % 7)))
+    df = spark.createDataFrame(rows, "k string, i int, x double, z double")
+    lengths = (1, 2, 3, 4, 5, 7, 16, 17, 30, 63, 64, 100, 200)
+    wanted = {f"{fn}_{n}": ("x", n, fn) for n in lengths for fn in ("mean", "std", "min", "max", "sum")}
+    wanted |= {"before_20": ("x", 20, "mean", 3), "z_5": ("z", 5, "mean")}
+    got = with_rolling(df, wanted, "k", "i").toPandas().sort_values(["k", "i"]).reset_index(drop=True)
+    assert list(got.columns) == ["k", "i", "x", "z", *wanted]
+    for _, g in got.groupby("k"):
+        for name, (c, n, fn, *shift) in wanted.items():
+            want = getattr(g[c].rolling(n), fn)().shift(shift[0] if shift else 0)
+            assert np.allclose(g[name], want, rtol=1e-12, atol=1e-7, equal_nan=True), name
+            if fn in ("min", "max"):
+                assert (g[name].dropna() == want.dropna()).all()
+    assert (got.loc[got.k == "d", "std_200"].dropna() == 0).all()
