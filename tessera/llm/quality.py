@@ -6,17 +6,18 @@ rejected.  The others are judged by an isolation forest on scale-free ratios
 of the statistics (word length, symbols and marks per word; repeats are left
 to the hard rule): trees split random samples of labelled documents at
 random, and a document that is separated after short paths is an anomaly.
-The forest is fitted on a bounded sample (about ``fit_rows`` labelled rows
-by hash, twice that at most); the threshold is calibrated on all labelled
-documents, from a histogram of their scores: the one with the
+The forest is fitted on a bounded sample (about ``fit_rows`` distinct labelled
+rows by hash, twice that at most), taken and ordered by the rows' values alone,
+so that verdicts do not depend on how the table is partitioned; the threshold
+is calibrated on all labelled documents, from a histogram of their scores: the one with the
 largest (share of bad rejected) - ``good_cost`` * (share of good rejected)
 among those that reject at most ``good_loss`` of the good ones.
 
 Defined results: a null text has no words and fails the base rule; null
 doc_ids join no label; a document with several labels counts as good only if
 all its labels are good; without labelled good documents no forest is fitted
-and all that pass the base rules are kept; repeated rows get equal results;
-an empty table gives an empty result.
+and all that pass the base rules are kept; repeated rows get equal results,
+and count once for the forest; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -177,11 +178,14 @@ def judge_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, go
     marks = (labels.where(F.col("doc_id").isNotNull() & F.col("good").isNotNull())
              .groupBy("doc_id").agg((F.min("good") > 0).alias("good")).withColumnRenamed("doc_id", "_d"))
     known = stats.where(~F.col("base_failed")).join(marks, F.col(key) == F.col("_d")).drop("_d")
-    n, n_good = known.agg(F.count(F.lit(1)), F.count_if("good")).first()
-    sample = (known.where(uniform("doc_id", *COUNTS) * n < fit_rows).limit(2 * fit_rows)
-              .select(*COUNTS).toPandas())
-    if not len(sample) or not n_good:
+    drawn = known.select(uniform(key, *COUNTS).alias("_h"), *COUNTS).distinct()
+    n_good = known.agg(F.count_if("good")).first()[0]
+    if not n_good:
         return stats.withColumn("score", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
+    sample = (drawn.where(F.col("_h") * drawn.count() < fit_rows).orderBy("_h", *COUNTS).limit(2 * fit_rows)
+              .select(*COUNTS).toPandas())
+    if not len(sample):                                   # a handful of rows, none of them drawn
+        sample = drawn.orderBy("_h", *COUNTS).limit(1).select(*COUNTS).toPandas()
     forest = IsolationForest(ratios({c: sample[c].to_numpy() for c in COUNTS}))
     shared = docs.sparkSession.sparkContext.broadcast(forest)
     limit = threshold(_with_scores(known.drop("doc_id", "base_failed"), shared).select("score", "good"),

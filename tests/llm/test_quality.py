@@ -65,3 +65,19 @@ def test_without_good_labels_the_base_rules_decide(spark):
     bad = spark.createDataFrame([(i, 0) for i in range(25)], "doc_id long, good int")
     got = quality.judge_quality(docs, bad).collect()
     assert len(got) == 50 and all(r.kept for r in got)
+
+
+def test_verdicts_do_not_depend_on_the_layout(spark):
+    folder = SF.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0"))                     # repeated rows
+    labels = spark.read.parquet(f"{folder}/labels.parquet").withColumnRenamed("quality", "good").select("doc_id", "good")
+
+    def verdicts(d, m, **how):
+        return sorted(((r.doc_id, r.score, r.kept) for r in quality.judge_quality(d, m, **how).collect()), key=repr)
+
+    for how in ({}, {"fit_rows": 300}):
+        first = verdicts(docs.repartition(7), labels, **how)
+        assert first == verdicts(docs.repartition(3, "text"), labels.repartition(5), **how)
+        assert first == verdicts(docs.orderBy("text").coalesce(1), labels.orderBy("good"), **how)
+        assert len({s for _, s, _ in first}) > 100
