@@ -12,11 +12,12 @@ bound is strictly smaller.  Cells return at most k rows per query, and the
 best k of those are taken per query.
 
 Vectors whose products need not fit a long in their cell are multiplied exactly
-in three limbs, without pruning.
+in three limbs, without pruning; those with a scaled component beyond a long, as
+Python integers.
 
 Defined results: vectors that are null, or hold a null or non-finite
-component, take no part, nor do vectors with a scaled component that is not a
-long; a score among the results that does not fit a long is an error; shorter vectors count as padded with
+component, take no part; all others do, however large; a score among the
+results that does not fit a long is an error; shorter vectors count as padded with
 zeros; rows that share the query's id are its own; repeated query rows each
 get a list of their own; a null id can be found (after all other ids) but is
 never a query; an empty table gives an empty result.
@@ -25,7 +26,7 @@ never a query; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import isqrt
+from math import floor, isqrt
 
 import numpy as np
 import pandas as pd
@@ -43,11 +44,24 @@ LEAST, MOST = -(1 << 63), (1 << 63) - 1          # stand for scores beyond a lon
 
 
 def quantized(vectors: DataFrame, scale: int = 1024) -> DataFrame:
-    """(vec_id, x array<long>): floor(scale * component) of the vectors that take part."""
-    e = F.transform("embedding", lambda v: F.floor(F.lit(scale) * v.cast("double")))
-    sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v)
-                     & (F.abs(v.cast("double")) * scale < LIMIT))
-    return vectors.where(F.col("embedding").isNotNull() & sound).select("vec_id", e.alias("x"))
+    """(vec_id, x array<long>, far array<double>): floor(scale * component) of the vectors that
+    take part; where one of them is not a long, x has zeros and ``far`` the components themselves."""
+    v = F.transform("embedding", lambda c: c.cast("double"))
+    fits = F.forall(v, lambda c: F.abs(c) * scale < LIMIT)
+    x = F.transform(v, lambda c: F.when(F.abs(c) * scale < LIMIT, F.floor(F.lit(scale) * c)).otherwise(F.lit(0)).cast("long"))
+    sound = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    return (vectors.where(F.col("embedding").isNotNull() & sound)
+            .select("vec_id", x.alias("x"), F.when(~fits, v).alias("far")))
+
+
+def _integers(far: pd.Series, dims: int, scale: int) -> dict[int, np.ndarray]:
+    """Position and exact scaled components of the vectors that have ``far``."""
+    out = {}
+    for i, v in enumerate(far):
+        if v is not None:
+            out[i] = np.zeros(dims, object)
+            out[i][:len(v)] = [int(c) * scale if abs(c) >= LIMIT / scale else floor(c * scale) for c in map(float, v)]
+    return out
 
 
 def _matrix(rows: pd.Series, dims: int) -> np.ndarray:
@@ -104,14 +118,20 @@ def _exact(query: list[np.ndarray], cands: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def search_cell(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray], ids: np.ndarray,
-                k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search_cell(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray], ids: np.ndarray, k: int,
+                far_queries: dict[int, np.ndarray] | None = None, far_cands: dict[int, np.ndarray] | None = None
+                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``search_block`` for components of any size: pairs of vectors whose products need not
-    fit a long are multiplied exactly.  Scores beyond a long are LEAST or MOST."""
+    fit a long are multiplied exactly.  ``far_...`` are vectors (by position) that do not fit
+    the matrices.  Scores beyond a long are LEAST or MOST."""
+    far_queries, far_cands = far_queries or {}, far_cands or {}
     fits = isqrt((1 << 62) // max(1, len(cands)))
     largest = np.abs(cands).max(axis=0, initial=0)
+    far = np.array(sorted(far_cands), np.int64)
+    largest[far] = MOST
     small, wide = np.flatnonzero(largest <= fits), np.flatnonzero(largest > fits)
     plain = np.abs(queries).max(axis=0, initial=0) <= fits
+    plain[list(far_queries)] = False
     if not len(wide) and plain.all():
         yield from search_block(queries, cands, own, ids, k)
         return
@@ -120,9 +140,15 @@ def search_cell(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray], i
     kept = [p[p >= 0] for p in (place[own[q]] for q in np.flatnonzero(plain))]
     fast = search_block(queries[:, plain], cands[:, small], kept, ids[small], k)
     limbs = _limbs(cands[:, wide] if plain.all() else cands)
+    beyond = np.column_stack([far_cands[c] for c in far.tolist()]) if len(far) else None
     for q in range(queries.shape[1]):
         slow = wide if plain[q] else np.arange(cands.shape[1])
-        score = _exact(_limbs(queries[:, q]), [x[:, wide] for x in limbs] if plain[q] and not plain.all() else limbs)
+        if q in far_queries:
+            score = far_queries[q] @ cands.astype(object)
+        else:
+            score = _exact(_limbs(queries[:, q]), [x[:, wide] for x in limbs] if plain[q] and not plain.all() else limbs)
+        if len(far):
+            score[np.searchsorted(slow, far)] = far_queries.get(q, queries[:, q].astype(object)) @ beyond
         alive = ~np.isin(slow, own[q])
         at, score = slow[alive], score[alive]
         if plain[q]:
@@ -132,7 +158,7 @@ def search_cell(queries: np.ndarray, cands: np.ndarray, own: list[np.ndarray], i
         yield at[best], np.array([min(max(int(score[i]), LEAST), MOST) for i in best], np.int64)
 
 
-def _cell(k: int):
+def _cell(k: int, scale: int):
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"q": [], "query_id": [], "vec_id": [], "score": []})
@@ -146,7 +172,8 @@ def _cell(k: int):
         lo, hi = np.searchsorted(sorted_ids, qids, "left"), np.searchsorted(sorted_ids, qids, "right")
         own = [order[a:b][~none[order[a:b]]] for a, b in zip(lo, hi)]
         out = []
-        found = search_cell(_matrix(left["x"], dims), _matrix(right["x"], dims), own, ids, k)
+        found = search_cell(_matrix(left["x"], dims), _matrix(right["x"], dims), own, ids, k,
+                            _integers(left["far"], dims, scale), _integers(right["far"], dims, scale))
         for q, qid, (at, score) in zip(left["q"], qids, found):
             out.append(pd.DataFrame({"q": q, "query_id": qid, "vec_id": pd.array(real[at], "Int64"), "score": score}))
             out[-1].loc[none[at], "vec_id"] = pd.NA
@@ -166,7 +193,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     right = rows.withColumn("cb", deal(c_blocks, 2)).drop("q") \
         .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
     found = (left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb"))
-             .applyInPandas(_cell(k), "q long, query_id long, vec_id long, score long"))
+             .applyInPandas(_cell(k, scale), "q long, query_id long, vec_id long, score long"))
     best = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     whole = F.when(F.col("score").isin(LEAST, MOST), F.raise_error(F.lit("a score does not fit a long")).cast("long"))
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
