@@ -305,8 +305,9 @@ def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int) -> t
     large ones with their pivot, and those pairs of the nodes that are large at the last level."""
     small, stars, todo, before = [], [], nodes.select("id", "sig"), None
     while True:
-        keys = narrow(todo.mapInArrow(_children(probability, trees), "key long, id long"))
-        sizes = narrow(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot"))
+        # what comes from a shuffle or from few large files is written as it lies, not dealt once more
+        keys = materialize(todo.mapInArrow(_children(probability, trees), "key long, id long"))
+        sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot"))
                        .where(F.col("n") > 1).withColumnRenamed("key", "_k"))
         placed = keys.join(sizes, F.col("key") == F.col("_k"))
         small.append(placed.where(F.col("n") <= leaf).select("key", "id"))
@@ -319,7 +320,7 @@ def tree_nodes(nodes: DataFrame, trees: int, probability: float, leaf: int) -> t
         sig = nodes.select(F.col("id").alias("_i"), "sig")
         todo = large.join(sig, F.col("id") == F.col("_i")).select("id", "sig", "key")
     union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
-    return narrow(union(small)), union(stars).distinct(), stars[-1].distinct()
+    return materialize(union(small)), union(stars).distinct(), stars[-1].distinct()
 
 
 def texts_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -378,8 +379,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, recall
     threshold, trees = percent / 100, trees_for(recall, branch)
     probability, least = branch / (threshold * WIDTH), least_agreement(threshold)
     with arrow_batches(docs.sparkSession):
-        rows = narrow(document_sets(docs, shingle))
-    nodes = narrow(rows.where(F.col("n_shingles") > 0).groupBy("h1", "h2")
+        rows = materialize(document_sets(docs, shingle))
+    nodes = materialize(rows.where(F.col("n_shingles") > 0).groupBy("h1", "h2")
                    .agg(F.first(F.struct("doc_id", "t1", "t2", "n_shingles", "sig", "sig8")).alias("x"),
                         F.min("doc_id").alias("least_id"))
                    .select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "least_id", "x.*"))
