@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 PANEL_SCHEMA = ("Date DATE, Ticker STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, "
                 "Volume DOUBLE, Dividends DOUBLE, `Stock Splits` DOUBLE")
 REQUEST_SCHEMA = "ID STRING, Date DATE"
@@ -23,6 +25,30 @@ def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PANEL_SCHEMA).option("header", True).csv(path)
 
 
+def read_panel_csv_tolerant(spark: SparkSession, path: str, schema: str = PANEL_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """A1 with bad rows: (rows, quarantine).
+
+    ``rows`` are those of ``read_panel_csv`` whose line fits the schema; an empty field is a null.
+    ``quarantine`` has (file, line, unread) of all other lines: text in a date or number, too few
+    or too many fields; ``unread`` lists the columns without a value.  The lines are parsed whole
+    and once, into a table in the shared folder, so each is in one of the two, whatever columns
+    are asked for later.
+    """
+    raw = (spark.read.schema(f"{schema}, _line STRING").option("header", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_line").csv(path))
+    quoted = {c: f"`{c}`" for c in raw.columns if c != "_line"}
+    parsed = materialize(raw.select("*", F.col("_metadata.file_name").alias("_file")))
+    unread = F.array_compact(F.array(*[F.when(F.col(q).isNull(), F.lit(c)) for c, q in quoted.items()]))
+    return (parsed.where(F.col("_line").isNull()).select(*quoted.values()),
+            parsed.where(F.col("_line").isNotNull())
+            .select(F.col("_file").alias("file"), F.col("_line").alias("line"), unread.alias("unread")))
+
+
+def quarantine_counts(quarantine: DataFrame) -> DataFrame:
+    """(file, unread, n): quarantined lines per file and set of unread columns."""
+    return quarantine.groupBy("file", "unread").agg(F.count(F.lit(1)).alias("n"))
+
+
 def read_requests_csv(spark: SparkSession, path: str) -> DataFrame:
     """A2: scoring requests (ID, Date)."""
     return spark.read.schema(REQUEST_SCHEMA).option("header", True).csv(path)

@@ -27,6 +27,30 @@ def test_panel_csv_and_requests_round_trip(spark, folder):
         ("7", None), ("8", dt.date(2024, 1, 2))}
 
 
+def test_bad_lines_go_to_quarantine(spark, folder):
+    good = ["2020-01-01,A,1.0,2.0,0.5,1.5,10.0,0.0,0.0", "2020-01-02,A,,,,1.5,,,", "2020-01-03,\"B, C\",1,2,3,4,5,6,7"]
+    bad = {"2020-13-45,A,1.0,2.0,0.5,1.5,10.0,0.0,0.0": ["Date"], "2020-01-04,A,1.0,x,0.5,y,10.0,0.0,0.0": ["High", "Close"],
+           "2020-01-05,A,1.0": ["High", "Low", "Close", "Volume", "Dividends", "Stock Splits"],
+           "2020-01-06,A,1,2,3,4,5,6,7,8": []}
+    header = "Date,Ticker,Open,High,Low,Close,Volume,Dividends,Stock Splits"
+    import os
+    os.makedirs(f"{folder}/csv")
+    for name, lines in (("a.csv", [*good, *bad]), ("b.csv", ["junk", *good[:1]]), ("c.csv", [])):
+        with open(f"{folder}/csv/{name}", "w") as f:
+            f.write("\n".join([header, *lines]) + "\n")
+    rows, quarantine = Fs.read_panel_csv_tolerant(spark, f"{folder}/csv")
+    assert rows.columns == header.split(",")
+    want = sorted([("2020-01-01", "A", 1.5), ("2020-01-02", "A", 1.5), ("2020-01-03", "B, C", 4.0), ("2020-01-01", "A", 1.5)])
+    assert sorted((str(r.Date), r.Ticker, r.Close) for r in rows.collect()) == want
+    assert rows.count() == 4 and sorted(r.Close for r in rows.select("Close").collect()) == [1.5, 1.5, 1.5, 4.0]
+    got = {(r.file, r.line): r.unread for r in quarantine.collect()}
+    assert got.pop(("b.csv", "junk"))[0] == "Date"
+    assert got == {("a.csv", line): unread for line, unread in bad.items()}
+    assert quarantine.count() == 5 and quarantine.select("line").distinct().count() == 5
+    counts = {(r.file, tuple(r.unread)): r.n for r in Fs.quarantine_counts(quarantine).collect()}
+    assert counts[("a.csv", ("Date",))] == 1 and sum(counts.values()) == 5
+
+
 def test_splits_and_features_round_trip(spark, folder):
     df = panel_df(spark, panel_rows("A", random_walk(70, 1))).withColumn("target", F.lit(1)) \
         .withColumn("split", F.when(F.dayofmonth("Date") < 20, "train").otherwise("test"))
