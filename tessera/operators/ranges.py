@@ -91,6 +91,18 @@ def fill(df: DataFrame, col: str, groups: Sequence[str], order, default: float =
     return r.join(inside, offsets).select(*[filled if c == col else F.col(f"`{c}`") for c in r.columns])
 
 
+def carry(df: DataFrame, col: str, groups: Sequence[str], order) -> DataFrame:
+    """Forward fill of ``col``, of any type, across ranges; nulls before the first value stay."""
+    r = Ranges(df, groups, order)
+    at = F.when(F.col(col).isNotNull(), F.struct(*r.order))
+    offsets = r.per_range(F.max_by(F.col(col), at).alias("_last")).select(
+        *r.keys, F.last("_last", ignorenulls=True).over(r.earlier).alias("_carried"))
+    up_to = r.within.rowsBetween(Window.unboundedPreceding, 0)
+    inside = r.rows.withColumn("_here", F.last(col, ignorenulls=True).over(up_to))
+    filled = F.coalesce("_here", "_carried").alias(col)
+    return r.join(inside, offsets).select(*[filled if c == col else F.col(f"`{c}`") for c in r.columns])
+
+
 def quantiles(df: DataFrame, col: str, groups: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """(groups, q, value): exact, linearly interpolated quantiles of the non-null ``col``."""
     counts = df.where(F.col(col).isNotNull()).groupBy(*groups, col).agg(F.count(F.lit(1)).alias("n"))

@@ -245,9 +245,13 @@ def chunk_positions(df: DataFrame, keys, order, before: int, after: int = 0,
     """Add ``_pos`` (0-based position in the series), ``_n`` (series length),
     ``_chunk`` and ``_halo``; each chunk also holds copies of the last ``before``
     rows of the one before it and of the first ``after`` rows of the next."""
+    return copies_in_chunks(positions(df, _list(keys), _list(order)), before, after, chunk_rows)
+
+
+def copies_in_chunks(pos: DataFrame, before: int, after: int = 0, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """The second half of ``chunk_positions``, for rows that have their position ``_pos``."""
     if max(before, after) >= chunk_rows:
         raise ValueError("chunk_rows must exceed the look-back and the look-ahead")
-    pos = positions(df, _list(keys), _list(order))
     chunk, at = F.floor(F.col("_pos") / chunk_rows), F.col("_pos") % chunk_rows
     place = lambda c, halo: F.struct(c.alias("c"), F.lit(halo).alias("h"))
     copies = [F.array(place(chunk, False)),
@@ -268,6 +272,30 @@ def by_chunk(df: DataFrame, columns, keys, order, before: int, after: int = 0, c
     return out.drop("_pos", "_n", "_halo")
 
 
+def apply_per_series(df: DataFrame, fn, schema: str, keys, order, before: int, after: int = 0,
+                     chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """O2: a function of the user's own over every series, chunk by chunk.
+
+    ``fn`` gets a pandas frame with the columns of ``df``, rows of one series in order, and
+    returns one row of ``schema`` for each of them, also in order.  It may look ``before`` rows
+    back and ``after`` rows ahead: those of the neighbouring chunks come with the frame, and
+    what it returns for them is left out.  At the ends of a series there are fewer.  A task holds
+    at most ``chunk_rows + before + after`` rows, however long the series.  A frame of another
+    length than the one handed in fails the job; an empty table gives an empty result.
+    """
+    columns = df.columns
+
+    def run(pdf):
+        pdf = pdf.sort_values("_pos")
+        out = fn(pdf[columns].reset_index(drop=True))
+        if len(out) != len(pdf):
+            raise ValueError(f"{len(out)} rows returned for {len(pdf)}")
+        return out[~pdf["_halo"].to_numpy()]
+
+    c = chunk_positions(df, keys, order, before, after, chunk_rows)
+    return c.groupBy(*_list(keys), "_chunk").applyInPandas(run, schema)
+
+
 def _long_enough(least: int, what: str) -> Column:
     """A filter predicate (evaluated for every row) that fails the job for a shorter series."""
     return F.when(F.col("_n") > least, F.lit(True)).otherwise(

@@ -195,6 +195,48 @@ def q_event_fill(spark, sf_dir):
     return fill(gappy, "value", ["user_id"], ["ts", "event_id"])
 
 
+_GAPPY = "CASE WHEN event_id % 4 = 0 OR event_type = 'click' THEN NULL ELSE value END"
+
+
+def _ema_step(span):
+    a = f"(2.0::DOUBLE / {span + 1})"
+    return f"(pow(1 - {a}, g) * e{span} + {a} * v) / (pow(1 - {a}, g) + {a}) AS e{span}"
+
+
+@register("event_ema", f"""
+WITH RECURSIVE ev AS (SELECT user_id, ts, event_id, {_GAPPY} AS v, row_number() OVER ({_EW}) AS pos FROM events),
+ob AS (SELECT user_id, pos, v, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS k,
+         pos - lag(pos) OVER (PARTITION BY user_id ORDER BY pos) AS g FROM ev WHERE v IS NOT NULL),
+sc AS (SELECT user_id, pos, k, v AS e5, v AS e26 FROM ob WHERE k = 1 UNION ALL
+  SELECT ob.user_id, ob.pos, ob.k, {_ema_step(5)}, {_ema_step(26)}
+  FROM sc JOIN ob ON ob.user_id = sc.user_id AND ob.k = sc.k + 1)
+SELECT user_id, ts, event_id, v AS value,
+  round(last_value(e5 IGNORE NULLS) OVER up_to, 9) + 0.0 AS ema_5, round(last_value(e26 IGNORE NULLS) OVER up_to, 9) + 0.0 AS ema_26
+FROM ev LEFT JOIN sc USING (user_id, pos)
+WINDOW up_to AS ({_EW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_event_ema(spark, sf_dir):
+    """E7 on raw rows with gaps."""
+    from tessera.operators.ema import running_ema
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.expr(_GAPPY).alias("value"))
+    out = running_ema(ev, "value", [5, 26], "user_id", ["ts", "event_id"])
+    return out.select("user_id", "ts", "event_id", "value",
+                      *[(F.round(c, 9) + 0.0).alias(c) for c in ("ema_5", "ema_26")])
+
+
+def _rolling_median(rows):
+    return rows[["user_id", "ts", "event_id"]].assign(median=rows["value"].rolling(7, min_periods=1).median())
+
+
+@register("event_series_function", f"""
+SELECT user_id, ts, event_id, round(median(value) OVER {_ef(7)}, 6) + 0.0 AS median FROM events""")
+def q_event_function(spark, sf_dir):
+    """O2: a median over the last seven rows, a function Spark has no window form of at a bounded cost."""
+    out = Wn.apply_per_series(_events(spark, sf_dir), _rolling_median,
+                              "user_id long, ts timestamp, event_id long, median double",
+                              "user_id", ["ts", "event_id"], before=6)
+    return out.select("user_id", "ts", "event_id", (F.round("median", 6) + 0.0).alias("median"))
+
+
 @register("last_rows_per_series", with_(PANEL_CTES[0]) + """
 SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY "Ticker" ORDER BY "Date" DESC) AS r FROM bars)
 WHERE r <= 250""")

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import ranges
+from tessera.operators.ema import running_ema
 from tessera.operators.sequences import sequences_with_horizon
 from tessera.operators.splits import split_by_position
-from tessera.operators.windows import by_chunk, chunk_positions, lagged_matrix, rolling_matrix, running_mean
+from tessera.operators.windows import apply_per_series, by_chunk, chunk_positions, lagged_matrix, rolling_matrix, running_mean
 
 KEY = ["ts", "event_id"]
 
@@ -69,6 +70,50 @@ def test_running_forms_cross_ranges(spark, events):
     assert np.allclose(filled["value"], want)
 
 
+def gappy_events(events):
+    """Gaps of all lengths up to 1,500 rows, a NaN, users without a value at the start or at all."""
+    at = F.col("event_id")
+    gap = ((at % 5 < 2) | at.between(900, 2400) & (at % 97 != 0) | at.between(2900, 2999)
+           | at.between(10_000, 10_009) | at.between(10_100, 10_139))
+    return events.withColumn("value", F.when(gap, None).when(at == 13, F.lit(float("nan"))).otherwise(F.col("value")))
+
+
+@pytest.mark.parametrize("spans, chunk", [([2, 3], 70), ([9, 26], 1030), ([26], 100_000)])
+def test_running_ema_matches_pandas(events, spans, chunk):
+    pdf, g = by_user(gappy_events(events))
+    got = ordered(running_ema(gappy_events(events), "value", spans, "user_id", KEY, chunk_rows=chunk))
+    assert len(got) == len(pdf)
+    for s in spans:
+        want = g.transform(lambda v, s=s: v.ewm(span=s, adjust=False).mean())
+        assert want.isna().sum() == 2 + 12 + 40 + 3 * 2 and np.allclose(got[f"ema_{s}"], want, rtol=1e-12, atol=1e-13, equal_nan=True)
+
+
+def test_running_ema_edges(spark, events):
+    assert running_ema(events.limit(0), "value", [5], "user_id", KEY).collect() == []
+    with pytest.raises(ValueError):
+        running_ema(events, "value", [26], "user_id", KEY, chunk_rows=1000)
+    named = events.where("user_id is null or user_id = 'u1'").withColumn("user_id", F.lit(None).cast("string"))
+    out = ordered(running_ema(named, "value", [4], "user_id", KEY, names=["slow"]))
+    assert np.allclose(out["slow"], out["value"].ewm(span=4, adjust=False).mean())
+
+
+def test_function_per_series_matches_pandas(events):
+    def ranks(rows):                        # place of a value among itself, three before and two after
+        v = rows["value"]
+        near = [v.shift(k) for k in (3, 2, 1, -1, -2)]
+        return rows[["user_id", *KEY]].assign(rank=sum((x < v).astype("int64") for x in near))
+
+    schema = "user_id string, ts timestamp, event_id long, rank long"
+    pdf, _ = by_user(events)
+    want = pd.concat([ranks(rows) for _, rows in pdf.groupby("user_id")]).reset_index(drop=True)
+    for chunk in (4, 50, 100_000):
+        got = ordered(apply_per_series(events, ranks, schema, "user_id", KEY, 3, 2, chunk_rows=chunk))
+        assert (got["rank"].to_numpy() == want["rank"].to_numpy()).all() and len(got) == len(want)
+    assert apply_per_series(events.limit(0), ranks, schema, "user_id", KEY, 3, 2).collect() == []
+    with pytest.raises(Exception, match="rows returned"):
+        apply_per_series(events, lambda rows: ranks(rows).head(1), schema, "user_id", KEY, 3).collect()
+
+
 def test_positions_and_position_split(events):
     pos = ordered(ranges.positions(events, ["user_id"], KEY))
     assert (pos["_pos"] == pos.groupby("user_id").cumcount()).all()
