@@ -68,6 +68,21 @@ def test_splits_and_features_round_trip(spark, folder):
     assert [tuple(x) for x in a] == [tuple(x) for x in b]
 
 
+def test_series_table_needs_no_exchange(spark, folder):
+    from tessera.operators.sequences import sliding_sequences
+    df = panel_df(spark, [r for i in range(6) for r in panel_rows(f"S{i}", random_walk(40, i))]) \
+        .withColumn("target", F.lit(1)).withColumn("split", F.lit("train"))
+    back = Fs.write_series(df, "handed_over", f"{folder}/series", buckets=4)
+    again = Fs.write_series(df.where("Ticker <> 'S0'"), "handed_over", f"{folder}/series", buckets=4)
+    assert again.count() == 200 and back.columns == df.columns
+    seqs = sliding_sequences(again, ["Close", "Volume"], 10)
+    plan = seqs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    want = sliding_sequences(df.where("Ticker <> 'S0'"), ["Close", "Volume"], 10)
+    assert sorted(map(str, seqs.collect())) == sorted(map(str, want.collect())) and seqs.count() > 0
+    spark.sql("DROP TABLE handed_over")
+
+
 def test_submission_files_are_sorted(spark, folder):
     sub = spark.createDataFrame([(str(i), i % 2) for i in range(500, 0, -1)], "ID string, Pred int")
     Fs.write_submission(sub, f"{folder}/sub")
