@@ -39,6 +39,12 @@ def q_mi(spark, sf_dir):
     return Sel.binned_mutual_information(_train_features(spark, sf_dir), FEATS)
 
 
+@register("select_mutual_information_knn")
+def q_mi_knn(spark, sf_dir):
+    """K1 by nearest neighbours; no SQL (brute force in the tests): 132 rankings are too slow there."""
+    return Sel.knn_mutual_information(_train_features(spark, sf_dir), FEATS)
+
+
 _PAIRS_COLS = [(i, j) for i in range(len(FEATS)) for j in range(i + 1, len(FEATS))]
 _PAIRS_BODY = ("cw AS (SELECT " + ", ".join(
     f'corr("{FEATS[i]}", "{FEATS[j]}") AS c{i}_{j}' for i, j in _PAIRS_COLS) + " FROM tr),\n"
