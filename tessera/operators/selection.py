@@ -113,22 +113,24 @@ def digamma(m, log=F.log):
     return log(z) - 0.5 / z - tail - sum(1.0 / (m + float(i)) for i in range(10))
 
 
-def _radius(k: int, wanted, w):
-    """Columns d, lo, hi of a distinct value ``x`` with ``n`` copies: the distance of its
-    ``wanted``-th neighbour (at most ``k``) and the open interval that it bounds."""
-    near = [(F.lag, j) for j in range(1, k + 1)] + [(F.lead, j) for j in range(1, k + 1)]
-    x = F.col("x")
-    apart = [F.abs(x - step("x", j).over(w)) for step, j in near]
-    found = F.array(F.struct(F.lit(0.0).alias("d"), (F.col("n") - 1).alias("n")),
-                    *[F.struct(d.alias("d"), step("n", j).over(w).alias("n")) for d, (step, j) in zip(apart, near)])
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("d"))
-    reach = lambda s, v: F.when(s["n"] >= wanted, s).otherwise(
-        F.struct((s["n"] + v["n"]).alias("n"), F.greatest(s["d"], F.when(v["n"] > 0, v["d"])).alias("d")))
-    d = F.aggregate(F.array_sort(F.filter(found, lambda v: v["d"].isNotNull())), start, reach)["d"]
+def _with_radius(near: DataFrame, k: int, wanted) -> DataFrame:
+    """``near`` with d, the distance of the ``wanted``-th neighbour (at most ``k``) of a distinct value
+    ``x`` of ``n`` copies, and with the open interval (lo, hi) that it bounds; ``lx1``, ``ln1``, ``rx1``, ...
+    are the next distinct values on both sides and their copies."""
+    x, zero = F.col("x"), F.lit(0).cast("long")
+    apart = {s: [F.lit(0.0)] + [F.abs(x - F.col(f"{s}x{j}")) for j in range(1, k + 1)] for s in "lr"}
+    copies = {"l": [zero], "r": [zero]}
+    for s, sums in copies.items():
+        for j in range(1, k + 1):
+            sums.append(sums[-1] + F.col(f"{s}n{j}"))
+    # i values to the left and j to the right suffice; each has a copy or more, so i + j <= k
+    reach = [F.when(F.col("n") - 1 + copies["l"][i] + copies["r"][j] >= wanted,
+                    F.greatest(apart["l"][i], apart["r"][j])) for i in range(k + 1) for j in range(k + 1 - i)]
     # the neighbour's own value bounds its side, so that no rounding of x +- d moves it in or out
-    end = lambda step, far: F.coalesce(*[F.when(F.abs(x - step("x", j).over(w)) == d, step("x", j).over(w))
-                                         for j in range(1, k + 1)], far)
-    return [d.alias("d"), end(F.lag, x - d).alias("lo"), end(F.lead, x + d).alias("hi")]
+    end = lambda s, far: F.coalesce(*[F.when(apart[s][j] == F.col("d"), F.col(f"{s}x{j}"))
+                                      for j in range(1, k + 1)], far)
+    return near.withColumn("d", F.least(*reach)).select("feature", "y", "x", "n", "d", end("l", x - F.col("d")).alias("lo"),
+                                                        end("r", x + F.col("d")).alias("hi"))
 
 
 def knn_mutual_information(df: DataFrame, features: Sequence[str], target: str = "target", k: int = MI_NEIGHBOURS,
@@ -172,7 +174,10 @@ def knn_mutual_information(df: DataFrame, features: Sequence[str], target: str =
     rows = df.where(F.col(target).isin(list(sizes))).withColumn("y", F.col(target))
     cells = materialize(long_format(rows, features, ["y"]).select("feature", "y", x.alias("x"))
                         .groupBy("feature", "y", "x").agg(F.count(F.lit(1)).alias("n")))
-    near = by_chunk(cells, lambda w: [F.col("n"), *_radius(k, wanted, w)], ["feature", "y"], ["x"], k, k, chunk_rows)
+    beside = lambda w: [step(c, j).over(w).alias(f"{s}{c}{j}")
+                        for s, step in (("l", F.lag), ("r", F.lead)) for c in ("x", "n") for j in range(1, k + 1)]
+    near = by_chunk(cells, lambda w: [F.col("n"), *beside(w)], ["feature", "y"], ["x"], k, k, chunk_rows)
+    near = _with_radius(near, k, wanted)
     # at one place: counts of smaller values, the values, counts of values up to it
     apart = F.col("d") > 0
     end = lambda v, kind, sign: F.struct(v.alias("v"), kind.alias("kind"), F.lit(sign).alias("sign"))
