@@ -44,13 +44,23 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels of a host (the host itself when it has fewer)."""
-    return F.substring_index(host, ".", -2)
+def _last_labels(host: Column, suffixes: Sequence[str], more: int) -> Column:
+    """A host's suffix with ``more`` labels before it: the longest of ``suffixes`` that fits, else
+    the last label.  A short, fixed parameter that becomes one CASE."""
+    out = F.substring_index(host, ".", -1 - more)
+    for s in sorted(suffixes, key=len):                              # the longest is tried first
+        fits = (host == s) | host.endswith("." + s)
+        out = F.when(fits, F.substring_index(host, ".", -s.count(".") - 1 - more)).otherwise(out)
+    return out
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def registered_domain(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The suffix and the label before it (the host itself when it has no more)."""
+    return _last_labels(host, suffixes, 1)
+
+
+def suffix(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    return _last_labels(host, suffixes, 0)
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -85,20 +95,22 @@ def _shrunk(hosts: DataFrame, parents: DataFrame, key: str, parent: str) -> tupl
     return both.select(key, mean.alias("mean")), k
 
 
-def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
+def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645, suffixes: Sequence[str] = ()) -> DataFrame:
     """(host, n, good, mean, upper) for every host of ``pages`` (page_id, url), from
-    ``labels`` (page_id, good 0/1).  One row per host; ``upper`` is the bound."""
+    ``labels`` (page_id, good 0/1).  One row per host; ``upper`` is the bound.  ``suffixes`` lists, in
+    lower case, those of several labels under which strangers register (``co.uk``, ``github.io``)."""
     outcome = labels.select(F.col("page_id").alias("_i"), F.col("good").cast("double").alias("good"))
     hosts = narrow(
         pages.select("page_id", host_of(F.col("url")).alias("host"))
         .join(outcome, F.col("page_id") == F.col("_i"), "left")
         .groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"),
                              F.count("good").cast("double").alias("n"))
-        .withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
+        .withColumn("domain", registered_domain(F.col("host"), suffixes))
+        .withColumn("suffix", suffix(F.col("host"), suffixes))
         .withColumn("root", F.lit("")))
     root = hosts.groupBy("root").agg(((F.sum("good") + 1) / (F.sum("n") + 2)).alias("mean"))
-    suffixes, _ = _shrunk(hosts, root, "suffix", "root")
-    domains, _ = _shrunk(hosts, suffixes, "domain", "suffix")
+    tops, _ = _shrunk(hosts, root, "suffix", "root")
+    domains, _ = _shrunk(hosts, tops, "domain", "suffix")
     means, k = _shrunk(hosts, domains, "host", "domain")
     found = hosts.select("host", "n", "good").join(means.withColumnRenamed("host", "_h"), F.col("host") == F.col("_h"))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (k + F.col("n") + 1))
@@ -106,11 +118,11 @@ def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> Da
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str, str]],
-                least_good: float = 0.6, z: float = 1.645) -> DataFrame:
+                least_good: float = 0.6, z: float = 1.645, suffixes: Sequence[str] = ()) -> DataFrame:
     """(page_id, host, path, rule, verdict, upper) for every row of ``pages``."""
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, decided = rule_of(F.col("host"), F.col("path"), rules)
-    bound = host_reputation(pages, labels, z).select(F.col("host").alias("_h"), "upper")
+    bound = host_reputation(pages, labels, z, suffixes).select(F.col("host").alias("_h"), "upper")
     by_method = F.when(F.col("upper") < least_good, "block").otherwise("allow")
     return (rows.join(bound, F.col("host") == F.col("_h"), "left")
             .select("page_id", "host", "path", rule.alias("rule"),

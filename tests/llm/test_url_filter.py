@@ -62,3 +62,24 @@ def test_posterior_means_by_hand(spark):
         assert got[h].upper == pytest.approx(means[h] + 1.645 * (means[h] * (1 - means[h]) / (k + n + 1)) ** .5)
     verdict = {r.host: r.verdict for r in url_filter.filter_urls(pages(spark, rows), labels(spark, marks), URL_RULES).collect()}
     assert verdict["b.x.net"] == "block" and verdict["y.net"] == "allow"
+
+
+def test_suffixes_of_several_labels(spark):
+    from pyspark.sql import functions as F
+    known = ["co.uk", "uk.com", "a.co.uk", "io"]
+    want = {"m.bad.co.uk": ("bad.co.uk", "co.uk"), "bad.co.uk": ("bad.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+            "x.y.a.co.uk": ("y.a.co.uk", "a.co.uk"), "notco.uk": ("notco.uk", "uk"), "z.github.io": ("github.io", "io"),
+            "w.example.com": ("example.com", "com"), "": ("", "")}
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    got = hosts.select("host", url_filter.registered_domain(F.col("host"), known).alias("d"),
+                       url_filter.suffix(F.col("host"), known).alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == want
+    # a new host of bad.co.uk takes after it, one of a stranger under the same suffix does not
+    rows = [(i, f"http://m.bad.co.uk/{i}") for i in range(60)] + [(100 + i, f"http://w.good.co.uk/{i}") for i in range(60)]
+    marks = [(i, 0 if i < 100 else 1) for i, _ in rows]
+    rows += [(998, "http://new.bad.co.uk/"), (999, "http://new.good.co.uk/")]
+    mean = lambda known: {r.host: r.mean for r in url_filter.host_reputation(
+        pages(spark, rows), labels(spark, marks), suffixes=known).collect()}
+    apart, pooled = mean(["co.uk"]), mean([])
+    assert apart["new.good.co.uk"] - apart["new.bad.co.uk"] > 0.2
+    assert pooled["new.good.co.uk"] == pytest.approx(pooled["new.bad.co.uk"])
