@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import sigmoid
+from tessera.functions.scalar import rounded, sigmoid
 from tessera.operators import scaling as S
 from tessera.operators import sequences as Q
 from tessera.operators import submission as Sub
@@ -42,9 +42,13 @@ def fit_and_scale(features: DataFrame, names: Sequence[str]) -> tuple[DataFrame,
     return materialize(S.apply_scaler(rows, scaler)), scaler
 
 
-def training_sequences(features: DataFrame, names: Sequence[str], length: int = SEQUENCE) -> DataFrame:
-    """(split, Ticker, Date, X, y)."""
+def training_sequences(features: DataFrame, names: Sequence[str], length: int = SEQUENCE,
+                       digits: int | None = None) -> DataFrame:
+    """(split, Ticker, Date, X, y), scaled values rounded to ``digits``: each once, not once in every
+    sequence that holds it."""
     scaled, _ = fit_and_scale(features, names)
+    if digits is not None:
+        scaled = scaled.withColumns({c: rounded(c, digits) for c in names})
     return Q.sliding_sequences(scaled, names, length, keys=["split", "Ticker"])
 
 

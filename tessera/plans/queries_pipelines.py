@@ -41,9 +41,7 @@ SELECT split, "Ticker", "Date", list_transform("X", lambda v: list_transform(v,
   WINDOW w AS (PARTITION BY split, "Ticker" ORDER BY "Date" ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) WHERE rn >= 20""")
 def q_training_sequences(spark, sf_dir):
     """Sequences of 20 steps of the scaled, selected features."""
-    seqs = Pl.training_sequences(features_table(spark, sf_dir), SELECTED)
-    rounded = F.transform("X", lambda v: F.transform(v, lambda x: F.round(x, 5) + 0.0))
-    return seqs.select("split", "Ticker", "Date", rounded.alias("X"), "y")
+    return Pl.training_sequences(features_table(spark, sf_dir, SELECTED), SELECTED, digits=5)
 
 
 _DOT = " + ".join(f"{w!r}::DOUBLE * f{i}" for i, w in enumerate(WEIGHTS))
@@ -62,7 +60,7 @@ SELECT r."ID", CAST(coalesce(CAST(p > (SELECT median(p) FROM lt) AS INTEGER), 0)
 FROM req r LEFT JOIN lt ON lt."Ticker" = r."ID" """)
 def q_submission_from_history(spark, sf_dir):
     """Every request scored from its last 250 rows of history."""
-    _, scaler = Pl.fit_and_scale(features_table(spark, sf_dir), SELECTED)
+    _, scaler = Pl.fit_and_scale(features_table(spark, sf_dir, SELECTED), SELECTED)
     history = handle_missing_values(load_bars(spark, sf_dir))
     requests = scoring_requests(read_table(spark, sf_dir, "supplier"))
     return Pl.score_requests(history, requests, SELECTED, scaler, WEIGHTS)
@@ -72,7 +70,7 @@ def q_submission_from_history(spark, sf_dir):
 def q_submission_saved_model(spark, sf_dir):
     """P3 with a model fitted once on train, saved with its scaler, and read back."""
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    train = Pl.selected_features(features_table(spark, sf_dir).where(F.col("split") == "train"), SELECTED)
+    train = Pl.selected_features(features_table(spark, sf_dir, SELECTED).where(F.col("split") == "train"), SELECTED)
     Fit.save_model(Fit.scaling_pipeline(materialize(train), SELECTED), path)
     history = handle_missing_values(load_bars(spark, sf_dir))
     requests = scoring_requests(read_table(spark, sf_dir, "supplier"))
