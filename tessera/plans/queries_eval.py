@@ -34,7 +34,7 @@ P = with_(*PANEL_CTES, PRED_SQL)
 
 
 def predictions(spark, sf_dir):
-    f = build_features(panel(spark, sf_dir)).select("split", "Ticker", "Date", "target", "price_position_50")
+    f = build_features(panel(spark, sf_dir), only=["price_position_50"]).select("split", "Ticker", "Date", "target", "price_position_50")
     p = F.col("price_position_50")
     return f.select("split", "Ticker", "Date", F.col("target").alias("Actual"), p.alias("Probability"),
                     (p > 0.5).cast("int").alias("Predicted"))

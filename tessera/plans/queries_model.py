@@ -261,7 +261,7 @@ FIT_FEATURES = ["rsi", "bb_position", "volatility_ratio_30_60", "close_to_ma_50"
 
 
 def _fit_table(spark, sf_dir):
-    f = materialize(features_table(spark, sf_dir).select("split", "Ticker", "Date", "target", *FIT_FEATURES))
+    f = materialize(features_table(spark, sf_dir, FIT_FEATURES).select("split", "Ticker", "Date", "target", *FIT_FEATURES))
     stats = S.fit_scaler(f.where(F.col("split") == "train"), FIT_FEATURES)
     return S.apply_scaler(f, stats)
 
@@ -273,7 +273,7 @@ lng AS (UNPIVOT (SELECT target, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"
 SELECT feature, round(sum(x * (0.5 - target)) / count(*), 12) + 0.0 AS gradient FROM lng GROUP BY feature""")
 def q_gradient_zero(spark, sf_dir):
     """M4: gradient of the mean log-loss at w = 0, b = 0 (unscaled features)."""
-    tr = features_table(spark, sf_dir).where(F.col("split") == "train").select("target", *FIT_FEATURES)
+    tr = features_table(spark, sf_dir, FIT_FEATURES).where(F.col("split") == "train").select("target", *FIT_FEATURES)
     gw, gb, n, _ = Fit.logistic_gradient(tr, FIT_FEATURES, [0.0] * len(FIT_FEATURES), 0.0)
     rows = [(c, float(gw[c])) for c in FIT_FEATURES] + [("_one", float(gb))]
     df = spark.createDataFrame(rows, "feature string, gradient double")
@@ -362,10 +362,10 @@ acc AS (SELECT model, split, avg(CAST(CAST(p > 0.5 AS INTEGER) = "Actual" AS DOU
 
 
 def model_scores(spark, sf_dir):
-    f = features_table(spark, sf_dir)
-    rsi = F.round(H.sigmoid((F.col("rsi") - 50.0) / 10.0), 4)
-    bb = F.round(H.clip("bb_position", 0.0, 1.0), 4)
-    tr = F.round(H.sigmoid(F.col("trend_slope_30") * 100.0), 4)
+    f = features_table(spark, sf_dir, ["rsi", "bb_position", "trend_slope_30"])
+    rsi = H.rounded(H.sigmoid((F.col("rsi") - 50.0) / 10.0), 4)
+    bb = H.rounded(H.clip("bb_position", 0.0, 1.0), 4)
+    tr = H.rounded(H.sigmoid(F.col("trend_slope_30") * 100.0), 4)
     base = f.select("split", F.col("target").alias("Actual"), rsi.alias("rsi"), bb.alias("bollinger"), tr.alias("trend"))
     return base.unpivot(["split", "Actual"], ["rsi", "bollinger", "trend"], "model", "p")
 
