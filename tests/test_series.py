@@ -35,6 +35,14 @@ def test_fill_within_each_series(spark):
     assert causal[("a", 0)] == 0.0 and causal[("a", 2)] == 2.0 and causal[("c", 1)] == 0.0
 
 
+def test_one_row_and_one_column(spark):
+    one = numbered(spark.createDataFrame([("a", 0, None, 3.0)], "k string, i int, x double, y double"), ["k"], ["i"], "n")
+    assert [(r.x, r.y) for r in filled(one, ["x", "y"], "n").collect()] == [(0.0, 3.0)]
+    assert [(r.mean, r.m2) for r in Sel.column_moments(one, ["y"]).collect()] == [(3.0, 0.0)]
+    two = spark.createDataFrame([(1.0,), (2.0,)], "y double").repartition(1)
+    assert [(r.mean, r.m2) for r in Sel.column_moments(two, ["y"]).collect()] == [(1.5, 0.5)]
+
+
 def test_features_take_a_few_window_functions(spark):
     df = panel_df(spark, panel_rows("A", random_walk(60, 1))).withColumn("split", F.lit("train"))
     plan = build_features(df)._jdf.queryExecution().optimizedPlan().toString()
