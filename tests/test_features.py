@@ -121,3 +121,21 @@ def test_rolling_levels_against_pandas(spark):
             if fn in ("min", "max"):
                 assert (g[name].dropna() == want.dropna()).all()
     assert (got.loc[got.k == "d", "std_200"].dropna() == 0).all()
+
+
+def test_only_what_the_wanted_features_read_is_computed(spark, monkeypatch):
+    from tessera.operators import features as module
+    asked, whole = [], module.with_statistics
+    monkeypatch.setattr(module, "with_statistics", lambda df, wanted, number: asked.append(set(wanted)) or whole(df, wanted, number))
+    vol = [0.0 if i % 17 == 3 else 50.0 + i % 7 for i in range(320)]
+    rows = panel_rows("A", random_walk(320, 5), volumes=vol) + panel_rows("B", random_walk(40, 6))
+    full = _features(spark, rows)
+    read = {"volume_price_trend": {"volume_lag_1", "_lagc1"}, "month": set(), "macd": {"__ema_fast", "__ema_slow", "macd"}}
+    for name, statistics in read.items():
+        asked.clear()
+        got = _features(spark, rows, only=[name])
+        assert asked == [statistics], name
+        assert list(got.columns) == ["Ticker", "Date", "target", name]
+        pd.testing.assert_series_equal(got[name], full[name])
+    some = feature_names()[::3]
+    pd.testing.assert_frame_equal(_features(spark, rows, only=some)[some], full[some])
