@@ -48,6 +48,22 @@ def test_equals_brute_force(table, k, chunk):
     assert got["shifted"] > 0.05 > got["noise"]
 
 
+def test_windows_see_the_edges_of_blocks_only(spark, table, monkeypatch):
+    from tessera.operators import windows
+    df, cols, y = table
+    seen, whole = [], windows.by_chunk
+    monkeypatch.setattr(windows, "by_chunk", lambda d, *a, **kw: seen.append(d.count()) or whole(d, *a, **kw))
+    got = knn_mutual_information(df, ["shifted", "flag"], chunk_rows=500)
+    assert 0 < seen[0] <= 4 * 3 * 3 * 6                      # 4 k a class and block, not 2,000 rows
+    # many classes in blocks of few rows each: every value waits for other blocks
+    many = df.withColumn("target", F.pmod(F.xxhash64("shifted"), F.lit(40)))
+    got = {"few": got, "many": knn_mutual_information(many, ["shifted", "tied"], chunk_rows=64)}
+    classes = {"few": y, "many": np.array([r.target for r in many.select("target").collect()])}
+    for name, out in got.items():
+        for r in out.collect():
+            assert r.mutual_info == pytest.approx(brute(cols[r.feature], classes[name], 3), abs=2e-9), (name, r.feature)
+
+
 def test_edges(spark, table):
     df, cols, _ = table
     assert knn_mutual_information(df.limit(0), ["noise"]).collect() == []
