@@ -18,10 +18,11 @@ transitions are then counted over all training tokens with every token's own
 class.  The model is P(w | v) = P(class w | class v) * P(w | class w), both
 smoothed by additive counts, starting each text after an end token.
 
-Tokens of the (at most) ``table_words`` most frequent counts and their classes
-have a bounded broadcast table; the others leave the task with their
-neighbours and are joined with the full table of counts and classes, so both
-are exact for any vocabulary.
+Texts are cut into tokens twice: to count them, and to number those of the (at
+most) ``table_words`` most frequent counts, which have a bounded broadcast
+table.  All later passes read the numbers.  The other tokens are kept as words,
+leave the task with their neighbours and are joined with the full table of
+counts and classes, so both are exact for any vocabulary.
 
 Defined results: a null text is empty and has only its end token; rows with
 a null id are learnt from and not held out; a token never seen in training
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,7 @@ from tessera.llm.common import arrow_batches, materialize, narrow, slices, text_
 
 END = b"\n"                    # no word holds white space
 FLUSH = 200_000                # distinct tokens a task holds before it hands on its counts
+HELD = 2_000_000               # places of tokens a task holds before it hands on their neighbours
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -90,28 +93,57 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["w"]), r["n"]) for r in rows), key=lambda x: (x[0] != END, -x[1], x[0]))
 
 
-def _bigrams(shared, size: int):
+def _numbers(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        end = index.get(END, size)
-        sums = np.zeros((size + 1) * (size + 1), np.int32)
-        for batch in batches:
-            for text in batch.column(0):
-                ids = np.fromiter((index.get(w, size) for w in tokens(text.as_py())), np.int64)
-                pair = np.concatenate(([end], ids[:-1])) * (size + 1) + ids
-                at, n = np.unique(pair, return_counts=True)
-                sums[at] += n.astype(np.int32)
+        size = len(index)
+        for batch in slices(batches, 64):
+            words, lengths = [], []
+            for text in batch.column(batch.num_columns - 1):
+                own = tokens(text.as_py())
+                lengths.append(len(own))
+                words += own
+            ids = np.fromiter(map(index.get, words, repeat(size)), np.int32, len(words))
+            end = np.cumsum(lengths)
+            at = np.flatnonzero(ids == size)
+            packed = pa.Array.from_buffers(pa.binary(), len(end), [
+                None, pa.py_buffer(np.append(0, end * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
+            rest = pa.ListArray.from_arrays(pa.array(np.append(0, np.searchsorted(at, end)), pa.int32()),
+                                            pa.array([words[i] for i in at.tolist()], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed, rest], [*batch.schema.names[:-1], "ids", "rest"])
+    return run
+
+
+def number_tokens(texts: DataFrame, index: dict[bytes, int]) -> DataFrame:
+    """``texts``, whose last column is t, with ids and rest for it: a text's tokens as 32-bit numbers, and
+    those outside ``index``, whose number is ``len(index)``, in order."""
+    shared = texts.sparkSession.sparkContext.broadcast(index)
+    own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in texts.schema.fields[:-1])
+    return texts.mapInArrow(_numbers(shared), own + "ids binary, rest array<binary>")
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    """The tokens of a batch's texts in one row.  Each text ends with an end token, so the next one starts
+    after it, and the first one after the last one's."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).astype(np.int64)
+
+
+def _bigrams(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((size + 1) * (size + 1), np.int64)
+        for batch in slices(batches):
+            ids = np.minimum(_ids(batch.column(0)), size)
+            np.add.at(sums, np.roll(ids, 1) * (size + 1) + ids, 1)
         at = np.flatnonzero(sums)
         for i in range(0, len(at), 1 << 16):
             part = at[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part].astype(np.int64))], ["pair", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part])], ["pair", "n"])
     return run
 
 
-def pair_counts(texts: DataFrame, index: dict[bytes, int], size: int) -> np.ndarray:
-    """(size + 1)^2 counts of neighbouring tokens; tokens outside ``index`` are number ``size``."""
-    shared = texts.sparkSession.sparkContext.broadcast(index)
-    total = texts.select("t").mapInArrow(_bigrams(shared, size), "pair long, n long") \
+def pair_counts(numbered: DataFrame, size: int) -> np.ndarray:
+    """(size + 1)^2 counts of neighbouring tokens; tokens with other numbers are number ``size``."""
+    total = numbered.select("ids").mapInArrow(_bigrams(size), "pair long, n long") \
         .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()        # <= (size + 1)^2 rows
     out = np.zeros((size + 1) * (size + 1))
     out[total.column("pair").to_numpy()] = total.column("n").to_numpy()
@@ -227,23 +259,20 @@ def best_classes(table: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.n
     return np.concatenate(group)
 
 
-def _contexts(shared, classes: int, with_open: bool):
+def _contexts(shared, size: int, classes: int, with_open: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, group = shared.value                     # ids below len(group) have a class
-        first, size = len(group), len(index)
-        end = index.get(END, size)
+        group = shared.value                            # ids below len(group) have a class
+        first = len(group)
         of = np.concatenate((group, np.full(size + 1 - first, classes if with_open else -1)))
         wide = classes + 2 * with_open
         sums = np.zeros((size - first) * 2 * wide, np.int64)
         for batch in slices(batches):
-            for text in batch.column(0):
-                own = tokens(text.as_py())
-                ids = np.concatenate(([end], np.fromiter((index.get(w, size) for w in own), np.int64, len(own))))
-                c = of[ids]
-                for token, side, near, by in ((ids[:-1], 0, c[1:], ids[1:]), (ids[1:], 1, c[:-1], ids[:-1])):
-                    near = np.where(token == by, classes + 1, near) if with_open else near
-                    hit = (token >= first) & (token < size) & (near >= 0)
-                    np.add.at(sums, ((token[hit] - first) * 2 + side) * wide + near[hit], 1)
+            ids = np.minimum(_ids(batch.column(0)), size)
+            at = np.flatnonzero((ids >= first) & (ids < size))
+            for side, by in ((0, ids[(at + 1) % len(ids)]), (1, ids[at - 1])):
+                near = np.where(ids[at] == by, classes + 1, of[by]) if with_open else of[by]
+                hit = near >= 0
+                np.add.at(sums, ((ids[at[hit]] - first) * 2 + side) * wide + near[hit], 1)
         at = np.flatnonzero(sums)
         for i in range(0, len(at), 1 << 16):
             part = at[i:i + (1 << 16)]
@@ -251,114 +280,135 @@ def _contexts(shared, classes: int, with_open: bool):
     return run
 
 
-def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray, classes: int,
-                   with_open: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Followers and predecessors by class (tokens x classes) of the tokens of ``index`` without a class;
-    ``with_open`` adds the columns of the neighbours without a class and of the token itself."""
-    shared = texts.sparkSession.sparkContext.broadcast((index, group))
-    total = texts.select("t").mapInArrow(_contexts(shared, classes, with_open), "key long, n long") \
+def numbered_contexts(numbered: DataFrame, size: int, group: np.ndarray, classes: int,
+                      with_open: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """``context_counts`` of numbered texts, for the numbers below ``size``."""
+    shared = numbered.sparkSession.sparkContext.broadcast(group)
+    total = numbered.select("ids").mapInArrow(_contexts(shared, size, classes, with_open), "key long, n long") \
         .groupBy("key").agg(F.sum("n").alias("n")).toArrow()             # <= 2 * (classes + 2) rows per token
     wide = classes + 2 * with_open
-    out = np.zeros((len(index) - len(group)) * 2 * wide)
+    out = np.zeros((size - len(group)) * 2 * wide)
     out[total.column("key").to_numpy()] = total.column("n").to_numpy()
     out = out.reshape(-1, 2, wide)
     return out[:, 0], out[:, 1]
 
 
-def _stream(batch: pa.RecordBatch, index: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Tokens of a batch's texts in one row after an end token, their numbers (``len(index)``: none), and
-    the texts' lengths.  Each text ends with an end token, so the next one starts after it."""
-    words, lengths = [END], []
-    for text in batch.column(batch.num_columns - 1):
-        own = tokens(text.as_py())
-        lengths.append(len(own))
-        words += own
-    size = len(index)
-    return words, np.fromiter((index.get(w, size) for w in words), np.int64, len(words)), np.array(lengths)
+def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray, classes: int,
+                   with_open: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Followers and predecessors by class (tokens x classes) of the tokens of ``index`` without a class;
+    ``with_open`` adds the columns of the neighbours without a class and of the token itself."""
+    return numbered_contexts(number_tokens(texts.select("t"), index), len(index), group, classes, with_open)
+
+
+class _Numbers(dict):
+    """Numbers given to words as they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _code_type(classes: int) -> np.dtype:
+    return np.min_scalar_type((classes + 2) * (classes + 2) - 1)
 
 
 def _open_contexts(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, group = shared.value                     # ids below len(group) have a class
-        first, size, wide = len(group), len(index), classes + 2
+        names, group = shared.value                     # ids below len(group) have a class
+        first, size, wide = len(group), len(names), classes + 2
         of = np.append(group, np.full(size + 1 - first, classes))
-        names = list(index)
         sums = np.zeros((classes + 1) * (classes + 1), np.int64)
-        for batch in slices(batches, 64):
-            words, ids, _ = _stream(batch, index)
-            c = of[ids]
-            sums += np.bincount(c[:-1] * (classes + 1) + c[1:], minlength=len(sums))
-            at = np.flatnonzero(ids[1:] >= first) + 1   # an end token follows, so none of them is last
-            same = ids[at] == ids[at - 1]
-            for i in np.flatnonzero(same & (ids[at] == size)):
-                same[i] = words[at[i]] == words[at[i] - 1]
-            twin = ids[at] == ids[at + 1]
-            for i in np.flatnonzero(twin & (ids[at] == size)):
-                twin[i] = words[at[i]] == words[at[i] + 1]
-            code = np.where(same, classes + 1, c[at - 1]) * wide + np.where(twin, classes + 1, c[at + 1])
-            known = ids[at] < size
-            key, n = np.unique(ids[at[known]] * (wide * wide) + code[known], return_counts=True)
-            w = [names[i] for i in (key // (wide * wide)).tolist()] + [words[i] for i in at[~known].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w, pa.binary()), pa.array(np.append(key % (wide * wide), code[~known])),
-                 pa.array(np.append(n, np.ones(len(w) - len(n), np.int64)))], ["w", "code", "n"])
+        others, held, many = _Numbers(), [], 0
+
+        def out() -> pa.RecordBatch:
+            token, code = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(token, kind="stable")
+            token, code = token[order], code[order]
+            start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            words = list(others)
+            w = pa.array([names[i] if i < size else words[i - size] for i in token[start].tolist()], pa.binary())
+            codes = pa.Array.from_buffers(pa.binary(), len(start), [
+                None, pa.py_buffer((np.append(start, len(code)) * code.itemsize).astype(np.int32)), pa.py_buffer(code)])
+            return pa.RecordBatch.from_arrays([w, codes, *[pa.nulls(len(start), pa.int64())] * 2], ["w", "codes", "code", "n"])
+
+        for batch in slices(batches):
+            ids, rest = _ids(batch.column(0)), batch.column(1).flatten().to_pylist()
+            ids[ids == size] = size + np.fromiter(map(others.__getitem__, rest), np.int64, len(rest))
+            c = of[np.minimum(ids, size)]
+            sums += np.bincount(np.roll(c, 1) * (classes + 1) + c, minlength=len(sums))
+            at = np.flatnonzero(ids >= first)
+            token, after = ids[at], (at + 1) % len(ids)
+            code = np.where(token == ids[at - 1], classes + 1, c[at - 1]) * wide \
+                + np.where(token == ids[after], classes + 1, c[after])
+            held.append((token, code.astype(_code_type(classes))))
+            many += len(at)
+            if many > HELD or len(others) > FLUSH:
+                yield out()
+                others, held, many = _Numbers(), [], 0
+        if many:
+            yield out()
         at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(sums[at])],
-                                         ["w", "code", "n"])
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.binary())] * 2, pa.array(at), pa.array(sums[at])],
+                                         ["w", "codes", "code", "n"])
     return run
 
 
+def open_contexts(numbered: DataFrame, names: list[bytes], group: np.ndarray, classes: int) -> DataFrame:
+    """Per task and token without a number below ``len(group)`` one row (w, codes), with the classes before
+    and after each of its places; and rows (code, n) with the task's counts of class pairs."""
+    shared = numbered.sparkSession.sparkContext.broadcast((names, group))
+    return numbered.select("ids", "rest").mapInArrow(_open_contexts(shared, classes), "w binary, codes binary, code long, n long")
+
+
 def _choose(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        wide = len(table) + 1
-        held, rows = [], 0
+        wide, kind = len(table) + 1, _code_type(len(table) - 1)
+        held, size, most = [], 0, 1 << 17
 
-        def out(rest: pa.RecordBatch | None):
-            """Tokens of the held rows; the last one's rows may go on and are held on if there is a ``rest``."""
-            nonlocal held, rows
+        def out(go_on: bool):
+            """Tokens of the held rows; the last one's rows are held on if more may follow."""
+            nonlocal held, size, most
             all_ = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            w, code, n = all_.column(0), all_.column(1).to_numpy(), all_.column(2).to_numpy()
+            w, codes = all_.column(0), all_.column(1)
+            n = pc.binary_length(codes).to_numpy() // kind.itemsize
             start = np.append(0, np.flatnonzero(pc.not_equal(w.slice(1), w.slice(0, len(w) - 1)).to_numpy(zero_copy_only=False)) + 1)
-            stop = len(w) if rest is None else start[-1]
-            held, rows = ([], 0) if rest is None else ([all_.slice(stop)], len(w) - stop)
+            stop = start[-1] if go_on else len(w)
+            held, size = ([all_.slice(stop)], int(n[stop:].sum())) if go_on else ([], 0)
+            most = max(1 << 17, 2 * size)
             start = start[start < stop]
-            if not len(start):
-                return
-            token = np.repeat(np.arange(len(start)), np.diff(np.append(start, stop)))
-            code, n = code[:stop], n[:stop]
+            code = np.frombuffer(b"".join(codes.slice(0, stop).to_pylist()), kind).astype(np.int64)
+            to = np.append(0, np.cumsum(n))
             for a in range(0, len(start), 4096):
-                b = min(a + 4096, len(start))
-                part = slice(start[a], start[b] if b < len(start) else stop)
-                own = token[part] - a
-                count = lambda near: np.bincount(own * wide + near, n[part], (b - a) * wide).reshape(-1, wide)  # noqa: E731,B023
-                right, left = count(code[part] % wide), count(code[part] // wide)
+                rows = np.append(start[a:a + 4096], start[a + 4096] if a + 4096 < len(start) else stop)
+                k, part = len(rows) - 1, code[to[rows[0]]:to[rows[-1]]]
+                own = np.repeat(np.arange(k), np.diff(to[rows]))
+                count = lambda near: np.bincount(own * wide + near, minlength=k * wide).reshape(-1, wide).astype(float)  # noqa: E731,B023
+                right, left = count(part % wide), count(part // wide)
                 yield pa.RecordBatch.from_arrays(
-                    [w.take(pa.array(start[a:b])), pa.array(right.sum(axis=1).astype(np.int64)),
+                    [w.take(pa.array(rows[:-1])), pa.array(right.sum(axis=1).astype(np.int64)),
                      pa.array(best_classes(table, right, left).astype(np.int32))], ["w", "n", "c"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            rows += batch.num_rows
-            if rows >= 1 << 15:
-                yield from out(batch)
+            size += pc.sum(pc.binary_length(batch.column(1))).as_py() // kind.itemsize
+            if size >= most:
+                yield from out(True)
         if held:
-            yield from out(None)
+            yield from out(False)
     return run
 
 
-def open_classes(texts: DataFrame, index: dict[bytes, int], group: np.ndarray, classes: int) -> DataFrame:
+def open_classes(numbered: DataFrame, names: list[bytes], group: np.ndarray, classes: int) -> DataFrame:
     """(w, n, c) of all tokens without a number below ``len(group)``: count and best class."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((index, group))
-    found = materialize(texts.select("t").mapInArrow(_open_contexts(shared, classes), "w binary, code long, n long"))
+    found = materialize(open_contexts(numbered, names, group, classes))
     total = found.where(F.col("w").isNull()).groupBy("code").agg(F.sum("n").alias("n")).toArrow()   # <= (classes + 1)^2 rows
     table = np.zeros((classes + 1) * (classes + 1))
     table[total.column("code").to_numpy()] = total.column("n").to_numpy()
-    table = spark.sparkContext.broadcast(table.reshape(classes + 1, classes + 1))
-    return materialize(found.where(F.col("w").isNotNull()).repartition("w").sortWithinPartitions("w")
+    table = numbered.sparkSession.sparkContext.broadcast(table.reshape(classes + 1, classes + 1))
+    return materialize(found.where(F.col("w").isNotNull()).select("w", "codes").repartition("w").sortWithinPartitions("w")
                        .mapInArrow(_choose(table), "w binary, n long, c int"))
 
 
@@ -369,7 +419,7 @@ class ClassModel:
         self.mass, self.types, self.classes = mass, types, len(mass)
         self.unseen = self.classes                      # number of the class of a token never seen
         self.n_tokens, self.n_types = int(mass.sum()), int(types.sum())
-        self.index = {w: i for i, (w, _) in enumerate(frequent)}
+        self.index = numbers(frequent)
         self.of = np.append(group, -1)                  # -1: not in the table
         counted = np.log10(np.array([n for _, n in frequent], np.float64) + 1)
         self.base = float(np.log10(self.n_tokens + self.n_types + 1))
@@ -390,16 +440,25 @@ def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: in
         sweeps: int) -> tuple[ClassModel, DataFrame]:
     """The model without its transitions, and (w, n, c) of the tokens from ``class_words`` on."""
     frequent = most_frequent(counts, table_words)
+    numbered = materialize(number_tokens(texts.select("t"), numbers(frequent)))
+    return fit_numbered(numbered, frequent, cluster_words, class_words, classes, sweeps)
+
+
+def numbers(frequent: list[tuple[bytes, int]]) -> dict[bytes, int]:
+    return {w: i for i, (w, _) in enumerate(frequent)}
+
+
+def fit_numbered(numbered: DataFrame, frequent: list[tuple[bytes, int]], cluster_words: int, class_words: int,
+                 classes: int, sweeps: int) -> tuple[ClassModel, DataFrame]:
+    """``fit`` of texts whose ``frequent`` tokens are numbered in that order."""
     top, more = frequent[:cluster_words], frequent[:max(cluster_words, class_words)]
     group, classes = np.zeros(0, np.int64), max(1, min(classes, len(top)))
     if top:
-        pairs = pair_counts(texts, {w: i for i, (w, _) in enumerate(top)}, len(top))
-        group, table = exchange_classes(pairs, classes, sweeps, fixed=1)
+        group, table = exchange_classes(pair_counts(numbered, len(top)), classes, sweeps, fixed=1)
         if len(more) > len(top):
-            right, left = context_counts(texts, {w: i for i, (w, _) in enumerate(more)}, group, classes, True)
+            right, left = numbered_contexts(numbered, len(more), group, classes, True)
             group = np.concatenate((group, best_classes(table, right, left)))
-    index = {w: i for i, (w, _) in enumerate(frequent)}
-    others = open_classes(texts, index, group, classes)
+    others = open_classes(numbered, [w for w, _ in frequent], group, classes)
     mass, types = np.zeros(classes), np.zeros(classes)
     np.add.at(mass, group, [n for _, n in more])
     np.add.at(types, group, 1)
@@ -413,55 +472,57 @@ def fit(texts: DataFrame, counts: DataFrame, table_words: int, cluster_words: in
     return ClassModel(frequent, group, mass, types), others
 
 
-def _parts(shared):
+def _rare(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        k, size = model.classes, len(model.index)
-        for batch in slices(batches, 64):
-            if not batch.num_rows:
-                continue
-            words, ids, lengths = _stream(batch, model.index)
-            c = model.of[ids]
-            end = np.cumsum(lengths)                    # in the numbering without the first end token
-            first = np.append(0, end[:-1])
-            summed = lambda x: np.add.reduceat(x, first)  # noqa: E731,B023
-            both = (c[:-1] >= 0) & (c[1:] >= 0)
-            rare = np.flatnonzero(c[1:] < 0) + 1
-            after = np.append(c, -1)[rare + 1]          # an end token follows, or else no token has a class
-            lists = lambda at, values: pa.ListArray.from_arrays(
-                pa.array(np.append(0, np.searchsorted(at, end)), pa.int32()), values)  # noqa: B023
-            at = np.flatnonzero(both)
-            before = [words[i - 1] if c[i - 1] < 0 else None for i in rare.tolist()]
-            struct = pa.StructArray.from_arrays(
-                [pa.array([words[i] for i in rare.tolist()], pa.binary()), pa.array(c[rare - 1], pa.int32()),
-                 pa.array(after, pa.int32()), pa.array(before, pa.binary())], ["w", "p", "q", "v"])
+        of = shared.value
+        for batch in slices(batches):
+            c, lists = of[_ids(batch.column(2))], batch.column(3)
+            at, words = np.flatnonzero(c < 0), lists.flatten()
+            p = c[at - 1]
+            before = words.take(pa.array(np.arange(len(at)) - 1 + len(at) * (np.arange(len(at)) == 0), mask=p >= 0))
+            text = pa.array(np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lengths, pa.int64()), pa.array(summed((ids[1:] < size).astype(np.int64))),
-                 pa.array(summed(model.known_base[ids[1:]])), pa.array(summed(model.emission[ids[1:]])),
-                 lists(at, pa.array((c[:-1] * k + c[1:])[at], pa.int32())), lists(rare - 1, struct)],
-                [*batch.schema.names[:-1], "n_tokens", "known", "base", "steps", "pairs", "rare"])
+                [batch.column(0).take(text), batch.column(1).take(text), words, pa.array(p, pa.int32()),
+                 pa.array(c[(at + 1) % len(c)], pa.int32()), before], ["row", "held_out", "w", "p", "q", "v"])
     return run
 
 
-def _pair_sums(classes: int):
+def rare_tokens(numbered: DataFrame, of: np.ndarray) -> DataFrame:
+    """(row, held_out, w, p, q, v) of all tokens without a number: the classes before and after (-1: none),
+    and the token before if it has no number either."""
+    shared = numbered.sparkSession.sparkContext.broadcast(of)
+    return numbered.where(F.size("rest") > 0).select("row", "held_out", "ids", "rest").mapInArrow(
+        _rare(shared), "row long, held_out boolean, w binary, p int, q int, v binary")
+
+
+def _class_pairs(shared, classes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(classes * classes, np.int64)
-        for batch in batches:
-            sums += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(sums))
+        of, sums = shared.value, np.zeros(classes * classes, np.int64)
+        for batch in slices(batches):
+            c = of[_ids(batch.column(0))]
+            before = np.roll(c, 1)
+            both = (before >= 0) & (c >= 0)
+            sums += np.bincount(before[both] * classes + c[both], minlength=len(sums))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
     return run
 
 
-def _known_steps(shared):
+def _known(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = shared.value[:-1, :-1].ravel()
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            sums = np.append(0, np.cumsum(step[lists.flatten().to_numpy()]))
-            at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums[at[1:]] - sums[at[:-1]])],
-                                             [*batch.schema.names[:-1], "known_steps"])
+        of, known_base, emission, step = shared.value
+        for batch in slices(batches):
+            ids = _ids(batch.column(3))
+            lengths = pc.binary_length(batch.column(3)).to_numpy() // 4
+            first = np.append(0, np.cumsum(lengths)[:-1])
+            c = of[ids]
+            before = np.roll(c, 1)
+            steps = np.where((before >= 0) & (c >= 0), step[before, c], 0.0)
+            summed = lambda x: pa.array(np.add.reduceat(x, first))  # noqa: E731,B023
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(lengths, pa.int64()), summed((c >= 0).astype(np.int64)),
+                 summed(known_base[ids]), summed(emission[ids]), summed(steps)],
+                [*batch.schema.names[:3], "n_tokens", "known", "base", "steps", "known_steps"])
     return run
 
 
@@ -476,15 +537,13 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
     kind = rows.schema["doc_id"].dataType.simpleString()
     with arrow_batches(spark):
         counts = materialize(token_counts(train))
-        model, others = fit(train, counts, table_words, cluster_words, class_words, classes, sweeps)
-        shared = spark.sparkContext.broadcast(model)
-        part = materialize(rows.mapInArrow(
-            _parts(shared), f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, "
-                            "pairs array<int>, rare array<struct<w: binary, p: int, q: int, v: binary>>")
-            .withColumn("row", F.monotonically_increasing_id()))
+        frequent = most_frequent(counts, table_words)
+        numbered = materialize(number_tokens(rows, numbers(frequent)).withColumn("row", F.monotonically_increasing_id()))
+        learnt_from = numbered.where(~F.col("held_out"))
+        model, others = fit_numbered(learnt_from, frequent, cluster_words, class_words, classes, sweeps)
         # each token outside the table with its class c, and the class p before it
         k, unseen = model.classes, F.lit(model.unseen)
-        found = narrow(part.select("row", "held_out", F.inline("rare")).join(others, "w", "left")
+        found = narrow(rare_tokens(numbered, model.of).join(others, "w", "left")
                        .select("row", "held_out", "p", F.coalesce("c", unseen).alias("c"), "q",
                                F.coalesce("n", F.lit(0)).alias("n"), "v"))
         before = others.select(F.col("w").alias("v"), F.col("c").alias("_p"))
@@ -492,16 +551,18 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
             found.where(F.col("v").isNotNull()).join(before, "v", "left")
             .withColumn("p", F.coalesce("_p", unseen)).drop("v", "_p"))
         learnt = rare.where(~F.col("held_out")).groupBy("p", "c", "q").agg(F.count(F.lit(1)).alias("n"))
-        sums = part.where(~F.col("held_out")).select("pairs").mapInArrow(_pair_sums(k), "pair long, n long") \
+        sums = learnt_from.select("ids").mapInArrow(
+            _class_pairs(spark.sparkContext.broadcast(model.of), k), "pair long, n long") \
             .unionByName(learnt.select((F.col("p") * k + F.col("c")).cast("long").alias("pair"), "n")) \
             .unionByName(learnt.where(F.col("q") >= 0).select((F.col("c") * k + F.col("q")).cast("long").alias("pair"), "n")) \
             .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()           # <= classes^2 rows
         pairs = np.zeros(k * k)
         pairs[sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
         step = model.transitions(pairs.reshape(k, k))
-        known = part.select("doc_id", "held_out", "n_tokens", "known", "base", "steps", "row", "pairs").mapInArrow(
-            _known_steps(spark.sparkContext.broadcast(step)),
-            f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, steps double, row long, known_steps double")
+        shared = spark.sparkContext.broadcast((model.of, model.known_base, model.emission, step))
+        known = numbered.select("doc_id", "held_out", "row", "ids").mapInArrow(
+            _known(shared), f"doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, "
+                            "steps double, known_steps double")
     table = F.lit(step.ravel())
     at = lambda a, b: F.get(table, F.col(a) * (k + 1) + F.col(b))
     log = F.log10(F.col("n") + F.lit(1.0))

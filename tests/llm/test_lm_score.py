@@ -169,3 +169,30 @@ def test_score_against_brute_force(spark):
     got = lm_score.score_documents(docs, in_test(), *params).collect()
     assert {r.doc_id: r.score for r in got} == pytest.approx(want)
     assert any(x not in of for w in own.values() for x in w)
+
+
+def test_texts_are_cut_into_tokens_twice(spark):
+    cut = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        cut.add(1)
+        return text
+
+    docs = spark.createDataFrame([(i, f"a b{i % 9} c{i} b{i % 7} a") for i in range(70)], "doc_id long, text string")
+    got = lm_score.score_documents(docs.withColumn("text", read("text")), in_test(), 20, 5, 10, 3).collect()
+    assert len(got) == 70 and cut.value <= 2 * 70             # to count and to number the tokens
+
+
+def test_open_contexts_leave_a_task_once_per_token(spark):
+    texts = spark.createDataFrame([("x y r a y r x".encode(),), ("s s s r".encode(),)] * 40, "t binary").coalesce(1)
+    index = {lm_score.END: 0, b"x": 1, b"y": 2}
+    numbered = lm_score.number_tokens(texts, index)
+    got = lm_score.open_contexts(numbered, list(index), np.array([0, 1]), 2).collect()
+    codes = {bytes(r.w): Counter(r.codes) for r in got if r.w is not None}
+    assert len(got) - len(codes) == sum(r.code is not None for r in got) and len(codes) == 4
+    # before * 4 + after: 0 the end, 1 x, 2 open, 3 the token itself
+    assert codes == {b"y": {1 * 4 + 2: 40, 2 * 4 + 2: 40}, b"a": {2 * 4 + 2: 40}, b"r": {2 * 4 + 2: 40, 2 * 4 + 1: 40, 2 * 4 + 0: 40},
+                     b"s": {0 * 4 + 3: 40, 3 * 4 + 3: 40, 3 * 4 + 2: 40}}
+    pairs = {r.code: r.n for r in got if r.w is None}
+    assert sum(pairs.values()) == 80 * 8 - 40 * 3 and pairs[0 * 3 + 1] == 40 and pairs[1 * 3 + 0] == 40
