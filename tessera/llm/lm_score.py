@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_batches, materialize, narrow, slices, text_bytes
+from tessera.llm.common import arrow_batches, materialize, slices, text_bytes
 
 END = b"\n"                    # no word holds white space
 FLUSH = 200_000                # distinct tokens a task holds before it hands on its counts
@@ -143,11 +143,7 @@ def _bigrams(size: int):
 
 def pair_counts(numbered: DataFrame, size: int) -> np.ndarray:
     """(size + 1)^2 counts of neighbouring tokens; tokens with other numbers are number ``size``."""
-    total = numbered.select("ids").mapInArrow(_bigrams(size), "pair long, n long") \
-        .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()        # <= (size + 1)^2 rows
-    out = np.zeros((size + 1) * (size + 1))
-    out[total.column("pair").to_numpy()] = total.column("n").to_numpy()
-    return out.reshape(size + 1, size + 1)
+    return pair_table(numbered.select("ids").mapInArrow(_bigrams(size), "pair long, n long"), size + 1)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -300,6 +296,32 @@ def context_counts(texts: DataFrame, index: dict[bytes, int], group: np.ndarray,
     return numbered_contexts(number_tokens(texts.select("t"), index), len(index), group, classes, with_open)
 
 
+def _class_pairs(shared, classes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, sums = shared.value, np.zeros(classes * classes, np.int64)
+        for batch in slices(batches):
+            c = of[_ids(batch.column(0))]
+            before = np.roll(c, 1)
+            both = (before >= 0) & (c >= 0)
+            sums += np.bincount(before[both] * classes + c[both], minlength=len(sums))
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+    return run
+
+
+def class_pairs(numbered: DataFrame, of: np.ndarray, classes: int) -> DataFrame:
+    """(pair, n) of the classes of neighbouring tokens, where both have one; of some tasks each."""
+    shared = numbered.sparkSession.sparkContext.broadcast(of)
+    return numbered.select("ids").mapInArrow(_class_pairs(shared, classes), "pair long, n long")
+
+
+def pair_table(pairs: DataFrame, classes: int) -> np.ndarray:
+    total = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()      # <= classes^2 rows
+    out = np.zeros(classes * classes)
+    out[total.column("pair").to_numpy()] = total.column("n").to_numpy()
+    return out.reshape(classes, classes)
+
+
 class _Numbers(dict):
     """Numbers given to words as they are met."""
 
@@ -317,7 +339,6 @@ def _open_contexts(shared, classes: int):
         names, group = shared.value                     # ids below len(group) have a class
         first, size, wide = len(group), len(names), classes + 2
         of = np.append(group, np.full(size + 1 - first, classes))
-        sums = np.zeros((classes + 1) * (classes + 1), np.int64)
         others, held, many = _Numbers(), [], 0
 
         def out() -> pa.RecordBatch:
@@ -329,13 +350,12 @@ def _open_contexts(shared, classes: int):
             w = pa.array([names[i] if i < size else words[i - size] for i in token[start].tolist()], pa.binary())
             codes = pa.Array.from_buffers(pa.binary(), len(start), [
                 None, pa.py_buffer((np.append(start, len(code)) * code.itemsize).astype(np.int32)), pa.py_buffer(code)])
-            return pa.RecordBatch.from_arrays([w, codes, *[pa.nulls(len(start), pa.int64())] * 2], ["w", "codes", "code", "n"])
+            return pa.RecordBatch.from_arrays([w, codes], ["w", "codes"])
 
         for batch in slices(batches):
             ids, rest = _ids(batch.column(0)), batch.column(1).flatten().to_pylist()
             ids[ids == size] = size + np.fromiter(map(others.__getitem__, rest), np.int64, len(rest))
             c = of[np.minimum(ids, size)]
-            sums += np.bincount(np.roll(c, 1) * (classes + 1) + c, minlength=len(sums))
             at = np.flatnonzero(ids >= first)
             token, after = ids[at], (at + 1) % len(ids)
             code = np.where(token == ids[at - 1], classes + 1, c[at - 1]) * wide \
@@ -347,17 +367,14 @@ def _open_contexts(shared, classes: int):
                 others, held, many = _Numbers(), [], 0
         if many:
             yield out()
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.binary())] * 2, pa.array(at), pa.array(sums[at])],
-                                         ["w", "codes", "code", "n"])
     return run
 
 
 def open_contexts(numbered: DataFrame, names: list[bytes], group: np.ndarray, classes: int) -> DataFrame:
-    """Per task and token without a number below ``len(group)`` one row (w, codes), with the classes before
-    and after each of its places; and rows (code, n) with the task's counts of class pairs."""
+    """(w, codes) of the tokens without a number below ``len(group)``, once per task (more often if it holds
+    many): the classes before and after each of its places."""
     shared = numbered.sparkSession.sparkContext.broadcast((names, group))
-    return numbered.select("ids", "rest").mapInArrow(_open_contexts(shared, classes), "w binary, codes binary, code long, n long")
+    return numbered.select("ids", "rest").mapInArrow(_open_contexts(shared, classes), "w binary, codes binary")
 
 
 def _choose(shared):
@@ -365,6 +382,12 @@ def _choose(shared):
         table = shared.value
         wide, kind = len(table) + 1, _code_type(len(table) - 1)
         held, size, most = [], 0, 1 << 17
+        single = np.full(wide * wide, -1)               # class of a token that occurs once, by its code
+
+        def once(code: np.ndarray) -> np.ndarray:
+            new = np.unique(code[single[code] < 0])
+            single[new] = best_classes(table, *(np.eye(wide)[near] for near in (new % wide, new // wide)))
+            return single[code]
 
         def out(go_on: bool):
             """Tokens of the held rows; the last one's rows are held on if more may follow."""
@@ -379,15 +402,18 @@ def _choose(shared):
             start = start[start < stop]
             code = np.frombuffer(b"".join(codes.slice(0, stop).to_pylist()), kind).astype(np.int64)
             to = np.append(0, np.cumsum(n))
-            for a in range(0, len(start), 4096):
-                rows = np.append(start[a:a + 4096], start[a + 4096] if a + 4096 < len(start) else stop)
-                k, part = len(rows) - 1, code[to[rows[0]]:to[rows[-1]]]
-                own = np.repeat(np.arange(k), np.diff(to[rows]))
-                count = lambda near: np.bincount(own * wide + near, minlength=k * wide).reshape(-1, wide).astype(float)  # noqa: E731,B023
-                right, left = count(part % wide), count(part // wide)
-                yield pa.RecordBatch.from_arrays(
-                    [w.take(pa.array(rows[:-1])), pa.array(right.sum(axis=1).astype(np.int64)),
-                     pa.array(best_classes(table, right, left).astype(np.int32))], ["w", "n", "c"])
+            many = np.diff(np.append(to[start], len(code)))
+            group = np.zeros(len(start), np.int64)
+            group[many == 1] = once(code[to[start[many == 1]]])
+            code, more = code[np.repeat(many > 1, many)], np.flatnonzero(many > 1)
+            to = np.append(0, np.cumsum(many[more]))
+            for a in range(0, len(more), 4096):
+                b = min(a + 4096, len(more))
+                part, own = code[to[a]:to[b]], np.repeat(np.arange(b - a), many[more[a:b]])
+                count = lambda near: np.bincount(own * wide + near, minlength=(b - a) * wide).reshape(-1, wide).astype(float)  # noqa: E731,B023
+                group[more[a:b]] = best_classes(table, count(part % wide), count(part // wide))
+            if len(start):
+                yield pa.RecordBatch.from_arrays([w.take(pa.array(start)), pa.array(many), pa.array(group, pa.int32())], ["w", "n", "c"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -403,12 +429,10 @@ def _choose(shared):
 
 def open_classes(numbered: DataFrame, names: list[bytes], group: np.ndarray, classes: int) -> DataFrame:
     """(w, n, c) of all tokens without a number below ``len(group)``: count and best class."""
-    found = materialize(open_contexts(numbered, names, group, classes))
-    total = found.where(F.col("w").isNull()).groupBy("code").agg(F.sum("n").alias("n")).toArrow()   # <= (classes + 1)^2 rows
-    table = np.zeros((classes + 1) * (classes + 1))
-    table[total.column("code").to_numpy()] = total.column("n").to_numpy()
-    table = numbered.sparkSession.sparkContext.broadcast(table.reshape(classes + 1, classes + 1))
-    return materialize(found.where(F.col("w").isNotNull()).select("w", "codes").repartition("w").sortWithinPartitions("w")
+    of = np.append(group, np.full(len(names) + 1 - len(group), classes))
+    table = pair_table(class_pairs(numbered, of, classes + 1), classes + 1)
+    table = numbered.sparkSession.sparkContext.broadcast(table)
+    return materialize(open_contexts(numbered, names, group, classes).repartition("w").sortWithinPartitions("w")
                        .mapInArrow(_choose(table), "w binary, n long, c int"))
 
 
@@ -495,19 +519,6 @@ def rare_tokens(numbered: DataFrame, of: np.ndarray) -> DataFrame:
         _rare(shared), "row long, held_out boolean, w binary, p int, q int, v binary")
 
 
-def _class_pairs(shared, classes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, sums = shared.value, np.zeros(classes * classes, np.int64)
-        for batch in slices(batches):
-            c = of[_ids(batch.column(0))]
-            before = np.roll(c, 1)
-            both = (before >= 0) & (c >= 0)
-            sums += np.bincount(before[both] * classes + c[both], minlength=len(sums))
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
-    return run
-
-
 def _known(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, known_base, emission, step = shared.value
@@ -543,22 +554,19 @@ def score_documents(docs: DataFrame, held_out: Column, table_words: int = 1 << 1
         model, others = fit_numbered(learnt_from, frequent, cluster_words, class_words, classes, sweeps)
         # each token outside the table with its class c, and the class p before it
         k, unseen = model.classes, F.lit(model.unseen)
-        found = narrow(rare_tokens(numbered, model.of).join(others, "w", "left")
-                       .select("row", "held_out", "p", F.coalesce("c", unseen).alias("c"), "q",
-                               F.coalesce("n", F.lit(0)).alias("n"), "v"))
+        found = materialize(rare_tokens(numbered, model.of).join(others, "w", "left")
+                            .select("row", "held_out", "p", F.coalesce("c", unseen).alias("c"), "q",
+                                    F.coalesce("n", F.lit(0)).alias("n"), "v"))
         before = others.select(F.col("w").alias("v"), F.col("c").alias("_p"))
         rare = found.where(F.col("v").isNull()).drop("v").unionByName(
             found.where(F.col("v").isNotNull()).join(before, "v", "left")
             .withColumn("p", F.coalesce("_p", unseen)).drop("v", "_p"))
         learnt = rare.where(~F.col("held_out")).groupBy("p", "c", "q").agg(F.count(F.lit(1)).alias("n"))
-        sums = learnt_from.select("ids").mapInArrow(
-            _class_pairs(spark.sparkContext.broadcast(model.of), k), "pair long, n long") \
-            .unionByName(learnt.select((F.col("p") * k + F.col("c")).cast("long").alias("pair"), "n")) \
-            .unionByName(learnt.where(F.col("q") >= 0).select((F.col("c") * k + F.col("q")).cast("long").alias("pair"), "n")) \
-            .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()           # <= classes^2 rows
-        pairs = np.zeros(k * k)
-        pairs[sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
-        step = model.transitions(pairs.reshape(k, k))
+        pairs = pair_table(
+            class_pairs(learnt_from, model.of, k)
+            .unionByName(learnt.select((F.col("p") * k + F.col("c")).cast("long").alias("pair"), "n"))
+            .unionByName(learnt.where(F.col("q") >= 0).select((F.col("c") * k + F.col("q")).cast("long").alias("pair"), "n")), k)
+        step = model.transitions(pairs)
         shared = spark.sparkContext.broadcast((model.of, model.known_base, model.emission, step))
         known = numbered.select("doc_id", "held_out", "row", "ids").mapInArrow(
             _known(shared), f"doc_id {kind}, held_out boolean, row long, n_tokens long, known long, base double, "

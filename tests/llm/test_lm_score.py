@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,10 +190,28 @@ def test_open_contexts_leave_a_task_once_per_token(spark):
     index = {lm_score.END: 0, b"x": 1, b"y": 2}
     numbered = lm_score.number_tokens(texts, index)
     got = lm_score.open_contexts(numbered, list(index), np.array([0, 1]), 2).collect()
-    codes = {bytes(r.w): Counter(r.codes) for r in got if r.w is not None}
-    assert len(got) - len(codes) == sum(r.code is not None for r in got) and len(codes) == 4
+    codes = {bytes(r.w): Counter(r.codes) for r in got}
+    assert len(got) == len(codes) == 4
     # before * 4 + after: 0 the end, 1 x, 2 open, 3 the token itself
     assert codes == {b"y": {1 * 4 + 2: 40, 2 * 4 + 2: 40}, b"a": {2 * 4 + 2: 40}, b"r": {2 * 4 + 2: 40, 2 * 4 + 1: 40, 2 * 4 + 0: 40},
                      b"s": {0 * 4 + 3: 40, 3 * 4 + 3: 40, 3 * 4 + 2: 40}}
-    pairs = {r.code: r.n for r in got if r.w is None}
-    assert sum(pairs.values()) == 80 * 8 - 40 * 3 and pairs[0 * 3 + 1] == 40 and pairs[1 * 3 + 0] == 40
+    pairs = lm_score.pair_table(lm_score.class_pairs(numbered, np.array([0, 1, 2, 2]), 3), 3)
+    assert pairs.sum() == 40 * (8 + 5) and pairs[0].tolist() == [0, 40, 40] and pairs[1].tolist() == [40, 0, 40]
+
+
+def test_tokens_that_occur_once_go_to_their_best_class():
+    rng = np.random.default_rng(12)
+    k, wide = 5, 7
+    table = rng.poisson(50.0, (k + 1, k + 1)).astype(float)
+    codes = [rng.integers(0, k + 1, n) * wide + rng.integers(0, k + 1, n) for n in rng.integers(1, 4, 300)]
+    words = [b"%03d" % i for i in range(300)]
+    rows = [(w, part) for w, c in zip(words, codes) for part in np.array_split(c, 1 + len(c) // 2)]     # a task each
+    batches = [pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows[i:i + 7]], pa.binary()),
+                                           pa.array([c.astype(np.uint8).tobytes() for _, c in rows[i:i + 7]], pa.binary())],
+                                          ["w", "codes"]) for i in range(0, len(rows), 7)]
+    shared = type("Shared", (), {"value": table})
+    got = pa.Table.from_batches(lm_score._choose(shared)(iter(batches))).to_pydict()
+    assert got["w"] == words and got["n"] == [len(c) for c in codes]
+    counts = lambda near: np.array([np.bincount(x, minlength=wide) for x in near]).astype(float)
+    want = lm_score.best_classes(table, counts([c % wide for c in codes]), counts([c // wide for c in codes]))
+    assert got["c"] == want.tolist()
