@@ -44,6 +44,16 @@ def test_summaries_in_the_pass_equal_those_of_rows(spark, panel):
         Sel.product_ranges(Sel.column_products(gap, ["macd", "rsi"]), ["macd", "rsi"])
 
 
+def test_cells_before_and_after_scaling(panel):
+    table = session.materialize(build_features(panel))
+    stats = S.fit_scaler(table.where("split = 'train'"), NAMES)
+    before = {c: f"before_{c}" for c in NAMES}
+    both = S.apply_scaler(table.select(*NAMES, *[F.col(c).alias(b) for c, b in before.items()]), stats)
+    rows = lambda df: {r.stage: (r.min, r.max, r.mean) for r in df.collect()}
+    close(rows(S.scaled_cell_stats(feature_cells(panel), NAMES, stats)),
+          rows(S.cell_stats_by_stage(both, {"before": list(before.values()), "after": NAMES})))
+
+
 def test_nearest_neighbours_in_turns_and_ranges(spark, panel):
     some = ["rsi", "is_bull_market", "close_lag_1", "bb_position", "day_of_week"]
     n = panel.count()
