@@ -64,7 +64,7 @@ def score_requests(history: DataFrame, requests: DataFrame, names: Sequence[str]
                    weights: Sequence[float], rows: int = HISTORY_ROWS, length: int = SEQUENCE) -> DataFrame:
     """(ID, Pred) for every request, 0 where the history is unknown or too short."""
     recent = last_n_rows(Sub.keep_requested(history, requests), rows)
-    features = build_features(recent, keys=["Ticker"], stats="expanding", assume_clean=True)
+    features = build_features(recent, keys=["Ticker"], stats="expanding", assume_clean=True, only=names)
     scaled = S.apply_scaler(selected_features(features, names), scaler)
     scored = Q.latest_sequence(scaled, names, length).select(
         "Ticker", "Date", linear_score("X", weights).alias("Probability"))
@@ -76,7 +76,8 @@ def score_with_model(history: DataFrame, requests: DataFrame, names: Sequence[st
     """P3 with a saved model: (Ticker, Date, Probability) of the requested series, the mean of the
     model's probabilities over the last ``length`` rows.  The model brings its own scaler."""
     recent = last_n_rows(Sub.keep_requested(history, requests), rows)
-    features = selected_features(build_features(recent, keys=["Ticker"], stats="expanding", assume_clean=True), names)
+    features = selected_features(build_features(recent, keys=["Ticker"], stats="expanding", assume_clean=True, only=names),
+                                 names)
     last = last_n_rows(features, length)
     per_series = probabilities(model, last).groupBy("Ticker").agg(
         F.max("Date").alias("Date"), F.avg("Probability").alias("Probability"), F.count(F.lit(1)).alias("n"))

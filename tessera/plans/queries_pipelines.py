@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators import fit as Fit
 from tessera.operators.clean import handle_missing_values
+from tessera.operators.features import build_features
 from tessera.plans import pipelines as Pl
 from tessera.plans.catalog import register
 from tessera.plans.oracle_sql import PANEL_CTES, feature_sql, with_
+from tessera.plans.process import clean_table, split_panel
 from tessera.plans.queries_features import features_table
 from tessera.plans.queries_model import _REQ
 from tessera.sources.bars import load_bars, scoring_requests
@@ -70,8 +72,9 @@ def q_submission_from_history(spark, sf_dir):
 def q_submission_saved_model(spark, sf_dir):
     """P3 with a model fitted once on train, saved with its scaler, and read back."""
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    train = Pl.selected_features(features_table(spark, sf_dir, SELECTED).where(F.col("split") == "train"), SELECTED)
+    history = clean_table(load_bars(spark, sf_dir))
+    rows = split_panel(history).where(F.col("split") == "train")
+    train = Pl.selected_features(build_features(rows, assume_clean=True, only=SELECTED), SELECTED)
     Fit.save_model(Fit.scaling_pipeline(materialize(train), SELECTED), path)
-    history = handle_missing_values(load_bars(spark, sf_dir))
     requests = scoring_requests(read_table(spark, sf_dir, "supplier"))
     return Pl.submit_with_model(history, requests, SELECTED, Fit.load_model(path))
